@@ -4,18 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagelight.llm import simhash
+from stagelight.llm import bpe, ngram_join, packing, simhash
 from stagelight.llm.common import table
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return simhash.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf_dir), width=3, threshold="0.9")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op4_packing": op4_packing,
+    "op5_bpe": op5_bpe,
+    "op6_ngram_join": op6_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
