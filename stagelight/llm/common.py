@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Stands for a null doc_id where a key is needed; sorts before every other id.
 NULL_KEY = -(2**63)
@@ -35,6 +36,11 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
+    """df's schema and more columns; the schema that df holds stays as it is."""
+    return T.StructType([*df.schema.fields, *[T.StructField(n, T._parse_datatype_string(k)) for n, k in kinds.items()]])
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(parts)
@@ -46,6 +52,8 @@ _P = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: ASCII letters, digits and all bytes of other characters stand in words; the rest separates
+_NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 SEGMENT = 1 << 20
@@ -90,15 +98,15 @@ def _segments(buf: np.ndarray) -> Iterator[tuple[int, int]]:
 class Words:
     """Words of a list of texts: start, end, document, hash; hashes come from whole words, bounded memory a step."""
 
-    def __init__(self, texts: list[str | None], prefixes: tuple[int, ...] = ()):
-        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    def __init__(self, texts: list[str | None], prefixes: tuple[int, ...] = (), letters: bool = False):
+        raw = [((t or "").lower() if letters else t or "").encode("utf-8", "surrogatepass") for t in texts]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         buf = _LOWER[np.frombuffer(b"\n".join(raw), np.uint8)] if raw else np.zeros(0, np.uint8)
         starts, ends, hashes = [], [], []
         cut_hashes: list[list[np.ndarray]] = [[] for _ in prefixes]
         for a, b in _segments(buf):
             seg = buf[a:b]
-            space = _SPACE[seg]
+            space = (_NOT_WORD if letters else _SPACE)[seg]
             edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
             s, e = edge[::2], edge[1::2]
             power, inverse = _power_tables(len(seg) + 1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagelight.llm import bpe, ngram_join, packing, simhash
+from stagelight.llm import bpe, langid, ngram_join, packing, simhash, toxicity
 from stagelight.llm.common import table
 
 
@@ -31,11 +31,21 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir), width=3, threshold="0.9")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(documents(spark, sf_dir))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op4_packing": op4_packing,
     "op5_bpe": op5_bpe,
     "op6_ngram_join": op6_ngram_join,
+    "op7_language_id": op7_language_id,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
