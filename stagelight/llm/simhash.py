@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import cut, key, only
+from stagelight.llm.common import NULL_KEY, cut, key, only
 
 BITS = 128
 #: Votes are counted two to a long; no text has 2^31 terms.
@@ -74,7 +74,8 @@ def following(ids: DataFrame) -> DataFrame:
 def edited_fingerprints(documents: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last floor(n / 2) code points are replaced by the first
     as many (or all) of the next document's, and how alike they are."""
-    docs = only(documents, "doc_id", "text").select("doc_id", key("doc_id").alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+    # k stands for doc_id from here on: both uses of the shuffled texts below then have the same columns and share it
+    docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     ids = docs.groupBy("k").agg(F.max(F.floor(F.char_length("text") / 2)).alias("need"))
     links = cut(following(ids))
     back = links.groupBy(F.col("next").alias("k")).agg(F.max("need").alias("give"), F.first("k").alias("prev"))
@@ -86,14 +87,14 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2).cast("int")
     both = whole.join(heads.hint("shuffle_merge"), "k").select(
-        "k", "next", "doc_id", n.alias("n_chars"), F.xxhash64("text").alias("x"), "text",
+        "k", "next", n.alias("n_chars"), F.xxhash64("text").alias("x"), "text",
         F.concat(F.substring("text", F.lit(1), (n - half).cast("int")), F.substring("head", F.lit(1), half)).alias("edited"),
     )
     both = both.withColumn("sha", F.unhex(F.sha2("edited", 256)))
-    found = cut(fingerprints(both, {"f": "text", "e": "edited"}, ["k"], ["next", "doc_id", "n_chars", "x", "sha"]))
+    found = cut(fingerprints(both, {"f": "text", "e": "edited"}, ["k"], ["next", "n_chars", "x", "sha"]))
     ahead = found.groupBy(F.col("k").alias("nk")).agg(F.min(F.struct("x", "f")).alias("a")).select("nk", F.col("a.f").alias("nf"))
     return found.join(ahead, F.col("next") == F.col("nk")).select(
-        "doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), hex_of("f").alias("fingerprint"), hex_of("e").alias("edited_fingerprint"),
+        F.when(F.col("k") != NULL_KEY, F.col("k")).alias("doc_id"), "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), hex_of("f").alias("fingerprint"), hex_of("e").alias("edited_fingerprint"),
         likeness("f", "e").alias("near_edited"), likeness("f", "nf").alias("near_next"),
     )
 
