@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagelight.llm import bpe, chat, langid, mih, ngram_join, packing, simhash, toxicity
+from stagelight.llm import bpe, chat, langid, license, mih, ngram_join, packing, simhash, toxicity, url_filter
 from stagelight.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(license.files_of(documents(spark, sf_dir)))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -50,8 +54,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.evaluate(url_filter.captures_of(pages), url_filter.changes_of(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_license_scan": op2_license_scan,
     "op3_chat_format": op3_chat_format,
     "op4_packing": op4_packing,
     "op5_bpe": op5_bpe,
@@ -59,6 +69,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,
+    "op10_url_filter": op10_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": license.ORACLE,
+    "op10_url_filter": url_filter.ORACLE,
+}
