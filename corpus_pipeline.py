@@ -1,10 +1,69 @@
-"""Corpus pipeline over documents."""
-STAGES: list = []
-ORACLE_SQL = None
+"""Corpus pipeline: toxicity, language identification, one document of each near-duplicate group, packing.
 
+Each stage is (spark, docs, sf_dir) -> DataFrame and is written as Parquet and read again before the next. Stages work on
+all rows that the one before kept and, but for the last, return the columns of documents as they came. Rows with equal
+ids are told apart by their content: a stage's decision holds for each row on its own.
+"""
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from stagelight.llm import langid, ngram_join, packing, toxicity
+from stagelight.llm.common import Stored, cut, key, table
+
+#: Documents with this toxicity score or more go.
+TOXIC = 0.5
+#: A document stays if a language is found and makes up at least this share; text without letters is rejected.
+LEAST_SHARE = 0.2
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents with a score under TOXIC; the scorer learns from the labelled ones among docs."""
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), docs.columns)
+    return scored.where(F.col("_score") < TOXIC).drop("_score")
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in which a language is found."""
+    found = langid.identified(docs, langid.learn(docs), docs.columns)
+    return found.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SHARE)).drop("_lang", "_score")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of documents connected by five-word shingle sets of a Jaccard similarity of 0.8 or more the
+    one with the smallest id; of rows that share this id, the one with the smallest text hash. Documents without words
+    stay: they are linked with nothing."""
+    groups = ngram_join.jaccard_components(docs.select("doc_id", "text"), width=5, threshold="0.8")
+    kept = cut(groups.where("n_shingles = 0 or doc_id <=> component_id").select(key("doc_id").alias("_k"), (F.col("n_shingles") == 0).alias("_empty")).distinct())
+    rows = docs.withColumn("_k", key("doc_id")).join(kept.groupBy("_k").agg(F.max("_empty").alias("_empty")), "_k")
+    same = Window.partitionBy("_k").orderBy(F.xxhash64("text"))
+    return rows.withColumn("_n", F.row_number().over(same)).where("_n = 1 or _empty").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("language_id", keep_identified),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("best_fit_packing", pack),
+]
+
+#: A learned classifier, a learned language model and tokenizers have no SQL; tests compare stages with plain versions.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = Stored(docs).df
     return docs
