@@ -67,7 +67,7 @@ def scan(files: DataFrame) -> DataFrame:
     """files (doc_id, path, text) -> (doc_id, path, license, origin, score, directory)."""
     rows = only(files, "doc_id", "path", "text").withColumn("rid", F.monotonically_increasing_id())
     headers = F.filter(F.split("text", "\n"), lambda x: x.rlike(CUES))
-    found = rows.where(F.col("text").rlike(CUES)).select("rid", "path", F.explode(F.array_distinct(F.transform(headers, F.trim))).alias("line"))
+    found = rows.where(F.col("text").rlike(CUES)).select("rid", "path", F.explode(F.array_distinct(F.transform(headers, lambda x: F.trim(x)))).alias("line"))
     lines = found.groupBy("line").agg(F.count("*").alias("docs"))
     own = found.join(matches(lines), "line").groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"), F.max("path").alias("path"))
     own = own.select("rid", "path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
