@@ -14,7 +14,6 @@ other. Repeated rows are packed as often as they occur. Extra columns are ignore
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,8 +28,6 @@ from stagelight.llm.common import cut, only, steps
 
 CAPACITY = 1024
 END_ID = 2
-#: Chunks whose ids are kept in each Python worker
-CACHED = 300_000
 
 # The published byte-level scheme that the vocabulary file names as its pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -49,9 +46,7 @@ def byte_letters() -> dict[str, int]:
 class Encoder:
     """Ids of whole texts, as the tokenizers library gives them for a byte-level BPE file, as little-endian bytes.
 
-    No pre-token of this scheme goes on past a space that follows anything else, so text is cut before such spaces and
-    the ids of each chunk are remembered. Texts where a space stands between white space, or that hold a special token's
-    string, are encoded whole.
+    If the file's merges are in id order, the faster library that takes ranks gives the same ids.
     """
 
     def __init__(self, path: str):
@@ -61,33 +56,17 @@ class Encoder:
         vocab = spec["model"]["vocab"]
         pre = spec["pre_tokenizer"]
         in_order = all(vocab[a + b] == 256 + i for i, (a, b) in enumerate(merges)) and spec["normalizer"] is None and pre["type"] == "ByteLevel" and not pre["add_prefix_space"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if in_order:
-            ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in self.special}
-            fast = tiktoken.Encoding("from_file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+            ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
+            fast = tiktoken.Encoding("from_file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
             self.whole = lambda text: fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
         else:
             slow = Tokenizer.from_file(path)
             self.whole = lambda text: b"".join(i.to_bytes(4, "little") for i in slow.encode(text, add_special_tokens=False).ids)
-        self.odd = re.compile(r"\s (?:\s|\Z)" + "".join("|" + re.escape(s) for s in self.special))
-        self.chunks: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.odd.search(text):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        known, whole = self.chunks, self.whole
-        if len(known) > CACHED:
-            known.clear()
-        try:
-            return (whole(first) if first else b"") + b"".join([known[c] for c in rest])
-        except KeyError:
-            for c in rest:
-                if c not in known:
-                    known[c] = whole(" " + c)
-            return (whole(first) if first else b"") + b"".join([known[c] for c in rest])
+        return self.whole(text) if text else b""
 
 
 @lru_cache(maxsize=2)
