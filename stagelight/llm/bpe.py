@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,7 +30,9 @@ from stagelight.llm.common import only, steps
 from stagelight.llm.packing import byte_letters
 
 #: Chunks and words that are kept in each Python worker
-CACHED = 400_000
+CACHED = 250_000
+#: White space other than space and line feed
+_RARE_SPACE = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class WordBPE:
@@ -133,7 +136,9 @@ class WordBPE:
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def normal(self, text: str) -> str:
-        text = self.space.sub(" ", text if text.isascii() else unicodedata.normalize("NFC", text))
+        text = text if text.isascii() else unicodedata.normalize("NFC", text)
+        # runs of spaces need no folding: no word crosses them
+        text = self.space.sub(" ", text) if _RARE_SPACE.search(text) else text.replace("\n", " ")
         # letter by letter where lower() on a whole string has a rule for final sigma
         return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
