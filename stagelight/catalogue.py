@@ -19,7 +19,10 @@ from stagelight.operators import catalog, conflation, enrichment, ingest, listin
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 AS_OF = date(1999, 6, 1)
-TODAY = F.lit(AS_OF.isoformat())
+
+
+def today() -> Column:
+    return F.lit(AS_OF.isoformat()).cast("date")
 
 
 def query(sql: str | None = None):
@@ -244,10 +247,10 @@ def orphan_edges_one_label(spark, d):
     return catalog.orphan_edges(s.select(F.col("id").alias("source_id"), (F.col("id") + 7).alias("target_id"), F.lit("near").alias("relation")), s)
 
 
-@query(BASE.rstrip() + ", here AS (SELECT event_id FROM hosts WHERE venue_id % 3 <> 0) SELECT DISTINCT artist_id FROM acts WHERE event_id IN (SELECT event_id FROM here) AND artist_id NOT IN (SELECT artist_id FROM acts WHERE event_id NOT IN (SELECT event_id FROM here))")
+@query(BASE.rstrip() + ", here AS (SELECT event_id FROM hosts WHERE venue_id % 97 <> 0) SELECT DISTINCT artist_id FROM acts WHERE event_id IN (SELECT event_id FROM here) AND artist_id NOT IN (SELECT artist_id FROM acts WHERE event_id NOT IN (SELECT event_id FROM here))")
 def exclusive_artist_cascade(spark, d):
     t = Tables(spark, d)
-    return catalog.exclusive_artists(t.hosts, t.acts, t.venues.where("id % 3 <> 0"))
+    return catalog.exclusive_artists(t.hosts, t.acts, t.venues.where("id % 97 <> 0"))
 
 
 @query("SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey % 4 <> 0")
@@ -346,7 +349,7 @@ def first_only_venue(spark, d):
 def catalog_validation(spark, d):
     t = Tables(spark, d)
     lists = t.acts.groupBy("event_id").agg(F.collect_list("artist_id").alias("artist_ids"))
-    return catalog.validation(t.shows.join(lists, F.col("id") == F.col("event_id"), "left"), TODAY.cast("date"))
+    return catalog.validation(t.shows.join(lists, F.col("id") == F.col("event_id"), "left"), today())
 
 
 @query("SELECT p_name AS name, min(p_partkey) AS id FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 50 = 0) GROUP BY 1")
@@ -490,7 +493,7 @@ def _records(spark, d) -> DataFrame:
     t = Tables(spark, d)
     docs = t.documents.join(t.labels.select("doc_id", "quality").dropDuplicates(["doc_id"]), "doc_id", "left")
     return docs.select(
-        "doc_id", F.when(F.col("doc_id") % 11 != 0, F.substring("text", 1, 12)).otherwise("").alias("title"), F.date_add(TODAY.cast("date"), (F.col("doc_id") % 900 - 100).cast("int")).alias("event_day"),
+        "doc_id", F.when(F.col("doc_id") % 11 != 0, F.substring("text", 1, 12)).otherwise("").alias("title"), F.date_add(today(), (F.col("doc_id") % 900 - 100).cast("int")).alias("event_day"),
         F.when(F.col("doc_id") % 4 == 0, T.NIL_UUID).otherwise("v").alias("venue_id"), (F.lit(0.9) - F.coalesce(1 - F.col("quality"), F.lit(0)) * F.lit(0.3)).alias("confidence"), F.col("lang").alias("source"),
     )
 
@@ -502,7 +505,7 @@ decided AS (SELECT *, CASE WHEN score < 6e-1 THEN 'Quarantine' WHEN short OR off
 
 
 def _assessed(spark, d) -> DataFrame:
-    return quality.assess(_records(spark, d), quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), TODAY.cast("date")))
+    return quality.assess(_records(spark, d), quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), today()))
 
 
 @query(f"WITH {RECORDS} SELECT doc_id, round(score, 6) AS score, decision, CASE WHEN decision = 'Quarantine' THEN 'quarantined' ELSE 'accepted' END AS partition, concat_ws('|', CASE WHEN short THEN 'title' END, CASE WHEN off THEN 'event_day' END, CASE WHEN nil THEN 'venue_id' END, CASE WHEN unsure THEN 'confidence' END) AS issues FROM decided")
@@ -527,7 +530,7 @@ def quality_venues(spark, d):
 @query(f"""WITH {RECORDS} SELECT doc_id, CASE WHEN trim(title) = '' THEN 'Title is empty' WHEN strlen(trim(title)) < 2 THEN 'Title is too short' WHEN ahead < -365 THEN 'Event is over a year past' WHEN ahead > 730 THEN 'Event is over two years ahead' END AS reason, trim(title) <> '' AS simple FROM records""")
 def first_failures(spark, d):
     r = _records(spark, d)
-    return r.select("doc_id", quality.first_failure(F.col("title"), F.lit("v"), F.col("event_day"), TODAY.cast("date"), F.lit("s")).alias("reason"), quality.simple_gate(F.col("title"), F.lit("v")).alias("simple"))
+    return r.select("doc_id", quality.first_failure(F.col("title"), F.lit("v"), F.col("event_day"), today(), F.lit("s")).alias("reason"), quality.simple_gate(F.col("title"), F.lit("v")).alias("simple"))
 
 
 # Entity resolution
