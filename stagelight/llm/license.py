@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import only
+from stagelight.llm.common import cut, only
 
 THRESHOLD = 0.5
 CUES = r"(?i)licen[cs]e|copyright|spdx|released under|redistribut"
@@ -65,9 +65,11 @@ def matches(lines: DataFrame) -> DataFrame:
 
 def scan(files: DataFrame) -> DataFrame:
     """files (doc_id, path, text) -> (doc_id, path, license, origin, score, directory)."""
-    rows = only(files, "doc_id", "path", "text").withColumn("rid", F.monotonically_increasing_id())
     headers = F.filter(F.split("text", "\n"), lambda x: x.rlike(CUES))
-    found = rows.where(F.col("text").rlike(CUES)).select("rid", "path", F.explode(F.array_distinct(F.transform(headers, lambda x: F.trim(x)))).alias("line"))
+    headers = F.when(F.col("text").rlike(CUES), F.array_distinct(F.transform(headers, lambda x: F.trim(x))))
+    # the one pass over the texts; row numbers stay the same from here on
+    rows = cut(only(files, "doc_id", "path", "text").select(F.monotonically_increasing_id().alias("rid"), "doc_id", "path", headers.alias("lines")))
+    found = rows.select("rid", "path", F.explode("lines").alias("line"))
     lines = found.groupBy("line").agg(F.count("*").alias("docs"))
     own = found.join(matches(lines), "line").groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"), F.max("path").alias("path"))
     own = own.select("rid", "path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import only
+from stagelight.llm.common import cut, only
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -51,7 +51,7 @@ def intervals(changes: DataFrame) -> DataFrame:
 
 def evaluate(captures: DataFrame, changes: DataFrame) -> DataFrame:
     """(page_id, fetched_at, host, blocked, pattern, since) for each capture (page_id, url, fetched_at)."""
-    rows = only(captures, "page_id", "url", "fetched_at").withColumn("rid", F.monotonically_increasing_id())
+    rows = cut(only(captures, "page_id", "url", "fetched_at").withColumn("rid", F.monotonically_increasing_id()))  # row numbers stay the same from here on
     span = rows.agg(F.min(F.trunc("fetched_at", "month")).alias("lo"), F.max(F.trunc("fetched_at", "month")).alias("hi"))
     active = intervals(changes).crossJoin(F.broadcast(span)).where("since < add_months(hi, 1) and coalesce(until > lo, true)")  # span is one row
     months = F.sequence(F.greatest(F.trunc("since", "month"), F.col("lo")), F.least(F.trunc(F.coalesce("until", F.col("hi").cast("timestamp")), "month"), F.col("hi")), F.expr("interval 1 month"))
