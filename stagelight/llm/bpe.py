@@ -25,12 +25,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from stagelight.llm.common import only, steps
 from stagelight.llm.packing import byte_letters
 
 #: Chunks and words that are kept in each Python worker
 CACHED = 250_000
+#: Characters outside the alphabets that have not changed in years: the library's own tables decide what they are
+_UNUSUAL = re.compile("[^\x00-\u024f\u2010-\u2027]")
 #: White space other than space and line feed
 _RARE_SPACE = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -58,6 +61,7 @@ class WordBPE:
         self.ranks = np.array([self.merges[p] for p in self.pairs.tolist()], np.int64)
         self.inner = np.array([self.vocab[self.letters[b]] for b in range(256)], np.int64)
         self.last = np.array([self.vocab[self.letters[b] + self.suffix] for b in range(256)], np.int64)
+        self.library = Tokenizer.from_file(path)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.space = regex.compile(r"\p{White_Space}+")
@@ -136,14 +140,17 @@ class WordBPE:
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def normal(self, text: str) -> str:
+        if _UNUSUAL.search(text):
+            return self.library.normalizer.normalize_str(text)
         text = text if text.isascii() else unicodedata.normalize("NFC", text)
         # runs of spaces need no folding: no word crosses them
         text = self.space.sub(" ", text) if _RARE_SPACE.search(text) else text.replace("\n", " ")
-        # letter by letter where lower() on a whole string has a rule for final sigma
-        return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+        return text.lower()
 
     def parts(self, chunk: str) -> list[str | int]:
         """Words of a normal chunk; special tokens, which come as chunks after a line end, as ids."""
+        if _UNUSUAL.search(chunk):
+            return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
         if chunk.isalpha():
             return [chunk]
         if chunk[-1:] in ".," and chunk[:-1].isalpha():
