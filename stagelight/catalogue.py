@@ -635,6 +635,41 @@ def pipeline_totals(spark, d):
 # Payloads and pages
 
 
+@query("SELECT CASE event_type WHEN 'click' THEN 'kexp' WHEN 'view' THEN 'neumos' ELSE event_type END AS source_id, CAST(event_id AS VARCHAR) AS envelope_id, '/events/' || user_id AS record_path, props AS record FROM events")
+def raw_to_parsed(spark, d):
+    from stagelight.operators import payloads
+
+    api = F.when(F.col("event_type") == "click", "crawler_kexp").when(F.col("event_type") == "view", "crawler_neumos").otherwise(F.col("event_type"))
+    return payloads.from_raw(Tables(spark, d).events.select(F.col("event_id").alias("id"), api.alias("api_name"), F.col("user_id").alias("event_api_id"), F.col("props").alias("data"))).drop("payload_ref")
+
+
+@query("""SELECT event_id AS id, CASE WHEN event_id % 3 <> 0 THEN 'own' WHEN event_type = 'click' THEN 'v1' ELSE '00000000-0000-0000-0000-000000000000' END AS venue_id FROM events""")
+def nil_venue_resolution(spark, d):
+    venues = spark.createDataFrame([("v1", "the barboza"), ("v2", "Elsewhere")], "id string, name string")
+    e = Tables(spark, d).events.select(F.col("event_id").alias("id"), F.when(F.col("event_id") % 3 != 0, "own").otherwise(T.NIL_UUID).alias("venue_id"), F.when(F.col("event_type") == "click", "barboza").otherwise("x").alias("source_id"))
+    return catalog.resolve_venues(e, venues).select("id", "venue_id")
+
+
+@query("SELECT doc_id, trim(t) <> '' AND NOT contains(t, 'OPEN 4PM') AND NOT contains(t, 'HOSTED BY') AND (contains(t, 'http') OR regexp_matches(t, '\\p{Lu}')) AS band FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'HOSTED BY ' || left(text, 30) WHEN 1 THEN lower(left(text, 30)) ELSE left(text, 30) END AS t FROM documents)")
+def band_paragraphs(spark, d):
+    k, head = F.col("doc_id") % 4, F.substring("text", 1, 30)
+    t = F.when(k == 0, F.concat(F.lit("HOSTED BY "), head)).when(k == 1, F.lower(head)).otherwise(head)
+    return Tables(spark, d).documents.select("doc_id", T.is_band_paragraph(t).alias("band"))
+
+
+@query("SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_partkey = 25")
+def events_with_nested_artist(spark, d):
+    e = Tables(spark, d).acts.groupBy(F.col("event_id").alias("id")).agg(F.collect_list(F.struct(F.col("artist_id").alias("id"))).alias("artists"))
+    return listings.events_with_artist(e, 25).select("id")
+
+
+@query("SELECT min(id) AS first_id, count(*) AS n FROM (SELECT event_id AS id FROM events WHERE event_type = 'click' AND event_id % 2 = 0)")
+def node_label_decode(spark, d):
+    e = Tables(spark, d).events
+    nodes = e.where("event_id % 2 = 0").select(F.col("event_id").alias("id"), F.col("event_type").alias("label"), F.to_json(F.struct(F.lit(-1).alias("id"), F.col("value").alias("value"))).alias("data"))
+    return listings.decode(nodes, "click", "id bigint, value double").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def parse_json_props(spark, d):
     return Tables(spark, d).events.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))

@@ -16,6 +16,7 @@ NON_ARTIST_WORDS = ("open mic", "karaoke", "trivia", "comedy", "open jam", "dj n
 VENUE_NOISE = ("the ", " tavern", " bar", " club", " lounge")
 ARTIST_NOISE = ("the ", " band", " trio", " quartet")
 TOKEN_NOISE = ("presents", "show", "concert")
+NOT_BANDS = ("OPEN 4PM", "FOR BOOKING", "SEVEN DAYS", "SUGGESTED DONATION", "HOSTED BY", "(unless otherwise noted)", "THURSDAY SHOWS", "FRI/SAT SHOWS")
 SLUG_PUNCTUATION = "'\".,!?&"
 
 
@@ -85,6 +86,13 @@ def artist_tokens(parts: Column) -> Column:
     return F.filter(parts, lambda t: ~F.lower(t).rlike("|".join(TOKEN_NOISE)) & (F.octet_length(t) >= 2))
 
 
+def is_band_paragraph(text: Column) -> Column:
+    """Not blank, none of the house's notices, and with a link or a capital letter."""
+    t = F.trim(text)
+    notice = reduce(lambda x, p: x | t.contains(p), NOT_BANDS, F.lit(False))
+    return (t != "") & ~notice & (t.contains("http") | t.rlike(r"\p{Lu}"))
+
+
 def split_artists(title: Column) -> Column:
     """At , & + / | : trimmed, blanks dropped."""
     return F.filter(F.transform(F.split(title, r"[,&+/|]"), lambda x: F.trim(x)), lambda t: t != "")

@@ -103,6 +103,18 @@ def with_enrichment(venues: DataFrame) -> DataFrame:
     return venues.withColumn("city", F.coalesce("enriched_city", "city")).withColumn("neighborhood", F.coalesce("district", "neighborhood"))
 
 
+# The one venue of each of these sources.
+SINGLE_VENUES = {"barboza": "The Barboza", "kexp": "KEXP Events", "blue_moon": "Blue Moon Tavern", "darrells_tavern": "Darrell's Tavern", "sea_monster": "Sea Monster Lounge"}
+
+
+def resolve_venues(events: DataFrame, venues: DataFrame) -> DataFrame:
+    """Events whose venue is the nil id get the venue of their source, if that is a known one in venues (id, name)."""
+    names = F.create_map(*[F.lit(x) for kv in SINGLE_VENUES.items() for x in kv])
+    known = venues.where(F.lower("name").isin(*[n.lower() for n in SINGLE_VENUES.values()])).groupBy(F.lower("name").alias("_name")).agg(F.min("id").alias("_id"))
+    wanted = events.withColumn("_wanted", F.when(F.col("venue_id") == NIL_UUID, F.lower(F.try_element_at(names, F.col("source_id")))))
+    return wanted.join(known, F.col("_wanted") == F.col("_name"), "left").withColumn("venue_id", F.coalesce("_id", "venue_id")).drop("_wanted", "_name", "_id")
+
+
 def first_of(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

@@ -148,6 +148,11 @@ class Listings:
         return df.join(F.broadcast(wanted), "id").orderBy("pos").drop("pos")  # as long as the caller's list
 
 
+def events_with_artist(events: DataFrame, artist_id) -> DataFrame:
+    """Events (…, artists array<struct<id, …>>) that list an artist."""
+    return events.where(F.exists("artists", lambda a: a["id"] == artist_id))
+
+
 def unprocessed(raw: DataFrame, source: str, processed: bool = False, since: date | None = None) -> DataFrame:
     rows = raw.where((F.col("api_name") == source) & (F.col("processed") == processed))
     return (rows if since is None else rows.where(F.col("event_day") >= F.lit(since))).orderBy("event_day", "id")

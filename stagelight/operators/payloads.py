@@ -19,7 +19,17 @@ API_NAMES = {
 
 
 def api_name(source: Column) -> Column:
-    return F.coalesce(F.create_map(*[F.lit(x) for kv in API_NAMES.items() for x in kv])[source], source)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in API_NAMES.items() for x in kv]), source), source)
+
+
+def source_of(api: Column) -> Column:
+    """The source that an internal API name stands for; other names stand for themselves."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in API_NAMES.items() if k != "sunset_tavern" for x in (v, k)]), api), api)
+
+
+def from_raw(raw: DataFrame) -> DataFrame:
+    """Raw rows (id, api_name, event_api_id, data) as parsed records."""
+    return raw.select(source_of(F.col("api_name")).alias("source_id"), F.col("id").cast("string").alias("envelope_id"), F.col("api_name").alias("payload_ref"), F.concat(F.lit("/events/"), F.col("event_api_id")).alias("record_path"), F.col("data").alias("record"))
 
 
 def _rows(df: DataFrame, *columns: Column) -> DataFrame:
