@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stagelight.functions import geo
 from stagelight.functions import text as T
 from stagelight.operators import catalog, conflation, enrichment, ingest, listings, metrics, quality
+from stagelight.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -700,6 +701,7 @@ def url_segments(spark, d):
 def html_pages_parsed(spark, d):
     from stagelight.operators import pages
 
+    ship(spark)
     p = Tables(spark, d).pages.select(F.lit("kexp").alias("source_id"), F.col("page_id").cast("string").alias("envelope_id"), F.col("url").alias("payload_ref"), "html")
     return pages.parse_pages(p, "kexp_html_v1", AS_OF)
 
