@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,23 +11,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stagelight.shipping import ship
+
 #: Stands for a null doc_id where a key is needed; sorts before every other id.
 NULL_KEY = -(2**63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder. A folder of our own is set only where none is, as in tests."""
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. One of our own is set only where there is none, as in tests."""
     context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) is None and context._jsc.sc().getCheckpointDir().isEmpty():
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stagelight-"))
+    return folder or context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df in the shared checkpoint folder."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+class Stored:
+    """A wide intermediate table as compressed Parquet in the shared folder, until drop()."""
+
+    def __init__(self, df: DataFrame):
+        spark = df.sparkSession
+        self.path = f"{_shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(self.path)
+        self.df = spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        path = self.df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def key(col: Column | str) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(NULL_KEY).cast("long"))
 

@@ -2,41 +2,71 @@
 
 Every round replaces each edge by one that points to a smaller neighbour, so the table never grows; no edge or label
 reaches the driver but the count that tells whether a round changed anything. Hubs are handled by a partially
-aggregated minimum and a join that adaptive execution can split.
+aggregated minimum and a join that adaptive execution can split. What is left at LOCAL edges or fewer goes to one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagelight.llm.common import cut
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """edges (u, v), u > v. Large star: each larger neighbour of a node goes to the node's least neighbour.
-    Small star: the node and its smaller neighbours go to the least of them."""
-    if large:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-        # of an edge (u, v), u > v: u is the larger neighbour of v
-        out = edges.join(least, edges.v == least.c).select(F.col("u"), F.col("m").alias("v"))
-    else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        out = edges.join(least.withColumnRenamed("u", "c"), F.col("u") == F.col("c")).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-    return out.where("u <> v").distinct()
+def _large_star(edges: DataFrame) -> DataFrame:
+    """edges (u, v), u > v: each larger neighbour of a node goes to the least of the node and its neighbours."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).select("c", F.least("c", "m").alias("m"))
+    return edges.join(least, edges.v == least.c).select("u", F.col("m").alias("v"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours go to the least of them."""
+    least = edges.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
+    joined = edges.join(least, edges.u == least.c)
+    ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+    return joined.select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+
+
+#: A table with at most so many edges is solved in one task, by union-find in a few dozen MB
+LOCAL = 1_000_000
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v) of all edges -> (u, v): each node that is no root, and its root."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            u, v = root(u), root(v)
+            parent[max(u, v)] = min(u, v)
+    out = [(x, r) for x in parent if (r := root(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([r for _, r in out], pa.int64())], names=["u", "v"])
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) for every node that has an edge to another: root is the smallest node reachable. Nulls, loops and
-    repeated edges are ignored; an empty table gives an empty one."""
+    repeated edges are ignored; an empty table gives an empty one. Nodes are whole numbers."""
     now = edges.where(F.col(u).isNotNull() & F.col(v).isNotNull() & (F.col(u) != F.col(v)))
-    now = cut(now.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
+    now = cut(now.select(F.greatest(u, v).cast("long").alias("u"), F.least(u, v).cast("long").alias("v")).distinct())
+    state = None
     while True:
-        now = cut(_star(_star(now, True), False))
-        # done when every node points to one root that points nowhere
-        roots = now.select(F.col("v").alias("r")).distinct()
-        open_ = now.join(roots, now.u == roots.r, "left_semi").limit(1)
-        many = now.groupBy("u").count().where("count > 1").limit(1)
-        if not open_.select(F.lit(1)).unionByName(many.select(F.lit(1))).head(1):
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        # a table that a round leaves as it is consists of stars around roots
+        h = F.xxhash64("u", "v")
+        after = tuple(now.agg(F.count("*"), F.sum(h.bitwiseAND(F.lit(2**31 - 1))), F.sum(F.shiftrightunsigned(h, 33))).head())
+        if after[0] == 0 or after == state:
+            break
+        if after[0] <= LOCAL:
+            now = cut(now.coalesce(1).mapInArrow(_contract, "u long, v long"))
+            break
+        state = after
+        now = cut(_small_star(_large_star(now)))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

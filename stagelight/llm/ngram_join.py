@@ -2,15 +2,15 @@
 
 1. Each text gives the sorted distinct hashes of its shingles. Equal sets are one class from here on, so exact copies
    cost one row each and make no pairs.
-2. Blocking, without loss. Two linked sets of sizes s <= l differ in at most s * (1 - t) / t elements. Hash space is cut
-   into one more segment than that, so linked sets agree on all elements in some segment; each class gives one
-   signature a segment, in size bands that decide the number of segments. Segments hold about ten shingles, so a common
-   passage alone does not bring documents together. Classes that share a signature are chained and the chains joined up
-   to candidate components.
+2. Blocking, without loss. Two linked sets of sizes s <= l differ in at most d = s * (1 - t) / t elements. Hash space is
+   cut into m = d + 1 + e segments; each class gives one signature a segment, in size bands that decide d. Linked sets
+   agree in m - d of m signatures, so by the T-occurrence bound they share one of their d + 1 rarest. A class with more
+   than d signatures of its own links with nothing; of the rest, classes that share one of the d + 1 rarest are chained
+   and the chains joined up to candidate components. Common passages fill the e frequent signatures, which are not used.
 3. T-occurrence search in each candidate component, in one task of bounded size: an inverted list for each shingle;
    a first pass probes everything against one member; for the documents still apart, the short lists are heap-merged
-   (or merged by sorting, when long), documents that occur T - L times in them are kept, and these are probed in the L
-   long lists (DivideSkip). A document that is already connected to the query is not probed again.
+   (or counted, when there is much of them), documents that occur T - L times in them are kept, and these are probed in
+   the L long lists (DivideSkip). A document that is already connected to the query is not probed again.
    A component with more shingles than BLOCK is split into parts, and every pair of parts is a block of its own.
 4. Links become components again.
 
@@ -30,18 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import NULL_KEY, cut, key, mix, only, shingle_sets, steps
+from stagelight.llm.common import NULL_KEY, Stored, cut, key, mix, only, shingle_sets, steps
 from stagelight.llm.components import components
 
 #: Shingles that a block may hold: about 64 MB of hashes and lists
 BLOCK = 2_000_000
-#: Merged lists up to this long go over a heap, longer ones are sorted
+#: Short lists of up to so many entries are merged over a heap, more are counted
 HEAP = 512
 
 
 class Bands:
-    """Size bands and their segment counts for a similarity t: a set takes part in the band of every size that it may
-    link with as the larger one."""
+    """Size bands for a similarity t, each with d, the elements that linked sets may differ in: a set takes part in the
+    band of every size that it may link with as the larger one."""
 
     def __init__(self, threshold: Fraction, ratio: float = 1.5):
         self.t = threshold
@@ -54,46 +54,120 @@ class Bands:
     def band(self, size: int) -> int:
         return int(np.searchsorted(self.ends_array, size))
 
-    def segments(self, band: int) -> int:
-        return int(self.ends[band] * self.apart) + 1
-
-    def of(self, size: int) -> range:
+    def of(self, size: int) -> list[int]:
+        """d of each band of a set; bands where only equal sets could link are left out."""
         least = -int(-(size * self.t) // 1)
-        return range(self.band(least), self.band(size) + 1)
-
-    def signatures(self, hashes: np.ndarray) -> np.ndarray:
-        """One 64-bit signature for each segment of each band; none where only equal sets could link."""
-        out = []
-        for band in self.of(len(hashes)):
-            m = self.segments(band)
-            if m > 1:
-                edges = np.array([(i << 64) // m for i in range(1, m)], np.uint64)
-                at = np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
-                with np.errstate(over="ignore"):
-                    total = np.concatenate(([np.uint64(0)], np.cumsum(mix(hashes), dtype=np.uint64)))
+        return [d for b in range(self.band(least), self.band(size) + 1) if (d := int(self.ends[b] * self.apart))]
+
+    def signatures(self, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """For each band d and one 64-bit signature a segment."""
+        if bands := self.of(len(hashes)):
+            with np.errstate(over="ignore"):
+                total = np.concatenate(([np.uint64(0)], np.cumsum(mix(hashes), dtype=np.uint64)))
+                for d in bands:
+                    m = segments(d)
+                    edges = np.array([(i << 64) // m for i in range(1, m)], np.uint64)
+                    at = np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
                     sums = total[at[1:]] - total[at[:-1]]
-                    out.append(mix(sums + mix(np.arange(m, dtype=np.uint64) * np.uint64(4096) + np.uint64(band))))
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+                    yield d, mix(sums + mix(np.arange(m, dtype=np.uint64) * np.uint64(2**40) + np.uint64(d)))
+
+
+def segments(d: int) -> int:
+    return d + 2 + d // 2
+
+
+def set_hash(hashes: np.ndarray) -> int:
+    with np.errstate(over="ignore"):
+        return int(mix(np.array([mix(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes))], np.uint64)).view(np.int64)[0])
 
 
 def sketches(documents: DataFrame, width: int, bands: Bands) -> DataFrame:
-    """(k, n, h, sigs): size and hash of each set, signatures. h is null for a set without shingles."""
+    """(k, n, h, d, sigs, more): size and hash of each set and its signatures in a band; a row with `more` is a second
+    band of the row before. h is null for a set without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in steps(texts):
-                sets = shingle_sets(texts[a:b], width)
-                with np.errstate(over="ignore"):
-                    whole = [int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0]) if len(s) else None for s in sets]
-                sigs = [bands.signatures(s) for s in sets]
-                flat = np.concatenate([*sigs, np.zeros(0, np.uint64)]).view(np.int64)
-                offsets = np.concatenate(([0], np.cumsum([len(s) for s in sigs]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [keys.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(whole, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "n", "h", "sigs"]
-                )
+                rows: list[tuple] = []
+                sigs = []
+                for k, s in zip(keys[a:b], shingle_sets(texts[a:b], width), strict=True):
+                    h = set_hash(s) if len(s) else None
+                    for i, (d, x) in enumerate(list(bands.signatures(s)) or [(0, np.zeros(0, np.uint64))]):
+                        rows.append((k, len(s), h, d, i > 0))
+                        sigs.append(x)
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
+                flat = np.concatenate(sigs).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "n", "h", "d", "more", "sigs"])
 
-    return documents.select("k", "text").mapInArrow(run, "k long, n long, h long, sigs array<long>")
+    return documents.select("k", "text").mapInArrow(run, "k long, n long, h long, d long, more boolean, sigs array<long>")
+
+
+#: Signatures of more classes than this count as equally frequent
+OFTEN = 1_000
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (sig, h, d) sorted by sig: the rows of signatures that more than one row has, and how many. The first
+    and last signature of a task may go on in others: their rows come with n = 0, and the row counts as rows without h."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def rows(sig: np.ndarray, h: np.ndarray, d: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(h), pa.array(d), pa.array(n)], names=["sig", "h", "d", "n"])
+
+    def edge(sig: int, n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([sig], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([n], pa.int64())], names=["sig", "h", "d", "n"])
+
+    before = None
+    at_edge, now, count = True, None, 0  # the group that is open: held rows, or rows already sent as those of an edge
+    for batch in batches:
+        sig, h, d = (c.to_numpy() for c in batch.columns)
+        fresh = np.concatenate(([len(sig) > 0 and (int(sig[0]), int(h[0])) != before], (sig[1:] != sig[:-1]) | (h[1:] != h[:-1])))[: len(sig)]
+        sig, h, d = sig[fresh], h[fresh], d[fresh]  # copies of a text come once
+        if not len(sig):
+            continue
+        before = (int(sig[-1]), int(h[-1]))
+        if now is None:
+            now = int(sig[0])
+        starts = np.concatenate(([0], np.flatnonzero(sig[1:] != sig[:-1]) + 1))
+        head = len(sig) if len(starts) == 1 else int(starts[1])
+        if int(sig[0]) != now:  # the open group ended with the batch before
+            head = 0
+        # rows of the open group
+        if head:
+            count += head
+            if at_edge or count > OFTEN:
+                for x in held:
+                    yield rows(*x, np.full(len(x[0]), 0 if at_edge else OFTEN))
+                held.clear()
+                yield rows(sig[:head], h[:head], d[:head], np.full(head, 0 if at_edge else OFTEN))
+            else:
+                held.append((sig[:head], h[:head], d[:head]))
+        if head == len(sig):
+            continue
+        # the open group is complete
+        if at_edge:
+            yield edge(now, count)
+            at_edge = False
+        elif held and count > 1:
+            for x in held:
+                yield rows(*x, np.full(len(x[0]), min(count, OFTEN)))
+        held.clear()
+        # whole groups inside the batch, then the last, which stays open
+        starts = starts[starts >= head]
+        last = int(starts[-1])
+        sizes = np.diff(np.concatenate((starts, [len(sig)])))
+        n = np.repeat(np.minimum(sizes, OFTEN), sizes)[: last - head]
+        keep = np.flatnonzero(n > 1) + head
+        if len(keep):
+            yield rows(sig[keep], h[keep], d[keep], n[keep - head])
+        now, count = int(sig[last]), len(sig) - last
+        held.append((sig[last:], h[last:], d[last:]))
+    if now is not None:
+        for x in held:
+            yield rows(*x, np.zeros(len(x[0]), np.int64))
+        yield edge(now, count)
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,10 +198,26 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in ends], pa.int64()), pa.array([h for _, h in ends], pa.int64()), pa.nulls(len(ends), pa.int64())], names=["sig", "u", "v"])
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
-    """(h, sigs) -> edges (u, v) that connect all classes sharing a signature, as many as members at most."""
-    signed = classes.select(F.explode("sigs").alias("sig"), "h")
+def rarest(classes: DataFrame) -> DataFrame:
+    """(h, d, sigs) -> (sig, h): of each class that may link, the shared ones among its d + 1 rarest signatures."""
+    signed = classes.select(F.explode("sigs").alias("sig"), "h", "d")
     sorted_ = signed.repartitionByRange(F.col("sig"), F.col("h")).sortWithinPartitions("sig", "h")
+    stored = Stored(sorted_.mapInArrow(_shared, "sig long, h long, d long, n long"))
+    found = stored.df
+    # signatures at the edges of tasks, two a task
+    edges = found.where("h is null").groupBy("sig").agg(F.least(F.sum("n"), F.lit(OFTEN)).alias("total")).withColumnRenamed("sig", "s")
+    rows = found.where("h is not null and n > 0").unionByName(found.where("h is not null and n = 0").join(edges, F.col("sig") == F.col("s")).where("total > 1").select("sig", "h", "d", F.col("total").alias("n")))
+    each = Window.partitionBy("h", "d")
+    own = rows.withColumn("shared", F.count("*").over(each)).withColumn("r", F.row_number().over(each.orderBy("n", "sig")))
+    # of m = d + 2 + d div 2 signatures, m - shared are the class's own and come first
+    chosen = cut(own.where("r <= d + 1 - (d + 2 + d div 2 - shared)").select("sig", "h"))
+    stored.drop()
+    return chosen
+
+
+def candidate_edges(classes: DataFrame) -> DataFrame:
+    """(h, d, sigs) -> edges (u, v) that connect all classes sharing a rare signature, as many as members at most."""
+    sorted_ = rarest(classes).repartitionByRange(F.col("sig"), F.col("h")).sortWithinPartitions("sig", "h")
     found = cut(sorted_.mapInArrow(_chains, "sig long, u long, v long"))
     ends = found.where("sig is not null")  # two rows a task at most
     across = ends.select(F.col("u"), F.min("u").over(Window.partitionBy("sig")).alias("v")).where("u <> v")
@@ -140,16 +230,13 @@ class Block:
     def __init__(self, sets: list[np.ndarray], threshold: Fraction):
         self.sets, self.t = sets, threshold
         self.size = np.array([len(s) for s in sets], np.int64)
-        self.parent = list(range(len(sets)))
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = i = self.parent[self.parent[i]]
-        return i
+        #: the smallest member of each set's component so far
+        self.root = np.arange(len(sets))
 
     def join(self, i: int, j: int) -> None:
-        i, j = self.root(i), self.root(j)
-        self.parent[max(i, j)] = min(i, j)
+        a, b = self.root[i], self.root[j]
+        if a != b:
+            self.root[self.root == max(a, b)] = min(a, b)
 
     def needed(self, n: int, m: np.ndarray | int) -> np.ndarray | int:
         """Smallest overlap o of sizes n and m with o >= t * (n + m - o)."""
@@ -166,24 +253,36 @@ class Block:
 
     def run(self) -> list[int]:
         """The root of each set."""
-        pivot = int(np.argmax(self.size)) if len(self.sets) == 2 else int(np.argsort(self.size, kind="stable")[len(self.sets) // 2])
-        for i in range(len(self.sets)):
+        k = len(self.sets)
+        pivot = int(np.argsort(self.size, kind="stable")[k // 2])
+        for i in range(k):
             n, m = int(self.size[i]), int(self.size[pivot])
             need = self.needed(n, m)
             if i != pivot and need <= min(n, m) and self.overlap(i, pivot) >= need:
                 self.join(i, pivot)
-        apart = [i for i in range(len(self.sets)) if self.root(i) != self.root(pivot)]
-        if apart and len(self.sets) > 2:
+        apart = np.flatnonzero(self.root != self.root[pivot])
+        if len(apart) and k > 2:
             self.index()
-            for i in apart:
+            for i in apart.tolist():
                 self.search(i)
-        return [self.root(i) for i in range(len(self.sets))]
+        return self.root.tolist()
 
     def index(self) -> None:
+        """Inverted lists; those with over an eighth of the sets are long and also kept as a row of flags, so that a
+        probe is a look instead of a binary search. Flags take at most eight bytes a shingle."""
         tokens, owner = np.concatenate(self.sets), np.repeat(np.arange(len(self.sets)), self.size)
         order = np.lexsort((owner, tokens))
         self.owner = owner[order]
         self.tokens, self.first, self.count = np.unique(tokens[order], return_index=True, return_counts=True)
+        long_ = np.flatnonzero(self.count > max(4, len(self.sets) // 8))
+        self.row = np.full(len(self.tokens), -1)
+        self.row[long_] = np.arange(len(long_))
+        self.flags = np.zeros((len(long_), len(self.sets)), bool)
+        for r, x in enumerate(long_.tolist()):
+            self.flags[r, self.postings(x)] = True
+
+    def postings(self, x: int) -> np.ndarray:
+        return self.owner[self.first[x] : self.first[x] + self.count[x]]
 
     def search(self, q: int) -> None:
         n = int(self.size[q])
@@ -191,50 +290,38 @@ class Block:
         t = self.needed(n, least)
         lists = np.searchsorted(self.tokens, self.sets[q])
         lists = lists[np.argsort(-self.count[lists], kind="stable")]
-        # the long lists: at most T - 1; the shorter the merged rest, the fewer documents must be probed
-        lengths = self.count[lists]
-        long_ = min(t - 1, int((lengths > max(8, len(self.sets) // 64)).sum()))
-        short = [self.owner[self.first[x] : self.first[x] + self.count[x]] for x in lists[long_:]]
-        found, times = merge_counts(short)
-        mine = self.root(q)
-        keep = (times >= t - long_) & (found != q) & (self.size[found] >= least) & (least_of(self.size[found], self.t) <= n)
+        # L long lists, T - 1 at most: whoever reaches T in all lists occurs T - L times in the short ones
+        long_ = min(t - 1, int((self.row[lists] >= 0).sum()))
+        found, times = merge_counts([self.postings(x) for x in lists[long_:].tolist()], len(self.sets))
+        keep = (times >= t - long_) & (self.root[found] != self.root[q]) & (self.size[found] >= least) & (least_of(self.size[found], self.t) <= n)
         found, times = found[keep], times[keep]
-        order = np.argsort(-times, kind="stable")
-        found, times = found[order], times[order]
-        while len(found):
-            other = np.array([self.root(i) for i in found.tolist()]) != mine
-            found, times = found[other], times[other]
-            some, seen = found[:64], times[:64].copy()
-            found, times = found[64:], times[64:]
-            need = self.needed(n, self.size[some])
-            for x in lists[:long_]:
-                postings = self.owner[self.first[x] : self.first[x] + self.count[x]]
-                at = np.searchsorted(postings, some)
-                at[at == len(postings)] = 0
-                seen += postings[at] == some
-            for i in some[seen >= need].tolist():
+        if len(found):
+            times = times + self.flags[self.row[lists[:long_]]][:, found].sum(0)
+            for i in found[times >= self.needed(n, self.size[found])].tolist():
                 self.join(q, i)
-            mine = self.root(q)
 
 
 def least_of(size: np.ndarray, t: Fraction) -> np.ndarray:
     return -(-(size * t.numerator) // t.denominator)
 
 
-def merge_counts(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Members of sorted lists and in how many lists each is."""
-    total = sum(map(len, lists))
-    if total > HEAP:
-        return np.unique(np.concatenate(lists), return_counts=True)
+def merge_counts(lists: list[np.ndarray], members: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members of sorted lists and in how many lists each is: over a heap, or by counting where the lists are long."""
+    if not lists:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if sum(map(len, lists)) > HEAP:
+        times = np.bincount(np.concatenate(lists), minlength=members)
+        found = np.flatnonzero(times)
+        return found, times[found]
     ids: list[int] = []
-    times: list[int] = []
+    counts: list[int] = []
     for i in heapq.merge(*[x.tolist() for x in lists]):
         if ids and ids[-1] == i:
-            times[-1] += 1
+            counts[-1] += 1
         else:
             ids.append(i)
-            times.append(1)
-    return np.array(ids, np.int64), np.array(times, np.int64)
+            counts.append(1)
+    return np.array(ids, np.int64), np.array(counts, np.int64)
 
 
 def _solve(width: int, threshold: Fraction):
@@ -248,9 +335,7 @@ def _solve(width: int, threshold: Fraction):
         seen = set()
         kept = []
         for h, s in zip(hashes, sets, strict=True):
-            with np.errstate(over="ignore"):
-                own = int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
-            if own == h and h not in seen:
+            if set_hash(s) == h and h not in seen:
                 seen.add(h)
                 kept.append(s)
                 owners.append(h)
@@ -287,14 +372,14 @@ def _solve(width: int, threshold: Fraction):
 
 
 def blocks(candidates: DataFrame) -> DataFrame:
-    """(h, k, n, root) -> (block, h, k): a component is one block, or each pair of its parts is one."""
+    """(h, k, n, root) -> (block, h, k, whole): a component is one block, or each pair of its parts is one."""
     sizes = candidates.groupBy("root").agg(F.sum("n").alias("total"))
     sized = candidates.join(sizes, "root").withColumn("parts", F.ceil(F.col("total") / (BLOCK / 2)).cast("int"))
-    small = sized.where("total <= %d" % BLOCK).select(F.xxhash64("root").alias("block"), "h", "k")
+    whole = F.col("total") <= BLOCK
     part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
-    pair = lambda i: F.xxhash64("root", F.least(i, "part"), F.greatest(i, "part"))
-    large = sized.where("total > %d" % BLOCK).withColumn("part", part).select(F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), pair)).alias("block"), "h", "k")
-    return small.unionByName(large)
+    pair = lambda i: F.xxhash64("root", F.least(i, part), F.greatest(i, part))
+    dealt = F.when(whole, F.array(F.xxhash64("root"))).otherwise(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), pair))
+    return sized.select(F.explode(dealt).alias("block"), "h", "k", whole.alias("whole"))
 
 
 def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
@@ -302,22 +387,26 @@ def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0
     t = Fraction(threshold)
     bands = Bands(t)
     docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), "text")
-    found = cut(sketches(docs, width, bands))
+    sketched = Stored(sketches(docs, width, bands))
+    found = cut(sketched.df.where("not more").select("k", "n", "h"))
     classes = found.where("h is not null").groupBy("h", "n").agg(F.min(F.struct((F.col("k") == NULL_KEY).alias("null"), "k")).alias("m")).select("h", "n", F.col("m.k").alias("k"))
     classes = cut(classes)
-    # a class is represented by the rows with its smallest id; repeated rows make the same signatures
-    signed = found.select("k", "h", "sigs").where("size(sigs) > 0").join(classes.select("k", "h"), ["k", "h"], "left_semi")
-    near = components(candidate_edges(signed))
+    edges = candidate_edges(sketched.df.select("h", "d", "sigs").where("size(sigs) > 0"))
+    near = components(edges)
+    sketched.drop()
     candidates = near.join(classes, near.node == classes.h).select("h", "k", "n", "root")
     dealt = cut(blocks(candidates))
     texts = docs.join(dealt, "k").select("block", "h", "text")
-    linked = texts.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_solve(width, t), "u long, v long")
-    joined = components(linked)
+    linked = cut(texts.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_solve(width, t), "u long, v long"))
+    if dealt.where("not whole").limit(1).head(1):
+        joined = components(linked)
+    else:  # each class is in one block, so its root there is final
+        joined = linked.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(linked.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
     named = joined.join(classes, joined.node == classes.h).select("root", "h", "k")
     rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k")
     least = named.groupBy("root").agg(F.min(rank).alias("m"))
     labels = named.join(least, "root").select("h", F.col("m.k").alias("c"))
     all_ = classes.select("h", F.col("k").alias("own")).join(labels, "h", "left").select("h", F.coalesce("c", "own").alias("c"))
     real = lambda c: F.when(F.col(c) != NULL_KEY, F.col(c))
-    out = found.select("k", "n", "h").join(all_, "h", "left")
+    out = found.join(all_, "h", "left")
     return out.select(real("k").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(real("c"), real("k")).alias("component_id"))

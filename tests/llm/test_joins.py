@@ -111,7 +111,11 @@ def test_words_are_the_same_in_segments(monkeypatch):
     assert (again.hashes == whole).all() and again.hashes[-1] == again.hashes[-2] and list(np.diff(again.bounds)) == [5002, 0, 2]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [1_000_000, 4])
+def test_components(spark, monkeypatch, local):
+    import stagelight.llm.components as c
+
+    monkeypatch.setattr(c, "LOCAL", local)
     chain = [(i, i + 1) for i in range(30)] + [(50, 51), (51, 51), (None, 3), (60, 50), (50, 60)]
     df = spark.createDataFrame(chain, "u long, v long")
     want = {i: 0 for i in range(31)} | {50: 50, 51: 50, 60: 50}
