@@ -85,3 +85,17 @@ def spans(chats: DataFrame) -> DataFrame:
     found = parts.select("conv_id", "p", before.alias("before"), role.alias("role"))
     is_text = F.col("p").startswith(TEXT) | F.col("p").startswith(TURN)
     return found.where(is_text & (F.col("role") == ROLE + ASSISTANT)).select("conv_id", (F.col("before") + len(TEXT)).alias("start"), (F.char_length("p") - len(TEXT)).cast("long").alias("length"))
+
+
+_WIDE = r"(2 * length({0}) - length(replace(replace(replace({0}, '\', ''), '<', ''), '[', '')))"
+ORACLE = f"""
+WITH given AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), plain AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM given),
+turns AS (SELECT *, lag(r) OVER w AS before, lead(r) OVER w AS after FROM plain WINDOW w AS (PARTITION BY conv_id ORDER BY turn, r, x))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(x, '' ORDER BY turn, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(CASE WHEN before = r THEN {len(TURN)} ELSE {len(ROLE) + len(TEXT)} + {_WIDE.format("r")} END + {_WIDE.format("x")} + CASE WHEN after = r THEN 0 ELSE {len(END)} END) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""

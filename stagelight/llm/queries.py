@@ -74,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": license.ORACLE,
+    "op3_chat_format": chat.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }
