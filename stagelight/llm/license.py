@@ -13,10 +13,16 @@ Defined cases: null text has no header; a null path has no ancestors. Of several
 cosine counts, then the template that sorts first; of several licence files in a directory, the one with the largest
 cosine, then the licence that sorts first. Repeated rows each stay. Extra columns are ignored; an empty table gives an
 empty result.
+
+scan() compares the lines that its cues find, as its SQL does. scan_whole() compares every line of every text, takes
+document frequencies from all lines, and knows NOTICES besides; all else is the same.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,19 +43,33 @@ TEMPLATES = {
     "Proprietary": "Copyright all rights reserved, redistribution is not permitted",
 }
 
+#: Templates of scan_whole(): what follows # tells notices of one licence apart
+NOTICES = TEMPLATES | {"Proprietary#rights": "All rights reserved"}
+
+#: What stands between terms, where spaces stand around the line. No repeated groups: their matching recurses in Java
+BETWEEN = r"\.*[^a-z0-9.-][^a-z0-9-]*"
+
 
 def terms(line: Column) -> Column:
     """Runs of letters, digits, dots and hyphens, lower-cased, without dots at their ends."""
     return F.filter(F.transform(F.split(F.lower(line), r"[^a-z0-9.-]+"), lambda t: F.regexp_replace(t, r"^\.+|\.+$", "")), lambda t: t != "")
 
 
+def plain_terms(line: Column) -> Column:
+    """The same as terms() by one split, for whole corpora."""
+    return F.array_remove(F.split(F.concat(F.lit(" "), F.lower(line), F.lit(" ")), BETWEEN), "")
+
+
 def matches(lines: DataFrame) -> DataFrame:
     """lines (line, docs) -> (line, license, score): the best template of each line that reaches THRESHOLD."""
-    spark = lines.sparkSession
-    templates = spark.createDataFrame(list(TEMPLATES.items()), "license string, line string")
     words = lines.select("line", "docs", F.explode(F.array_distinct(terms(F.col("line")))).alias("t"))
     df = words.groupBy("t").agg(F.sum("docs").alias("df"))
-    n = lines.agg(F.sum("docs").alias("n"))  # one row
+    return best_templates(lines, TEMPLATES, df, lines.agg(F.sum("docs").alias("n")))  # one row
+
+
+def best_templates(lines: DataFrame, given: dict[str, str], df: DataFrame, n: DataFrame) -> DataFrame:
+    """lines (line), document frequencies (t, df) and their number (n) -> (line, license, score)."""
+    templates = lines.sparkSession.createDataFrame(list(given.items()), "license string, line string")
     idf = df.crossJoin(F.broadcast(n)).select("t", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
     rare = F.log(1 + F.coalesce(F.col("n"), F.lit(0))) + 1
     counted = lambda d, key: d.select(key, F.explode(terms(F.col("line"))).alias("t")).groupBy(key, "t").agg(F.count("*").alias("tf"))
@@ -70,8 +90,46 @@ def scan(files: DataFrame) -> DataFrame:
     # the one pass over the texts; row numbers stay the same from here on
     rows = cut(only(files, "doc_id", "path", "text").select(F.monotonically_increasing_id().alias("rid"), "doc_id", "path", headers.alias("lines")))
     found = rows.select("rid", "path", F.explode("lines").alias("line"))
-    lines = found.groupBy("line").agg(F.count("*").alias("docs"))
-    own = found.join(matches(lines), "line").groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"), F.max("path").alias("path"))
+    return inherited(rows, found, matches(found.groupBy("line").agg(F.count("*").alias("docs"))))
+
+
+def telling(df: dict[str, int], n: int) -> list[str]:
+    """Terms of which every line has one that reaches THRESHOLD with any of NOTICES. A line whose only template terms
+    are others has at most the cosine |v'| / |v| (Cauchy-Schwarz), v' being the template's vector on these; terms are
+    left out, most frequent first, as long as that stays under THRESHOLD for all. So nothing is lost."""
+    vectors = []
+    for line in NOTICES.values():
+        words = [t for x in re.split(r"[^a-z0-9.-]+", line.lower()) if (t := x.strip("."))]
+        vectors.append({t: (words.count(t) * (math.log((1 + n) / (1 + df.get(t, 0))) + 1)) ** 2 for t in words})
+    out: set[str] = set()
+    for t in sorted({t for v in vectors for t in v}, key=lambda t: (-df.get(t, 0), t)):
+        if all(sum(v[x] for x in v if x in out or x == t) < (THRESHOLD - 0.001) ** 2 * sum(v.values()) for v in vectors):
+            out.add(t)
+    return sorted({t for v in vectors for t in v} - out)
+
+
+def scan_whole(files: DataFrame) -> DataFrame:
+    """scan() over every line of every text."""
+    files = only(files, "doc_id", "path", "text")
+    lines = F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.trim(x)))
+    line = files.select(F.explode(lines).alias("line"))
+    # the empty term counts the lines
+    df = cut(line.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(plain_terms(F.col("line"))))).alias("t")).groupBy("t").agg(F.count("*").alias("df")))
+    words = {t for x in NOTICES.values() for t in re.split(r"[^a-z0-9.-]+", x.lower())}
+    few = {r["t"]: r["df"] for r in df.where(F.col("t").isin("", *sorted({w.strip(".") for w in words}))).collect()}  # the templates' terms
+    keys = telling(few, few.get("", 0))
+    some = r"(?<![a-z0-9-])(?:" + "|".join(map(re.escape, keys)) + r")(?![a-z0-9-])"
+    text = F.lower("text")
+    kept = F.when(text.rlike(some), F.filter(lines, lambda x: F.lower(x).rlike(some)))
+    rows = cut(files.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "path", kept.alias("lines")))
+    found = rows.select("rid", "path", F.explode("lines").alias("line"))
+    matched = best_templates(found.select("line").distinct(), NOTICES, df.where("t <> ''"), df.where("t = ''").select(F.col("df").alias("n")))
+    return inherited(rows, found, matched.withColumn("license", F.split_part("license", F.lit("#"), F.lit(1))))
+
+
+def inherited(rows: DataFrame, found: DataFrame, matched: DataFrame) -> DataFrame:
+    """rows (rid, doc_id, path), their lines and the licences of lines -> the result of a scan."""
+    own = found.join(matched, "line").groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"), F.max("path").alias("path"))
     own = own.select("rid", "path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
     base = F.element_at(F.split("path", "/"), -1)
     directory = F.regexp_replace("path", "/?[^/]*$", "")

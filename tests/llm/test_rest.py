@@ -41,6 +41,33 @@ def test_licences(spark):
     assert license.scan(spark.createDataFrame([], FILES)).count() == 0
 
 
+def test_whole_licences(spark):
+    """Every kind of planted licence line, and lines without any cue, against TF-IDF over all lines by brute force."""
+    import math
+    import re
+    from collections import Counter
+
+    rng = random.Random(14)
+    planted = {"All rights reserved.": "Proprietary", "Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
+    odd = ["subject to the terms of the mozilla public", "..all.. ..rights-reserved. a..b", "The rights of all are reserved, as the terms of the version say", "the and of to", "  All rights reserved  ", "this work, version 2.0", "All", "reserved rights", "\r", ""]
+    rows = [(i, f"a/{i}/LICENSE" if i % 7 == 0 else f"a/{i // 2}/x{i}.txt", "\n".join([f"The {prose(rng, rng.randint(1, 9))} of the {prose(rng, 3)}." for _ in range(rng.randint(0, 4))] + rng.sample([*planted, *odd], rng.choice([0, 1, 1, 2])))) for i in range(150)]
+    rows += [(500 + i, f"b/{i}.txt", f"{prose(rng, 20)}\n{x}\nthe end") for i, x in enumerate(planted)] + [(600, "b/n", None)]
+    cut_up = lambda x: [t for y in re.split("[^a-z0-9.-]+", x.lower()) if (t := y.strip("."))]
+    docs = [list(dict.fromkeys(x.strip(" ") for x in t.split("\n"))) if t is not None else [] for _, _, t in rows]
+    df, n = Counter(t for d in docs for x in d for t in set(cut_up(x))), sum(map(len, docs))
+    vector = lambda x: {t: c * (math.log((1 + n) / (1 + df[t])) + 1) for t, c in Counter(cut_up(x)).items()}
+    size = lambda v: math.sqrt(sum(a * a for a in v.values()))
+    notices = [(k.split("#")[0], vector(x)) for k, x in license.NOTICES.items()]
+    want = {}
+    for (i, _, _), d in zip(rows, docs, strict=True):
+        best = [(-round(sum(a * w.get(t, 0) for t, a in v.items()) / (size(v) * size(w)), 6), k) for v in map(vector, d) if v for k, w in notices]
+        want[i] = next(((k, -s) for s, k in sorted(best) if -s >= license.THRESHOLD), None)
+    out = license.scan_whole(spark.createDataFrame([(*r, 0, "") for r in rows], FILES)).collect()
+    assert {r["doc_id"]: (r["license"], round(r["score"], 5)) if r["origin"] == "own" else None for r in out} == {i: w and (w[0], round(w[1], 5)) for i, w in want.items()}
+    assert [want[500 + i][0] for i in range(len(planted))] == list(planted.values()) and len(out) == len(rows)
+    assert license.scan_whole(spark.createDataFrame([], FILES)).count() == 0
+
+
 def digest(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
