@@ -35,13 +35,13 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of documents connected by five-word shingle sets of a Jaccard similarity of 0.8 or more the
-    one with the smallest id; of rows that share this id, the one with the smallest text hash. Documents without words
-    stay: they are linked with nothing."""
-    groups = ngram_join.jaccard_components(docs.select("doc_id", "text"), width=5, threshold="0.8")
-    kept = cut(groups.where("n_shingles = 0 or doc_id <=> component_id").select(key("doc_id").alias("_k"), (F.col("n_shingles") == 0).alias("_empty")).distinct())
-    rows = docs.withColumn("_k", key("doc_id")).join(kept.groupBy("_k").agg(F.max("_empty").alias("_empty")), "_k")
-    same = Window.partitionBy("_k").orderBy(F.xxhash64("text"))
+    """Keeps of each group of rows connected by five-word shingle sets of a Jaccard similarity of 0.8 or more the one
+    with the smallest id, null last; of rows that share this id, the one with the smallest text hash. Groups are of rows:
+    different texts under one id, or without an id, are judged each on its own. Rows without words all stay: they are
+    linked with nothing."""
+    kept = cut(ngram_join.one_of_each(docs, width=5, threshold="0.8").select(F.col("k").alias("_k"), F.col("x").alias("_x"), F.col("empty").alias("_empty")))
+    rows = docs.withColumns({"_k": key("doc_id"), "_x": F.xxhash64("text")}).join(kept, ["_k", "_x"])
+    same = Window.partitionBy("_k", "_x").orderBy("text")  # one of the rows with this id and text
     return rows.withColumn("_n", F.row_number().over(same)).where("_n = 1 or _empty").select(*docs.columns)
 
 

@@ -82,26 +82,27 @@ def set_hash(hashes: np.ndarray) -> int:
 
 
 def sketches(documents: DataFrame, width: int, bands: Bands) -> DataFrame:
-    """(k, n, h, d, sigs, more): size and hash of each set and its signatures in a band; a row with `more` is a second
-    band of the row before. h is null for a set without shingles."""
+    """(k, n, h, d, more, sigs): size and hash of each set and its signatures in a band; a row with `more` is a second
+    band of the row before. h is null for a set without shingles. A column x of documents goes along before sigs."""
+    marked = [c for c in documents.columns if c == "x"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts, *marks = [c.to_pylist() for c in batch.columns]
             for a, b in steps(texts):
                 rows: list[tuple] = []
                 sigs = []
-                for k, s in zip(keys[a:b], shingle_sets(texts[a:b], width), strict=True):
+                for k, s, *x in zip(keys[a:b], shingle_sets(texts[a:b], width), *[m[a:b] for m in marks], strict=True):
                     h = set_hash(s) if len(s) else None
-                    for i, (d, x) in enumerate(list(bands.signatures(s)) or [(0, np.zeros(0, np.uint64))]):
-                        rows.append((k, len(s), h, d, i > 0))
-                        sigs.append(x)
+                    for i, (d, sig) in enumerate(list(bands.signatures(s)) or [(0, np.zeros(0, np.uint64))]):
+                        rows.append((k, len(s), h, d, i > 0, *x))
+                        sigs.append(sig)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
-                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * len(marks)), strict=True)]
                 flat = np.concatenate(sigs).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "n", "h", "d", "more", "sigs"])
+                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "n", "h", "d", "more", *marked, "sigs"])
 
-    return documents.select("k", "text").mapInArrow(run, "k long, n long, h long, d long, more boolean, sigs array<long>")
+    return documents.select("k", "text", *marked).mapInArrow(run, f"k long, n long, h long, d long, more boolean, {'x long, ' if marked else ''}sigs array<long>")
 
 
 #: Signatures of more classes than this count as equally frequent
@@ -382,13 +383,13 @@ def blocks(candidates: DataFrame) -> DataFrame:
     return sized.select(F.explode(dealt).alias("block"), "h", "k", whole.alias("whole"))
 
 
-def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of documents."""
+def linked_classes(docs: DataFrame, width: int, threshold: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs (k, text, maybe x) -> rows (k, n, h, maybe x), classes (h, n, k), and (node, root): each class that is
+    linked with another, and one class that stands for its component."""
     t = Fraction(threshold)
     bands = Bands(t)
-    docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), "text")
     sketched = Stored(sketches(docs, width, bands))
-    found = cut(sketched.df.where("not more").select("k", "n", "h"))
+    found = cut(sketched.df.where("not more").drop("d", "more", "sigs"))
     classes = found.where("h is not null").groupBy("h", "n").agg(F.min(F.struct((F.col("k") == NULL_KEY).alias("null"), "k")).alias("m")).select("h", "n", F.col("m.k").alias("k"))
     classes = cut(classes)
     edges = candidate_edges(sketched.df.select("h", "d", "sigs").where("size(sigs) > 0"))
@@ -396,12 +397,18 @@ def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0
     sketched.drop()
     candidates = near.join(classes, near.node == classes.h).select("h", "k", "n", "root")
     dealt = cut(blocks(candidates))
-    texts = docs.join(dealt, "k").select("block", "h", "text")
+    texts = docs.select("k", "text").join(dealt, "k").select("block", "h", "text")
     linked = cut(texts.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_solve(width, t), "u long, v long"))
     if dealt.where("not whole").limit(1).head(1):
-        joined = components(linked)
-    else:  # each class is in one block, so its root there is final
-        joined = linked.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(linked.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        return found, classes, components(linked)
+    # each class is in one block, so its root there is final
+    return found, classes, linked.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(linked.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of documents."""
+    docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), "text")
+    found, classes, joined = linked_classes(docs, width, threshold)
     named = joined.join(classes, joined.node == classes.h).select("root", "h", "k")
     rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k")
     least = named.groupBy("root").agg(F.min(rank).alias("m"))
@@ -410,3 +417,16 @@ def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0
     real = lambda c: F.when(F.col(c) != NULL_KEY, F.col(c))
     out = found.join(all_, "h", "left")
     return out.select(real("k").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(real("c"), real("k")).alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
+    """(k, x, empty): key and xxhash64 of the text of one row of each component, the one with the smallest id (null
+    last), then text hash; and of all rows without shingles, with empty. Equal ids or null ids never make two rows one;
+    rows that agree in k and x have one text."""
+    docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), "text", F.xxhash64("text").alias("x"))
+    found, _, joined = linked_classes(docs, width, threshold)
+    rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k", "x")
+    first = found.where("h is not null").groupBy("h").agg(F.min(rank).alias("m"))  # copies make one row before the join
+    best = first.join(joined, first.h == joined.node, "left").groupBy(F.coalesce("root", "h").alias("root")).agg(F.min("m").alias("m"))
+    rows = best.select("m.k", "m.x", F.lit(False).alias("empty"))
+    return rows.unionByName(found.where("h is null").select("k", "x", F.lit(True).alias("empty")).distinct())

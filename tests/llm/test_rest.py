@@ -191,6 +191,30 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r["doc_id"] for r in now.select("doc_id").distinct().collect()} == kept
 
 
+def test_one_row_of_each_group(spark, odd_documents):
+    """Ids never merge rows: null ids, two texts under one id and rows without words, against a brute-force grouping."""
+    import corpus_pipeline as p
+
+    from .test_joins import shingles
+
+    rng = random.Random(12)
+    twin, other = prose(rng, 80), [prose(rng, 80) for _ in range(12)]
+    extra = [(30, twin), *[(31, t) for t in (twin, *other[:4])], (32, other[4]), (32, other[4]), (32, ""), (32, " "), *[(None, t) for t in other[5:10]], (None, other[5]), (None, twin), (None, ""), (33, other[10]), (33, None)]
+    docs = odd_documents.unionByName(spark.createDataFrame([(i, t, 1, "x", 0.5, 7, "en", "s", 3) for i, t in extra], odd_documents.schema))
+    rows = [(r["doc_id"], shingles(r["text"], 5)) for r in docs.collect()]
+    group = list(range(len(rows)))
+    for i, (_, a) in enumerate(rows):
+        for j, (_, b) in enumerate(rows[:i]):
+            if a and b and 5 * len(a & b) >= 4 * len(a | b):
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    rank = lambda d: (d is None, d or 0)
+    least = {g: min((rows[i][0] for i in range(len(rows)) if group[i] == g), key=rank) for g in set(group)}
+    member = {s: g for (_, s), g in zip(rows, group, strict=True) if s}
+    got = [(r["doc_id"], shingles(r["text"], 5)) for r in p.one_of_each_group(spark, docs, FOLDER).collect()]
+    assert sorted((member[s], repr(d)) for d, s in got if s) == sorted((g, repr(least[g])) for g in set(member.values()))
+    assert sorted(repr(d) for d, s in got if not s) == sorted(repr(d) for d, s in rows if not s)
+
+
 def test_folds(spark):
     import zlib
 
