@@ -537,11 +537,15 @@ def first_failures(spark, d):
 # Entity resolution
 
 
-def _entities(spark, d) -> tuple[DataFrame, DataFrame]:
+def _part_entities(spark, d) -> DataFrame:
     a = Tables(spark, d).part
     null = lambda t: F.lit(None).cast(t)
     day = F.date_add(F.lit("1998-01-01").cast("date"), (F.col("p_partkey") % 3).cast("int"))
-    rows = a.select(F.col("p_partkey").alias("id"), F.lit("event").alias("entity_type"), F.col("p_name").alias("name"), null("double").alias("latitude"), null("double").alias("longitude"), null("string").alias("address"), day.alias("event_day"), (F.col("p_partkey") % 2).alias("venue_id"))
+    return a.select(F.col("p_partkey").alias("id"), F.lit("event").alias("entity_type"), F.col("p_name").alias("name"), null("double").alias("latitude"), null("double").alias("longitude"), null("string").alias("address"), day.alias("event_day"), (F.col("p_partkey") % 2).alias("venue_id"))
+
+
+def _entities(spark, d) -> tuple[DataFrame, DataFrame]:
+    rows = _part_entities(spark, d)
     return rows.where("id % 10 = 1"), rows.where("id % 100 = 0")
 
 
@@ -743,3 +747,49 @@ def freshness(spark, d):
 def carry_forward_header(spark, d):
     c = Tables(spark, d).conversations.withColumn("header", F.when(F.col("role") == "user", F.substring("text", 1, 20)))
     return metrics.carry_forward(c, ["conv_id"], "turn", "header").select("conv_id", "turn", "carried")
+
+
+# Whole tables: the queries of the same names without _all take subsets by id, as their SQL does
+
+
+def _without(name: str, *cuts: tuple[str, str]) -> str:
+    """The SQL of a query without its cuts."""
+    sql = ORACLE_SQL[name]
+    for cut, whole in cuts:
+        assert cut in sql, (name, cut)
+        sql = sql.replace(cut, whole)
+    return sql
+
+
+_ALL_PARTS = ((" WHERE p_partkey % 10 = 1", ""), (" WHERE p_partkey % 100 = 0", ""))
+
+
+def _all_entities(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Every part row as a record, and every part row as a canonical entity."""
+    rows = _part_entities(spark, d)
+    return rows, rows.select("*")
+
+
+@query(_without("conflation_best_match", *_ALL_PARTS))
+def conflation_best_match_all(spark, d):
+    return conflation.resolve(*_all_entities(spark, d)).select("id", "resolution", "canonical_id", F.round("confidence", 6).alias("confidence"), "n_matches", "n_duplicates", "is_potential_duplicate")
+
+
+@query(_without("conflation_alternatives", *_ALL_PARTS))
+def conflation_alternatives_all(spark, d):
+    r = conflation.resolve(*_all_entities(spark, d)).select("id", F.explode("alternatives").alias("a"))
+    return r.select("id", F.col("a.entity_id").alias("entity_id"), F.round("a.similarity_score", 6).alias("score"), F.col("a.rejection_reason").alias("reason"))
+
+
+@query(_without("fuzzy_name_match", (" WHERE p_partkey % 3 = 0", "")))
+def fuzzy_name_match_all(spark, d):
+    p = Tables(spark, d).artists
+    known = p.groupBy("name").agg(F.min("id").alias("id"))
+    names = p.select("id", F.substr("name", F.lit(2)).alias("name")).groupBy("name").agg(F.min("id").alias("id"))
+    return conflation.fuzzy_match(names, known, 0.8).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(_without("find_or_create", ("SELECT p_name FROM part WHERE p_partkey % 50 = 0", "SELECT s_name FROM supplier")))
+def find_or_create_all(spark, d):
+    t = Tables(spark, d)
+    return conflation.find_or_create(t.artists, t.supplier.select(F.col("s_name").alias("name")), "name").select("name", "id")

@@ -27,6 +27,13 @@ def test_query_matches_sql(spark, duck, name):
     assert ours == sorted((tuple(plain(r[i]) for i in at) for r in answer.fetchall()), key=repr)
 
 
+def test_resolution_covers_all_rows(spark):
+    part = {r["p_partkey"]: r["p_name"] for r in spark.read.parquet(f"{FOLDER}/part.parquet").collect()}
+    got = {r["id"]: r["n_matches"] for r in catalogue.QUERIES["conflation_best_match_all"](spark, FOLDER).collect()}
+    assert got == {i: sum(n.lower() == m.lower() for m in part.values()) for i, n in part.items()}
+    assert {r["name"] for r in catalogue.QUERIES["find_or_create_all"](spark, FOLDER).collect()} == set(part.values())
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
