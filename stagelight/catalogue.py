@@ -490,11 +490,11 @@ def enrich_stats(spark, d):
 # Quality gate
 
 
-def _records(spark, d) -> DataFrame:
+def _records(spark, d, whole: bool = False) -> DataFrame:
     t = Tables(spark, d)
     docs = t.documents.join(t.labels.select("doc_id", "quality").dropDuplicates(["doc_id"]), "doc_id", "left")
     return docs.select(
-        "doc_id", F.when(F.col("doc_id") % 11 != 0, F.substring("text", 1, 12)).otherwise("").alias("title"), F.date_add(today(), (F.col("doc_id") % 900 - 100).cast("int")).alias("event_day"),
+        "doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("text") if whole else F.substring("text", 1, 12)).otherwise("").alias("title"), F.date_add(today(), (F.col("doc_id") % 900 - 100).cast("int")).alias("event_day"),
         F.when(F.col("doc_id") % 4 == 0, T.NIL_UUID).otherwise("v").alias("venue_id"), (F.lit(0.9) - F.coalesce(1 - F.col("quality"), F.lit(0)) * F.lit(0.3)).alias("confidence"), F.col("lang").alias("source"),
     )
 
@@ -793,3 +793,43 @@ def fuzzy_name_match_all(spark, d):
 def find_or_create_all(spark, d):
     t = Tables(spark, d)
     return conflation.find_or_create(t.artists, t.supplier.select(F.col("s_name").alias("name")), "name").select("name", "id")
+
+
+# Whole texts: the queries of the same names without _whole take prefixes, as their SQL does
+
+_WHOLE_TITLE = ("left(text, 12)", "text")
+
+
+def _assessed_whole(spark, d) -> DataFrame:
+    return quality.assess(_records(spark, d, whole=True), quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), today()))
+
+
+@query(_without("quality_gate", _WHOLE_TITLE))
+def quality_gate_whole(spark, d):
+    a = quality.route(_assessed_whole(spark, d))
+    return a.select("doc_id", F.round("quality_score", 6).alias("score"), "decision", "partition", F.array_join(F.transform("issues", lambda i: i["field"]), "|").alias("issues"))
+
+
+@query(_without("quality_stats", _WHOLE_TITLE))
+def quality_stats_whole(spark, d):
+    return quality.statistics(_assessed_whole(spark, d))
+
+
+@query(_without("first_failures", _WHOLE_TITLE))
+def first_failures_whole(spark, d):
+    r = _records(spark, d, whole=True)
+    return r.select("doc_id", quality.first_failure(F.col("title"), F.lit("v"), F.col("event_day"), today(), F.lit("s")).alias("reason"), quality.simple_gate(F.col("title"), F.lit("v")).alias("simple"))
+
+
+@query(_without("band_paragraphs", ("left(text, 30)", "line"), ("SELECT doc_id, trim", "SELECT doc_id, pos, trim"), ("(SELECT doc_id, CASE", "(SELECT doc_id, pos, CASE"), ("FROM documents", "FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)")))
+def band_paragraphs_whole(spark, d):
+    lines = Tables(spark, d).documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    k, line = F.col("doc_id") % 4, F.col("line")
+    t = F.when(k == 0, F.concat(F.lit("HOSTED BY "), line)).when(k == 1, F.lower(line)).otherwise(line)
+    return lines.select("doc_id", "pos", T.is_band_paragraph(t).alias("band"))
+
+
+@query(_without("carry_forward_header", ("left(text, 20)", "text")))
+def carry_forward_header_whole(spark, d):
+    c = Tables(spark, d).conversations.withColumn("header", F.when(F.col("role") == "user", F.col("text")))
+    return metrics.carry_forward(c, ["conv_id"], "turn", "header").select("conv_id", "turn", "carried")

@@ -34,6 +34,18 @@ def test_resolution_covers_all_rows(spark):
     assert {r["name"] for r in catalogue.QUERIES["find_or_create_all"](spark, FOLDER).collect()} == set(part.values())
 
 
+def test_whole_texts_are_judged(spark):
+    """What stands after the first 30 or 20 characters counts."""
+    larger = "/root/testdata/sf0.01"  # the smallest has no line whose only capitals come late
+    docs = spark.read.parquet(f"{larger}/documents.parquet").collect()
+    got = {(r["doc_id"], r["pos"]): r["band"] for r in catalogue.QUERIES["band_paragraphs_whole"](spark, larger).collect()}
+    assert len(got) == sum(r["text"].count("\n") + 1 for r in docs if r["text"] is not None)
+    late = [(r["doc_id"], i) for r in docs if r["doc_id"] % 4 > 1 for i, x in enumerate((r["text"] or "").split("\n")) if any(c.isupper() for c in x[30:]) and not any(c.isupper() for c in x[:30]) and "OPEN 4PM" not in x and "HOSTED BY" not in x]
+    assert late and all(got[k] for k in late)
+    said = {r["text"] for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").where("role = 'user'").collect()}
+    assert {r["carried"] for r in catalogue.QUERIES["carry_forward_header_whole"](spark, FOLDER).collect()} - {None} == said - {None}
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
