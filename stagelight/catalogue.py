@@ -833,3 +833,13 @@ def band_paragraphs_whole(spark, d):
 def carry_forward_header_whole(spark, d):
     c = Tables(spark, d).conversations.withColumn("header", F.when(F.col("role") == "user", F.col("text")))
     return metrics.carry_forward(c, ["conv_id"], "turn", "header").select("conv_id", "turn", "carried")
+
+
+# All pairs: name_similarity meets names of one first letter alone, as its SQL does
+
+
+@query(_without("name_similarity", (" AND a.n[1] = b.n[1]", "")))
+def name_similarity_all(spark, d):
+    p = Tables(spark, d).part.select(F.col("p_name").alias("n")).distinct()
+    a, b = p.select(F.col("n").alias("a")), p.select(F.col("n").alias("b"))
+    return a.join(b, F.col("a") <= F.col("b")).select("a", "b", F.round(T.token_jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"), F.round(T.levenshtein_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))

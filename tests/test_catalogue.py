@@ -46,6 +46,12 @@ def test_whole_texts_are_judged(spark):
     assert {r["carried"] for r in catalogue.QUERIES["carry_forward_header_whole"](spark, FOLDER).collect()} - {None} == said - {None}
 
 
+def test_names_meet_across_first_letters(spark):
+    names = sorted({r["p_name"] for r in spark.read.parquet(f"{FOLDER}/part.parquet").collect()})
+    got = {(r["a"], r["b"]) for r in catalogue.QUERIES["name_similarity_all"](spark, FOLDER).collect()}
+    assert got == {(a, b) for a in names for b in names if a <= b} and any(a[0] != b[0] for a, b in got)
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
