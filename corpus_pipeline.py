@@ -18,7 +18,8 @@ from stagelight.llm.common import Stored, cut, key, table
 
 #: Documents with this toxicity score or more go.
 TOXIC = 0.5
-#: A document stays if a language is found and makes up at least this share; text without letters is rejected.
+#: A document stays if a language is found and makes up at least this share; text without letters is rejected. The
+#: largest of k shares is 1 / k at least, so with fewer than five languages the share rejects nothing.
 LEAST_SHARE = 0.2
 
 
@@ -29,7 +30,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in which a language is found."""
+    """Keeps documents in which a language is found. With the four languages of documents that rejects texts without
+    letters alone: no junk, mixed or badly fitting text with a letter goes here."""
     found = langid.identified(docs, langid.learn(docs), docs.columns)
     return found.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SHARE)).drop("_lang", "_score")
 
