@@ -23,10 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. One of our own is set only where there is none, as in tests."""
+    """The folder in spark.checkpoint.dir. One of our own is set only in one process without one, as in tests: on a
+    cluster, a folder of one machine would not do."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None and context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stagelight-"))
     return folder or context._jsc.sc().getCheckpointDir().get()
 
@@ -41,14 +44,19 @@ class Stored:
     """A wide intermediate table as compressed Parquet in the shared folder, until drop()."""
 
     def __init__(self, df: DataFrame):
-        spark = df.sparkSession
+        self.spark = spark = df.sparkSession
         self.path = f"{_shared_folder(spark)}/stored-{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(self.path)
+        try:
+            df.write.option("compression", "zstd").parquet(self.path)
+        except BaseException:
+            self.drop()
+            raise
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
-        path = self.df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def key(col: Column | str) -> Column:
@@ -65,6 +73,14 @@ def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *[T.StructField(n, T._parse_datatype_string(k)) for n, k in kinds.items()]])
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """name, with underscores before it until no column is called so in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(parts)

@@ -1,161 +1,280 @@
 """Nearest neighbours by largest inner product, with multi-index hashing.
 
-Vectors are scaled by the largest norm and get one more component that makes all norms 1, so that the largest inner
-product is the smallest angle. A rotation learned on at most SAMPLE vectors (principal directions, then iterative
-quantisation) gives each a binary code. Codes are cut into substrings of up to 16 bits, each with an index. A query probes
-the buckets within a growing distance of its own in every substring: by the pigeonhole principle, after distance s in
-each of m substrings every code within m * (s + 1) - 1 bits has been seen. It stops once that radius holds enough codes
-(REACH), and ranks all of these by exact inner products of the original vectors.
+Codes. Vectors are scaled by the largest norm and get one more component that makes all norms 1, so that the largest inner
+product is the smallest angle. Rotations learned on at most SAMPLE vectors (principal directions, then iterative
+quantisation from several starts) give each vector a binary code of up to BITS bits.
 
-Every vector is indexed. Vectors are dealt into shards and queries into blocks of bounded size; each pair of them is one
-task that returns its best k a query, and these are merged.
+Index. Codes are cut into substrings of 16 bits, and each shard of a task's vectors holds a table of every substring:
+value -> codes. By the pigeonhole principle a code within radius r = m * a + b of a query's (m substrings, b < m) is within
+a in one of the first b + 1 substrings, or within a - 1 in one of the others; all these buckets are probed. Where that is
+more entries than the shard has codes, its codes are compared one after the other, which finds the same.
+
+Radius. Each query's own: the one that holds `enough` codes, as told by the sample's codes. `enough` is doubled until on
+PROBED queries, searched by brute force over all rows, LEAST_RECALL of the true neighbours are within their radius; the
+last step is the whole code length, which leaves nothing out. A radius depends neither on shards nor on partitions.
+Codes within it are ranked by exact inner products of the original vectors, k a shard go on, and these are merged.
+
+Work. Vectors are neither shuffled nor copied for the search: blocks of queries of bounded size go out by broadcast, one
+pass over the vectors each. Of equal vectors only the k + 1 smallest ids are kept, as no others can be returned, so a vector
+that many rows share is one of few rows.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id or with
-another number of components than most. Of rows with one id, the smallest vector counts. With fewer candidates than k all
-are returned; ties go to the smaller id. Extra columns are ignored; an empty table gives an empty result.
+another number of components than most (the smaller number in a tie). Of rows with one id, the smallest vector counts.
+With fewer candidates than k all are returned; ties go to the smaller id, repeated vectors at the last place too. Very long
+vectors are defined likewise: sample, shards and blocks are bounded by numbers held, not by rows. Extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import only
+from stagelight.llm.common import Stored, cut, only
 
+#: Vectors that rotations are learned on and radii told from
 SAMPLE = 20_000
-SHARD, QUERIES = 262_144, 65_536
-BITS = 64
-#: A query stops at the first radius with this share of a shard's codes, and at least so many
-REACH, LEAST = 0.06, 1_500
+#: Numbers that the sample, a shard of vectors or a block of queries holds at most
+SAMPLE_NUMBERS, SHARD_NUMBERS, BLOCK_NUMBERS = 1 << 24, 1 << 24, 1 << 22
+#: Code bits for each component, and in all
+BITS_EACH, BITS = 4, 512
+WIDTH = 16
+#: Codes that a query's first radius holds in the whole table, or this share of the sample
+ENOUGH, ENOUGH_SAMPLED = 512, 16
+#: Queries searched by brute force, and the share of their neighbours that must be within the radius
+PROBED, LEAST_RECALL = 64, 0.95
+STEPS = 8
 
 
 class Codes:
-    def __init__(self, sample: np.ndarray, most: float, bits: int = BITS):
-        """sample: rows of original vectors; most: the largest norm of all."""
+    def __init__(self, sample: np.ndarray, most: float, every: int):
+        """sample: rows of original vectors; most: the largest norm of all; every: the number of all rows."""
         self.most = most
         x = self.lift(sample)
         self.mean = x.mean(0)
         x = x - self.mean
         _, directions = np.linalg.eigh(x.T @ x)
-        self.bits = min(bits, x.shape[1])
-        self.project = directions[:, ::-1][:, : self.bits]
-        v = x @ self.project
-        rotation = np.linalg.qr(np.random.default_rng(5).normal(size=(self.bits, self.bits)))[0]
-        for _ in range(30):
-            u, _, w = np.linalg.svd(v.T @ np.where(v @ rotation >= 0, 1.0, -1.0))
-            rotation = u @ w
-        self.project = self.project @ rotation
+        each = min(x.shape[1], sample.shape[1], BITS)
+        v = x @ directions[:, ::-1][:, :each]
+        rotations = []
+        for start in range(max(1, min(BITS, BITS_EACH * each) // each)):
+            r = np.linalg.qr(np.random.default_rng(5 + start).normal(size=(each, each)))[0]
+            for _ in range(20):
+                u, _, w = np.linalg.svd(v.T @ np.where(v @ r >= 0, 1.0, -1.0))
+                r = u @ w
+            rotations.append(directions[:, ::-1][:, :each] @ r)
+        self.project = np.concatenate(rotations, 1)
+        self.bits = self.project.shape[1]
+        self.known = self.words(self.lift(sample))
+        #: places in the sample's order of distances, one a step
+        self.places = [max(ENOUGH_SAMPLED, -(-ENOUGH * 2**i * len(sample) // every)) for i in range(STEPS)]
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         x = x / self.most
         return np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1, keepdims=True)))], 1)
 
-    def substrings(self, x: np.ndarray, query: bool) -> np.ndarray:
-        """(vectors x substrings) whole numbers."""
-        lifted = np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))], 1) if query else self.lift(x)
+    def words(self, lifted: np.ndarray) -> np.ndarray:
+        """(substrings x vectors) 16-bit words of the codes."""
         on = (lifted - self.mean) @ self.project >= 0
-        return np.stack([on[:, a : a + 16] @ (1 << np.arange(min(16, self.bits - a))) for a in range(0, self.bits, 16)], 1).astype(np.int64)
+        pad = -self.bits % 64
+        packed = np.packbits(np.pad(on, ((0, 0), (0, pad))), axis=1, bitorder="little")
+        return np.ascontiguousarray(packed.view("<u2").T)
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        return self.words(self.lift(x))
+
+    def of_queries(self, x: np.ndarray) -> np.ndarray:
+        return self.words(np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))], 1))
+
+    def radii(self, code: np.ndarray) -> np.ndarray:
+        """A query's radius for each step; the last one leaves nothing out."""
+        held = np.cumsum(np.bincount(distances(wide(self.known), wide(code[:, None])[:, 0]), minlength=self.bits + 1))
+        return np.minimum(np.append(np.searchsorted(held, self.places), self.bits), self.bits)
+
+
+def wide(words: np.ndarray) -> np.ndarray:
+    """16-bit words as 64-bit ones, which are compared faster."""
+    return np.ascontiguousarray(np.ascontiguousarray(words.T).view(np.uint64).T)
+
 
+def distances(codes: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Hamming distances of (64-bit words x codes) to one code."""
+    out = np.zeros(codes.shape[1], np.uint16)
+    for row, word in zip(codes, query, strict=True):
+        out += np.bitwise_count(row ^ word)
+    return out
 
-def masks(width: int) -> list[np.ndarray]:
-    """All numbers of `width` bits by how many are set."""
-    every = np.arange(1 << width)
-    weight = np.bitwise_count(every)
-    return [every[weight == s] for s in range(width + 1)]
+
+def masks(most: int) -> np.ndarray:
+    """All 16-bit numbers with up to `most` bits set."""
+    return _BY_WEIGHT[: sum(comb(WIDTH, i) for i in range(most + 1))]
+
+
+_BY_WEIGHT = np.argsort(np.bitwise_count(np.arange(1 << WIDTH)), kind="stable").astype(np.uint16)
 
 
 class Index:
-    def __init__(self, codes: np.ndarray, widths: list[int]):
-        self.codes, self.widths = codes, widths
-        self.order = [np.argsort(codes[:, j], kind="stable") for j in range(len(widths))]
-        self.start = [np.searchsorted(codes[o, j], np.arange((1 << w) + 1)) for j, (o, w) in enumerate(zip(self.order, widths, strict=True))]
-        self.masks = [masks(w) for w in widths]
-
-    def within(self, query: np.ndarray, enough: int) -> np.ndarray:
-        """All codes within the smallest radius m * (s + 1) - 1 that holds `enough` (all, if there are fewer)."""
-        n, m = len(self.codes), len(self.widths)
-        seen = np.zeros(n, bool)
-        near, far = [], []
-        held = 0
-        for s in range(max(self.widths) + 1):
-            for j in range(m):
-                if s > self.widths[j]:
-                    continue
-                buckets = self.masks[j][s] ^ query[j]
-                a = self.start[j][buckets]
-                length = self.start[j][buckets + 1] - a
-                some = length > 0
-                a, length = a[some], length[some]
-                total = int(length.sum())
-                at = np.repeat(a - np.concatenate(([0], np.cumsum(length)[:-1])), length) + np.arange(total)
-                ids = self.order[j][at]
-                ids = ids[~seen[ids]]
-                seen[ids] = True
-                far.append((ids, np.bitwise_count(self.codes[ids] ^ query).sum(1)))
-            radius = m * (s + 1) - 1
-            ids, apart = np.concatenate([x for x, _ in far]), np.concatenate([x for _, x in far])
-            inside = apart <= radius
-            near.append(ids[inside])
-            held += int(inside.sum())
-            far = [(ids[~inside], apart[~inside])]
-            if held >= min(enough, n):
-                break
-        return np.concatenate(near)
+    """Substring tables over the codes of one shard."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.wide = words, wide(words)
+        self.order: dict[int, np.ndarray] = {}
+        self.start: dict[int, np.ndarray] = {}
+
+    def bucket(self, j: int, values: np.ndarray) -> np.ndarray:
+        """Codes whose substring j has one of the values."""
+        if j not in self.order:
+            self.order[j] = np.argsort(self.words[j], kind="stable").astype(np.int32)
+            self.start[j] = np.searchsorted(self.words[j][self.order[j]], np.arange((1 << WIDTH) + 1)).astype(np.int32)
+        a = self.start[j][values]
+        n = self.start[j][values.astype(np.int32) + 1] - a
+        some = n > 0
+        a, n = a[some], n[some]
+        return self.order[j][np.repeat(a - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())] if len(n) else self.order[j][:0]
+
+    def within(self, query: np.ndarray, radius: int) -> np.ndarray:
+        """Every code within the radius, in order."""
+        m, n = self.words.shape
+        a, b = divmod(int(radius), m)
+        reach = [a if j <= b else a - 1 for j in range(m)]
+        q = wide(query[:, None])[:, 0]
+        buckets = [sum(comb(WIDTH, i) for i in range(r + 1)) for r in reach]
+        if sum(buckets) * (1 + n / (1 << WIDTH)) >= n:
+            return np.flatnonzero(distances(self.wide, q) <= radius)
+        found = np.unique(np.concatenate([self.bucket(j, masks(r) ^ query[j]) for j, r in enumerate(reach) if r >= 0]))
+        return found[distances(self.wide[:, found], q) <= radius]
+
+
+def best(base: np.ndarray, ids: np.ndarray, at: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the k nearest of the rows at `at`, the query's own left out."""
+    score = (base[at].astype(float) * query).sum(1)
+    other = ids[at] != own
+    at, score = at[other], score[other]
+    if len(at) > k:
+        keep = score >= np.partition(score, len(score) - k)[len(score) - k]
+        at, score = at[keep], score[keep]
+    order = np.lexsort((ids[at], -score))[:k]
+    return ids[at][order], score[order]
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, d: int) -> np.ndarray:
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+
+
+def _shards(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of a task's rows (id, v), in shards of bounded size."""
+    ids: list[np.ndarray] = []
+    vectors: list[np.ndarray] = []
+    for batch in batches:
+        ids.append(batch.column(0).to_numpy())
+        vectors.append(_matrix(batch.column(1), d))
+        if sum(x.size for x in vectors) >= SHARD_NUMBERS:
+            yield np.concatenate(ids), np.concatenate(vectors)
+            ids, vectors = [], []
+    if ids:
+        yield np.concatenate(ids), np.concatenate(vectors)
+
+
+RESULT = "query_id long, vec_id long, score double"
+
+
+def _rows(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    ids = [np.zeros(0, np.int64), *[i for _, i, _ in found]]
+    own = np.repeat(np.array([q for q, _, _ in found], np.int64), [len(i) for _, i, _ in found])
+    return pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.concatenate(ids)), pa.array(np.concatenate([np.zeros(0), *[s for _, _, s in found]]))], names=["query_id", "vec_id", "score"])
+
+
+def _exact(shared, d: int, k: int):
+    """The k nearest of each shard for a few queries, by brute force."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, queries = shared.value
+        for ids, base in _shards(batches, d):
+            every = np.arange(len(ids))
+            yield _rows([(own, *best(base, ids, every, q, own, k)) for own, q in zip(asked.tolist(), queries, strict=True)])
+
+    return run
+
+
+def _near(model, shared, d: int, k: int, step: int):
+    """The k nearest of each shard for a block of queries, among the codes within their radii."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, queries, codes, radii = shared.value
+        for ids, base in _shards(batches, d):
+            index = Index(model.value.of(base.astype(float)))
+            found = []
+            for i, own in enumerate(asked.tolist()):
+                found.append((own, *best(base, ids, index.within(codes[:, i], radii[i, step]), queries[i], own, k)))
+                if len(found) == 4096:
+                    yield _rows(found)
+                    found = []
+            yield _rows(found)
+
+    return run
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = SAMPLE) -> DataFrame:
     """Queries are the rows whose id is divisible by `every`, candidates all others' rows."""
     spark = vectors.sparkSession
     v = F.col("v")
-    rows = only(vectors, "vec_id", "embedding").select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    numbers = "array<float>" if dict(vectors.dtypes).get("embedding") == "array<float>" else "array<double>"
+    rows = only(vectors, "vec_id", "embedding").select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast(numbers).alias("v"))
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size("v") > 0)).where(sound & F.exists("v", lambda x: x != 0))
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
-    most_rows = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).orderBy(F.desc("n"), "d").head(1)
-    result = "query_id long, rank int, vec_id long, score double"
-    if not most_rows:
-        return spark.createDataFrame([], result)
-    d, n = most_rows[0]["d"], most_rows[0]["n"]
-    rows = rows.where(F.size("v") == d)
-    fitted = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()  # at most `sample` vectors
-    model = Codes(np.array(fitted.column("v").combine_chunks().flatten()).reshape(-1, d), float(np.sqrt(most_rows[0]["m"])))
-    shared = spark.sparkContext.broadcast(model)  # a matrix of the number of components
-    shards = -(-n // SHARD)
-    asked = rows.where(F.col("id") % every == 0)
-    n_asked = asked.count()
-    blocks = max(-(-n_asked // QUERIES), min(spark.sparkContext.defaultParallelism, -(-n_asked // 256)), 1)
-    numbers = lambda c: F.explode(F.sequence(F.lit(0), F.lit(c - 1)))
-    place = lambda c: F.pmod(F.xxhash64("id"), F.lit(c)).cast("int")
-    dealt = rows.select(place(shards).alias("shard"), numbers(blocks).alias("block"), F.lit(0).alias("asks"), "id", "v").unionByName(
-        asked.select(numbers(shards).alias("shard"), place(blocks).alias("block"), F.lit(1).alias("asks"), "id", "v")
-    )
-
-    def best(group: pa.Table) -> pa.Table:
-        codes = shared.value
-        asks = group.column("asks").to_numpy() == 1
-        ids = group.column("id").to_numpy()
-        x = np.array(group.column("v").combine_chunks().flatten()).reshape(-1, d)
-        base, base_ids, queries, query_ids = x[~asks], ids[~asks], x[asks], ids[asks]
-        rows_: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(base) and len(queries):
-            widths = [min(16, codes.bits - a) for a in range(0, codes.bits, 16)]
-            index = Index(codes.substrings(base, False), widths)
-            enough = max(LEAST, int(REACH * len(base)))
-            for q, own, code in zip(queries, query_ids.tolist(), codes.substrings(queries, True), strict=True):
-                at = index.within(code, enough)
-                at = at[base_ids[at] != own]
-                score = (base[at] * q).sum(1)
-                if len(at) > k:
-                    edge = np.partition(score, len(score) - k)[len(score) - k]
-                    keep = score >= edge
-                    at, score = at[keep], score[keep]
-                order = np.lexsort((base_ids[at], -score))[:k]
-                rows_.append((np.full(len(order), own), base_ids[at][order], score[order]))
-        columns = [np.concatenate(c) for c in zip(*rows_, strict=True)] if rows_ else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
-
-    found = dealt.groupBy("shard", "block").applyInArrow(best, "query_id long, vec_id long, score double")
+    store = Stored(rows.groupBy("id").agg(F.min("v").alias("v")))
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    sizes = store.df.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(square).alias("m"), F.count_if(F.col("id") % every == 0).alias("asked"))
+    most = sizes.orderBy(F.desc("n"), "d").head(1)
+    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    if not most:
+        store.drop()
+        return empty
+    d, n, asked = most[0]["d"], most[0]["n"], most[0]["asked"]
+    rows = store.df.where(F.size("v") == d)
+    copies = Window.partitionBy("v").orderBy("id")  # the group limit keeps k + 1 a task before the shuffle
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n * d // SHARD_NUMBERS))
+    base = Stored(rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).select("id", "v").repartition(tasks, "id"))
+    # the sample is the first rows in hash order, at most SAMPLE_NUMBERS numbers
+    fitted = rows.orderBy(F.xxhash64("id"), "id").limit(max(1, min(sample, SAMPLE_NUMBERS // d))).select("v").toArrow()
+    codes = Codes(_matrix(fitted.column("v"), d).astype(float), float(np.sqrt(most[0]["m"])), n)
+    model = spark.sparkContext.broadcast(codes)  # bounded by the sample
+    queries = rows.where(F.col("id") % every == 0)
+
+    def taken(df: DataFrame) -> tuple[np.ndarray, ...]:
+        """Ids, vectors and codes of a bounded number of queries, and their radii."""
+        table = df.select("id", "v").orderBy("id").toArrow()
+        ids, x = table.column("id").to_numpy(), _matrix(table.column("v"), d).astype(float)
+        words = codes.of_queries(x) if len(x) else np.zeros((len(codes.known), 0), np.uint16)
+        return ids, x, words, np.array([codes.radii(words[:, i]) for i in range(len(ids))], np.int32).reshape(len(ids), STEPS + 1)
+
+    ids, x, words, radii = taken(queries.orderBy(F.xxhash64("id"), "id").limit(PROBED))
+    if not len(ids):
+        store.drop(), base.drop()
+        return empty
+    shared = spark.sparkContext.broadcast((ids, x))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    merged = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    true = merged(base.df.mapInArrow(_exact(shared, d, k), RESULT)).join(base.df, F.col("vec_id") == F.col("id")).select("query_id", "v").toArrow()  # PROBED * k rows
+    step = 0
+    if true.num_rows:
+        place = np.searchsorted(ids, true.column("query_id").to_numpy())
+        other = wide(codes.of(_matrix(true.column("v"), d).astype(float)))
+        apart = np.bitwise_count(wide(words)[:, place] ^ other).sum(0)
+        step = next(i for i in range(STEPS + 1) if (apart <= radii[place, i]).mean() >= LEAST_RECALL)
+
+    blocks = -(-asked * d // BLOCK_NUMBERS)
+    found: DataFrame | None = None
+    for b in range(blocks):  # queries of one block are on the driver at a time
+        block = spark.sparkContext.broadcast(taken(queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)))
+        part = cut(merged(base.df.mapInArrow(_near(model, block, d, k, step), RESULT)).select("query_id", "rank", "vec_id", "score"))
+        block.destroy()
+        found = part if found is None else found.unionByName(part)
+    store.drop(), base.drop()
+    return found

@@ -5,6 +5,7 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stagelight.llm import mih, ngram_join
@@ -151,11 +152,70 @@ def test_few_vectors(spark):
     assert mih.search(df.where("vec_id < 0")).count() == 0
 
 
-def test_radius_is_complete():
+def test_radius_is_complete(monkeypatch):
+    """Probed buckets and codes compared one after the other give every code within a radius, and nothing else."""
     rng = np.random.default_rng(0)
-    codes = rng.integers(0, 1 << 6, (500, 3))
-    index = mih.Index(codes, [6, 6, 6])
-    for q in codes[:20]:
-        found = index.within(q, 30)
-        apart = np.bitwise_count(codes ^ q).sum(1)
-        assert len(set(found.tolist())) == len(found) and set(found.tolist()) == set(np.flatnonzero(apart <= apart[found].max() if len(found) == len(codes) else 3 * ((apart[found].max() // 3) + 1) - 1).tolist()) or len(found) >= 30
+    centers = rng.integers(0, 1 << 16, (40, 8))
+    near = centers[rng.integers(0, 40, 90_000)] ^ (1 << rng.integers(0, 16, (90_000, 8))) * (rng.random((90_000, 8)) < 0.4)
+    words = np.ascontiguousarray(near.astype(np.uint16).T)
+    index = mih.Index(words)
+    probed = []
+    bucket = mih.Index.bucket
+    monkeypatch.setattr(mih.Index, "bucket", lambda self, j, v: probed.append(j) or bucket(self, j, v))
+    for q in words.T[:10]:
+        apart = np.bitwise_count(words.T ^ q).sum(1)
+        for radius in (0, 1, 7, 8, 11, 15, 16, 20, 70, 128):
+            before = len(probed)
+            assert index.within(q, radius).tolist() == np.flatnonzero(apart <= radius).tolist()
+            assert (len(probed) > before) == (radius <= 20)
+
+
+def nearest_recall(spark, x):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    x = x.astype(np.float32).astype(float)
+    found = {}
+    for r in mih.search(df, every=500).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sorted(found) == list(range(0, len(x), 500))
+    hit = 0
+    for q, ids in found.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(ids & set(np.argsort(-s)[:20].tolist()))
+    return hit / 20 / len(found)
+
+
+@pytest.mark.parametrize("kind", ["isotropic", "clustered", "norms"])
+def test_recall_of_50000(spark, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(50_000, 32))
+    if kind == "clustered":
+        x = rng.normal(size=(300, 32))[rng.integers(0, 300, 50_000)] + 0.3 * x
+    if kind == "norms":
+        x *= np.exp(0.5 * rng.normal(size=(50_000, 1)))
+    assert nearest_recall(spark, x) >= 0.9
+
+
+def test_blocks_and_shards_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 6)))], "vec_id long, embedding array<double>").repartition(3)
+    whole = sorted(tuple(r) for r in mih.search(df).collect())
+    monkeypatch.setattr(mih, "BLOCK_NUMBERS", 60)
+    assert sorted(tuple(r) for r in mih.search(df).collect()) == whole
+    ids = np.arange(4)
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids), pa.array([[1.0, 2.0]] * 4)], names=["id", "v"])] * 3
+    monkeypatch.setattr(mih, "SHARD_NUMBERS", 16)
+    assert [len(i) for i, _ in mih._shards(iter(batches), 2)] == [8, 4]
+
+
+def test_repeated_vectors(spark):
+    """A vector that many rows share: the smaller ids count, at the last place too, for queries with that vector and others."""
+    rows = [(i, [1.0, 0.0] if i >= 5 else [0.5, float(i)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    got_ = {}
+    for r in mih.search(df).orderBy("query_id", "rank").collect():
+        got_.setdefault(r["query_id"], []).append(r["vec_id"])
+    x = np.array([v for _, v in rows])
+    for q in range(0, 200, 20):
+        s = x @ x[q]
+        assert got_[q] == [i for _, i in sorted((-s[i], i) for i in range(200) if i != q)[:20]]
