@@ -7,21 +7,30 @@
    agree in m - d of m signatures, so by the T-occurrence bound they share one of their d + 1 rarest. A class with more
    than d signatures of its own links with nothing; of the rest, classes that share one of the d + 1 rarest are chained
    and the chains joined up to candidate components. Common passages fill the e frequent signatures, which are not used.
-3. T-occurrence search in each candidate component, in one task of bounded size: an inverted list for each shingle;
-   a first pass probes everything against one member; for the documents still apart, the short lists are heap-merged
-   (or counted, when there is much of them), documents that occur T - L times in them are kept, and these are probed in
-   the L long lists (DivideSkip). A document that is already connected to the query is not probed again.
-   A component with more shingles than BLOCK is split into parts, and every pair of parts is a block of its own.
-4. Links become components again.
+3. T-occurrence search (DivideSkip) in each candidate component, in one task of bounded size: an inverted list for each
+   shingle; a query's short lists are merged over a heap that skips what cannot reach T - L, and documents that occur
+   T - L times in them are probed in its L long lists by binary search. A list with more than half of the block is long
+   without a choice and kept by who is not in it, which is counted: in a block of near copies that is some ten thousand
+   entries a query instead of millions of probes. The first query is the median set of the largest group; documents
+   connected to it need no search of their own, as whoever else links with them finds them.
+4. A component with more shingles than BLOCK is compared with its median set first, in as many tasks as it takes. The sets
+   linked with that are one group and need no comparing among each other; only pairs of parts of which one holds sets
+   outside of the group are blocks of their own. So a large group of near copies costs what its outsiders cost.
+5. Links become components again.
+
+Rows are known by (doc_id, hash of the text) between the two readings of the texts, so ids never merge rows; between tasks
+go hashes of shingles, not texts, so a long repetitive text is as small as its set.
 
 Results per row: n_shingles and component_id, the smallest doc_id reachable by links. Null or word-less texts have no
 shingles, link with nothing and keep their own id. Rows with equal ids each stay; a null doc_id counts as larger than all
-others and names a component only if it has no other id. Extra columns are ignored; an empty table gives an empty result.
+others and names a component only if it has no other id. Very long texts are hashed in bounded steps and count whole.
+Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -33,10 +42,8 @@ from pyspark.sql import functions as F
 from stagelight.llm.common import NULL_KEY, Stored, cut, key, mix, only, shingle_sets, steps
 from stagelight.llm.components import components
 
-#: Shingles that a block may hold: about 64 MB of hashes and lists
+#: Shingles that a block may hold: about 80 MB of hashes and lists
 BLOCK = 2_000_000
-#: Short lists of up to so many entries are merged over a heap, more are counted
-HEAP = 512
 
 
 class Bands:
@@ -82,27 +89,26 @@ def set_hash(hashes: np.ndarray) -> int:
 
 
 def sketches(documents: DataFrame, width: int, bands: Bands) -> DataFrame:
-    """(k, n, h, d, more, sigs): size and hash of each set and its signatures in a band; a row with `more` is a second
-    band of the row before. h is null for a set without shingles. A column x of documents goes along before sigs."""
-    marked = [c for c in documents.columns if c == "x"]
+    """(k, x, n, h, d, more, sigs): of each row its key and text hash, size and hash of its set and its signatures in a
+    band; a row with `more` is a further band of the row before. h is null for a set without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts, *marks = [c.to_pylist() for c in batch.columns]
+            keys, marks, texts = [c.to_pylist() for c in batch.columns]
             for a, b in steps(texts):
                 rows: list[tuple] = []
                 sigs = []
-                for k, s, *x in zip(keys[a:b], shingle_sets(texts[a:b], width), *[m[a:b] for m in marks], strict=True):
+                for k, x, s in zip(keys[a:b], marks[a:b], shingle_sets(texts[a:b], width), strict=True):
                     h = set_hash(s) if len(s) else None
                     for i, (d, sig) in enumerate(list(bands.signatures(s)) or [(0, np.zeros(0, np.uint64))]):
-                        rows.append((k, len(s), h, d, i > 0, *x))
+                        rows.append((k, x, len(s), h, d, i > 0))
                         sigs.append(sig)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
-                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * len(marks)), strict=True)]
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (*[pa.int64()] * 5, pa.bool_()), strict=True)]
                 flat = np.concatenate(sigs).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "n", "h", "d", "more", *marked, "sigs"])
+                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "x", "n", "h", "d", "more", "sigs"])
 
-    return documents.select("k", "text", *marked).mapInArrow(run, f"k long, n long, h long, d long, more boolean, {'x long, ' if marked else ''}sigs array<long>")
+    return documents.select("k", "x", "text").mapInArrow(run, "k long, x long, n long, h long, d long, more boolean, sigs array<long>")
 
 
 #: Signatures of more classes than this count as equally frequent
@@ -226,189 +232,299 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
 
 
 class Block:
-    """T-occurrence search over the sets of one block."""
+    """T-occurrence search over the sets of one block. Sets of one group are known to be connected."""
 
-    def __init__(self, sets: list[np.ndarray], threshold: Fraction):
+    def __init__(self, sets: list[np.ndarray], threshold: Fraction, groups: list[int] | None = None):
         self.sets, self.t = sets, threshold
         self.size = np.array([len(s) for s in sets], np.int64)
-        #: the smallest member of each set's component so far
-        self.root = np.arange(len(sets))
+        #: union-find; the root is the smallest member
+        self.parent = list(range(len(sets)))
+        first: dict[int, int] = {}
+        self.members: dict[int, int] = {}
+        for i, g in enumerate(groups or range(len(sets))):
+            self.join(i, first.setdefault(g, i))
+            self.members[first[g]] = self.members.get(first[g], 0) + 1
+        self.index()
+
+    def root(self, i: int) -> int:
+        up = self.parent
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
 
     def join(self, i: int, j: int) -> None:
-        a, b = self.root[i], self.root[j]
-        if a != b:
-            self.root[self.root == max(a, b)] = min(a, b)
+        i, j = self.root(i), self.root(j)
+        self.parent[max(i, j)] = min(i, j)
 
     def needed(self, n: int, m: np.ndarray | int) -> np.ndarray | int:
         """Smallest overlap o of sizes n and m with o >= t * (n + m - o)."""
         p, q = self.t.numerator, self.t.denominator
         return -(-(p * (n + m)) // (p + q))
 
-    def overlap(self, i: int, j: int) -> int:
-        a, b = self.sets[i], self.sets[j]
-        if len(a) > len(b):
-            a, b = b, a
-        at = np.searchsorted(b, a)
-        at[at == len(b)] = 0
-        return int((b[at] == a).sum())
-
     def run(self) -> list[int]:
         """The root of each set."""
         k = len(self.sets)
-        pivot = int(np.argsort(self.size, kind="stable")[k // 2])
+        most = max(self.members, key=lambda r: (self.members[r], -r))
+        group = [i for i in range(k) if self.members[most] == 1 or self.root(i) == most]
+        pivot = group[int(np.argsort(self.size[group], kind="stable")[len(group) // 2])]
+        self.search(pivot)
         for i in range(k):
-            n, m = int(self.size[i]), int(self.size[pivot])
-            need = self.needed(n, m)
-            if i != pivot and need <= min(n, m) and self.overlap(i, pivot) >= need:
-                self.join(i, pivot)
-        apart = np.flatnonzero(self.root != self.root[pivot])
-        if len(apart) and k > 2:
-            self.index()
-            for i in apart.tolist():
+            if self.root(i) != self.root(pivot):
                 self.search(i)
-        return self.root.tolist()
+        return [self.root(i) for i in range(k)]
 
     def index(self) -> None:
-        """Inverted lists; those with over an eighth of the sets are long and also kept as a row of flags, so that a
-        probe is a look instead of a binary search. Flags take at most eight bytes a shingle."""
-        tokens, owner = np.concatenate(self.sets), np.repeat(np.arange(len(self.sets)), self.size)
-        order = np.lexsort((owner, tokens))
-        self.owner = owner[order]
-        self.tokens, self.first, self.count = np.unique(tokens[order], return_index=True, return_counts=True)
-        long_ = np.flatnonzero(self.count > max(4, len(self.sets) // 8))
-        self.row = np.full(len(self.tokens), -1)
-        self.row[long_] = np.arange(len(long_))
-        self.flags = np.zeros((len(long_), len(self.sets)), bool)
-        for r, x in enumerate(long_.tolist()):
-            self.flags[r, self.postings(x)] = True
+        """Inverted lists, one after the other, and each set's lists. Of a list with more than half of the sets, those that
+        are not in it are kept too."""
+        k = len(self.sets)
+        tokens, lists = np.unique(np.concatenate(self.sets), return_inverse=True)
+        #: list and member of every entry as one sorted number, so that many lists are probed by one binary search
+        self.entries = np.sort(lists * k + np.repeat(np.arange(k), self.size))
+        self.first = np.searchsorted(self.entries, np.arange(len(tokens) + 1) * k)
+        self.lists = np.split(lists, np.cumsum(self.size)[:-1])
+        self.absent: dict[int, np.ndarray] = {}
+        for x in np.flatnonzero(np.diff(self.first) * 2 > k).tolist() if k > 2 else ():
+            lacks = np.ones(k, bool)
+            lacks[self.postings(x)] = False
+            self.absent[x] = np.flatnonzero(lacks)
 
     def postings(self, x: int) -> np.ndarray:
-        return self.owner[self.first[x] : self.first[x] + self.count[x]]
+        return self.entries[self.first[x] : self.first[x + 1]] - x * len(self.sets)
 
     def search(self, q: int) -> None:
-        n = int(self.size[q])
-        least = -int(-(n * self.t) // 1)
-        t = self.needed(n, least)
-        lists = np.searchsorted(self.tokens, self.sets[q])
-        lists = lists[np.argsort(-self.count[lists], kind="stable")]
-        # L long lists, T - 1 at most: whoever reaches T in all lists occurs T - L times in the short ones
-        long_ = min(t - 1, int((self.row[lists] >= 0).sum()))
-        found, times = merge_counts([self.postings(x) for x in lists[long_:].tolist()], len(self.sets))
-        keep = (times >= t - long_) & (self.root[found] != self.root[q]) & (self.size[found] >= least) & (least_of(self.size[found], self.t) <= n)
-        found, times = found[keep], times[keep]
-        if len(found):
-            times = times + self.flags[self.row[lists[:long_]]][:, found].sum(0)
-            for i in found[times >= self.needed(n, self.size[found])].tolist():
+        """Joins q with all sets that link with it."""
+        n, k, own = int(self.size[q]), len(self.sets), self.root(q)
+        # the smallest size in the block that may link with q, besides q's own
+        fits = (self.size >= -int(-(n * self.t) // 1)) & (least_of(self.size, self.t) <= n)
+        fits[q] = False
+        if not fits.any():
+            return
+        t = int(self.needed(n, int(self.size[fits].min())))
+        lists = [x for x in self.lists[q].tolist() if x not in self.absent]
+        dense = [x for x in self.lists[q].tolist() if x in self.absent]
+        length = self.first[np.array(lists, np.int64) + 1] - self.first[lists] if lists else np.zeros(0, np.int64)
+        if len(dense) + (length > 1).sum() < t:  # the other lists hold q alone
+            return
+        in_dense = len(dense) - (np.bincount(np.concatenate([self.absent[x] for x in dense]), minlength=k) if dense else np.zeros(k, np.int64))
+        if t > len(dense):
+            at, held = self.divided(np.array(lists)[np.argsort(-length, kind="stable")], np.sort(length)[::-1], t - len(dense), fits, in_dense, n)
+        else:  # dense lists alone can reach the overlap, so whoever lacks few of them counts
+            held = in_dense + (np.bincount(np.concatenate([self.postings(x) for x in lists]), minlength=k) if lists else 0)
+            at = np.flatnonzero(fits & (held >= t))
+            held = held[at]
+        for i in at[held >= self.needed(n, self.size[at])].tolist():
+            if self.root(i) != own:
                 self.join(q, i)
+                own = self.root(q)
+
+    def divided(self, lists: np.ndarray, length: np.ndarray, t: int, fits: np.ndarray, besides: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """DivideSkip over lists of falling length: members of t of them at least, and in how many they are in all with
+        what they have besides; members that cannot link are left out on the way."""
+        long_ = divide(length, t)
+        found, times = merge_skip([self.postings(x).tolist() for x in lists[long_:].tolist()], t - long_)
+        at = np.array(found, np.int64)
+        held, need = np.array(times, np.int64) + besides[at], self.needed(n, self.size[at])
+        keep = fits[at] & (held + long_ >= need)
+        at, held, need = at[keep], held[keep], need[keep]
+        done = 0
+        while done < long_ and len(at):
+            some = lists[done : done + max(16, min(done, (1 << 20) // len(at)))][: long_ - done]
+            wanted = (some[:, None] * len(self.sets) + at).ravel()
+            place = np.minimum(np.searchsorted(self.entries, wanted), len(self.entries) - 1)
+            held = held + (self.entries[place] == wanted).reshape(len(some), len(at)).sum(0)
+            done += len(some)
+            left = held + long_ - done >= need
+            at, held, need = at[left], held[left], need[left]
+        return at, held
 
 
 def least_of(size: np.ndarray, t: Fraction) -> np.ndarray:
     return -(-(size * t.numerator) // t.denominator)
 
 
-def merge_counts(lists: list[np.ndarray], members: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members of sorted lists and in how many lists each is: over a heap, or by counting where the lists are long."""
-    if not lists:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if sum(map(len, lists)) > HEAP:
-        times = np.bincount(np.concatenate(lists), minlength=members)
-        found = np.flatnonzero(times)
-        return found, times[found]
-    ids: list[int] = []
-    counts: list[int] = []
-    for i in heapq.merge(*[x.tolist() for x in lists]):
-        if ids and ids[-1] == i:
-            counts[-1] += 1
+#: What a heap step costs next to a binary probe
+HEAP_COST = 20
+
+
+def divide(length: np.ndarray, t: int) -> int:
+    """How many of a query's lists, sorted by falling length, are long: T - 1 at most, since whoever is in T lists in all
+    must be in T - L of the short ones. The heap merges all short entries, and at most entries / (T - L) documents are
+    probed in L lists."""
+    short = length.sum() - np.concatenate(([0], np.cumsum(length)))[:t]
+    long_ = np.arange(len(short))
+    return int(np.argmin(short * HEAP_COST + short / (t - long_) * long_))
+
+
+def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
+    """Members of at least `least` of the sorted lists, and in how many each is. A heap holds the head of every list; if
+    its smallest member is in too few, so many lists jump to what is then on top as make sure that nothing is missed."""
+    heap = [(x[0], i) for i, x in enumerate(lists)]
+    heapq.heapify(heap)
+    at = [0] * len(lists)
+    found: list[int] = []
+    times: list[int] = []
+    while len(heap) >= least and heap:
+        top = heap[0][0]
+        popped = []
+        while heap and heap[0][0] == top:
+            popped.append(heapq.heappop(heap)[1])
+        if len(popped) >= least:
+            found.append(top)
+            times.append(len(popped))
+            to = top + 1
         else:
-            ids.append(i)
-            counts.append(1)
-    return np.array(ids, np.int64), np.array(counts, np.int64)
-
-
-def _solve(width: int, threshold: Fraction):
-    """Rows (block, h, text) sorted by block -> (u, v): each class and the root of its component in the block."""
-
-    def solve(hashes: list[int], texts: list[str]) -> tuple[list[int], list[int]]:
-        sets, owners = [], []
-        for a, b in steps(texts):
-            sets += shingle_sets(texts[a:b], width)
-        # a repeated id can bring another text along: only the one with the class's hash counts
-        seen = set()
-        kept = []
-        for h, s in zip(hashes, sets, strict=True):
-            if set_hash(s) == h and h not in seen:
-                seen.add(h)
-                kept.append(s)
-                owners.append(h)
-        if len(kept) < 2:
+            while heap and len(popped) < least - 1:
+                popped.append(heapq.heappop(heap)[1])
+            if not heap:
+                break
+            to = heap[0][0]
+        for i in popped:
+            at[i] = bisect_left(lists[i], to, at[i])
+            if at[i] < len(lists[i]):
+                heapq.heappush(heap, (lists[i][at[i]], i))
+    return found, times
+
+
+def _hashed(width: int):
+    """Rows (root, total, h, text) -> (root, total, h, hashes), each class once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            roots, totals, classes = (batch.column(i).to_pylist() for i in range(3))
+            fresh_ = [i for i, h in enumerate(classes) if not (h in seen or seen.add(h))]
+            texts = [batch.column(3)[i].as_py() for i in fresh_]
+            for a, b in steps(texts):
+                sets = shingle_sets(texts[a:b], width)
+                rows = fresh_[a:b]
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+                hashes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*[pa.array([c[i] for i in rows], pa.int64()) for c in (roots, totals, classes)], hashes], names=["root", "total", "h", "hashes"])
+
+    return run
+
+
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    """Copies of the lists of a column of hashes."""
+    flat = column.flatten().to_numpy().view(np.uint64)
+    ends = np.cumsum(np.concatenate(([0], column.value_lengths().to_numpy())))
+    return [flat[a:b].copy() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+LINKS = "u long, v long"
+
+
+def _links(us: list[int], vs: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+
+def _solve(threshold: Fraction):
+    """Rows (block, h, g, hashes) sorted by block -> (u, v): each class and the root of its component in the block. g is the
+    known group of a class."""
+
+    def solve(rows: dict[int, tuple[int, np.ndarray]]) -> tuple[list[int], list[int]]:
+        if len(rows) < 2:
             return [], []
-        roots = Block(kept, threshold).run()
+        owners = list(rows)
+        roots = Block([s for _, s in rows.values()], threshold, [g for g, _ in rows.values()]).run()
         out = [(owners[i], owners[r]) for i, r in enumerate(roots) if i != r]
         return [u for u, _ in out], [v for _, v in out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, hashes, texts = None, [], []
-        us: list[int] = []
-        vs: list[int] = []
-
-        def flush() -> None:
-            u, v = solve(hashes, texts)
-            us.extend(u)
-            vs.extend(v)
-
+        now, rows = None, {}
         for batch in batches:
-            for block, h, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            us: list[int] = []
+            vs: list[int] = []
+            for block, h, g, s in zip(*[batch.column(i).to_pylist() for i in range(3)], _arrays(batch.column(3)), strict=True):
                 if block != now:
-                    flush()
-                    now, hashes, texts = block, [], []
-                hashes.append(h)
-                texts.append(text)
+                    u, v = solve(rows)
+                    us += u
+                    vs += v
+                    now, rows = block, {}
+                rows.setdefault(h, (g, s))
             if us:
-                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-                us.clear(), vs.clear()
-        flush()
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+                yield _links(us, vs)
+        yield _links(*solve(rows))
 
     return run
 
 
-def blocks(candidates: DataFrame) -> DataFrame:
-    """(h, k, n, root) -> (block, h, k, whole): a component is one block, or each pair of its parts is one."""
-    sizes = candidates.groupBy("root").agg(F.sum("n").alias("total"))
-    sized = candidates.join(sizes, "root").withColumn("parts", F.ceil(F.col("total") / (BLOCK / 2)).cast("int"))
-    whole = F.col("total") <= BLOCK
-    part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
-    pair = lambda i: F.xxhash64("root", F.least(i, part), F.greatest(i, part))
-    dealt = F.when(whole, F.array(F.xxhash64("root"))).otherwise(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), pair))
-    return sized.select(F.explode(dealt).alias("block"), "h", "k", whole.alias("whole"))
+def _against(threshold: Fraction):
+    """Rows (h, hashes, pivot, theirs) -> (u, v): the classes that link with their component's pivot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            us: list[int] = []
+            vs: list[int] = []
+            for h, own, pivot, theirs in zip(batch.column(0).to_pylist(), _arrays(batch.column(1)), batch.column(2).to_pylist(), _arrays(batch.column(3)), strict=True):
+                both = len(np.intersect1d(own, theirs, assume_unique=True))
+                if h != pivot and both * threshold.denominator >= threshold.numerator * (len(own) + len(theirs) - both):
+                    us.append(h)
+                    vs.append(pivot)
+            yield _links(us, vs)
+
+    return run
+
+
+#: Tasks that a large component's comparison with its pivot is spread over at least
+SALTS = 64
+
+
+def large_blocks(large: DataFrame, sizes: DataFrame, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+    """Sets (root, total, h, hashes) of components that exceed BLOCK and (root, pivot) -> links (u, v) with pivots, and rows
+    (block, h, g, hashes) of the blocks that are left to search."""
+    salt = F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("int")
+    chosen = large.join(sizes, "root").where("h = pivot").dropDuplicates(["root"]).select("root", "pivot", F.col("hashes").alias("theirs"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = large.withColumn("salt", salt).join(chosen, ["root", "salt"]).select("h", "hashes", "pivot", "theirs")
+    linked = cut(met.mapInArrow(_against(threshold), LINKS))
+    named = large.join(sizes, "root").join(linked.withColumnRenamed("u", "h"), "h", "left")
+    named = named.withColumn("out", F.col("v").isNull() & (F.col("h") != F.col("pivot"))).withColumn("g", F.when(F.col("out"), F.col("h")).otherwise(F.col("pivot")))
+    parts = lambda c: F.ceil(F.sum(F.when(c, F.size("hashes")).otherwise(0)) / (BLOCK / 2)).cast("int")
+    counted = named.groupBy("root").agg(parts(F.col("out")).alias("outs"), parts(~F.col("out")).alias("ins"))
+    rows = named.select("root", "h", "g", "out", "hashes").join(counted, "root").where("outs > 0")
+    part = F.when(F.col("out"), F.pmod(F.xxhash64("h"), F.col("outs"))).otherwise(F.col("outs") + F.pmod(F.xxhash64("h"), F.col("ins"))).cast("int")
+    pair = lambda i: F.xxhash64("root", F.least(i, F.col("part")), F.greatest(i, F.col("part")))
+    others = F.sequence(F.lit(0), F.when(F.col("out"), F.col("outs") + F.col("ins")).otherwise(F.col("outs")) - 1)
+    dealt = F.transform(F.filter(others, lambda i: (i != F.col("part")) | (F.col("outs") + F.col("ins") == 1)), pair)
+    return linked, rows.withColumn("part", part).select(F.explode(dealt).alias("block"), "h", "g", "hashes")
 
 
 def linked_classes(docs: DataFrame, width: int, threshold: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs (k, text, maybe x) -> rows (k, n, h, maybe x), classes (h, n, k), and (node, root): each class that is
-    linked with another, and one class that stands for its component."""
+    """docs (k, x, text) -> rows (k, x, n, h), classes (h, n, k, x) with the first row of each, and (node, root): each
+    class that is linked with another, and one class that stands for its component."""
     t = Fraction(threshold)
-    bands = Bands(t)
-    sketched = Stored(sketches(docs, width, bands))
-    found = cut(sketched.df.where("not more").drop("d", "more", "sigs"))
-    classes = found.where("h is not null").groupBy("h", "n").agg(F.min(F.struct((F.col("k") == NULL_KEY).alias("null"), "k")).alias("m")).select("h", "n", F.col("m.k").alias("k"))
-    classes = cut(classes)
-    edges = candidate_edges(sketched.df.select("h", "d", "sigs").where("size(sigs) > 0"))
-    near = components(edges)
-    sketched.drop()
-    candidates = near.join(classes, near.node == classes.h).select("h", "k", "n", "root")
-    dealt = cut(blocks(candidates))
-    texts = docs.select("k", "text").join(dealt, "k").select("block", "h", "text")
-    linked = cut(texts.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_solve(width, t), "u long, v long"))
-    if dealt.where("not whole").limit(1).head(1):
-        return found, classes, components(linked)
-    # each class is in one block, so its root there is final
-    return found, classes, linked.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(linked.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    sketched = Stored(sketches(docs, width, Bands(t)))
+    try:
+        found = cut(sketched.df.where("not more").select("k", "x", "n", "h"))
+        rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k", "x")
+        classes = cut(found.where("h is not null").groupBy("h", "n").agg(F.min(rank).alias("m")).select("h", "n", "m.k", "m.x"))
+        edges = candidate_edges(sketched.df.select("h", "d", "sigs").where("size(sigs) > 0"))
+        near = components(edges)
+    finally:
+        sketched.drop()
+    candidates = near.join(classes, near.node == classes.h).select("h", "k", "x", "n", "root")
+    middle = candidates.groupBy("root").agg(F.sum("n").alias("total"), F.percentile_approx("n", 0.5).alias("mid"))
+    sized = cut(candidates.join(middle, "root"))
+    texts = docs.join(sized.select("k", "x", "root", "total", "h"), ["k", "x"]).select("root", "total", "h", "text")
+    sets = Stored(texts.mapInArrow(_hashed(width), "root long, total long, h long, hashes array<long>"))
+    try:
+        small = sets.df.where(F.col("total") <= BLOCK).select(F.col("root").alias("block"), "h", F.col("h").alias("g"), "hashes")
+        pivots = sized.where(F.col("total") > BLOCK).groupBy("root").agg(F.min_by("h", F.struct(F.abs(F.col("n") - F.col("mid")), "h")).alias("pivot"))
+        with_pivot, blocks = large_blocks(sets.df.where(F.col("total") > BLOCK), pivots, t)
+        searched = small.unionByName(blocks).repartition(F.col("block")).sortWithinPartitions("block")
+        links = cut(searched.mapInArrow(_solve(t), LINKS).unionByName(with_pivot))
+    finally:
+        sets.drop()
+    return found, classes, components(links)
+
+
+def _keyed(documents: DataFrame) -> DataFrame:
+    return only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), F.xxhash64("text").alias("x"), "text")
 
 
 def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of documents."""
-    docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), "text")
-    found, classes, joined = linked_classes(docs, width, threshold)
+    found, classes, joined = linked_classes(_keyed(documents), width, threshold)
     named = joined.join(classes, joined.node == classes.h).select("root", "h", "k")
     rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k")
     least = named.groupBy("root").agg(F.min(rank).alias("m"))
@@ -423,10 +539,8 @@ def one_of_each(documents: DataFrame, width: int = 5, threshold: str = "0.8") ->
     """(k, x, empty): key and xxhash64 of the text of one row of each component, the one with the smallest id (null
     last), then text hash; and of all rows without shingles, with empty. Equal ids or null ids never make two rows one;
     rows that agree in k and x have one text."""
-    docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), "text", F.xxhash64("text").alias("x"))
-    found, _, joined = linked_classes(docs, width, threshold)
+    found, classes, joined = linked_classes(_keyed(documents), width, threshold)
     rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k", "x")
-    first = found.where("h is not null").groupBy("h").agg(F.min(rank).alias("m"))  # copies make one row before the join
-    best = first.join(joined, first.h == joined.node, "left").groupBy(F.coalesce("root", "h").alias("root")).agg(F.min("m").alias("m"))
+    best = classes.join(joined, classes.h == joined.node, "left").groupBy(F.coalesce("root", "h").alias("root")).agg(F.min(rank).alias("m"))
     rows = best.select("m.k", "m.x", F.lit(False).alias("empty"))
     return rows.unionByName(found.where("h is null").select("k", "x", F.lit(True).alias("empty")).distinct())

@@ -74,10 +74,56 @@ def test_near_copies(spark, near_copies, monkeypatch, block):
         assert got(df, width=width, threshold=t) == brute(near_copies, width, Fraction(t))
 
 
+def test_ids_never_merge_texts(spark):
+    """Null and repeated ids over near copies, copies and unlike texts; blocks of one and of many tasks."""
+    rng = random.Random(21)
+    base = prose(rng, 90).split()
+    rows = []
+    for i in range(60):
+        words = list(base) if i % 3 else prose(rng, 40).split()
+        for _ in range(rng.choice([0, 0, 1, 2, 6])):
+            words[rng.randrange(len(words))] = prose(rng, 1)
+        rows.append((rng.choice([None, None, 5, 6, 100 + i]), " ".join(words)))
+    rows += rows[:10] + [(None, ""), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for block in (ngram_join.BLOCK, 500):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(ngram_join, "BLOCK", block)
+            assert got(df, width=3, threshold="0.9") == brute(rows, 3, Fraction(9, 10))
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    """4,000 copies with up to 12 edits in parts of a tenth of the group: as one block gives it."""
+    rng = random.Random(22)
+    base = [prose(rng, 1) + str(i) for i in range(100)]
+    rows = []
+    for i in range(4000):
+        words = list(base)
+        for j in rng.sample(range(100), rng.choice([0, 1, 1, 1, 2, 12])):
+            words[j] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = got(df, width=3, threshold="0.9")
+    assert len({c for _, _, c in whole}) > 300 and max(np.unique([c for _, _, c in whole], return_counts=True)[1]) > 2000
+    monkeypatch.setattr(ngram_join, "BLOCK", 80_000)
+    assert got(df, width=3, threshold="0.9") == whole
+
+
+def test_merge_skip_counts():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        lists = [np.flatnonzero(rng.random(40) < rng.random()).tolist() for _ in range(rng.integers(1, 9))]
+        lists = [x for x in lists if x]
+        least = int(rng.integers(1, 6))
+        times = np.bincount([i for x in lists for i in x], minlength=40) if lists else np.zeros(40, int)
+        found, held = ngram_join.merge_skip(lists, least)
+        assert found == np.flatnonzero(times >= least).tolist() and held == times[times >= least].tolist()
+
+
 def test_block_search_is_brute_force():
     rng = np.random.default_rng(2)
-    for _ in range(40):
-        pool = np.arange(1, 60, dtype=np.uint64)
+    for round_ in range(60):
+        pool = np.arange(1, 60 if round_ < 40 else 2000, dtype=np.uint64)
         sets = [np.sort(rng.choice(pool, rng.integers(1, 50), replace=False)) for _ in range(rng.integers(2, 40))]
         t = Fraction(7, 10)
         roots = ngram_join.Block(sets, t).run()
