@@ -7,7 +7,8 @@ new symbol, so taking ranks in order over the whole batch gives each word what i
 bounded number of words, and each text is put together from its words.
 
 Nulls: a null text counts as the empty text (no ids, empty decoded text). Rows with null or repeated ids stay as they
-are. Extra columns are ignored; an empty table gives an empty result.
+are. Of pairs with one rank the leftmost is merged first. A very long text is encoded whole, word by word; one word without
+a break takes memory in proportion to its length. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

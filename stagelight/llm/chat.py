@@ -1,14 +1,15 @@
 """Chat formatting with Spark expressions only, and reading the formatted text back.
 
-Turns of a conversation are collected as structs, sorted by turn, and adjacent turns of one role merged into one message
-by array aggregation. A message is a role mark, the texts of its turns with a turn mark between, and an end mark. Control
+Turns of a conversation are collected as structs, sorted by turn, and adjacent turns of one role aggregated into one
+message each, by slices of the array. A message is a role mark, the texts of its turns with a turn mark between, and an end mark. Control
 strings inside texts and roles are escaped by a zero-escape: the escape letter is doubled and the first letter of every
 control string is replaced by the escape letter and a code, so that a mark in the output is always a mark, and unescaping
 is exact. The loss mask covers texts of the assistant.
 
 Defined cases: null text counts as empty, null role as the empty role, a null turn sorts first and a null conv_id is a
-conversation of its own. Turns with equal numbers are ordered by role, then text; repeated rows each stay. Extra columns
-are ignored; an empty table gives an empty result.
+conversation of its own. Turns with equal numbers are ordered by role, then text; repeated rows each stay. A conversation
+is one formatted text by contract, so a very long one is one row of that length. Extra columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,13 +46,15 @@ def formatted(conversations: DataFrame) -> DataFrame:
     turns = only(conversations, "conv_id", "turn", "role", "text")
     one = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     chats = turns.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(one)).alias("turns"))
-    n = F.size("turns")
-    last = lambda i: F.get("turns", i - 1)["role"]
-    next_ = lambda i: F.get("turns", i + 1)["role"]
-    # a turn opens a message unless the turn before has its role, and closes it unless the next one has
-    opened = lambda t, i: F.when((i > 0) & (last(i) == t["role"]), F.lit(TURN)).otherwise(F.concat(F.lit(ROLE), escape(t["role"]), F.lit(TEXT)))
-    closed = lambda t, i: F.when((i + 1 < n) & (next_(i) == t["role"]), F.lit("")).otherwise(F.lit(END))
-    return chats.select("conv_id", F.concat_ws("", F.transform("turns", lambda t, i: F.concat(opened(t, i), escape(t["text"]), closed(t, i)))).alias("formatted"))
+    role = lambda i: F.get("turns", i)["role"]
+    # turns at which another role begins; each message takes the turns up to the next of them
+    opens = F.filter(F.sequence(F.lit(0), F.size("turns") - 1), lambda i: (i == 0) | (role(i) != role(i - 1)))
+    opened = chats.select("conv_id", "turns", opens.alias("opens"))
+    end = lambda j: F.coalesce(F.get("opens", j + 1), F.size("turns"))
+    texts = lambda i, j: F.transform(F.slice("turns", i + 1, end(j) - i), lambda t: escape(t["text"]))
+    merged = opened.select("conv_id", F.transform("opens", lambda i, j: F.struct(role(i).alias("role"), F.array_join(texts(i, j), TURN).alias("text"))).alias("messages"))
+    message = lambda m: F.concat(F.lit(ROLE), escape(m["role"]), F.lit(TEXT), m["text"], F.lit(END))
+    return merged.select("conv_id", F.array_join(F.transform("messages", message), "").alias("formatted"))
 
 
 def messages(text: Column) -> Column:

@@ -8,7 +8,9 @@ capacity are filled together. This is best-fit decreasing over all pieces at onc
 within (length, salt), so a length that a third of all pieces share is spread over many tasks.
 
 Nulls: a null text counts as the empty text (its one piece holds the closing id alone); a null doc_id is an id like any
-other. Repeated rows are packed as often as they occur. Extra columns are ignored; an empty table gives an empty result.
+other. Repeated rows are packed as often as they occur; pieces of equal length take ranks in the order of id, piece, digest
+and start within their salt, ties in any order. A very long text is encoded whole, in about 30 bytes a character of memory,
+and cut into pieces. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -1,16 +1,19 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
 Terms of a text are its words (runs of letters and digits, A-Z lower-cased) and word beginnings of several lengths, each
-hashed to a slot. Slots are chosen by how far their share of toxic and other documents differs, then the machine learns a
-weight for each and, through a short vector for each, a weight for every pair that occurs together, such as an insult and
-a group's name, which a sum of single weights misses.
+hashed to a slot. Slots are chosen by how far their share of toxic and other documents differs, and, among the FREQUENT
+most frequent ones, by how far the share of documents with both of a pair differs, so that terms whose pair tells what
+neither tells alone are known too. Then the machine learns a weight for each and, through a short vector for each, a weight
+for every pair that occurs together, such as an insult and a group's name, which a sum of single weights misses.
 
 It is fitted on at most SAMPLE labelled documents, the first in hash order of their id, so the fit takes the same time at
 any corpus size; scores are given for every whole text. Only text goes into a score.
 
 Nulls: a null or empty text gets the score of a text without known terms. Labels that are null or name no document are
-left out; of several labels for an id, the largest counts. Repeated rows each get their score. If no label of either kind
-is left, every score is the share of toxic labels (0 without labels). Extra columns are ignored.
+left out; of several labels for an id, the largest counts. Of several texts for a labelled id, the one with the smallest
+hash is learned from; repeated rows each get their score. If no label of either kind is left, every score is the share of
+toxic labels (0 without labels). An empty table gives an empty result. Very long texts are cut up in bounded steps and
+count whole. Extra columns, whatever their names, are passed on or ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ from stagelight.llm.common import Words, cut, fold, only, steps, with_fields
 
 SAMPLE = 20_000
 FEATURES = 4_096
+#: Terms whose pairs are looked at, and pairs that are chosen at most
+FREQUENT, PAIRS = 2_048, 512
+#: Least difference, in standard errors, of a term's and of a pair's share; a pair must exceed its terms' by the last
+TELLS, PAIR_TELLS, BEYOND = 3.5, 6.0, 2.0
 SLOTS = 1 << 20
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10, 12)
 FOLDS, HELD_OUT = 5, 0
@@ -106,24 +113,53 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys // 2), pa.array(np.where(keys % 2 == 0, n, 0)), pa.array(np.where(keys % 2 == 1, n, 0))], names=["slot", "clean", "toxic"])
 
 
+def differences(clean: np.ndarray, toxic: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """How far shares of toxic and other documents are apart, in standard errors."""
+    p = (clean + toxic) / (n0 + n1)
+    return (toxic / n1 - clean / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
+
+
+def telling_pairs(rows: list[np.ndarray], toxic: np.ndarray, features: int) -> np.ndarray:
+    """Features of pairs whose joint difference exceeds that of either: rows hold documents' features below `features`."""
+    both = [np.zeros((features, features), np.float32) for _ in range(2)]
+    for label in (0, 1):
+        some = [r for r, y in zip(rows, toxic, strict=True) if y == label]
+        for a in range(0, len(some), 2048):
+            x = np.zeros((len(some[a : a + 2048]), features), np.float32)
+            for i, r in enumerate(some[a : a + 2048]):
+                x[i, r] = 1
+            both[label] += x.T @ x
+    z = np.abs(differences(both[0].astype(float), both[1].astype(float), int((toxic == 0).sum()), int((toxic == 1).sum())))
+    alone = np.diag(z)
+    z[(z < PAIR_TELLS) | (z < np.maximum(alone[:, None], alone) + BEYOND)] = 0
+    a, b = np.nonzero(np.triu(z, 1))
+    best = np.lexsort((b, a, -z[a, b]))[:PAIRS]
+    return np.unique(np.concatenate((a[best], b[best])))
+
+
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     spark = documents.sparkSession
     given = only(labels, "doc_id", "toxic").where("toxic is not null and doc_id is not null").where(fold("doc_id", FOLDS) != HELD_OUT)
     given = given.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     chosen = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     docs = only(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # at most `sample` rows of two numbers
-    rows = cut(docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic"))
+    # at most `sample` rows of two numbers go out, and one row an id comes back
+    met = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "toxic")).alias("m"))
+    rows = cut(met.select("m.text", "m.toxic"))
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     table = np.full(SLOTS, -1, np.int32)
+    frequent: list[int] = []
+    telling: list[int] = []
     if n0 and n1:
-        counts = rows.mapInArrow(_count, "slot long, clean long, toxic long").groupBy("slot").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
+        counts = cut(rows.mapInArrow(_count, "slot long, clean long, toxic long").groupBy("slot").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).where("c + t >= 4"))
         p = (F.col("c") + F.col("t")) / F.lit(n0 + n1)
         z = (F.col("t") / n1 - F.col("c") / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n0 + 1 / n1))
-        best = counts.withColumn("z", z).where("c + t >= 4 and abs(z) >= 3.5").orderBy(F.abs("z").desc(), "slot").limit(FEATURES).collect()
-        for i, r in enumerate(best):
-            table[r["slot"]] = i
+        telling = [r["slot"] for r in counts.withColumn("z", z).where(F.abs("z") >= TELLS).orderBy(F.abs("z").desc(), "slot").limit(FEATURES).collect()]
+        frequent = [r["slot"] for r in counts.orderBy((F.col("c") + F.col("t")).desc(), "slot").limit(FREQUENT).collect()]
+    # first the frequent slots, then the other telling ones
+    slots = frequent + sorted(set(telling) - set(frequent))
+    table[slots] = np.arange(len(slots))
     shared = spark.sparkContext.broadcast(table)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,17 +168,27 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machin
             for a, b in steps(texts):
                 doc, feature = term_slots(texts[a:b], shared.value)
                 offsets = np.searchsorted(doc, np.arange(b - a + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets), pa.array(feature))], names=["toxic", "x"])
-
-    seen = rows.mapInArrow(known, "toxic int, x array<long>").toArrow()  # at most `sample` rows of chosen features
-    xs = [np.array(x, np.int64) for x in seen.column("x").to_pylist()]
-    ys = np.array(seen.column("toxic").to_pylist(), float)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets), pa.array(feature.astype(np.int32)))], names=["toxic", "x"])
+
+    seen = rows.mapInArrow(known, "toxic int, x array<int>").toArrow()  # at most `sample` rows of chosen features
+    lists = seen.column("x").combine_chunks()
+    flat = lists.flatten().to_numpy().astype(np.int64) if len(seen) else np.zeros(0, np.int64)
+    xs = np.split(flat, np.cumsum(lists.value_lengths().to_numpy())[:-1]) if len(seen) else []
+    ys = seen.column("toxic").to_numpy().astype(float)
+    # features that go into the machine: telling slots, and those of telling pairs
+    keep = set(table[telling].tolist())
+    if n0 and n1:
+        keep |= set(telling_pairs([x[x < len(frequent)] for x in xs], ys, len(frequent)).tolist())
+    place = np.full(max(1, len(slots)), -1, np.int32)
+    place[sorted(keep)] = np.arange(len(keep))
+    table[slots] = place[: len(slots)]
+    xs = [y[y >= 0] for x in xs for y in [place[x].astype(np.int64)]]
     order = sorted(range(len(xs)), key=lambda i: (ys[i], len(xs[i]), xs[i].tolist()))  # whatever order tasks end in
-    return Machine(table, *train([xs[i] for i in order], ys[order], FEATURES))
+    return Machine(table, *train([xs[i] for i in order], ys[order], FEATURES + 2 * PAIRS))
 
 
-def score(documents: DataFrame, machine: Machine, columns: list[str]) -> DataFrame:
-    """documents' columns and their score."""
+def score(documents: DataFrame, machine: Machine, columns: list[str], name: str = "_score") -> DataFrame:
+    """documents' columns and their score under a name that none of them has."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(machine)  # 4 MB for any corpus
     at = columns.index("text")
@@ -151,10 +197,10 @@ def score(documents: DataFrame, machine: Machine, columns: list[str]) -> DataFra
         for batch in batches:
             texts = batch.column(at).to_pylist()
             scores = [shared.value.scores(texts[a:b]) for a, b in steps(texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*scores, np.zeros(0)]))], names=[*columns, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*scores, np.zeros(0)]))], names=[*columns, name])
 
     docs = only(documents, *columns)
-    return docs.mapInArrow(run, with_fields(docs, _score="double"))
+    return docs.mapInArrow(run, with_fields(docs, **{name: "double"}))
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:

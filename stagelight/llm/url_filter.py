@@ -4,14 +4,17 @@ A list is a history of dated changes (pattern, action add or remove). Changes be
 is evaluated against the entries that were active when it was fetched. A pattern is a host, which covers its subdomains,
 or a host with a directory, which covers what lies below it.
 
-Captures meet intervals on (pattern, month): an interval is listed once for each month it covers within the months of the
-captures, so one host that holds a third of all captures is compared with a month's intervals only, and the join is an
-equi-join that adaptive execution can split. Of several active patterns the one with most characters decides.
+The as-of join is a union of captures and of the starts and ends of intervals, in which each capture takes the last state
+of its pattern up to its time. Rows are dealt by (pattern, hour) and every hour that has captures begins with the state
+that the pattern had by then, so a host that holds a third of all captures is spread over its hours, and no row is listed
+more often than a url has patterns, however far apart dates are. Of several active patterns the one with most characters
+decides; among equally long ones, the one that sorts last.
 
 Defined cases: a null or unparsable url and a null fetch time match nothing and are kept (not blocked). Changes with a
 null in any column are ignored; of changes to one pattern at one time, remove counts as the last. Adding what is active
-and removing what is not change nothing. An interval holds from its first instant up to, not including, its end.
-Repeated captures each stay. Extra columns are ignored; empty tables give an empty result or one without matches.
+and removing what is not change nothing. An interval holds from its first instant up to, not including, its end. A very
+long url has a pattern for each of its directories, and all count. Repeated captures each stay. Extra columns are ignored;
+empty tables give an empty result or one without matches.
 """
 
 from __future__ import annotations
@@ -52,12 +55,22 @@ def intervals(changes: DataFrame) -> DataFrame:
 def evaluate(captures: DataFrame, changes: DataFrame) -> DataFrame:
     """(page_id, fetched_at, host, blocked, pattern, since) for each capture (page_id, url, fetched_at)."""
     rows = cut(only(captures, "page_id", "url", "fetched_at").withColumn("rid", F.monotonically_increasing_id()))  # row numbers stay the same from here on
-    span = rows.agg(F.min(F.trunc("fetched_at", "month")).alias("lo"), F.max(F.trunc("fetched_at", "month")).alias("hi"))
-    active = intervals(changes).crossJoin(F.broadcast(span)).where("since < add_months(hi, 1) and coalesce(until > lo, true)")  # span is one row
-    months = F.sequence(F.greatest(F.trunc("since", "month"), F.col("lo")), F.least(F.trunc(F.coalesce("until", F.col("hi").cast("timestamp")), "month"), F.col("hi")), F.expr("interval 1 month"))
-    active = active.select("pattern", "since", "until", F.explode(months).alias("month"))
-    keyed = rows.select("rid", "fetched_at", F.explode(patterns(F.col("url"))).alias("pattern")).distinct().withColumn("month", F.trunc("fetched_at", "month"))
-    met = keyed.join(active, ["pattern", "month"]).where("since <= fetched_at and (until is null or fetched_at < until)")
+    hour = lambda c: F.date_trunc("hour", c)
+    active = intervals(changes)
+    none = F.lit(None).cast("timestamp")
+    state = lambda since: F.struct(since.alias("since"))
+    turns = active.select("pattern", F.col("since").alias("at"), state(F.col("since")).alias("state")).unionByName(active.where("until is not null").select("pattern", F.col("until").alias("at"), state(none).alias("state")))
+    # an interval may begin when the one before ends: the beginning counts
+    turns = turns.groupBy("pattern", "at").agg(F.max("state").alias("state"))
+    keyed = rows.where("fetched_at is not null").select("rid", F.col("fetched_at").alias("at"), F.explode(patterns(F.col("url"))).alias("pattern"))
+    empty = F.lit(None).cast("struct<since:timestamp>")
+    # the state that a pattern has at the start of each hour with captures
+    starts = keyed.select("pattern", hour("at").alias("at")).distinct().withColumn("state", empty).withColumn("kind", F.lit(1))
+    order = Window.partitionBy("pattern").orderBy("at", "kind")
+    by_then = turns.withColumn("kind", F.lit(0)).unionByName(starts).withColumn("state", F.last("state", ignorenulls=True).over(order)).where("kind = 1 and state is not null")
+    all_ = keyed.withColumn("state", empty).withColumn("kind", F.lit(2)).unionByName(by_then.withColumn("kind", F.lit(0)).withColumn("rid", F.lit(None).cast("long"))).unionByName(turns.withColumn("kind", F.lit(1)).withColumn("rid", F.lit(None).cast("long")))
+    within = Window.partitionBy("pattern", hour("at")).orderBy("at", "kind")
+    met = all_.withColumn("since", F.last("state", ignorenulls=True).over(within)["since"]).where("kind = 2 and since is not null")
     best = met.groupBy("rid").agg(F.max(F.struct(F.length("pattern").alias("n"), "pattern", "since")).alias("b"))
     out = rows.join(best, "rid", "left")
     return out.select("page_id", "fetched_at", host(F.col("url")).alias("host"), F.when(F.col("b").isNotNull(), 1).otherwise(0).alias("blocked"), F.col("b.pattern").alias("pattern"), F.col("b.since").alias("since"))

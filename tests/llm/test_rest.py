@@ -149,6 +149,124 @@ def test_pairs_of_terms_are_learned():
     assert ((machine.margins(doc, x, len(on)) > 0) == (y == 1)).mean() > 0.99
 
 
+def test_pairs_without_marginal_signal(spark):
+    """Documents are toxic where both or neither of two words stand: each alone is as common in either kind."""
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(2500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = prose(rng, 30).split() + ["grumvak"] * a + ["plixnor"] * b
+        rng.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(a == b)))
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(d, lab).collect()}
+    held = [(got[i]["predicted"], y) for i, y in labels if got[i]["held_out"]]
+    assert sum(a == b for a, b in held) / len(held) >= 0.95
+
+
+def test_toxicity_learns_from_one_row_an_id(spark):
+    docs = [(1, f"text {i}") for i in range(50)] + [(i, "fine words here") for i in range(2, 9)] + [(None, "no id")]
+    d = spark.createDataFrame([(*r, "x", 0.1) for r in docs], "doc_id long, text string, _score string, score double")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, toxic int")
+    assert toxicity.toxicity(d, lab).count() == len(docs)
+    seen = []
+    train = toxicity.train
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "train", lambda rows, *a: seen.append(len(rows)) or train(rows, *a))
+        toxicity.fit(d, lab)
+    assert seen == [sum(fold_of(i, 5) != 0 for i in range(1, 9))]
+
+
+def fold_of(i, parts):
+    import zlib
+
+    return zlib.crc32(str(i).encode()) % parts
+
+
+def test_margins_are_brute_force():
+    """Scores of whole texts by a plain sum over terms and pairs of terms."""
+    rng = np.random.default_rng(1)
+    table = np.where(rng.random(toxicity.SLOTS) < 0.6, rng.integers(0, 50, toxicity.SLOTS), -1).astype(np.int32)
+    machine = toxicity.Machine(table, -0.3, rng.normal(size=50), rng.normal(size=(50, 4)))
+    texts = [prose(random.Random(i), n) for i, n in enumerate((0, 1, 5, 40))] + [None, "Ünder ABC abc!"]
+    for text, score in zip(texts, machine.scores(texts), strict=True):
+        known = sorted(set(toxicity.term_slots([text], table)[1].tolist()))
+        margin = machine.bias + sum(machine.weight[i] for i in known) + sum(machine.factor[i] @ machine.factor[j] for i in known for j in known if i < j)
+        assert abs(score - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))) < 1e-9
+
+
+def test_mixture_is_brute_force():
+    """Proportions, languages taken out and scores by plain loops over every trigram."""
+    import math
+
+    rng = random.Random(2)
+    langs = ["aa", "bb", "cc"]
+    counts = np.full((3, langid.SLOTS), 0.5)
+    for i, words in enumerate(("stein unge berch keit", "tion leaux ment rue", "zza gno lli ccio")):
+        counts[i] += langid.slot_counts(" ".join(rng.choices(words.split(), k=3000)))
+    table = np.log(counts / counts.sum(1, keepdims=True))
+    mixture = langid.Mixture(langs, table)
+
+    def em(grams, active, pi, rounds):
+        for _ in range(rounds):
+            new = [0.0] * len(active)
+            for g in grams:
+                parts = [p * math.exp(table[a, g]) for p, a in zip(pi, active)]
+                for i, x in enumerate(parts):
+                    new[i] += x / sum(parts)
+            pi = [x / len(grams) for x in new]
+        return pi, sum(math.log(sum(p * math.exp(table[a, g]) for p, a in zip(pi, active))) for g in grams)
+
+    for words in ("stein keit unge", "tion stein leaux berch ment", "zza " * 9 + "rue leaux " * 8):
+        grams = [int(g) for x in langid.gram_slots(words) for g in x]
+        active = [0, 1, 2]
+        pi, best = em(grams, active, [1 / 3] * 3, 12)
+        while len(active) > 1:
+            out = pi.index(min(pi))
+            rest = [p + 1e-12 for i, p in enumerate(pi) if i != out]
+            fewer, less = em(grams, active[:out] + active[out + 1 :], [p / sum(rest) for p in rest], 6)
+            if best - less >= langid.PENALTY * math.log(len(grams) + 1):
+                break
+            active, pi, best = active[:out] + active[out + 1 :], fewer, less
+        lang, share = mixture.predict(words)
+        assert lang == langs[active[pi.index(max(pi))]] and abs(share - max(pi) / sum(pi)) < 1e-6
+
+
+def test_languages_learned_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    rows = [(i, "some words", "common" if i % 3 else f"free text {i}") for i in range(30)]
+    langs, table = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(langs) == 2 and "common" in langs and table.shape == (2, langid.SLOTS)
+
+
+def test_url_filter_of_distant_dates_and_hot_hosts(spark):
+    """Against every interval of every pattern, one after the other."""
+    rng = random.Random(6)
+    at = lambda: datetime(2024, rng.choice([1, 1, 1, 2]), rng.randint(1, 28), rng.choice([0, 5, 5]), rng.choice([0, 0, 30]))
+    hosts = ["hot.example", "hot.example", "a.hot.example", "b.example"]
+    urls = [f"http://{rng.choice(hosts)}{rng.choice(['', '/', '/x/y', '/x/z/w', '//', '/x//y'])}" for _ in range(400)]
+    captures = [(i, u, at()) for i, u in enumerate(urls)] + [(900, urls[0], datetime(9999, 12, 31, 23)), (901, urls[1], datetime(1, 1, 2)), (902, "http://hot.example/" + "d/" * 300, at())]
+    changes = [(rng.choice(["hot.example", "hot.example/x/", "example", "b.example", "b.example/x/"]), rng.choice(["add", "remove"]), at()) for _ in range(60)] + [("a.hot.example", "add", datetime(2, 1, 1))]
+    want = {}
+    for i, u, t in captures:
+        name, _, path = u.removeprefix("http://").partition("/")
+        labels, parts = name.split("."), path.split("/")[:-1]
+        covers = [".".join(labels[j:]) for j in range(max(1, len(labels) - 1))] + [f"{name}/{'/'.join(parts[: j + 1])}/" for j in range(len(parts))]
+        best = None
+        for p in covers:
+            since = None
+            for when in sorted({w for q, _, w in changes if q == p and w <= t}):
+                last = max(a for q, a, w in changes if q == p and w == when)
+                since = (since or when) if last == "add" else None
+            if since is not None and (best is None or (len(p), p) > best[:2]):
+                best = (len(p), p, since)
+        want[i] = best and best[1:]
+    found = url_filter.evaluate(spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp"), spark.createDataFrame(changes, "pattern string, action string, at timestamp"))
+    got = {r["page_id"]: (r["pattern"], r["since"]) if r["blocked"] else None for r in found.collect()}
+    assert got == want and any(want.values()) and not all(want.values())
+
+
 def test_url_filter(spark):
     at = lambda d, h=0: datetime(2024, 3, d, h)
     changes = [("bad.example", "add", at(2)), ("bad.example", "add", at(3)), ("bad.example", "remove", at(10)), ("ok.example/x/", "add", at(1)), ("bad.example", "add", at(20)), ("tie.example", "add", at(4)), ("tie.example", "remove", at(4)), (None, "add", at(1)), ("n.example", "add", None)]
@@ -191,6 +309,46 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r["doc_id"] for r in now.select("doc_id").distinct().collect()} == kept
 
 
+def test_stages_of_odd_documents(spark, odd_documents, no_documents):
+    """Null and repeated ids, odd texts and columns called as those that stages use; empty tables."""
+    import corpus_pipeline as p
+
+    names = ["_score", "score", "found_lang", "_found_share", "row_key", "ROW_TEXT", "_k", "_x", "_lang", "row_number", "row_empty"]
+    docs = odd_documents.select("doc_id", "text", "lang", "source").selectExpr("*", *[f"{i} as {n}" for i, n in enumerate(names)])
+    rows = sorted((repr(r["doc_id"]), r["text"] or "") for r in docs.collect())
+    for name, stage in p.STAGES[:3]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns
+        got = sorted((repr(r["doc_id"]), r["text"] or "") for r in after.collect())
+        assert all(list(r)[4:] == list(range(len(names))) for r in after.collect())
+        if name == "toxicity":
+            assert got == rows
+        if name == "language_id":
+            assert got == [r for r in rows if any(c.isalpha() for c in r[1])]
+        assert stage(spark, no_documents, FOLDER).count() == 0
+    assert p.pack(spark, no_documents, FOLDER).count() == 0
+
+
+def test_run_is_its_stages(spark, tmp_path):
+    """run() gives what the stages give when each is written and read by itself, and leaves no table behind."""
+    import os
+
+    import corpus_pipeline as p
+
+    now = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for i, (_, stage) in enumerate(p.STAGES):
+        stage(spark, now, FOLDER).write.parquet(str(tmp_path / str(i)))
+        now = spark.read.parquet(str(tmp_path / str(i)))
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {x for x in os.listdir(shared) if x.startswith("stored-")}
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    out = p.run(spark, FOLDER)
+    plain = lambda df: sorted(tuple(r) for r in df.select(*columns).collect())
+    assert plain(out) == plain(now)
+    assert out.select("sequence_id").distinct().count() == now.select("sequence_id").distinct().count()
+    assert {x for x in os.listdir(shared) if x.startswith("stored-")} == before
+
+
 def test_one_row_of_each_group(spark, odd_documents):
     """Ids never merge rows: null ids, two texts under one id and rows without words, against a brute-force grouping."""
     import corpus_pipeline as p
