@@ -1,8 +1,9 @@
 """Corpus pipeline: toxicity, language identification, one document of each near-duplicate group, packing.
 
 Each stage is (spark, docs, sf_dir) -> DataFrame and is written as Parquet and read again before the next. Stages work on
-all rows that the one before kept and, but for the last, return the columns of documents as they came. Rows with equal
-ids are told apart by their content: a stage's decision holds for each row on its own.
+all rows that the one before kept and, but for the last, return the columns of documents as they came, whatever they are
+called. Rows with equal ids, or without one, are told apart by their content: a stage's decision holds for each row on its
+own. Null, empty and very long texts go through as each stage says; an empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stagelight.llm import langid, ngram_join, packing, toxicity
-from stagelight.llm.common import Stored, cut, key, table
+from stagelight.llm.common import Stored, cut, fresh, key, table
 
 #: Documents with this toxicity score or more go.
 TOXIC = 0.5
@@ -24,16 +25,19 @@ LEAST_SHARE = 0.2
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a score under TOXIC; the scorer learns from the labelled ones among docs."""
-    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), docs.columns)
-    return scored.where(F.col("_score") < TOXIC).drop("_score")
+    """Keeps documents with a score under TOXIC; the scorer learns from the labelled ones among docs. Null and empty texts
+    get the score of a text without known terms and stay."""
+    name = fresh(docs.columns, "score")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), docs.columns, name)
+    return scored.where(F.col(name) < TOXIC).drop(name)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in which a language is found. With the four languages of documents that rejects texts without
-    letters alone: no junk, mixed or badly fitting text with a letter goes here."""
-    found = langid.identified(docs, langid.learn(docs), docs.columns)
-    return found.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SHARE)).drop("_lang", "_score")
+    letters alone, null and empty ones included: no junk, mixed or badly fitting text with a letter goes here."""
+    lang, share = fresh(docs.columns, "found_lang"), fresh(docs.columns, "found_share")
+    found = langid.identified(docs, langid.learn(docs), docs.columns, (lang, share))
+    return found.where((F.col(lang) != langid.UNKNOWN) & (F.col(share) >= LEAST_SHARE)).drop(lang, share)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +45,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     with the smallest id, null last; of rows that share this id, the one with the smallest text hash. Groups are of rows:
     different texts under one id, or without an id, are judged each on its own. Rows without words all stay: they are
     linked with nothing."""
-    kept = cut(ngram_join.one_of_each(docs, width=5, threshold="0.8").select(F.col("k").alias("_k"), F.col("x").alias("_x"), F.col("empty").alias("_empty")))
-    rows = docs.withColumns({"_k": key("doc_id"), "_x": F.xxhash64("text")}).join(kept, ["_k", "_x"])
-    same = Window.partitionBy("_k", "_x").orderBy("text")  # one of the rows with this id and text
-    return rows.withColumn("_n", F.row_number().over(same)).where("_n = 1 or _empty").select(*docs.columns)
+    k, x, empty, n = (fresh(docs.columns, c) for c in ("row_key", "row_text", "row_empty", "row_number"))
+    kept = cut(ngram_join.one_of_each(docs, width=5, threshold="0.8").select(F.col("k").alias(k), F.col("x").alias(x), F.col("empty").alias(empty)))
+    rows = docs.withColumns({k: key("doc_id"), x: F.xxhash64("text")}).join(kept, [k, x])
+    same = Window.partitionBy(k, x).orderBy("text")  # one of the rows with this id and text
+    return rows.withColumn(n, F.row_number().over(same)).where((F.col(n) == 1) | F.col(empty)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,9 +68,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = Stored(docs).df
+    docs, stored = table(spark, sf_dir, "documents"), []
+    try:
+        for i, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if i + 1 < len(STAGES):
+                stored.append(Stored(docs))
+                docs = stored[-1].df
+            for old in stored[:-1]:
+                old.drop()
+            del stored[:-1]
+    finally:
+        for old in stored:  # the last stage has checkpointed what it reads
+            old.drop()
     return docs
