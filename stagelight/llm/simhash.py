@@ -4,14 +4,18 @@ Terms are word bigrams of the lower-cased text (the last word closes the text as
 how often it occurs. Each term has 128 hash bits and votes +weight or -weight on each; a fingerprint bit is set where
 the votes are above zero, so ties and texts without words give zeros.
 
+Fingerprints within a Hamming radius are found by permuted block tables: the bits are cut into radius + SPARE + 1 blocks,
+of which at most `radius` can differ, so some choice of SPARE + 1 blocks is equal; there is a table for each choice, keyed
+by the bits of its blocks, and queries probe them all. Equal fingerprints are one entry, so copies cost one.
+
 Nulls: a null text counts as the empty text, a null doc_id as smaller than every other id. Repeated rows each stay; where
-several rows share an id, the one with the smallest text hash is "the document" that neighbours see. Extra columns are
-ignored. An empty table gives an empty result; the neighbour of a single document is itself.
+several rows share an id, the one with the smallest text hash is "the document" that neighbours see. Rows of one id meet in
+one task, as their edited texts share a neighbour. Very long texts are cut up and count whole, in memory proportional to
+their length. Extra columns are ignored. An empty table gives an empty result; the neighbour of a single document is itself.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +24,8 @@ from pyspark.sql import functions as F
 from stagelight.llm.common import NULL_KEY, cut, key, only
 
 BITS = 128
+#: Radius of the block tables, blocks more than that in a key, and which documents are queries: every fiftieth id
+RADIUS, SPARE, EVERY = 3, 1, 50
 #: Votes are counted two to a long; no text has 2^31 terms.
 _LANES = 0x0000000100000001
 
@@ -93,26 +99,50 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     both = both.withColumn("sha", F.unhex(F.sha2("edited", 256)))
     found = cut(fingerprints(both, {"f": "text", "e": "edited"}, ["k"], ["next", "n_chars", "x", "sha"]))
     ahead = found.groupBy(F.col("k").alias("nk")).agg(F.min(F.struct("x", "f")).alias("a")).select("nk", F.col("a.f").alias("nf"))
-    return found.join(ahead, F.col("next") == F.col("nk")).select(
+    both = found.join(ahead, F.col("next") == F.col("nk")).drop("nk")
+    # every fiftieth document asks for those near it; the rest goes past that join, so that no key is null
+    asks = F.col("k") % EVERY == 0
+    prints = found.groupBy("f").agg(F.count("*").alias("docs"), F.min(F.when(F.col("k") != NULL_KEY, F.col("k"))).alias("least")).select("f.hi", "f.lo", "docs", "least")
+    queries = found.where(asks).select("f.hi", "f.lo").distinct()
+    near = within(prints, queries).groupBy("q_hi", "q_lo").agg(F.sum("docs").alias("near_docs"), F.min("least").alias("near_first"))
+    asked = both.where(asks).join(near, (F.col("f.hi") == F.col("q_hi")) & (F.col("f.lo") == F.col("q_lo")), "left").drop("q_hi", "q_lo")
+    nothing = F.lit(None).cast("long")
+    out = asked.unionByName(both.where(~asks).withColumn("near_docs", nothing).withColumn("near_first", nothing))
+    return out.select(
         F.when(F.col("k") != NULL_KEY, F.col("k")).alias("doc_id"), "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), hex_of("f").alias("fingerprint"), hex_of("e").alias("edited_fingerprint"),
-        likeness("f", "e").alias("near_edited"), likeness("f", "nf").alias("near_next"),
+        likeness("f", "e").alias("near_edited"), likeness("f", "nf").alias("near_next"), "near_docs", "near_first",
     )
 
 
-def near_pairs(prints: DataFrame, radius: int = 3, fingerprint: str = "fingerprint", spare: int = 1) -> DataFrame:
-    """All pairs of different fingerprints (32 hex digits) within the radius, by permuted block tables.
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
 
-    The bits fall into radius + spare + 1 blocks. At most `radius` blocks can differ, so some choice of spare + 1 blocks
-    is equal: there is a table for each choice, keyed by the bits of its blocks. Equal fingerprints are collapsed first,
-    so copies make no pairs; join them back by fingerprint. Null fingerprints take no part. Returns a < b and distance.
-    """
-    one = prints.select(F.col(fingerprint).alias("f")).where("f is not null").distinct()
+def block_masks(radius: int, spare: int) -> list[tuple[int, int]]:
+    """(hi, lo) bits of each table's key: every choice of spare + 1 of radius + spare + 1 blocks."""
     blocks = radius + spare + 1
-    binary = F.concat(*[F.lpad(F.conv(F.substring("f", 1 + 8 * i, 8), 16, 2), 32, "0") for i in range(4)])
     cuts = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    parts = [F.substring("bits", a + 1, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    tables = F.array(*[F.xxhash64(F.lit(i), *[parts[j] for j in chosen]) for i, chosen in enumerate(combinations(range(blocks), spare + 1))])
-    keyed = one.withColumn("bits", binary).select("f", F.explode(tables).alias("t"))
-    left, right = keyed.select(F.col("f").alias("a"), "t"), keyed.select(F.col("f").alias("b"), "t")
-    apart = reduce(lambda x, y: x + y, [F.bit_count(F.conv(F.substring("a", 1 + 8 * i, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring("b", 1 + 8 * i, 8), 16, 10).cast("long"))) for i in range(4)])
-    return left.join(right, "t").where("a < b").withColumn("distance", apart).where(F.col("distance") <= radius).select("a", "b", "distance").distinct()
+    each = [(1 << b) - (1 << a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    sums = [sum(c) for c in combinations(each, spare + 1)]
+    return [(_signed(m >> 64), _signed(m & (1 << 64) - 1)) for m in sums]
+
+
+def within(index: DataFrame, queries: DataFrame, radius: int = RADIUS, spare: int = SPARE) -> DataFrame:
+    """index (hi, lo, ...) and distinct queries (hi, lo) -> index rows within the radius of a query's fingerprint, with
+    (q_hi, q_lo) and distance. A pair that agrees in several tables comes from the first of them."""
+    masks = block_masks(radius, spare)
+    bits = lambda hi, lo, m: (F.col(hi).bitwiseAND(F.lit(m[0])), F.col(lo).bitwiseAND(F.lit(m[1])))
+    keys = lambda hi, lo: F.explode(F.array(*[F.struct(F.lit(i).alias("table"), F.xxhash64(F.lit(i), *bits(hi, lo, m)).alias("t")) for i, m in enumerate(masks)]))
+    left = index.select("*", keys("hi", "lo").alias("l")).select(*index.columns, F.col("l.table").alias("table"), F.col("l.t").alias("t"))
+    right = queries.select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), keys("hi", "lo").alias("r")).select("q_hi", "q_lo", F.col("r.t").alias("q_t"))
+    apart = F.bit_count(F.col("hi").bitwiseXOR(F.col("q_hi"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("q_lo")))
+    agree = lambda m: (F.col("hi").bitwiseXOR(F.col("q_hi")).bitwiseAND(F.lit(m[0])) == 0) & (F.col("lo").bitwiseXOR(F.col("q_lo")).bitwiseAND(F.lit(m[1])) == 0)
+    first = F.coalesce(*[F.when(agree(m), F.lit(i)) for i, m in enumerate(masks)])
+    met = left.join(right, F.col("t") == F.col("q_t")).withColumn("distance", apart)
+    return met.where((F.col("distance") <= radius) & (first == F.col("table"))).drop("t", "q_t", "table")
+
+
+def halves(fingerprint: str) -> list[Column]:
+    """hi and lo of a fingerprint of 32 hex digits."""
+    word = lambda at: F.shiftleft(F.conv(F.substring(fingerprint, at, 8), 16, 10).cast("long"), 32).bitwiseOR(F.conv(F.substring(fingerprint, at + 8, 8), 16, 10).cast("long"))
+    return [word(1).alias("hi"), word(17).alias("lo")]

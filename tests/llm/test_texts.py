@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -49,15 +50,59 @@ def test_fingerprints_of_nothing_and_one(spark, no_documents):
     assert one["edited_sha256"] == sha("abab") and one["near_next"] == 1.0
 
 
-def test_near_pairs(spark):
+@pytest.mark.parametrize("radius, spare", [(3, 1), (2, 2), (0, 0), (6, 1)])
+def test_block_tables(spark, radius, spare):
+    """Every fingerprint within the radius of a query, once, as a comparison with each gives it."""
     rng = random.Random(1)
     base = [rng.getrandbits(128) for _ in range(30)]
-    many = base + [b ^ sum(1 << x for x in rng.sample(range(128), rng.randint(1, 5))) for b in base for _ in range(4)]
-    rows = spark.createDataFrame([(f"{x:032x}",) for x in many] + [(f"{many[0]:032x}",), (None,)], "fingerprint string")
-    got = {(r["a"], r["b"]): r["distance"] for r in simhash.near_pairs(rows, 3).collect()}
-    hexes = sorted({f"{x:032x}" for x in many})
-    want = {(a, b): n for i, a in enumerate(hexes) for b in hexes[i + 1 :] if (n := (int(a, 16) ^ int(b, 16)).bit_count()) <= 3}
-    assert got == want
+    many = base + [b ^ sum(1 << x for x in rng.sample(range(128), rng.randint(0, 7))) for b in base for _ in range(6)]
+    prints = spark.createDataFrame([(f"{x:032x}", i) for i, x in enumerate(many)], "fingerprint string, i long").select(*simhash.halves("fingerprint"), "i")
+    queries = prints.where("i % 3 = 0").select("hi", "lo").distinct()
+    number = lambda hi, lo: (hi % 2**64) << 64 | lo % 2**64
+    got = sorted((number(r["q_hi"], r["q_lo"]), r["i"], r["distance"]) for r in simhash.within(prints, queries, radius, spare).collect())
+    want = sorted((q, i, n) for q in set(many[::3]) for i, x in enumerate(many) if (n := (q ^ x).bit_count()) <= radius)
+    assert got == want and len(want) > len(set(many[::3]))
+
+
+def plain_fingerprints(spark, texts):
+    """Votes counted term by term in Python; hash bits of terms come from Spark's xxhash64."""
+    terms = {}
+    for t in texts:
+        words = re.split(r"[ \t\n\x0b\f\r]+", t.lower())
+        terms[t] = [(w, words[i + 1] if i + 1 < len(words) else None) for i, w in enumerate(words) if w]
+    every = sorted({x for v in terms.values() for x in v}, key=repr)
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(every)], "i long, w string, x string").selectExpr("i", "xxhash64(w, x) as h").selectExpr("i", "h", "xxhash64(h) as g")
+    bits = {every[r["i"]]: (r["h"] % 2**64, r["g"] % 2**64) for r in df.collect()}
+    out = {}
+    for t, found in terms.items():
+        print_ = 0
+        for half in (0, 1):
+            for b in reversed(range(64)):
+                votes = sum(1 if bits[x][half] >> b & 1 else -1 for x in found)
+                print_ = print_ << 1 | (votes > 0)
+        out[t] = f"{print_:032x}"
+    return out
+
+
+def test_fingerprints_are_brute_force(spark):
+    """Fingerprints, both likenesses, and documents within the radius, by plain loops over whole texts."""
+    rng = random.Random(13)
+    base = " ".join(rng.choices("alpha beta gamma delta epsilon zeta eta theta".split(), k=400))
+    texts = [base, base, base + " one", base.replace("alpha", "Alpha", 3), base + " two words", "", None, "x", " lead and trail ", "A b a B"]
+    rows = [(i * 25, texts[i % len(texts)] if i % 4 else base + " " + "ab " * i) for i in range(40)]
+    got = {r["doc_id"]: r for r in simhash.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    ids, plain = sorted(i for i, _ in rows), {i: t or "" for i, t in rows}
+    following = {i: ids[(n + 1) % len(ids)] for n, i in enumerate(ids)}
+    edited = {i: t[: len(t) - len(t) // 2] + plain[following[i]][: len(t) // 2] for i, t in plain.items()}
+    prints = plain_fingerprints(spark, set(plain.values()) | set(edited.values()))
+    like = lambda a, b: 1 - (int(a, 16) ^ int(b, 16)).bit_count() / 128
+    for i, t in plain.items():
+        f, e = prints[t], prints[edited[i]]
+        near = [j for j in ids if like(f, prints[plain[j]]) >= 1 - simhash.RADIUS / 128]
+        want = (f, e, like(f, e), like(f, prints[plain[following[i]]]), *((len(near), min(near)) if i % 50 == 0 else (None, None)))
+        r = got[i]
+        assert (r["fingerprint"], r["edited_fingerprint"], r["near_edited"], r["near_next"], r["near_docs"], r["near_first"]) == want
+    assert len({got[i]["near_docs"] for i in ids if i % 50 == 0}) > 2
 
 
 def test_bpe_on_odd_documents(odd_documents, no_documents):
