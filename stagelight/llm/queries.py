@@ -23,10 +23,6 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(license.files_of(documents(spark, sf_dir)))
 
 
-def op2_license_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license.scan_whole(license.files_of(documents(spark, sf_dir)))
-
-
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -66,7 +62,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_license_scan": op2_license_scan,
-    "op2_license_whole": op2_license_whole,
     "op3_chat_format": op3_chat_format,
     "op4_packing": op4_packing,
     "op5_bpe": op5_bpe,

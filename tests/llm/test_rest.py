@@ -41,31 +41,66 @@ def test_licences(spark):
     assert license.scan(spark.createDataFrame([], FILES)).count() == 0
 
 
-def test_whole_licences(spark):
-    """Every kind of planted licence line, and lines without any cue, against TF-IDF over all lines by brute force."""
+def test_units_against_brute_force(spark):
+    """Planted licence lines of every kind and odd ones, wrapped notices, blocks and licence files, against TF-IDF of every
+    line, block and licence file with every template."""
     import math
     import re
     from collections import Counter
 
     rng = random.Random(14)
     planted = {"All rights reserved.": "Proprietary", "Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
-    odd = ["subject to the terms of the mozilla public", "..all.. ..rights-reserved. a..b", "The rights of all are reserved, as the terms of the version say", "the and of to", "  All rights reserved  ", "this work, version 2.0", "All", "reserved rights", "\r", ""]
-    rows = [(i, f"a/{i}/LICENSE" if i % 7 == 0 else f"a/{i // 2}/x{i}.txt", "\n".join([f"The {prose(rng, rng.randint(1, 9))} of the {prose(rng, 3)}." for _ in range(rng.randint(0, 4))] + rng.sample([*planted, *odd], rng.choice([0, 1, 1, 2])))) for i in range(150)]
-    rows += [(500 + i, f"b/{i}.txt", f"{prose(rng, 20)}\n{x}\nthe end") for i, x in enumerate(planted)] + [(600, "b/n", None)]
-    cut_up = lambda x: [t for y in re.split("[^a-z0-9.-]+", x.lower()) if (t := y.strip("."))]
-    docs = [list(dict.fromkeys(x.strip(" ") for x in t.split("\n"))) if t is not None else [] for _, _, t in rows]
-    df, n = Counter(t for d in docs for x in d for t in set(cut_up(x))), sum(map(len, docs))
+    odd = ["subject to the terms of the mozilla public", "..all.. ..rights-reserved. a..b", "The rights of all are reserved, as the terms of the version say", "the and of to", "  All rights reserved  ", "this work, version 2.0", "All", "reserved rights", "\r", "", "", "-- -.-"]
+    wrapped = lambda x, w=9, mark="": "\n".join(mark + " ".join(x.split()[i : i + w]) for i in range(0, len(x.split()), w))
+    notices = [wrapped(x, rng.randint(4, 14), rng.choice(["", "# ", " * "])) for _, x in license.TEMPLATES]
+    rows = [(i, f"a/{i}/LICENSE" if i % 7 == 0 else f"a/{i // 2}/x{i}.txt", "\n".join([f"The {prose(rng, rng.randint(1, 9))} of the {prose(rng, 3)}." for _ in range(rng.randint(0, 4))] + rng.sample([*planted, *odd, *notices], rng.choice([0, 1, 1, 3])))) for i in range(200)]
+    rows += [(500 + i, f"b/{i}.txt", f"{prose(rng, 20)}\n{x}\nthe end") for i, x in enumerate(planted)] + [(600, "b/n", None), (None, "b/m", "MIT License")]
+    cut_up = lambda x: [t for y in re.split("[^a-z0-9.-]+", x.lower()) if (t := y.strip(".-"))]
+    lines = [list(dict.fromkeys(x.strip(" ") for x in t.split("\n"))) if t is not None else [] for _, _, t in rows]
+    df, n = Counter(t for d in lines for x in d for t in set(cut_up(x))), sum(map(len, lines))
     vector = lambda x: {t: c * (math.log((1 + n) / (1 + df[t])) + 1) for t, c in Counter(cut_up(x)).items()}
     size = lambda v: math.sqrt(sum(a * a for a in v.values()))
-    notices = [(k.split("#")[0], vector(x)) for k, x in license.NOTICES.items()]
+    given = [(license.SAME.get(k, k), vector(x)) for k, x in license.TEMPLATES]
     want = {}
-    for (i, _, _), d in zip(rows, docs, strict=True):
-        best = [(-round(sum(a * w.get(t, 0) for t, a in v.items()) / (size(v) * size(w)), 6), k) for v in map(vector, d) if v for k, w in notices]
+    for (i, path, text), d in zip(rows, lines, strict=True):
+        units = d + [x for x in re.split(r"\n[ \t\r]*\n", text or "") if "\n" in x] + ([text] if path.endswith("LICENSE") else [])
+        best = [(-round(sum(a * w.get(t, 0) for t, a in v.items()) / (size(v) * size(w)), 6), k) for v in map(vector, units) if v for k, w in given]
         want[i] = next(((k, -s) for s, k in sorted(best) if -s >= license.THRESHOLD), None)
-    out = license.scan_whole(spark.createDataFrame([(*r, 0, "") for r in rows], FILES)).collect()
+    out = license.scan(spark.createDataFrame([(*r, 0, "") for r in rows], FILES)).collect()
     assert {r["doc_id"]: (r["license"], round(r["score"], 5)) if r["origin"] == "own" else None for r in out} == {i: w and (w[0], round(w[1], 5)) for i, w in want.items()}
     assert [want[500 + i][0] for i in range(len(planted))] == list(planted.values()) and len(out) == len(rows)
-    assert license.scan_whole(spark.createDataFrame([], FILES)).count() == 0
+    assert license.scan(spark.createDataFrame([], FILES)).count() == 0
+
+
+def test_real_licences(spark):
+    """Licence files, header comments and SPDX lines among texts without any."""
+    rng = random.Random(15)
+    year = "Copyright (c) 2020 Someone"
+    apache = " ".join(license._APACHE)
+    texts = {
+        "MIT": ["MIT License\n\n" + year + "\n\n" + "\n\n".join(license._MIT), license._MIT[0], "/* SPDX-License-Identifier: MIT */\nint x;", "-- SPDX-License-Identifier: MIT"],
+        "BSD-3-Clause": [year + "\n\n" + "\n\n".join(license._BSD), "\n".join(license._BSD)],
+        "Apache-2.0": ["SPDX-License-Identifier: Apache-2.0", "\n\n".join(license._APACHE_FILE), "\n".join("# " + " ".join(apache.split()[i : i + 9]) for i in range(0, 90, 9)) + "\nimport os\n"],
+        "GPL-3.0": ["// SPDX-License-Identifier: GPL-3.0-or-later", "\n\n".join(license._GPL)],
+        "MPL-2.0": [license._MPL, license._MPL.replace(". ", ".\n")],
+    }
+    rows, want = [(1000 + i, f"z/{i}", prose(rng, 60)) for i in range(60)], {}
+    for name, some in texts.items():
+        for x in some:
+            want[len(want)] = name
+            rows.append((len(want) - 1, f"p{len(want)}/LICENSE", x))
+    got = {r["doc_id"]: r["license"] for r in license.scan(spark.createDataFrame([(*r, 0, "") for r in rows], FILES)).collect()}
+    assert got == want | {i: None for i in got if i >= 1000}
+
+
+def test_pattern_of_words():
+    import re
+
+    words = ["all", "a", "also", "mit", "apache-2.0", "v", "version", "2.0"]
+    p = re.compile(license.pattern_of(words))
+    for x in ("all", "alls", "also-", "a.", "mit", "summit", "mit-x", "version", "versio", "v", "2.0", "12.0", "apache-2.0", "apache-2", "x also y"):
+        plain = re.compile(r"(?<![a-z0-9])(?:" + "|".join(map(re.escape, words)) + r")(?![a-z0-9])")
+        assert bool(p.search(x)) == bool(plain.search(x)), x
 
 
 def digest(text):
