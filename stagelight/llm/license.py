@@ -71,7 +71,7 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-4.0", "This work is licensed under Creative Commons Attribution CC BY 4.0"), ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"), ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"), *[("GPL-3.0", x) for x in _GPL], ("GPL-3.0", " ".join(_GPL)),
-    ("MIT", "Released under the MIT License"), ("MIT", "MIT License"), *[("MIT", x) for x in _MIT], ("MIT", " ".join(_MIT)),
+    ("MIT", "Released under the MIT License"), *[("MIT", x) for x in _MIT], ("MIT", " ".join(_MIT)),
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0"), ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MPL-2.0", _MPL),
     ("Proprietary", "All rights reserved"), ("Proprietary", "Copyright all rights reserved, redistribution is not permitted"), ("Proprietary", "Confidential and proprietary, unauthorized copying is strictly prohibited"),
     *[(x, f"SPDX-License-Identifier: {x}") for x in ("Apache-2.0", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "GPL-3.0-only", "GPL-3.0-or-later", "MIT", "MPL-2.0")],
@@ -148,16 +148,18 @@ def scan(files: DataFrame) -> DataFrame:
     whole = F.when(_base("path").rlike(LICENSE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
     units = F.array_distinct(F.filter(F.concat(lines, blocks, whole), lambda x: F.lower(x).rlike(some)))
     rows = cut(files.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "path", F.when(F.lower("text").rlike(some), units).alias("units")))
-    found = rows.select("rid", "path", F.explode("units").alias("unit"))
-    own = found.join(best_templates(found.select("unit").distinct(), df, templates, n), "unit")
+    # two hashes of 64 bits stand for a unit from here on
+    unit = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    found = rows.select("rid", "path", F.explode("units").alias("text")).withColumn("unit", unit)
+    own = found.drop("text").join(best_templates(found.groupBy("unit").agg(F.first("text").alias("text")), df, templates, n), "unit")
     own = cut(own.groupBy("rid").agg(F.min("b").alias("b"), F.max("path").alias("path")).select("rid", "path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score")))
     return inherited(spark, rows, own)
 
 
 def best_templates(units: DataFrame, df: DataFrame, templates: Templates, n: int) -> DataFrame:
-    """units (unit) and document frequencies (t, df) among n lines -> (unit, b) with the best template of each unit that
-    reaches THRESHOLD, as (s, license) where s is minus the cosine."""
-    counted = units.select("unit", F.explode(terms(F.col("unit"))).alias("t")).groupBy("unit", "t").agg(F.count("*").alias("tf"))
+    """units (unit, text) and document frequencies (t, df) among n lines -> (unit, b) with the best template of each unit
+    that reaches THRESHOLD, as (s, license) where s is minus the cosine."""
+    counted = units.select("unit", F.explode(terms(F.col("text"))).alias("t")).groupBy("unit", "t").agg(F.count("*").alias("tf"))
     weight = F.col("tf") * (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1)
     places = [(t, [v.get(t, 0.0) / m for v, m in zip(templates.vectors, templates.norms, strict=True)]) for t in templates.terms]
     vectors = units.sparkSession.createDataFrame(places, "t string, v array<double>")
