@@ -165,7 +165,7 @@ def artists_by_ids(spark, d):
 def event_composite_key(spark, d):
     t = Tables(spark, d)
     first = t.shows.where("venue_id = 11 and lower(title) = '5-low'").agg(F.min("event_day").alias("day"))
-    return t.shows.join(F.broadcast(first), (F.col("event_day") == F.col("day")) & (F.col("venue_id") == 11) & listings.same("title", "5-low")).drop("day").orderBy("id").limit(1)
+    return t.listings().event_by_venue_day_title(11, first.head()["day"], "5-Low")
 
 
 @query(BASE + "SELECT s.*, v.name AS venue_name FROM shows s LEFT JOIN venues v ON v.id = s.venue_id")
@@ -217,7 +217,7 @@ def delete_by_venue(spark, d):
 
 @query(BASE + "SELECT * FROM shows WHERE id <> 42")
 def delete_event(spark, d):
-    return Tables(spark, d).listings().delete_event(42)
+    return Tables(spark, d).listings().delete_event(42)[0]
 
 
 # Graph
@@ -232,14 +232,12 @@ def shared_artists_two_hop(spark, d):
     return catalog.shared_artists(t.hosts, t.acts, 25)
 
 
-@query(BASE + "SELECT venue_id AS source_id, event_id AS target_id, 'hosts' AS relation FROM hosts WHERE venue_id NOT IN (SELECT id FROM venues WHERE id % 10 <> 3) OR event_id NOT IN (SELECT id FROM shows)")
+@query(BASE + "SELECT 'v' || venue_id AS source_id, 'e' || event_id AS target_id, 'hosts' AS relation FROM hosts WHERE venue_id % 10 = 3 OR event_id % 10 = 4")
 def orphan_edges(spark, d):
     t = Tables(spark, d)
-    edges = t.hosts.select(F.col("venue_id").alias("source_id"), F.col("event_id").alias("target_id"), F.lit("hosts").alias("relation"))
-    known = t.venues.where("id % 10 <> 3").select("id")
-    left = edges.join(known, edges.source_id == known.id, "left_anti")
-    gone = edges.join(t.shows.select("id"), edges.target_id == F.col("id"), "left_anti")
-    return left.unionByName(gone).distinct()
+    edges = t.hosts.select(F.concat(F.lit("v"), "venue_id").alias("source_id"), F.concat(F.lit("e"), "event_id").alias("target_id"), F.lit("hosts").alias("relation"))
+    nodes = t.venues.where("id % 10 <> 3").select(F.concat(F.lit("v"), "id").alias("id")).unionByName(t.shows.where("id % 10 <> 4").select(F.concat(F.lit("e"), "id").alias("id")))
+    return catalog.orphan_edges(edges, nodes)
 
 
 @query("SELECT s_suppkey AS source_id, n AS target_id, 'near' AS relation FROM (SELECT s_suppkey, s_suppkey + 7 AS n FROM supplier) WHERE n NOT IN (SELECT s_suppkey FROM supplier)")
@@ -263,12 +261,12 @@ def drop_nodes(spark, d):
 
 @query(BASE + "SELECT relation, count(*) AS n FROM (SELECT 'hosts' AS relation FROM hosts UNION ALL SELECT 'performs_at' FROM acts) GROUP BY 1")
 def label_counts(spark, d):
-    return Tables(spark, d).edges.groupBy("relation").agg(F.count("*").alias("n"))
+    return catalog.label_counts(Tables(spark, d).edges, "relation")
 
 
 @query("SELECT DISTINCT l_partkey AS artist_id FROM lineitem")
 def distinct_artists(spark, d):
-    return Tables(spark, d).acts.select("artist_id").distinct()
+    return catalog.distinct_ends(Tables(spark, d).acts, "artist_id")
 
 
 # Change detection and merges
@@ -353,10 +351,13 @@ def catalog_validation(spark, d):
     return catalog.validation(t.shows.join(lists, F.col("id") == F.col("event_id"), "left"), today())
 
 
-@query("SELECT p_name AS name, min(p_partkey) AS id FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 50 = 0) GROUP BY 1")
+@query("SELECT p_type AS name, min(p_partkey) AS id FROM part WHERE p_type NOT IN (SELECT p_type FROM part JOIN lineitem ON l_partkey = p_partkey WHERE l_quantity >= 50) GROUP BY 1")
 def find_or_create(spark, d):
-    a = Tables(spark, d).artists
-    return conflation.find_or_create(a, a.where("id % 50 = 0").select("name"), "name").select("name", "id")
+    """Types of parts against those of parts in large positions."""
+    t = Tables(spark, d)
+    large = t.lineitem.where("l_quantity >= 50").select(F.col("l_partkey").alias("p_partkey"))
+    wanted = t.part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("name"))
+    return conflation.find_or_create(wanted, t.part.join(large, "p_partkey", "left_semi").select(F.col("p_type").alias("name")), "name").select("name", "id")
 
 
 # Functions on text
@@ -379,12 +380,13 @@ def name_forms(spark, d):
     )
 
 
-@query("""WITH p AS (SELECT DISTINCT p_name AS n FROM part), t AS (SELECT a.n AS a, b.n AS b, list_distinct(string_split(a.n, ' ')) AS x, list_distinct(string_split(b.n, ' ')) AS y FROM p a JOIN p b ON a.n <= b.n AND a.n[1] = b.n[1])
-SELECT a, b, round(CASE WHEN a = b THEN 1 ELSE len(list_intersect(x, y)) / CAST(len(list_distinct(list_concat(x, y))) AS DOUBLE) END, 6) AS jaccard, round(CASE WHEN a = b THEN 1 ELSE 1 - levenshtein(a, b) / CAST(greatest(length(a), length(b)) AS DOUBLE) END, 6) AS similarity FROM t""")
+@query("""WITH t AS (SELECT a.p_partkey AS id, a.p_name AS a, b.p_name AS b, list_distinct(string_split(a.p_name, ' ')) AS x, list_distinct(string_split(b.p_name, ' ')) AS y FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1)
+SELECT id, a, b, round(CASE WHEN a = b THEN 1 ELSE len(list_intersect(x, y)) / CAST(len(list_distinct(list_concat(x, y))) AS DOUBLE) END, 6) AS jaccard, round(CASE WHEN a = b THEN 1 ELSE 1 - levenshtein(a, b) / CAST(greatest(length(a), length(b)) AS DOUBLE) END, 6) AS similarity FROM t""")
 def name_similarity(spark, d):
-    p = Tables(spark, d).part.select(F.col("p_name").alias("n")).distinct()
-    a, b = p.select(F.col("n").alias("a"), F.substring("n", 1, 1).alias("i")), p.select(F.col("n").alias("b"), F.substring("n", 1, 1).alias("i"))
-    return a.join(b, "i").where("a <= b").select("a", "b", F.round(T.token_jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"), F.round(T.levenshtein_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
+    """Each part's name with that of the next part."""
+    p = Tables(spark, d).artists
+    both = p.select("id", F.col("name").alias("a")).join(p.select((F.col("id") - 1).alias("id"), F.col("name").alias("b")), "id")
+    return both.select("id", "a", "b", F.round(T.token_jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"), F.round(T.levenshtein_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
 _TITLES = "(SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN p_name || ' Open Mic' WHEN 1 THEN p_name || ', ' || p_type || ' & ' || p_brand WHEN 2 THEN 'DJ ' || p_name || ' / x' WHEN 3 THEN p_name || ' feat. ' || p_type || ' & ' || p_brand WHEN 4 THEN p_name || ' with ' || p_type || ' + ' || p_brand ELSE 'Art and Craft ' || p_name || '!!' END AS t FROM part)"
@@ -418,9 +420,12 @@ def title_acts_and_categories(spark, d):
     return _titles(spark, d).select("id", T.headliner(t).alias("headliner"), F.array_join(T.with_acts(t), "|").alias("acts"), F.array_join(T.categories(t), "|").alias("categories"))
 
 
-@query("SELECT p_partkey AS id, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(p_name)) AS digest FROM part")
+_H = "sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(p_name))"
+
+
+@query(f"SELECT p_partkey AS id, substr({_H}, 1, 8) || '-' || substr({_H}, 9, 4) || '-5' || substr({_H}, 14, 3) || '-' || substr('89ab', (instr('0123456789abcdef', substr({_H}, 17, 1)) - 1) % 4 + 1, 1) || substr({_H}, 18, 3) || '-' || substr({_H}, 21, 12) AS uuid FROM part")
 def uuid5_ids(spark, d):
-    return Tables(spark, d).part.select(F.col("p_partkey").alias("id"), F.sha1(F.concat(F.unhex(F.lit(T.DNS_NAMESPACE)), F.encode("p_name", "UTF-8"))).alias("digest"))
+    return Tables(spark, d).part.select(F.col("p_partkey").alias("id"), T.uuid5(F.col("p_name")).alias("uuid"))
 
 
 @query("SELECT doc_id, sha256(source || '|' || coalesce(lang, '') || '|' || '' || '|' || CAST(n_chars AS VARCHAR) || '|' || sha256(text)) AS key FROM documents")
@@ -490,16 +495,16 @@ def enrich_stats(spark, d):
 # Quality gate
 
 
-def _records(spark, d, whole: bool = False) -> DataFrame:
+def _records(spark, d) -> DataFrame:
     t = Tables(spark, d)
     docs = t.documents.join(t.labels.select("doc_id", "quality").dropDuplicates(["doc_id"]), "doc_id", "left")
     return docs.select(
-        "doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("text") if whole else F.substring("text", 1, 12)).otherwise("").alias("title"), F.date_add(today(), (F.col("doc_id") % 900 - 100).cast("int")).alias("event_day"),
+        "doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("text")).otherwise("").alias("title"), F.date_add(today(), (F.col("doc_id") % 900 - 100).cast("int")).alias("event_day"),
         F.when(F.col("doc_id") % 4 == 0, T.NIL_UUID).otherwise("v").alias("venue_id"), (F.lit(0.9) - F.coalesce(1 - F.col("quality"), F.lit(0)) * F.lit(0.3)).alias("confidence"), F.col("lang").alias("source"),
     )
 
 
-RECORDS = f"""records AS (SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN left(text, 12) ELSE '' END AS title, doc_id % 900 - 100 AS ahead, doc_id % 4 = 0 AS nil, 9e-1 - coalesce(1 - quality, 0) * 3e-1 AS confidence FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) USING (doc_id)),
+RECORDS = f"""records AS (SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN text ELSE '' END AS title, doc_id % 900 - 100 AS ahead, doc_id % 4 = 0 AS nil, 9e-1 - coalesce(1 - quality, 0) * 3e-1 AS confidence FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) USING (doc_id)),
 flags AS (SELECT *, trim(title) = '' OR strlen(title) < 3 AS short, ahead > 365 OR ahead < -30 AS off, confidence < 7e-1 AS unsure FROM records),
 scored AS (SELECT *, greatest(confidence - CASE WHEN short THEN 15e-2 ELSE 0 END - CASE WHEN off THEN 5e-2 ELSE 0 END - CASE WHEN nil THEN 1e-2 ELSE 0 END - CASE WHEN unsure THEN 5e-2 ELSE 0 END, 0) AS score FROM flags),
 decided AS (SELECT *, CASE WHEN score < 6e-1 THEN 'Quarantine' WHEN short OR off OR unsure THEN 'AcceptWithWarnings' ELSE 'Accept' END AS decision FROM scored)"""
@@ -537,19 +542,20 @@ def first_failures(spark, d):
 # Entity resolution
 
 
-def _part_entities(spark, d) -> DataFrame:
-    a = Tables(spark, d).part
-    null = lambda t: F.lit(None).cast(t)
-    day = F.date_add(F.lit("1998-01-01").cast("date"), (F.col("p_partkey") % 3).cast("int"))
-    return a.select(F.col("p_partkey").alias("id"), F.lit("event").alias("entity_type"), F.col("p_name").alias("name"), null("double").alias("latitude"), null("double").alias("longitude"), null("string").alias("address"), day.alias("event_day"), (F.col("p_partkey") % 2).alias("venue_id"))
+# A name is shared by a few parts, as a title is by a few events, so pairs grow with the table
+_SHOWN = "p_name || ' ' || (p_partkey // 60)"
 
 
 def _entities(spark, d) -> tuple[DataFrame, DataFrame]:
-    rows = _part_entities(spark, d)
-    return rows.where("id % 10 = 1"), rows.where("id % 100 = 0")
+    """Every part as an event that was read, and every part as a known event."""
+    null = lambda t: F.lit(None).cast(t)
+    day = F.date_add(F.lit("1998-01-01").cast("date"), (F.col("p_partkey") % 3).cast("int"))
+    name = F.concat("p_name", F.lit(" "), F.expr("p_partkey div 60"))
+    rows = Tables(spark, d).part.select(F.col("p_partkey").alias("id"), F.lit("event").alias("entity_type"), name.alias("name"), null("double").alias("latitude"), null("double").alias("longitude"), null("string").alias("address"), day.alias("event_day"), (F.col("p_partkey") % 2).alias("venue_id"))
+    return rows, rows.select("*")
 
 
-RESOLVED = """WITH r AS (SELECT p_partkey AS id, p_name AS name, p_partkey % 3 AS d, p_partkey % 2 AS v FROM part WHERE p_partkey % 10 = 1), c AS (SELECT p_partkey AS id, p_name AS name, p_partkey % 3 AS d, p_partkey % 2 AS v FROM part WHERE p_partkey % 100 = 0),
+RESOLVED = f"""WITH r AS (SELECT p_partkey AS id, {_SHOWN} AS name, p_partkey % 3 AS d, p_partkey % 2 AS v FROM part), c AS (SELECT * FROM r),
 pairs AS (SELECT r.id AS r, c.id AS c, 5e-1 + CASE WHEN r.d = c.d THEN 3e-1 ELSE 0 END + CASE WHEN r.v = c.v THEN 2e-1 ELSE 0 END AS s FROM r JOIN c ON lower(r.name) = lower(c.name)),
 best AS (SELECT r, max(s) AS s, count(*) AS n, count_if(s > 9e-1) AS dup FROM pairs GROUP BY 1), pick AS (SELECT r, min(c) AS c FROM pairs JOIN best USING (r) WHERE pairs.s = best.s GROUP BY 1)"""
 
@@ -565,12 +571,13 @@ def conflation_alternatives(spark, d):
     return r.select("id", F.col("a.entity_id").alias("entity_id"), F.round("a.similarity_score", 6).alias("score"), F.col("a.rejection_reason").alias("reason"))
 
 
-@query("""WITH k AS (SELECT min(p_partkey) AS id, p_name AS name FROM part WHERE p_partkey % 3 = 0 GROUP BY 2), n AS (SELECT min(p_partkey) AS id, substr(p_name, 2) AS name FROM part GROUP BY 2),
+@query("""WITH k AS (SELECT min(p_partkey) AS id, p_name AS name FROM part GROUP BY 2), n AS (SELECT min(p_partkey) AS id, substr(p_name, 2) AS name FROM part GROUP BY 2),
 m AS (SELECT n.id, k.id AS kid, CASE WHEN n.name = k.name THEN 1 ELSE 1 - levenshtein(n.name, k.name) / CAST(greatest(length(n.name), length(k.name)) AS DOUBLE) END AS s, n.name <> k.name AS fuzzy FROM n JOIN k ON true)
 SELECT n.id, n.name, x.kid AS matched_id, round(x.s, 6) AS similarity FROM n LEFT JOIN (SELECT * FROM m WHERE s >= 8e-1 QUALIFY row_number() OVER (PARTITION BY id ORDER BY fuzzy, kid) = 1) x ON x.id = n.id""")
 def fuzzy_name_match(spark, d):
+    """Names without their first letter against all names."""
     p = Tables(spark, d).artists
-    known = p.where("id % 3 = 0").groupBy("name").agg(F.min("id").alias("id"))
+    known = p.groupBy("name").agg(F.min("id").alias("id"))
     names = p.select("id", F.substr("name", F.lit(2)).alias("name")).groupBy("name").agg(F.min("id").alias("id"))
     return conflation.fuzzy_match(names, known, 0.8).withColumn("similarity", F.round("similarity", 6))
 
@@ -655,11 +662,13 @@ def nil_venue_resolution(spark, d):
     return catalog.resolve_venues(e, venues).select("id", "venue_id")
 
 
-@query("SELECT doc_id, trim(t) <> '' AND NOT contains(t, 'OPEN 4PM') AND NOT contains(t, 'HOSTED BY') AND (contains(t, 'http') OR regexp_matches(t, '\\p{Lu}')) AS band FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'HOSTED BY ' || left(text, 30) WHEN 1 THEN lower(left(text, 30)) ELSE left(text, 30) END AS t FROM documents)")
+@query("""SELECT doc_id, pos, trim(t) <> '' AND NOT contains(t, 'OPEN 4PM') AND NOT contains(t, 'HOSTED BY') AND (contains(t, 'http') OR regexp_matches(t, '\\p{Lu}')) AS band FROM (SELECT doc_id, pos, CASE doc_id % 4 WHEN 0 THEN 'HOSTED BY ' || line WHEN 1 THEN lower(line) ELSE line END AS t
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents))""")
 def band_paragraphs(spark, d):
-    k, head = F.col("doc_id") % 4, F.substring("text", 1, 30)
-    t = F.when(k == 0, F.concat(F.lit("HOSTED BY "), head)).when(k == 1, F.lower(head)).otherwise(head)
-    return Tables(spark, d).documents.select("doc_id", T.is_band_paragraph(t).alias("band"))
+    lines = Tables(spark, d).documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    k, line = F.col("doc_id") % 4, F.col("line")
+    t = F.when(k == 0, F.concat(F.lit("HOSTED BY "), line)).when(k == 1, F.lower(line)).otherwise(line)
+    return lines.select("doc_id", "pos", T.is_band_paragraph(t).alias("band"))
 
 
 @query("SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_partkey = 25")
@@ -668,11 +677,10 @@ def events_with_nested_artist(spark, d):
     return listings.events_with_artist(e, 25).select("id")
 
 
-@query("SELECT min(id) AS first_id, count(*) AS n FROM (SELECT event_id AS id FROM events WHERE event_type = 'click' AND event_id % 2 = 0)")
+@query("SELECT event_id AS id, value, user_id FROM events WHERE event_type = 'click'")
 def node_label_decode(spark, d):
-    e = Tables(spark, d).events
-    nodes = e.where("event_id % 2 = 0").select(F.col("event_id").alias("id"), F.col("event_type").alias("label"), F.to_json(F.struct(F.lit(-1).alias("id"), F.col("value").alias("value"))).alias("data"))
-    return listings.decode(nodes, "click", "id bigint, value double").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
+    nodes = Tables(spark, d).events.select(F.col("event_id").alias("id"), F.col("event_type").alias("label"), F.to_json(F.struct(F.lit(-1).alias("id"), "value", "user_id")).alias("data"))
+    return listings.decode(nodes, "click", "id bigint, value double, user_id bigint")
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -680,17 +688,6 @@ def parse_json_props(spark, d):
     return Tables(spark, d).events.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
 
-@query("SELECT 'cal' AS source_id, CAST(ts AS DATE)::VARCHAR AS event_day, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id < 300 ORDER BY ALL")
-def exploded_events_by_dates(spark, d):
-    from stagelight.operators import payloads
-
-    e = Tables(spark, d).events.where("event_id < 300").withColumn("day", F.to_date("ts").cast("string"))
-    days = e.groupBy("day").agg(F.concat(F.lit('"'), F.first("day"), F.lit('":['), F.array_join(F.collect_list("props"), ","), F.lit("]")).alias("part"))
-    doc = days.agg(F.concat(F.lit('{"eventsByDates":{'), F.array_join(F.collect_list("part"), ","), F.lit("}}")).alias("payload"))  # one document by nature
-    rows = payloads.calendar(doc.select(F.lit("cal").alias("source_id"), F.lit("e").alias("envelope_id"), F.lit("r").alias("payload_ref"), "payload"))
-    return rows.select("source_id", F.get_json_object("record", "$.event_day").alias("event_day"), F.get_json_object("record", "$.k").cast("bigint").alias("k"))
-
-
 @query(r"SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<script>(.*?)</script>', 1) AS script FROM pages")
 def html_title_and_script(spark, d):
     return Tables(spark, d).pages.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", "<script>(.*?)</script>", 1).alias("script"))
@@ -701,13 +698,14 @@ def url_segments(spark, d):
     return Tables(spark, d).pages.select("page_id", T.last_segment(F.col("url")).alias("segment"), F.split_part("url", F.lit("?"), F.lit(1)).alias("base"))
 
 
-@query()
+@query("SELECT CAST(page_id AS VARCHAR) AS envelope_id, 'html' AS record_path, CAST(strlen(html) AS BIGINT) AS html_len FROM pages WHERE html NOT LIKE '%EventItem%'")
 def html_pages_parsed(spark, d):
+    """Pages that are no listings: each gives its length."""
     from stagelight.operators import pages
 
     ship(spark)
     p = Tables(spark, d).pages.select(F.lit("kexp").alias("source_id"), F.col("page_id").cast("string").alias("envelope_id"), F.col("url").alias("payload_ref"), "html")
-    return pages.parse_pages(p, "kexp_html_v1", AS_OF)
+    return pages.parse_pages(p, "kexp_html_v1", AS_OF).select("envelope_id", "record_path", F.get_json_object("record", "$.html_len").cast("bigint").alias("html_len"))
 
 
 # Metrics
@@ -743,103 +741,7 @@ def freshness(spark, d):
     return metrics.freshness(_samples(spark, d), ["name"], "2024-02-01 00:00:00")
 
 
-@query("SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN left(text, 20) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM conversations")
+@query("SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM conversations")
 def carry_forward_header(spark, d):
-    c = Tables(spark, d).conversations.withColumn("header", F.when(F.col("role") == "user", F.substring("text", 1, 20)))
-    return metrics.carry_forward(c, ["conv_id"], "turn", "header").select("conv_id", "turn", "carried")
-
-
-# Whole tables: the queries of the same names without _all take subsets by id, as their SQL does
-
-
-def _without(name: str, *cuts: tuple[str, str]) -> str:
-    """The SQL of a query without its cuts."""
-    sql = ORACLE_SQL[name]
-    for cut, whole in cuts:
-        assert cut in sql, (name, cut)
-        sql = sql.replace(cut, whole)
-    return sql
-
-
-_ALL_PARTS = ((" WHERE p_partkey % 10 = 1", ""), (" WHERE p_partkey % 100 = 0", ""))
-
-
-def _all_entities(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Every part row as a record, and every part row as a canonical entity."""
-    rows = _part_entities(spark, d)
-    return rows, rows.select("*")
-
-
-@query(_without("conflation_best_match", *_ALL_PARTS))
-def conflation_best_match_all(spark, d):
-    return conflation.resolve(*_all_entities(spark, d)).select("id", "resolution", "canonical_id", F.round("confidence", 6).alias("confidence"), "n_matches", "n_duplicates", "is_potential_duplicate")
-
-
-@query(_without("conflation_alternatives", *_ALL_PARTS))
-def conflation_alternatives_all(spark, d):
-    r = conflation.resolve(*_all_entities(spark, d)).select("id", F.explode("alternatives").alias("a"))
-    return r.select("id", F.col("a.entity_id").alias("entity_id"), F.round("a.similarity_score", 6).alias("score"), F.col("a.rejection_reason").alias("reason"))
-
-
-@query(_without("fuzzy_name_match", (" WHERE p_partkey % 3 = 0", "")))
-def fuzzy_name_match_all(spark, d):
-    p = Tables(spark, d).artists
-    known = p.groupBy("name").agg(F.min("id").alias("id"))
-    names = p.select("id", F.substr("name", F.lit(2)).alias("name")).groupBy("name").agg(F.min("id").alias("id"))
-    return conflation.fuzzy_match(names, known, 0.8).withColumn("similarity", F.round("similarity", 6))
-
-
-@query(_without("find_or_create", ("SELECT p_name FROM part WHERE p_partkey % 50 = 0", "SELECT s_name FROM supplier")))
-def find_or_create_all(spark, d):
-    t = Tables(spark, d)
-    return conflation.find_or_create(t.artists, t.supplier.select(F.col("s_name").alias("name")), "name").select("name", "id")
-
-
-# Whole texts: the queries of the same names without _whole take prefixes, as their SQL does
-
-_WHOLE_TITLE = ("left(text, 12)", "text")
-
-
-def _assessed_whole(spark, d) -> DataFrame:
-    return quality.assess(_records(spark, d, whole=True), quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), today()))
-
-
-@query(_without("quality_gate", _WHOLE_TITLE))
-def quality_gate_whole(spark, d):
-    a = quality.route(_assessed_whole(spark, d))
-    return a.select("doc_id", F.round("quality_score", 6).alias("score"), "decision", "partition", F.array_join(F.transform("issues", lambda i: i["field"]), "|").alias("issues"))
-
-
-@query(_without("quality_stats", _WHOLE_TITLE))
-def quality_stats_whole(spark, d):
-    return quality.statistics(_assessed_whole(spark, d))
-
-
-@query(_without("first_failures", _WHOLE_TITLE))
-def first_failures_whole(spark, d):
-    r = _records(spark, d, whole=True)
-    return r.select("doc_id", quality.first_failure(F.col("title"), F.lit("v"), F.col("event_day"), today(), F.lit("s")).alias("reason"), quality.simple_gate(F.col("title"), F.lit("v")).alias("simple"))
-
-
-@query(_without("band_paragraphs", ("left(text, 30)", "line"), ("SELECT doc_id, trim", "SELECT doc_id, pos, trim"), ("(SELECT doc_id, CASE", "(SELECT doc_id, pos, CASE"), ("FROM documents", "FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)")))
-def band_paragraphs_whole(spark, d):
-    lines = Tables(spark, d).documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    k, line = F.col("doc_id") % 4, F.col("line")
-    t = F.when(k == 0, F.concat(F.lit("HOSTED BY "), line)).when(k == 1, F.lower(line)).otherwise(line)
-    return lines.select("doc_id", "pos", T.is_band_paragraph(t).alias("band"))
-
-
-@query(_without("carry_forward_header", ("left(text, 20)", "text")))
-def carry_forward_header_whole(spark, d):
     c = Tables(spark, d).conversations.withColumn("header", F.when(F.col("role") == "user", F.col("text")))
     return metrics.carry_forward(c, ["conv_id"], "turn", "header").select("conv_id", "turn", "carried")
-
-
-# All pairs: name_similarity meets names of one first letter alone, as its SQL does
-
-
-@query(_without("name_similarity", (" AND a.n[1] = b.n[1]", "")))
-def name_similarity_all(spark, d):
-    p = Tables(spark, d).part.select(F.col("p_name").alias("n")).distinct()
-    a, b = p.select(F.col("n").alias("a")), p.select(F.col("n").alias("b"))
-    return a.join(b, F.col("a") <= F.col("b")).select("a", "b", F.round(T.token_jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"), F.round(T.levenshtein_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))

@@ -105,6 +105,15 @@ def performers(title: Column) -> Column:
     return F.when(whole, F.array(title)).otherwise(F.filter(split_artists(title), lambda x: F.octet_length(x) > 1))
 
 
+def title_artists(title: Column) -> Column:
+    """Artists that a title names: of "Name LIVE on KEXP (...)" the one before it, if its name is over two bytes; else the
+    parts of the title. Tokens that name the promotion are dropped."""
+    before = F.trim(F.split_part(title, F.lit(" LIVE on KEXP"), F.lit(1)))
+    none = F.array().cast("array<string>")
+    named = F.when(title.contains("LIVE on KEXP"), F.when(F.octet_length(before) > 2, F.array(before)).otherwise(none)).otherwise(split_artists(title))
+    return artist_tokens(named)
+
+
 def headliner(title: Column) -> Column:
     """What stands before "feat" in any case, without closing exclamation marks."""
     at = F.locate("feat", F.lower(title))
@@ -248,8 +257,10 @@ def iso_start_time(text: Column) -> Column:
 
 
 def infer_day(record: Column, as_of: Column) -> Column:
-    """Day of a JSON record: its start or date fields by their first ten characters, else epoch seconds, else as_of."""
+    """Day of a JSON record from the first of its start or date fields that holds a whole number (epoch seconds) or text of
+    ten characters or more (a date in its first ten); as_of if there is none, or if that text is no date."""
     fields = [F.get_json_object(record, p) for p in ("$.start.date", "$.startDate", "$.date", "$.event_day")]
-    named = [F.try_to_date(F.substring(f, 1, 10), "yyyy-MM-dd") for f in fields]
-    epoch = [F.to_date(F.timestamp_seconds(f.try_cast("long"))) for f in fields]
-    return F.coalesce(*named, *epoch, as_of)
+    number = lambda f: f.rlike(r"^-?\d{1,18}$")
+    day = lambda f: F.when(number(f), F.to_date(F.timestamp_seconds(f.try_cast("long")))).otherwise(F.try_to_date(F.substring(f, 1, 10), "yyyy-MM-dd"))
+    found = F.array_compact(F.array(*[F.when(number(f) | (F.char_length(f) >= 10), F.struct(day(f).alias("day"))) for f in fields]))
+    return F.coalesce(F.get(found, 0)["day"], as_of)

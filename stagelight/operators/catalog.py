@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,10 +61,11 @@ def upsert_edges(current: DataFrame, proposed: DataFrame) -> DataFrame:
 
 
 def event_edges(events: DataFrame) -> DataFrame:
-    """(source_id, target_id, relation) that the events imply: hosts from the venue, performs_at from each artist."""
+    """(source_id, target_id, relation) that events imply, each once: hosts from the venue, performs_at from each artist.
+    Events have different ids, so nothing needs a shuffle."""
     hosts = events.where(F.col("venue_id").isNotNull() & (F.col("venue_id").cast("string") != NIL_UUID)).select(F.col("venue_id").alias("source_id"), F.col("id").alias("target_id"), F.lit("hosts").alias("relation"))
-    acts = events.select(F.explode("artist_ids").alias("source_id"), F.col("id").alias("target_id"), F.lit("performs_at").alias("relation")).where(F.col("source_id").cast("string") != NIL_UUID)
-    return hosts.unionByName(acts).distinct()
+    acts = events.select(F.explode(F.array_distinct("artist_ids")).alias("source_id"), F.col("id").alias("target_id"), F.lit("performs_at").alias("relation")).where(F.col("source_id").cast("string") != NIL_UUID)
+    return hosts.unionByName(acts)
 
 
 def orphan_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -87,10 +91,10 @@ def exclusive_artists(hosts: DataFrame, acts: DataFrame, venues: DataFrame) -> D
 
 
 def shared_artists(hosts: DataFrame, acts: DataFrame, venue) -> DataFrame:
-    """Artists of a venue who also play at another one."""
-    placed = acts.join(hosts, "event_id").select("artist_id", "venue_id").distinct()
-    here = placed.where(F.col("venue_id") == venue).select("artist_id")
-    return here.join(placed.where(F.col("venue_id") != venue), "artist_id", "left_semi")
+    """Artists of a venue who also play at another one: only acts of the venue's artists are looked up."""
+    here = acts.join(hosts.where(F.col("venue_id") == venue).select("event_id"), "event_id", "left_semi").select("artist_id").distinct()
+    theirs = acts.join(here, "artist_id", "left_semi")
+    return theirs.join(hosts.where(F.col("venue_id") != venue).select("event_id"), "event_id", "left_semi").select("artist_id").distinct()
 
 
 def mark_processed(raw: DataFrame, done: DataFrame) -> DataFrame:
@@ -129,6 +133,100 @@ def validation(events: DataFrame, as_of: Column) -> DataFrame:
     return base.crossJoin(pairs).crossJoin(artists)  # one row each
 
 
+def label_counts(table: DataFrame, label: str) -> DataFrame:
+    return table.groupBy(label).agg(F.count("*").alias("n"))
+
+
+def distinct_ends(edges: DataFrame, end: str) -> DataFrame:
+    """Each id at one end of edges once."""
+    return edges.select(end).distinct()
+
+
+# Writes to storage: each gives the table as it is afterwards.
+
+
+def stamped(merged: DataFrame, current: DataFrame, keys: list[str], now, fields: tuple[str, ...]) -> DataFrame:
+    """merged with created_at and updated_at: rows that were there keep created_at, and updated_at where no field differs."""
+    o, n, at = current.alias("o"), merged.drop("created_at", "updated_at").alias("n"), F.lit(now).cast("timestamp")
+    both = n.join(o, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys], "left")
+    there, same = F.col("o.created_at").isNotNull(), F.size(field_changes("o", "n", fields)) == 0
+    return both.select("n.*", F.coalesce("o.created_at", at).alias("created_at"), F.when(there & same, F.col("o.updated_at")).otherwise(at).alias("updated_at"))
+
+
+# What a venue without further knowledge gets.
+VENUE_DEFAULTS = {"latitude": 47.6062, "longitude": -122.3321, "address": "Address TBD", "postal_code": "98101", "city": "Seattle"}
+
+
+def default_venues(names: DataFrame) -> DataFrame:
+    """Venue rows for bare names (id, name)."""
+    from stagelight.functions.text import slug
+
+    return names.select("id", "name", F.lower("name").alias("name_lower"), slug(F.col("name")).alias("slug"), *[F.lit(v).alias(k) for k, v in VENUE_DEFAULTS.items()], F.lit(True).alias("show_venue"))
+
+
+def create(current: DataFrame, new: DataFrame, key: str | list[str], now) -> DataFrame:
+    """Appends rows whose key is not there yet, one for each key (the smallest id), with created_at; a key without regard
+    to case, as storage has it."""
+    keys = [key] if isinstance(key, str) else key
+    form = F.concat_ws("|", *[F.coalesce(F.lower(F.col(k).cast("string")), F.lit("")) for k in keys])
+    fresh = new.withColumn("_key", form).join(current.select(form.alias("_key")), "_key", "left_anti")
+    once = first_of(fresh, ["_key"], "id").drop("_key").withColumn("created_at", F.lit(now).cast("timestamp"))
+    return current.unionByName(once, allowMissingColumns=True)
+
+
+def create_raw_data(raw: DataFrame, new: DataFrame, now) -> DataFrame:
+    """Appends raw rows that are not there yet, unprocessed."""
+    return create(raw, new.withColumn("processed", F.lit(False)), "id", now)
+
+
+def update_events(events: DataFrame, edges: DataFrame, proposed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events with proposed ones written over them, and the edges that follow: those of a proposed event are made anew, so
+    what it no longer names goes."""
+    others = edges.join(proposed.select(F.col("id").alias("target_id")), "target_id", "left_anti").select(*edges.columns)
+    return upsert(events, proposed, ["id"]), others.unionByName(event_edges(proposed))
+
+
+def clear(*tables: DataFrame) -> tuple[DataFrame, ...]:
+    """The tables without rows."""
+    return tuple(t.limit(0) for t in tables)
+
+
+def create_process_records(records: DataFrame, edges: DataFrame, new: DataFrame, now) -> tuple[DataFrame, DataFrame]:
+    """Appends audit records (id, process_run_id, ...) and a has_record edge from the run to each."""
+    fresh = new.join(records.select("id"), "id", "left_anti").withColumn("created_at", F.lit(now).cast("timestamp"))
+    has = fresh.select(F.col("process_run_id").alias("source_id"), F.col("id").alias("target_id"), F.lit("has_record").alias("relation"))
+    return records.unionByName(fresh, allowMissingColumns=True), upsert_edges(edges, has)
+
+
+# Entity kinds
+
+
+@dataclass(frozen=True)
+class Handler:
+    """How one kind of entity is compared, keyed and mapped from resolved records."""
+
+    kind: str
+    fields: tuple[str, ...]
+    key: tuple[str, ...]
+    mapper: Callable[[DataFrame], DataFrame] = lambda df: df
+
+    def candidates(self, current: DataFrame, resolved: DataFrame) -> DataFrame:
+        """What the resolved records would change in the stored table, by stored id."""
+        return prepare(current, self.mapper(resolved), "id", self.fields)
+
+    def persist(self, current: DataFrame, resolved: DataFrame) -> DataFrame:
+        return upsert(current, self.mapper(resolved).select(*current.columns), ["id"])
+
+
+# The archived pipeline's test of an event update looks at these alone.
+LEGACY_EVENT_FIELDS = ("start_time", "event_url", "description", "event_image_url", "artist_ids")
+HANDLERS: dict[str, Handler] = {}
+
+
+def register(handler: Handler) -> None:
+    HANDLERS[handler.kind] = handler
+
+
 def process_run(spark, run_id: str, name: str, started) -> DataFrame:
     return spark.createDataFrame([(run_id, name, started, None)], "id string, name string, created_at timestamp, finished_at timestamp")
 
@@ -152,3 +250,8 @@ def legacy_audit(outcomes: dict[str, DataFrame], errors: DataFrame) -> DataFrame
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+register(Handler("venue", VENUE_FIELDS, ("slug",), with_enrichment))
+register(Handler("artist", ARTIST_FIELDS, ("name_slug",)))
+register(Handler("event", EVENT_FIELDS, ("title", "venue_id", "event_day")))

@@ -58,16 +58,42 @@ def resolve(records: DataFrame, canonical: DataFrame) -> DataFrame:
     )
 
 
-def fuzzy_match(names: DataFrame, known: DataFrame, threshold: float, block: int = 3) -> DataFrame:
+#: The least threshold for which names are cut into segments
+SEGMENTED = 0.6
+
+
+def fuzzy_match(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """names (id, name), known (id, name), both already in compared form -> matched id for each name: an equal name,
-    else the smallest id with a Levenshtein similarity of at least the threshold; null for a new one. Blocking: names of
-    similarity s differ in length by at most (1 - s) of the longer one, so only such lengths meet."""
-    k = known.select(F.col("id").alias("known_id"), F.col("name").alias("known_name"), F.char_length("name").alias("known_length"))
-    reach = F.floor(F.char_length("name") / threshold).cast("int")
-    least = F.ceil(F.char_length("name") * threshold).cast("int")
-    n = names.withColumn("known_length", F.explode(F.sequence(least, F.greatest(reach, least))))
+    else the smallest id with a Levenshtein similarity of at least the threshold; null for a new one. Blocking without
+    loss: a known name of length m differs from a similar one in at most d = m * (1 - threshold) / threshold places, so
+    one of its d + 1 segments is in the other, at most d places away. Names meet on (length, segment, text); below SEGMENTED
+    there may be more segments than letters, and names meet on lengths that the threshold allows."""
+    k = known.select(F.col("id").alias("known_id"), F.col("name").alias("known_name"), F.char_length("name").alias("m"))
+    n = F.char_length("name")
+    tiny = 1e-9
+    if threshold >= SEGMENTED:
+        allowed = lambda m: F.floor(m * ((1 - threshold) / threshold) + tiny).cast("int")
+        start = lambda m, i: F.floor(i * m / (allowed(m) + 1)).cast("int")
+        segment = lambda name, m, i, at: F.struct(m.alias("m"), i.alias("i"), F.substr(name, at + 1, start(m, i + 1) - start(m, i)).alias("t"))
+        count = lambda m: F.sequence(F.lit(0), allowed(m))
+        k = k.withColumn("key", F.explode(F.transform(count(F.col("m")), lambda i: segment(F.col("known_name"), F.col("m"), i, start(F.col("m"), i)))))
+        lengths = F.sequence(F.ceil(n * threshold - tiny).cast("int"), F.greatest(F.floor(n / threshold + tiny).cast("int"), F.ceil(n * threshold - tiny).cast("int")))
+        last = lambda m, i: n - (start(m, i + 1) - start(m, i))
+        spots = lambda m, i: F.filter(F.sequence(F.greatest(start(m, i) - allowed(m), F.lit(0)), F.greatest(start(m, i) + allowed(m), F.lit(0))), lambda at: at <= last(m, i))
+        keys = F.transform(lengths, lambda m: F.flatten(F.transform(count(m), lambda i: F.transform(spots(m, i), lambda at: segment(F.col("name"), m, i, at)))))
+        met = names.select("id", "name", F.explode(F.array_distinct(F.flatten(keys))).alias("key")).join(k, "key")
+        met = met.select("id", "name", "known_id", "known_name").distinct()
+    else:
+        # a threshold of 0 or less is met by every known name: the smallest id counts
+        if threshold <= 0:
+            least = known.groupBy().agg(F.min_by("name", "id").alias("known_name"), F.min("id").alias("known_id")).where("known_id is not null")
+            exact = names.join(k.select("known_id", "known_name"), F.col("name") == F.col("known_name")).select("id", "name", "known_id", "known_name")
+            met = names.join(F.broadcast(least), F.lit(True)).select("id", "name", "known_id", "known_name").unionByName(exact)  # one row
+        else:
+            reach = F.sequence(F.ceil(n * threshold - tiny).cast("int"), F.greatest(F.floor(n / threshold + tiny).cast("int"), F.ceil(n * threshold - tiny).cast("int")))
+            met = names.select("id", "name", F.explode(reach).alias("m")).join(k, "m")
     near = T.levenshtein_similarity(F.col("name"), F.col("known_name"))
-    met = n.join(k, "known_length").withColumn("s", near).where(F.col("s") >= threshold)
+    met = met.withColumn("s", near).where(F.col("s") >= threshold)
     best = met.groupBy("id").agg(F.min(F.struct((F.col("name") != F.col("known_name")).alias("fuzzy"), "known_id", "s")).alias("b"))
     return names.join(best, "id", "left").select("id", "name", F.col("b.known_id").alias("matched_id"), F.col("b.s").alias("similarity"))
 

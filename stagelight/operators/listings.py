@@ -16,6 +16,11 @@ def page(df: DataFrame, limit: int | None = None, offset: int | None = None) ->
     return df if limit is None else df.limit(limit)
 
 
+def web_page(df: DataFrame, number: int = 0, size: int = PAGE) -> DataFrame:
+    """A numbered page, from 0, of the size that web pages have."""
+    return page(df, size, number * size)
+
+
 def same(column: str, text: str) -> Column:
     return F.lower(column) == F.lower(F.lit(text))
 
@@ -138,14 +143,16 @@ class Listings:
         at = self.venues_table.where(same("name", name)).select(F.col("id").alias("venue_id"))
         return self.events_table.join(at, "venue_id", "left_anti"), self.events_table.join(at, "venue_id", "left_semi").agg(F.count("*").alias("n_deleted"))
 
-    def delete_event(self, id_) -> DataFrame:
-        return self.events_table.where(F.col("id") != id_)
+    def delete_event(self, id_) -> tuple[DataFrame, DataFrame | None]:
+        """The events without one, and the edges without those that touch it."""
+        kept = None if self.edges is None else self.edges.where((F.col("source_id") != id_) & (F.col("target_id") != id_))
+        return self.events_table.where(F.col("id") != id_), kept
 
     @staticmethod
     def _by_ids(df: DataFrame, ids: list) -> DataFrame:
         """In the order of ids; unknown ones are left out."""
         wanted = df.sparkSession.createDataFrame(list(enumerate(ids)), "pos int, id " + dict(df.dtypes)["id"])
-        return df.join(F.broadcast(wanted), "id").orderBy("pos").drop("pos")  # as long as the caller's list
+        return df.join(wanted, "id").orderBy("pos").drop("pos")  # the caller's list may be long: Spark picks the join by its size
 
 
 def events_with_artist(events: DataFrame, artist_id) -> DataFrame:

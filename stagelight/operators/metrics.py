@@ -10,10 +10,18 @@ BOUNDS = (0.1, 0.5, 1.0, 2.5, 5.0, 10.0)
 
 
 def counter_rate(samples: DataFrame, keys: list[str], width: str = "5 minutes", slide: str = "1 minute", per: float = 60.0) -> DataFrame:
-    """Increase of a counter per `per` seconds in sliding windows; a fall is a reset and counts from zero."""
-    order = Window.partitionBy(*keys).orderBy("ts")
+    """Increase of a counter per `per` seconds in sliding windows; a fall is a reset and counts from zero. Samples are dealt
+    by hour, and each hour begins with the last sample before it, so a key with very many samples is no single task."""
+    hour = F.date_trunc("hour", F.col("ts"))
+    rows = samples.select(*keys, "ts", "value", hour.alias("_hour"))
+    lasts = rows.groupBy(*keys, "_hour").agg(F.max_by("value", "ts").alias("value"))  # a row for each hour of a key
+    hours = Window.partitionBy(*keys).orderBy("_hour")
+    carried = lasts.select(*keys, F.lead("_hour").over(hours).alias("_hour"), "value").where("_hour is not null").withColumn("ts", F.lit(None).cast("timestamp"))
+    order = Window.partitionBy(*keys, "_hour").orderBy("ts")  # a null time sorts first
     before = F.lag("value").over(order)
-    up = samples.withColumn("gain", F.when(before.isNull(), 0.0).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before))
+    up = rows.unionByName(carried).withColumn("_before", before).where("ts is not null")
+    before = F.col("_before")
+    up = up.withColumn("gain", F.when(before.isNull(), 0.0).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before))
     seconds = F.unix_timestamp("w.end") - F.unix_timestamp("w.start")
     totals = up.groupBy(*keys, F.window("ts", width, slide).alias("w")).agg(F.sum("gain").alias("gain"))
     return totals.select(*keys, F.col("w.start").alias("window_start"), (F.col("gain") * per / seconds).alias("rate"))

@@ -134,3 +134,22 @@ def venues(parsed: DataFrame, as_of) -> DataFrame:
         F.coalesce(_first("location.fullAddress.postalCode"), fixed("postal_code")).alias("postal_code"), F.coalesce(_first("location.fullAddress.city"), fixed("city")).alias("city"), F.coalesce(quarter, fixed("neighborhood")).alias("neighborhood"),
         F.lit(True).alias("show_venue"), fixed("venue_confidence").alias("confidence"), *_PROVENANCE,
     )
+
+
+def tables(parsed: DataFrame, as_of) -> dict[str, DataFrame]:
+    """The fan-out: one table for each kind of entity."""
+    return {"venue": venues(parsed, as_of), "artist": artists(parsed, as_of), "event": events(parsed, as_of)}
+
+
+def records(parsed: DataFrame, as_of) -> DataFrame:
+    """All entities as one table of (entity_type, id, name, confidence, warnings, strategy, geocoded, provenance)."""
+    none = F.array().cast("array<string>")
+    where = F.struct(*_PROVENANCE).alias("provenance")
+    row = lambda d, kind, name, noted, placed: d.select(F.lit(kind).alias("entity_type"), "id", F.col(name).alias("name"), "confidence", noted.alias("warnings"), F.col("source_id").alias("strategy"), F.lit(placed).alias("geocoded"), where)
+    t = tables(parsed, as_of)
+    return row(t["venue"], "venue", "name", none, True).unionByName(row(t["artist"], "artist", "name", none, False)).unionByName(row(t["event"], "event", "title", F.col("warnings"), False))
+
+
+def register(source_id: str, source: Source) -> None:
+    """Adds a source, or puts another description in its place."""
+    SOURCES[source_id] = source

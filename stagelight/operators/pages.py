@@ -1,6 +1,6 @@
 """Records out of HTML listings: a small element tree, selectors of tags and classes, and one field list a page plan.
 
-Each page is one row, so pages are parsed where they lie, in Arrow batches, without a shuffle. A page that yields nothing
+Selectors and classes are fixed values of the pages. Each page is one row, so pages are parsed where they lie, in Arrow batches, without a shuffle. A page that yields nothing
 gives one row with its length, so that nothing is lost without a trace.
 """
 
@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -224,6 +225,7 @@ def ticketed_items(source: str, venue: str, tours: bool) -> Callable[[Element, d
     return plan
 
 
+# How sources name their plans.
 PLANS: dict[str, Callable[[Element, date], Iterator[Record]]] = {
     "wix_warmup_v1": warmup_events, "darrells_html_v1": headed_paragraphs, "kexp_html_v1": dated_articles,
     "barboza_html_v1": ticketed_items("barboza", "The Barboza", False), "neumos_html_v1": ticketed_items("neumos", "Neumos", True),
@@ -231,21 +233,31 @@ PLANS: dict[str, Callable[[Element, date], Iterator[Record]]] = {
 PARSED = "source_id string, envelope_id string, payload_ref string, record_path string, record string"
 
 
-def parse_pages(pages: DataFrame, plan: str, as_of: date) -> DataFrame:
-    """pages (source_id, envelope_id, payload_ref, html) -> PARSED rows."""
-    extract = PLANS[plan]
+def register(plan: str, extract: Callable[[Element, date], Iterator[Record]]) -> None:
+    """Adds a page plan, or puts another in its place."""
+    PLANS[plan] = extract
+
+
+def parse_by_plan(pages: DataFrame, as_of: date) -> DataFrame:
+    """pages (source_id, envelope_id, payload_ref, plan, html) -> PARSED rows, each page by its own plan in one pass."""
+    plans = dict(PLANS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
-            for source, envelope, ref, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                found = list(extract(tree(html or ""), as_of)) or [("html", {"html_len": len((html or "").encode())})]
+            for source, envelope, ref, plan, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                found = list(plans[plan](tree(html or ""), as_of)) or [("html", {"html_len": len((html or "").encode())})]
                 for path, record in found:
                     for column, value in zip(rows, (source, envelope, ref, path, json.dumps(record, ensure_ascii=False)), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in rows], names=["source_id", "envelope_id", "payload_ref", "record_path", "record"])
 
-    return pages.select("source_id", "envelope_id", "payload_ref", "html").mapInArrow(run, PARSED)
+    return pages.select("source_id", "envelope_id", "payload_ref", "plan", "html").mapInArrow(run, PARSED)
+
+
+def parse_pages(pages: DataFrame, plan: str, as_of: date) -> DataFrame:
+    """pages (source_id, envelope_id, payload_ref, html) -> PARSED rows by one plan."""
+    return parse_by_plan(pages.withColumn("plan", F.lit(plan)), as_of)
 
 
 def find_events(value: object, depth: int = 12) -> list[dict]:
@@ -261,3 +273,22 @@ def find_events(value: object, depth: int = 12) -> list[dict]:
         for v in value:
             out += find_events(v, depth - 1)
     return out
+
+
+def events_in(records: DataFrame) -> DataFrame:
+    """Every event-like object anywhere in JSON documents (source_id, envelope_id, payload_ref, payload), as PARSED rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[list] = [[], [], [], [], []]
+            for source, envelope, ref, payload in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                try:
+                    found = find_events(json.loads(payload or "null"))
+                except ValueError:
+                    found = []
+                for i, e in enumerate(found):
+                    for column, value in zip(rows, (source, envelope, ref, f"$..[{i}]", json.dumps(e, ensure_ascii=False)), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in rows], names=["source_id", "envelope_id", "payload_ref", "record_path", "record"])
+
+    return records.select("source_id", "envelope_id", "payload_ref", "payload").mapInArrow(run, PARSED)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,17 +37,26 @@ def _rows(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select(*_CARRIED, *columns)
 
 
+def _with_day(record: Column, day: Column) -> Column:
+    """A JSON object with event_day set to the day; what is no object stays as it is."""
+    others = F.map_filter(F.from_json(record, "map<string,variant>"), lambda k, v: k != "event_day")
+    whole = F.to_json(F.map_concat(F.create_map(F.lit("event_day"), day.cast("variant")), others))
+    return F.when(F.trim(record).startswith("{"), F.coalesce(whole, record)).otherwise(record)
+
+
 def calendar(payloads: DataFrame) -> DataFrame:
-    """`events` array, else days of `eventsByDates` with the day added to each record, else the document itself."""
+    """`events` array, else days of `eventsByDates` with the day added to each record, else the document itself. One pass:
+    each payload gives an array of (path, record), and that is exploded once."""
+    row = lambda path, record: F.struct(path.alias("record_path"), record.alias("record"))
+    listed = F.transform("_e", lambda r, i: row(F.concat(F.lit("$.events["), i.cast("string"), F.lit("]")), r))
+    of_day = lambda e: F.transform(e["value"], lambda r, i: row(F.concat(F.lit("$.eventsByDates."), e["key"], F.lit("["), i.cast("string"), F.lit("]")), _with_day(r, e["key"])))
+    days = F.flatten(F.transform(F.filter(F.map_entries("_d"), lambda e: e["value"].isNotNull()), of_day))
     parsed = payloads.withColumn("_e", F.from_json(F.get_json_object("payload", "$.events"), "array<string>")).withColumn("_d", F.from_json(F.get_json_object("payload", "$.eventsByDates"), "map<string,array<string>>"))
-    listed = _rows(parsed.where("_e is not null"), F.posexplode("_e").alias("i", "record")).select(*_CARRIED, F.concat(F.lit("$.events["), F.col("i"), F.lit("]")).alias("record_path"), "record")
-    days = _rows(parsed.where("_e is null and _d is not null"), F.explode("_d").alias("day", "rs")).select(*_CARRIED, "day", F.posexplode("rs").alias("i", "r"))
-    added = F.concat(F.lit('{"event_day":"'), F.col("day"), F.lit('",'), F.substr("r", F.lit(2)))
-    dated = days.select(*_CARRIED, F.concat(F.lit("$.eventsByDates."), F.col("day"), F.lit("["), F.col("i"), F.lit("]")).alias("record_path"), added.alias("record"))
-    whole = _rows(parsed.where("_e is null and _d is null"), F.lit("$").alias("record_path"), F.col("payload").alias("record"))
-    return listed.unionByName(dated).unionByName(whole)
+    found = F.when(F.col("_e").isNotNull(), listed).when(F.col("_d").isNotNull(), days).otherwise(F.array(row(F.lit("$"), F.col("payload"))))
+    return parsed.select(*_CARRIED, F.explode(found).alias("_r")).select(*_CARRIED, "_r.record_path", "_r.record")
 
 
+# Names of fields in the answers.
 _EVENT = (
     "struct<name:string,date:string,startTime:string,doorTime:string,minimumAge:string,promoter:string,support:string,description:string,ticketsUrl:string,status:string,"
     "artists:array<struct<name:string,bio:string>>,announceArtists:array<struct<name:string,website:string,facebook:string,twitter:string,instagram:string,spotify:string,bandcamp:string>>,venue:struct<name:string>>"
@@ -68,8 +78,10 @@ def paginated(payloads: DataFrame) -> DataFrame:
         F.nullif(e("support"), F.lit("")).alias("supporting_acts"), e("description").alias("description"), e("ticketsUrl").alias("ticket_url"), e("status").alias("ticket_status"), F.when(F.size(artists) > 0, artists).alias("artists"),
         F.struct(F.coalesce(e("venue.name"), F.lit("Conor Byrne Pub")).alias("name")).alias("venue"),
     ))
-    found = _rows(parsed.where("_c is not null"), F.posexplode("_c").alias("i", "e")).select(*_CARRIED, F.concat(F.lit("$.data.paginatedEvents.collection["), F.col("i"), F.lit("]")).alias("record_path"), record.alias("record"))
-    return found.unionByName(_rows(parsed.where("_c is null"), F.lit("error").alias("record_path"), F.lit('{"error":"no collection"}').alias("record")))
+    # a payload without a collection is one row of an error; an empty collection gives nothing
+    each = parsed.select(*_CARRIED, F.col("_c").isNull().alias("_none"), F.posexplode(F.coalesce("_c", F.array(F.lit(None).cast(_EVENT)))).alias("i", "e"))
+    path = F.when(F.col("_none"), "error").otherwise(F.concat(F.lit("$.data.paginatedEvents.collection["), F.col("i"), F.lit("]")))
+    return each.select(*_CARRIED, path.alias("record_path"), F.when(F.col("_none"), F.lit('{"error":"no collection"}')).otherwise(record).alias("record"))
 
 
 def structured(payloads: DataFrame) -> DataFrame:
@@ -97,11 +109,9 @@ DEFAULT_PLAN = "wix_calendar_v1"
 
 def parse(payloads: DataFrame, plans: DataFrame, as_of: date) -> DataFrame:
     """payloads (source_id, envelope_id, payload_ref, payload) by the plan of their source in plans (source_id,
-    parse_plan_ref); sources without one take the default, unknown plans give no rows."""
+    parse_plan_ref); sources without one take the default, unknown plans give no rows. JSON plans are a pass each, all page
+    plans are one."""
     named = payloads.join(plans.select("source_id", F.regexp_replace("parse_plan_ref", "^parse_plan:", "").alias("plan")), "source_id", "left").withColumn("plan", F.coalesce("plan", F.lit(DEFAULT_PLAN)))
-    out = None
-    for plan in (*JSON_PLANS, *pages.PLANS):
-        rows = named.where(F.col("plan") == plan)
-        part = JSON_PLANS[plan](rows) if plan in JSON_PLANS else pages.parse_pages(rows.withColumn("html", F.col("payload").cast("string")), plan, as_of)
-        out = part if out is None else out.unionByName(part)
-    return out
+    parts = [read(named.where(F.col("plan") == plan)) for plan, read in JSON_PLANS.items()]
+    parts.append(pages.parse_by_plan(named.where(F.col("plan").isin(*pages.PLANS)).withColumn("html", F.col("payload").cast("string")), as_of))
+    return reduce(DataFrame.unionByName, parts)

@@ -1,4 +1,4 @@
-"""The whole listing pipeline as one lazy plan: parse, normalize, assess, enrich, resolve."""
+"""The whole listing pipeline: parse once, normalize, assess, enrich, resolve."""
 
 from __future__ import annotations
 
@@ -11,13 +11,21 @@ from stagelight.operators import conflation, enrichment, normalize, payloads, qu
 
 
 def entities(raw: DataFrame, plans: DataFrame, as_of: date) -> dict[str, DataFrame]:
-    """raw (source_id, envelope_id, payload_ref, payload) -> assessed and enriched venue, artist and event tables."""
+    """raw (source_id, envelope_id, payload_ref, payload) -> assessed and enriched venue, artist and event tables. Payloads
+    are parsed once and kept in the session's checkpoint folder for the three tables; without such a folder the plan stays
+    lazy and each table parses for itself."""
     parsed = payloads.parse(raw, plans, as_of)
+    context = raw.sparkSession.sparkContext
+    if raw.sparkSession.conf.get("spark.checkpoint.dir", None) or not context._jsc.sc().getCheckpointDir().isEmpty():
+        parsed = parsed.checkpoint()
+    return assessed(normalize.tables(parsed, as_of), as_of)
+
+
+def assessed(tables: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:
     today = F.lit(as_of).cast("date")
-    v, a, e = normalize.venues(parsed, as_of), normalize.artists(parsed, as_of), normalize.events(parsed, as_of)
-    v = quality.assess(v, quality.venue_issues(F.col("name"), F.col("latitude"), F.col("longitude"), F.col("address")))
-    a = quality.assess(a, quality.artist_issues(F.col("name")))
-    e = quality.assess(e, quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), today), warnings="warnings")
+    v = quality.assess(tables["venue"], quality.venue_issues(F.col("name"), F.col("latitude"), F.col("longitude"), F.col("address")))
+    a = quality.assess(tables["artist"], quality.artist_issues(F.col("name")))
+    e = quality.assess(tables["event"], quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), today), warnings="warnings")
     return {
         "venue": enrichment.enrich(quality.route(v), "venue", "latitude", "longitude"), "artist": enrichment.enrich(quality.route(a), "artist"), "event": enrichment.enrich(quality.route(e), "event"),
     }

@@ -61,7 +61,18 @@ def status_views(nodes: DataFrame) -> None:
 
 
 def write_content(contents: DataFrame, folder: str) -> None:
-    contents.write.mode("append").partitionBy("prefix").parquet(folder)
+    """Adds contents (sha256, prefix, content) whose digest is not stored yet, each once; a second run adds nothing. The
+    folder may be on any file system that Spark writes."""
+    once = contents.dropDuplicates(["sha256"])
+    if stored := _stored(contents.sparkSession, folder):
+        once = once.join(stored.select("sha256"), "sha256", "left_anti")
+    once.write.mode("append").partitionBy("prefix").parquet(folder)
+
+
+def _stored(spark: SparkSession, folder: str) -> DataFrame | None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "prefix=*"))
+    return spark.read.parquet(folder) if there else None
 
 
 def write_log(log: DataFrame, folder: str) -> None:
@@ -77,3 +88,14 @@ def write_by_day(df: DataFrame, folder: str, day: str, *first: str) -> None:
 def write_columnar(df: DataFrame, folder: str) -> None:
     """By source and date."""
     df.write.mode("append").option("compression", "zstd").partitionBy("source", "date").parquet(folder)
+
+
+def write_parsed(parsed: DataFrame, folder: str) -> None:
+    """Parsed records as newline-delimited JSON."""
+    parsed.write.mode("append").json(folder)
+
+
+def write_normalized(tables: dict[str, DataFrame], folder: str) -> None:
+    """One folder of newline-delimited JSON for each kind of entity: events, venues, artists."""
+    for kind, table in tables.items():
+        table.write.mode("append").json(f"{folder}/{kind}s")

