@@ -66,7 +66,8 @@ def write_content(contents: DataFrame, folder: str) -> None:
     once = contents.dropDuplicates(["sha256"])
     if stored := _stored(contents.sparkSession, folder):
         once = once.join(stored.select("sha256"), "sha256", "left_anti")
-    once.write.mode("append").partitionBy("prefix").parquet(folder)
+    if not once.isEmpty():  # a write of nothing would leave a file beside the prefixes
+        once.write.mode("append").partitionBy("prefix").parquet(folder)
 
 
 def _stored(spark: SparkSession, folder: str) -> DataFrame | None:

@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from stagelight import catalogue, chain  # noqa: F401 (chain adds its queries)
+from stagelight import catalogue, chain, upkeep  # noqa: F401 (these add their queries)
 
 FOLDER = "/root/testdata/sf0.001"
 

@@ -1,11 +1,13 @@
 import json
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from stagelight.functions import text as T
 from stagelight.operators import catalog, conflation, enrichment, ingest, listings, metrics, normalize, pages, payloads, quality
-from stagelight.plans.full import entities
+from stagelight.plans.full import entities, resolved
 from stagelight.plans.steps import Plan, Step, parse_only
 
 AS_OF = date(2025, 8, 1)
@@ -166,3 +168,115 @@ def test_plan_policies():
     with pytest.raises(ValueError, match="cycle"):
         Plan([Step("x", None, ("y",)), Step("y", None, ("x",))]).validate()
     assert parse_only(lambda r: 1).run() == {"parse": 1}
+
+
+def test_calendar_keeps_what_elements_hold(spark):
+    """Empty objects, own days, nested values, strings, arrays and nulls under a day."""
+    doc = '{"eventsByDates":{"2025-01-02":[{},{"event_day":"old","n":{"a":[1,null,"x"]},"t":true},"text",[1,2]],"2025-01-03":[],"2025-01-04":null}}'
+    raw = spark.createDataFrame([("s", "e", "r", doc), ("s", "f", "r", '{"events":[]}'), ("s", "g", "r", "no json")], RAW)
+    got = {(r["envelope_id"], r["record_path"]): r["record"] for r in payloads.calendar(raw).collect()}
+    assert got.pop(("g", "$")) == "no json"
+    day = "$.eventsByDates.2025-01-02"
+    assert json.loads(got["e", f"{day}[0]"]) == {"event_day": "2025-01-02"} and json.loads(got["e", f"{day}[1]"]) == {"event_day": "2025-01-02", "n": {"a": [1, None, "x"]}, "t": True}
+    assert got["e", f"{day}[2]"] == "text" and json.loads(got["e", f"{day}[3]"]) == [1, 2] and len(got) == 4
+
+
+def test_inferred_days(spark):
+    records = {'{"start":{"date":"2025-01-02T10:00:00Z"},"date":1735689600}': "2025-01-02", '{"startDate":1735689600,"date":"2020-01-01"}': "2025-01-01", '{"date":"soon","event_day":"2025-03-04"}': "2025-03-04", '{"date":"not a date at all","event_day":"2025-03-04"}': "2025-08-01", "{}": "2025-08-01", "x": "2025-08-01"}
+    df = spark.createDataFrame([(r,) for r in records], "record string")
+    assert {r["record"]: str(r["d"]) for r in df.select("record", T.infer_day(F.col("record"), F.lit(AS_OF).cast("date")).alias("d")).collect()} == records
+
+
+def test_artists_of_radio_titles(spark):
+    titles = {"Indigo De Souza LIVE on KEXP (OPEN TO THE PUBLIC)": ["Indigo De Souza"], "AB LIVE on KEXP": [], " LIVE on KEXP": [], "A One / B Two, C+D": ["A One", "B Two"], "KEXP Presents X": [], "Trio & The Show": ["Trio"]}
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    assert {r["t"]: r["a"] for r in df.select("t", T.title_artists(F.col("t")).alias("a")).collect()} == titles
+
+
+def test_update_and_delete_remove_edges(spark):
+    events = spark.createDataFrame([(1, "a", 10, [5, 6]), (2, "b", 11, [5])], "id int, title string, venue_id int, artist_ids array<int>")
+    edges = catalog.event_edges(events)
+    kept, after = catalog.update_events(events, edges, events.where("id = 1").withColumn("artist_ids", F.array(F.lit(6), F.lit(6), F.lit(7))))
+    assert sorted(tuple(r) for r in after.collect()) == [(5, 2, "performs_at"), (6, 1, "performs_at"), (7, 1, "performs_at"), (10, 1, "hosts"), (11, 2, "hosts")] and kept.count() == 2
+    q = listings.Listings(events.limit(0), events.limit(0), events, edges, AS_OF)
+    left, touched = q.delete_event(2)
+    assert [r["id"] for r in left.collect()] == [1] and {r["target_id"] for r in touched.collect()} == {1}
+    assert listings.Listings(events, events, events, None, AS_OF).delete_event(2)[1] is None
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.4, 0.6, 0.75, 0.8, 0.95, 1.0])
+def test_fuzzy_match_is_brute_force(spark, threshold):
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abc", k=rng.randint(1, 14))) for _ in range(40)] + ["", "x"]
+    names = list(enumerate(base))
+    known = [(100 + i, "".join(c if rng.random() > 0.15 else rng.choice(["", "b", "cc"]) for c in n)) for i, n in names if rng.random() < 0.8]
+
+    def similarity(a, b):
+        if a == b:
+            return 1.0
+        if not a or not b:
+            return 0.0
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return 1 - row[-1] / max(len(a), len(b))
+
+    want = {}
+    for i, n in names:
+        near = [(n != k, j, s) for j, k in known if (s := similarity(n, k)) >= threshold]
+        want[i] = min(near)[1] if near else None
+    schema = "id int, name string"
+    got = conflation.fuzzy_match(spark.createDataFrame(names, schema), spark.createDataFrame(known, schema), threshold)
+    assert {r["id"]: r["matched_id"] for r in got.collect()} == want
+    assert conflation.fuzzy_match(spark.createDataFrame(names, schema), spark.createDataFrame([], schema), threshold).where("matched_id is not null").count() == 0
+
+
+def test_counter_over_hours_and_resets(spark):
+    """Gains across hour borders, gaps of many hours and resets, for two keys, against a plain walk over samples."""
+    rng = random.Random(8)
+    rows, value = [], {"a": 0.0, "b": 5.0}
+    for name in value:
+        at = datetime(2025, 1, 1, 0, 0)
+        for _ in range(120):
+            at += timedelta(minutes=rng.choice([1, 7, 59, 60, 400]), seconds=rng.randint(0, 50))
+            value[name] = rng.random() if rng.random() < 0.1 else value[name] + rng.random()
+            rows.append((name, at, value[name]))
+    want = {}
+    before = {}
+    for name, at, v in rows:
+        b = before.get(name)
+        gain = 0.0 if b is None else v if v < b else v - b
+        before[name] = v
+        start = at.replace(second=0)
+        for m in range(5):
+            k = (name, start - timedelta(minutes=m))
+            want[k] = want.get(k, 0.0) + gain
+    got = metrics.counter_rate(spark.createDataFrame(rows, "name string, ts timestamp, value double").repartition(5), ["name"])
+    assert {(r["name"], r["window_start"]): round(r["rate"], 9) for r in got.collect()} == {k: round(v * 60 / 300, 9) for k, v in want.items()}
+
+
+def test_entities_parse_once(spark):
+    """With a checkpoint folder the three tables share one parse."""
+    raw = spark.createDataFrame([("sea_monster", "e1", "r", json.dumps({"events": [{"title": "T", "date": "2025-02-01"}]}))], RAW)
+    plans = spark.createDataFrame([("sea_monster", "wix_calendar_v1")], "source_id string, parse_plan_ref string")
+    out = entities(raw, plans, AS_OF)
+    assert all("Scan ExistingRDD" in v._jdf.queryExecution().executedPlan().toString() for v in out.values())
+    accepted = resolved(out["venue"], "venue", spark.createDataFrame([], ENTITY))
+    assert [r["resolution"] for r in accepted.collect()] == ["NewEntity"]
+
+
+def test_registered_plans_sources_and_handlers(spark):
+    pages.register("plain_v1", lambda page, as_of: iter([("$", {"title": page.text()})]))
+    normalize.register("kiosk", normalize.Source("Kiosk", "kiosk", 1.0, 2.0, "1 St", "1", "N"))
+    catalog.register(catalog.Handler("kiosk", ("name",), ("name",)))
+    try:
+        raw = spark.createDataFrame([("kiosk", "e", "r", "<b>Act</b>")], RAW)
+        plans = spark.createDataFrame([("kiosk", "plain_v1")], "source_id string, parse_plan_ref string")
+        parsed = payloads.parse(raw, plans, AS_OF)
+        assert [r["title"] for r in normalize.events(parsed, AS_OF).collect()] == ["Act"]
+        now = spark.createDataFrame([(1, "A")], "id int, name string")
+        assert [r["change_type"] for r in catalog.HANDLERS["kiosk"].candidates(now, now.withColumn("name", F.lit("B"))).collect()] == ["UPDATE"]
+    finally:
+        del pages.PLANS["plain_v1"], normalize.SOURCES["kiosk"], catalog.HANDLERS["kiosk"]
