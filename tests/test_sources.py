@@ -137,9 +137,10 @@ def test_fetch_stage(spark, site, tmp_path):
     specs = {"all": ["a", "b", "png", "big", "gone"], "fresh": ["a"], "off": ["a"], "open": ["png"]}
     for name, paths in specs.items():
         spec = {"source_id": name, "enabled": name != "off", "endpoints": [{"url": f"{site}/{x}", "method": "GET"} for x in paths]} | ({} if name == "open" else base)
-        (tmp_path / f"{name}.json").write_text(json.dumps(spec))
+        (tmp_path / "specs").mkdir(exist_ok=True)
+        (tmp_path / "specs" / f"{name}.json").write_text(json.dumps(spec))
     last = spark.createDataFrame([("fresh", datetime(2025, 1, 1, 6)), ("all", datetime(2024, 12, 31))], "source_id string, fetched_at timestamp")
-    rows = fetch.fetch(spark, registry.read_specs(spark, str(tmp_path)), last, "2025-01-01 12:00:00")
+    rows = fetch.fetch(spark, registry.read_specs(spark, str(tmp_path / "specs")), last, "2025-01-01 12:00:00")
     assert {(r["source_id"], r["url"].rsplit("/")[-1]): r["rejection"] for r in rows.collect()} == {("all", "a"): None, ("all", "b"): None, ("all", "png"): "mime", ("all", "big"): "size", ("all", "gone"): "status", ("open", "png"): None}
     envelopes = fetch.envelopes(rows)
     assert {tuple(r["faults"]) for r in ingest.envelope_faults(envelopes).collect()} == {()} and envelopes.count() == 3
@@ -148,7 +149,7 @@ def test_fetch_stage(spark, site, tmp_path):
     for _ in range(2):
         registry.write_content(contents, store)
         assert spark.read.parquet(store).count() == 3
-    nothing = fetch.fetch(spark, registry.read_specs(spark, str(tmp_path)), spark.createDataFrame([(n, datetime(2025, 1, 1, 11)) for n in specs], "source_id string, fetched_at timestamp"), "2025-01-01 12:00:00")
+    nothing = fetch.fetch(spark, registry.read_specs(spark, str(tmp_path / "specs")), spark.createDataFrame([(n, datetime(2025, 1, 1, 11)) for n in specs], "source_id string, fetched_at timestamp"), "2025-01-01 12:00:00")
     assert nothing.count() == 0
 
 
