@@ -11,12 +11,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.catalogue import BASE, DAY, VENUES, Tables, query, today
+from stagelight.catalogue import DAY, Tables, query, today
 from stagelight.functions import text as T
-from stagelight.operators import catalog, conflation, enrichment, ingest, listings, normalize, pages, payloads, quality
+from stagelight.operators import normalize, pages, payloads, venue_parsers
 from stagelight.shipping import ship
-from stagelight.sources import registry
-from stagelight.streaming.dedupe import windowed_rate
 
 AS_OF = date(1999, 6, 1)
 LATE = date(1999, 11, 1)  # months before it belong to the next year where a page rolls over
@@ -301,3 +299,43 @@ def unknown_sources(spark, d):
 def calendar_start_times(spark, d):
     start = F.when(_K % 4 == 0, F.to_json(F.struct(F.struct(F.date_format(_DAY, "yyyy-MM-dd'T'19:30:00-08:00").alias("startDate")).alias("scheduling")))).when(_K % 2 == 0, F.to_json(F.struct(F.date_format(_DAY, "yyyy-MM-dd'T'19:30:00-08:00").alias("startDate")))).otherwise("{}")
     return payloads.blue_moon_times(Tables(spark, d).orders.select(_K.alias("id"), start.alias("record"))).select("id", "start_time")
+
+
+# What parsers say of raw records
+
+
+def _raw_records(spark, d) -> DataFrame:
+    k, c = _K, F.col("o_custkey")
+    source = F.get(F.array(*map(F.lit, _NAMES)), (k % 8).cast("int"))
+    has = lambda n, x: F.when(k % n != 0, x)
+    iso, ticketed = F.date_format(_DAY, "yyyy-MM-dd"), source.isin("barboza", "neumos")
+    record = F.to_json(F.struct(
+        has(11, _cat(" T", c)).alias("title"), has(13, _cat("id", k)).alias("id"), has(7, _cat("slug", k)).alias("slug"), has(17, F.when(k % 19 == 0, "soon").otherwise(iso)).alias("event_day"), F.when(ticketed, has(17, F.date_format(_DAY, "MMM d"))).alias("date_text"),
+        F.struct(has(17, F.date_format(_DAY, "MMMM d, yyyy")).alias("startDateFormatted"), has(23, F.lit("7:05 PM")).alias("startTimeFormatted")).alias("scheduling"), F.concat(iso, F.lit("T19:30:00-08:00")).alias("startDate"), F.lit("noon").alias("start_time"), F.lit("Doors: 8:15 PM").alias("time_text"),
+        F.when(k % 3 == 0, "A & B").alias("supporting_acts"), F.when(k % 3 == 0, "/t").when(k % 3 == 1, "https://x.example").alias("ticket_url"), F.when(k % 4 == 0, "Big").alias("tour_name"), F.when(k % 5 == 0, "House").alias("promoter"), F.when(k % 2 == 0, "Hall").otherwise("The Barboza").alias("venue"), F.lit("words").alias("description"),
+        F.lit("/e").alias("event_url"), F.struct(F.lit("m.png").alias("url")).alias("mainImage"), F.lit("i.png").alias("image_url"),
+    ))
+    return Tables(spark, d).orders.select(source.alias("source_id"), k.cast("string").alias("envelope_id"), record.alias("record"))
+
+
+_RAW = f"""WITH src(i, source_id, venue) AS (VALUES {", ".join(f"({i}, '{n}', '{s.venue.replace(chr(39), chr(39) * 2)}')" for i, (n, s) in enumerate(_S.items()))}),
+o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderdate AS day, src.*, source_id IN ('barboza', 'neumos') AS t, source_id = 'sea_monster' AS sea FROM orders JOIN src ON o_orderkey % 8 = i),
+p AS (SELECT *, CASE WHEN t THEN CAST(try_strptime(CASE WHEN source_id = 'neumos' AND month(day) < 11 THEN '2000' ELSE '1999' END || strftime(day, '-%m-%d'), '%Y-%m-%d') AS DATE) WHEN NOT sea AND k % 19 = 0 THEN NULL ELSE CAST(day AS DATE) END AS d FROM o),
+e AS (SELECT *, CASE WHEN k % 17 = 0 THEN 'day not found' WHEN d IS NULL THEN 'day not understood' END AS day_error FROM p)"""
+
+
+@query(_RAW + """, r AS (SELECT *, coalesce(CASE WHEN k % 11 = 0 AND NOT t THEN 'title not found' WHEN k % 13 = 0 AND NOT t AND NOT sea THEN 'id not found' WHEN k % 7 = 0 AND sea THEN 'slug not found' END, day_error) AS error FROM e)
+SELECT source_id, CAST(k AS VARCHAR) AS envelope_id, CASE WHEN error IS NULL THEN CASE WHEN sea THEN 'slug' || k WHEN k % 13 <> 0 THEN 'id' || k ELSE source_id || '_' || strftime(d, '%Y%m%d') END END AS event_api_id,
+CASE WHEN error IS NULL THEN CASE WHEN t AND k % 11 <> 0 THEN 'T' || c WHEN t AND k % 13 <> 0 THEN 'id' || k WHEN t THEN 'Unknown Event' ELSE ' T' || c END END AS event_name, CASE WHEN error IS NULL THEN venue END AS venue_name, CASE WHEN error IS NULL THEN d END AS event_day, error FROM r""")
+def raw_data_infos(spark, d):
+    return venue_parsers.raw_data_info(_raw_records(spark, d), LATE)
+
+
+@query(_RAW + f""", r AS (SELECT *, coalesce(CASE WHEN k % 11 = 0 AND NOT t THEN 'title not found' WHEN k % 23 = 0 AND sea THEN 'startTimeFormatted not found' WHEN k % 7 = 0 AND sea THEN 'slug not found' END, day_error) AS error FROM e)
+SELECT source_id, CAST(k AS VARCHAR) AS envelope_id, error, CASE WHEN error IS NULL THEN CASE WHEN t THEN CASE WHEN k % 11 <> 0 THEN 'T' || c WHEN k % 13 <> 0 THEN 'id' || k ELSE 'TBA' END || CASE WHEN k % 3 = 0 THEN ' with A & B' ELSE '' END WHEN sea THEN 'T' || c ELSE ' T' || c END END AS title, CASE WHEN error IS NULL THEN d END AS event_day,
+CASE WHEN error IS NULL THEN CASE WHEN t THEN '20:15:00' WHEN sea THEN '19:05:00' WHEN source_id = 'kexp' THEN '12:00:00' WHEN source_id = 'blue_moon' THEN '19:30:00' END END AS start_time,
+CASE WHEN error IS NULL THEN CASE WHEN sea THEN '{normalize.ORIGIN}/event-info/slug' || k WHEN t THEN CASE k % 3 WHEN 0 THEN '{normalize.ORIGIN}/t' WHEN 1 THEN 'https://x.example' ELSE '{normalize.ORIGIN}/events' END WHEN source_id = 'kexp' THEN '/e' END END AS event_url,
+CASE WHEN error IS NULL THEN CASE WHEN t THEN coalesce(nullif(concat_ws(' | ', CASE WHEN source_id = 'neumos' AND k % 4 = 0 THEN 'Tour: Big' END, CASE WHEN k % 5 = 0 THEN 'House' END, CASE WHEN source_id = 'barboza' AND k % 2 = 0 THEN 'Venue: Hall' END), ''), 'words') WHEN source_id = 'kexp' THEN 'words' END END AS description,
+CASE WHEN error IS NULL THEN CASE WHEN sea THEN 'm.png' WHEN t THEN 'i.png' END END AS event_image_url FROM r""")
+def event_arguments(spark, d):
+    return venue_parsers.event_args(_raw_records(spark, d), LATE)

@@ -3,13 +3,10 @@ the SQL that must give the same rows. Roles as in the catalogue."""
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.catalogue import ARTISTS, BASE, DAY, DENSITY, DISTRICT, INSIDE, KM, SHOWS, VENUES, Tables, query, today
-from stagelight.functions import geo
+from stagelight.catalogue import ARTISTS, BASE, DISTRICT, INSIDE, SHOWS, VENUES, Tables, query, today
 from stagelight.functions import text as T
 from stagelight.operators import catalog, conflation, enrichment, ingest, listings, metrics, quality
 from stagelight.sources import registry
