@@ -9,9 +9,9 @@ of which at most `radius` can differ, so some choice of SPARE + 1 blocks is equa
 by the bits of its blocks, and queries probe them all. Equal fingerprints are one entry, so copies cost one.
 
 Nulls: a null text counts as the empty text, a null doc_id as smaller than every other id. Repeated rows each stay; where
-several rows share an id, the one with the smallest text hash is "the document" that neighbours see. Rows of one id meet in
-one task, as their edited texts share a neighbour. Very long texts are cut up and count whole, in memory proportional to
-their length. Extra columns are ignored. An empty table gives an empty result; the neighbour of a single document is itself.
+several rows share an id, the one with the smallest text hash is "the document" that neighbours see. Rows of one id, such
+as all without one, are dealt by their texts over SALTS tasks. Very long texts are cut up and count whole, in memory
+proportional to their length. Extra columns are ignored. An empty table gives an empty result; the neighbour of a single document is itself.
 """
 
 from __future__ import annotations
@@ -26,13 +26,15 @@ from stagelight.llm.common import NULL_KEY, cut, key, only
 BITS = 128
 #: Radius of the block tables, blocks more than that in a key, and which documents are queries: every fiftieth id
 RADIUS, SPARE, EVERY = 3, 1, 50
+#: Tasks that the rows of one id are spread over at most
+SALTS = 256
 #: Votes are counted two to a long; no text has 2^31 terms.
 _LANES = 0x0000000100000001
 
 
 def fingerprints(df: DataFrame, texts: dict[str, str], keys: list[str], extra: list[str]) -> DataFrame:
     """For each row, a fingerprint struct (hi, lo) of each text: texts maps new columns to text columns. Rows are told
-    apart by a row number. If df is partitioned by the first of keys, no shuffle follows."""
+    apart by a row number. If df is partitioned by keys, no shuffle follows."""
     keep = [*keys, *extra, "_rid"]
     sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("t")) for i, c in enumerate(texts.values())])
     rows = df.withColumn("_rid", F.monotonically_increasing_id()).select(*keep, F.explode(sides).alias("_s"))
@@ -66,7 +68,7 @@ def likeness(a: str, b: str) -> Column:
 
 
 def following(ids: DataFrame) -> DataFrame:
-    """(k, need) -> (k, need, next): the next larger k, the smallest after the largest. Range partitions are ranked on
+    """(k, need, salts) -> (k, need, salts, next): the next larger k, the smallest after the largest. Range partitions are ranked on
     their own; only one row a partition is joined across."""
     parts = cut(ids.repartitionByRange(F.col("k")).withColumn("p", F.spark_partition_id()))
     inner = Window.partitionBy("p").orderBy("k")
@@ -74,7 +76,7 @@ def following(ids: DataFrame) -> DataFrame:
     order = Window.orderBy("p")  # one row for each partition
     edge = edge.select("p", F.coalesce(F.lead("first").over(order), F.first("first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("over"))
     led = parts.withColumn("n", F.lead("k").over(inner))
-    return led.join(edge, "p").select("k", "need", F.coalesce("n", "over").alias("next"))
+    return led.join(edge, "p").select("k", "need", "salts", F.coalesce("n", "over").alias("next"))
 
 
 def edited_fingerprints(documents: DataFrame) -> DataFrame:
@@ -82,22 +84,24 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     as many (or all) of the next document's, and how alike they are."""
     # k stands for doc_id from here on: both uses of the shuffled texts below then have the same columns and share it
     docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.groupBy("k").agg(F.max(F.floor(F.char_length("text") / 2)).alias("need"))
+    docs = docs.withColumn("s", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+    # an id's salts are those of its rows: one for most ids, SALTS at most
+    ids = docs.groupBy("k").agg(F.max(F.floor(F.char_length("text") / 2)).alias("need"), F.collect_set("s").alias("salts"))
     links = cut(following(ids))
-    back = links.groupBy(F.col("next").alias("k")).agg(F.max("need").alias("give"), F.first("k").alias("prev"))
-    link = links.select("k", "next").join(back, "k")
-    # one shuffle of the texts, by k; the heads that go to the previous document are half as much
-    whole = docs.repartition(F.col("k")).join(link.hint("shuffle_merge"), "k")
-    heads = whole.select(F.col("prev").alias("k"), F.struct(F.xxhash64("text").alias("x"), F.substring("text", F.lit(1), F.col("give").cast("int")).alias("head")).alias("h"))
-    heads = heads.groupBy("k").agg(F.min("h").alias("h")).select("k", F.col("h.head").alias("head"))
+    back = links.groupBy(F.col("next").alias("k")).agg(F.max("need").alias("give"), F.first("k").alias("prev"), F.first("salts").alias("prev_salts"))
+    link = links.select("k", "next", "salts").join(back, "k").select("k", F.explode("salts").alias("s"), "next", "give", "prev", "prev_salts")
+    # one shuffle of the texts, by id and salt; the heads that go to the previous document are half as much
+    whole = docs.repartition(F.col("k"), F.col("s")).join(link.hint("shuffle_merge"), ["k", "s"])
+    heads = whole.select(F.col("prev").alias("k"), F.explode("prev_salts").alias("s"), F.struct(F.xxhash64("text").alias("x"), F.substring("text", F.lit(1), F.col("give").cast("int")).alias("head")).alias("h"))
+    heads = heads.groupBy("k", "s").agg(F.min("h").alias("h")).select("k", "s", F.col("h.head").alias("head"))
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2).cast("int")
-    both = whole.join(heads.hint("shuffle_merge"), "k").select(
-        "k", "next", n.alias("n_chars"), F.xxhash64("text").alias("x"), "text",
+    both = whole.join(heads.hint("shuffle_merge"), ["k", "s"]).select(
+        "k", "s", "next", n.alias("n_chars"), F.xxhash64("text").alias("x"), "text",
         F.concat(F.substring("text", F.lit(1), (n - half).cast("int")), F.substring("head", F.lit(1), half)).alias("edited"),
     )
     both = both.withColumn("sha", F.unhex(F.sha2("edited", 256)))
-    found = cut(fingerprints(both, {"f": "text", "e": "edited"}, ["k"], ["next", "n_chars", "x", "sha"]))
+    found = cut(fingerprints(both, {"f": "text", "e": "edited"}, ["k", "s"], ["next", "n_chars", "x", "sha"]))
     ahead = found.groupBy(F.col("k").alias("nk")).agg(F.min(F.struct("x", "f")).alias("a")).select("nk", F.col("a.f").alias("nf"))
     both = found.join(ahead, F.col("next") == F.col("nk")).drop("nk")
     # every fiftieth document asks for those near it; the rest goes past that join, so that no key is null

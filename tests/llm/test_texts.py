@@ -44,6 +44,19 @@ def test_edited_fingerprints(odd_documents):
     assert prints[6] == prints[7] == {"0" * 32}
 
 
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    """A third of the rows without an id, and many of one id: the same rows whatever the salts."""
+    rng = random.Random(17)
+    texts = [" ".join(rng.choices("ab cd ef gh ij".split(), k=rng.randint(0, 12))) for _ in range(90)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plain = lambda: sorted((tuple(r) for r in simhash.edited_fingerprints(df).collect()), key=repr)
+    spread = plain()
+    assert len(spread) == 90
+    monkeypatch.setattr(simhash, "SALTS", 1)
+    assert plain() == spread
+
+
 def test_fingerprints_of_nothing_and_one(spark, no_documents):
     assert simhash.edited_fingerprints(no_documents).count() == 0
     one = simhash.edited_fingerprints(spark.createDataFrame([(1, "abcd")], "doc_id long, text string")).head()
