@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,7 +19,9 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parent
-        path = os.path.join(os.path.realpath(tempfile.mkdtemp()), "stagelight_package.zip")
+        folder = os.path.realpath(tempfile.mkdtemp())  # the driver serves the file from here until it ends
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = os.path.join(folder, "stagelight_package.zip")
         with zipfile.ZipFile(path, "w") as z:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, p.relative_to(root.parent))
