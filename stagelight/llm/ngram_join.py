@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -80,7 +80,7 @@ class Bands:
 
 
 def segments(d: int) -> int:
-    return d + 2 + d // 2
+    return d + 2 + d // 4
 
 
 def set_hash(hashes: np.ndarray) -> int:
@@ -205,26 +205,28 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in ends], pa.int64()), pa.array([h for _, h in ends], pa.int64()), pa.nulls(len(ends), pa.int64())], names=["sig", "u", "v"])
 
 
-def rarest(classes: DataFrame) -> DataFrame:
-    """(h, d, sigs) -> (sig, h): of each class that may link, the shared ones among its d + 1 rarest signatures."""
+def rarest(classes: DataFrame, done: Callable[[], None] = lambda: None) -> DataFrame:
+    """(h, d, sigs) -> (sig, h): of each class that may link, the shared ones among its d + 1 rarest signatures. done is
+    called when the classes are no longer read."""
     signed = classes.select(F.explode("sigs").alias("sig"), "h", "d")
     sorted_ = signed.repartitionByRange(F.col("sig"), F.col("h")).sortWithinPartitions("sig", "h")
     stored = Stored(sorted_.mapInArrow(_shared, "sig long, h long, d long, n long"))
+    done()
     found = stored.df
     # signatures at the edges of tasks, two a task
     edges = found.where("h is null").groupBy("sig").agg(F.least(F.sum("n"), F.lit(OFTEN)).alias("total")).withColumnRenamed("sig", "s")
     rows = found.where("h is not null and n > 0").unionByName(found.where("h is not null and n = 0").join(edges, F.col("sig") == F.col("s")).where("total > 1").select("sig", "h", "d", F.col("total").alias("n")))
     each = Window.partitionBy("h", "d")
     own = rows.withColumn("shared", F.count("*").over(each)).withColumn("r", F.row_number().over(each.orderBy("n", "sig")))
-    # of m = d + 2 + d div 2 signatures, m - shared are the class's own and come first
-    chosen = cut(own.where("r <= d + 1 - (d + 2 + d div 2 - shared)").select("sig", "h"))
+    # of m = d + 2 + d div 4 signatures, m - shared are the class's own and come first
+    chosen = cut(own.where("r <= d + 1 - (d + 2 + d div 4 - shared)").select("sig", "h"))
     stored.drop()
     return chosen
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
+def candidate_edges(classes: DataFrame, done: Callable[[], None] = lambda: None) -> DataFrame:
     """(h, d, sigs) -> edges (u, v) that connect all classes sharing a rare signature, as many as members at most."""
-    sorted_ = rarest(classes).repartitionByRange(F.col("sig"), F.col("h")).sortWithinPartitions("sig", "h")
+    sorted_ = rarest(classes, done).repartitionByRange(F.col("sig"), F.col("h")).sortWithinPartitions("sig", "h")
     found = cut(sorted_.mapInArrow(_chains, "sig long, u long, v long"))
     ends = found.where("sig is not null")  # two rows a task at most
     across = ends.select(F.col("u"), F.min("u").over(Window.partitionBy("sig")).alias("v")).where("u <> v")
@@ -498,7 +500,7 @@ def linked_classes(docs: DataFrame, width: int, threshold: str) -> tuple[DataFra
         found = cut(sketched.df.where("not more").select("k", "x", "n", "h"))
         rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k", "x")
         classes = cut(found.where("h is not null").groupBy("h", "n").agg(F.min(rank).alias("m")).select("h", "n", "m.k", "m.x"))
-        edges = candidate_edges(sketched.df.select("h", "d", "sigs").where("size(sigs) > 0"))
+        edges = candidate_edges(sketched.df.select("h", "d", "sigs").where("size(sigs) > 0"), sketched.drop)
         near = components(edges)
     finally:
         sketched.drop()
