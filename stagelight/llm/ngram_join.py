@@ -213,9 +213,9 @@ def rarest(classes: DataFrame, done: Callable[[], None] = lambda: None) -> DataF
     stored = Stored(sorted_.mapInArrow(_shared, "sig long, h long, d long, n long"))
     done()
     found = stored.df
-    # signatures at the edges of tasks, two a task
+    # signatures at the edges of tasks: two a task, so few that they go to every task, and a frequent one is not dealt out
     edges = found.where("h is null").groupBy("sig").agg(F.least(F.sum("n"), F.lit(OFTEN)).alias("total")).withColumnRenamed("sig", "s")
-    rows = found.where("h is not null and n > 0").unionByName(found.where("h is not null and n = 0").join(edges, F.col("sig") == F.col("s")).where("total > 1").select("sig", "h", "d", F.col("total").alias("n")))
+    rows = found.where("h is not null and n > 0").unionByName(found.where("h is not null and n = 0").join(F.broadcast(edges), F.col("sig") == F.col("s")).where("total > 1").select("sig", "h", "d", F.col("total").alias("n")))
     each = Window.partitionBy("h", "d")
     own = rows.withColumn("shared", F.count("*").over(each)).withColumn("r", F.row_number().over(each.orderBy("n", "sig")))
     # of m = d + 2 + d div 4 signatures, m - shared are the class's own and come first
@@ -505,7 +505,8 @@ def linked_classes(docs: DataFrame, width: int, threshold: str) -> tuple[DataFra
     finally:
         sketched.drop()
     candidates = near.join(classes, near.node == classes.h).select("h", "k", "x", "n", "root")
-    middle = candidates.groupBy("root").agg(F.sum("n").alias("total"), F.percentile_approx("n", 0.5).alias("mid"))
+    # a table of its own, so that the join can be split where one component has very many classes
+    middle = cut(candidates.groupBy("root").agg(F.sum("n").alias("total"), F.percentile_approx("n", 0.5).alias("mid")))
     sized = cut(candidates.join(middle, "root"))
     texts = docs.join(sized.select("k", "x", "root", "total", "h"), ["k", "x"]).select("root", "total", "h", "text")
     sets = Stored(texts.mapInArrow(_hashed(width), "root long, total long, h long, hashes array<long>"))
@@ -531,7 +532,8 @@ def jaccard_components(documents: DataFrame, width: int = 5, threshold: str = "0
     rank = F.struct((F.col("k") == NULL_KEY).alias("null"), "k")
     least = named.groupBy("root").agg(F.min(rank).alias("m"))
     labels = named.join(least, "root").select("h", F.col("m.k").alias("c"))
-    all_ = classes.select("h", F.col("k").alias("own")).join(labels, "h", "left").select("h", F.coalesce("c", "own").alias("c"))
+    # a table of its own, so that the join with the rows can be split where very many rows are copies of one text
+    all_ = cut(classes.select("h", F.col("k").alias("own")).join(labels, "h", "left").select("h", F.coalesce("c", "own").alias("c")))
     real = lambda c: F.when(F.col(c) != NULL_KEY, F.col(c))
     out = found.join(all_, "h", "left")
     return out.select(real("k").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(real("c"), real("k")).alias("component_id"))
