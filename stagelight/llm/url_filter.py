@@ -5,9 +5,9 @@ is evaluated against the entries that were active when it was fetched. A pattern
 or a host with a directory, which covers what lies below it.
 
 The as-of join is a union of captures and of the starts and ends of intervals, in which each capture takes the last state
-of its pattern up to its time. Rows are dealt by (pattern, hour) and every hour that has captures begins with the state
-that the pattern had by then, so a host that holds a third of all captures is spread over its hours, and no row is listed
-more often than a url has patterns, however far apart dates are. Of several active patterns the one with most characters
+of its pattern up to its time. Rows are dealt by (pattern, hour), and every hour that has captures begins with the state
+that the pattern had by then, found the same way by (pattern, month), so a host that holds a third of all captures is spread
+over its hours, and no row is listed more often than a url has patterns, however far apart dates are. Of several active patterns the one with most characters
 decides; among equally long ones, the one that sorts last.
 
 Defined cases: a null or unparsable url and a null fetch time match nothing and are kept (not blocked). Changes with a
@@ -52,25 +52,33 @@ def intervals(changes: DataFrame) -> DataFrame:
     return turns.withColumn("until", F.lead("at").over(order)).where("action = 'add'").select("pattern", F.col("at").alias("since"), "until")
 
 
+#: Captures are dealt by pattern and the first of these, the beginnings of the first by the second, and so on
+BUCKETS = ("hour", "month")
+
+
+def states(points: DataFrame, turns: DataFrame, buckets: tuple[str, ...]) -> DataFrame:
+    """points (pattern, at, ...) with the last state of their pattern in turns (pattern, at, state) up to their time."""
+    empty = F.lit(None).cast("struct<since:timestamp>")
+    known, group = turns.withColumn("kind", F.lit(1)), [F.col("pattern")]
+    if buckets:
+        bucket = F.date_trunc(buckets[0], "at")
+        begins = states(points.select("pattern", bucket.alias("at")).distinct(), turns, buckets[1:])
+        known, group = known.unionByName(begins.where("state is not null").withColumn("kind", F.lit(0))), [*group, bucket]
+    all_ = points.withColumn("state", empty).withColumn("kind", F.lit(2)).unionByName(known, allowMissingColumns=True)
+    last = F.last("state", ignorenulls=True).over(Window.partitionBy(*group).orderBy("at", "kind"))
+    return all_.withColumn("state", last).where("kind = 2").drop("kind")
+
+
 def evaluate(captures: DataFrame, changes: DataFrame) -> DataFrame:
     """(page_id, fetched_at, host, blocked, pattern, since) for each capture (page_id, url, fetched_at)."""
     rows = cut(only(captures, "page_id", "url", "fetched_at").withColumn("rid", F.monotonically_increasing_id()))  # row numbers stay the same from here on
-    hour = lambda c: F.date_trunc("hour", c)
     active = intervals(changes)
-    none = F.lit(None).cast("timestamp")
     state = lambda since: F.struct(since.alias("since"))
-    turns = active.select("pattern", F.col("since").alias("at"), state(F.col("since")).alias("state")).unionByName(active.where("until is not null").select("pattern", F.col("until").alias("at"), state(none).alias("state")))
-    # an interval may begin when the one before ends: the beginning counts
-    turns = turns.groupBy("pattern", "at").agg(F.max("state").alias("state"))
+    begun = active.select("pattern", F.col("since").alias("at"), state(F.col("since")).alias("state"))
+    ended = active.where("until is not null").select("pattern", F.col("until").alias("at"), state(F.lit(None).cast("timestamp")).alias("state"))
+    turns = begun.unionByName(ended).groupBy("pattern", "at").agg(F.max("state").alias("state"))  # the beginning counts where another ends
     keyed = rows.where("fetched_at is not null").select("rid", F.col("fetched_at").alias("at"), F.explode(patterns(F.col("url"))).alias("pattern"))
-    empty = F.lit(None).cast("struct<since:timestamp>")
-    # the state that a pattern has at the start of each hour with captures
-    starts = keyed.select("pattern", hour("at").alias("at")).distinct().withColumn("state", empty).withColumn("kind", F.lit(1))
-    order = Window.partitionBy("pattern").orderBy("at", "kind")
-    by_then = turns.withColumn("kind", F.lit(0)).unionByName(starts).withColumn("state", F.last("state", ignorenulls=True).over(order)).where("kind = 1 and state is not null")
-    all_ = keyed.withColumn("state", empty).withColumn("kind", F.lit(2)).unionByName(by_then.withColumn("kind", F.lit(0)).withColumn("rid", F.lit(None).cast("long"))).unionByName(turns.withColumn("kind", F.lit(1)).withColumn("rid", F.lit(None).cast("long")))
-    within = Window.partitionBy("pattern", hour("at")).orderBy("at", "kind")
-    met = all_.withColumn("since", F.last("state", ignorenulls=True).over(within)["since"]).where("kind = 2 and since is not null")
+    met = states(keyed, turns, BUCKETS).select("rid", "pattern", "state.since").where("since is not null")
     best = met.groupBy("rid").agg(F.max(F.struct(F.length("pattern").alias("n"), "pattern", "since")).alias("b"))
     out = rows.join(best, "rid", "left")
     return out.select("page_id", "fetched_at", host(F.col("url")).alias("host"), F.when(F.col("b").isNotNull(), 1).otherwise(0).alias("blocked"), F.col("b.pattern").alias("pattern"), F.col("b.since").alias("since"))
