@@ -45,10 +45,10 @@ SAMPLE_NUMBERS, SHARD_NUMBERS, BLOCK_NUMBERS = 1 << 24, 1 << 24, 1 << 22
 BITS_EACH, BITS = 4, 512
 WIDTH = 16
 #: Codes that a query's first radius holds in the whole table, or this share of the sample
-ENOUGH, ENOUGH_SAMPLED = 512, 16
+ENOUGH, ENOUGH_SAMPLED = 64, 4
 #: Queries searched by brute force, and the share of their neighbours that must be within the radius
 PROBED, LEAST_RECALL = 64, 0.95
-STEPS = 8
+STEPS = 11
 
 
 class Codes:

@@ -187,7 +187,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     places = spark.createDataFrame(runs, "length long, r0 long, r1 long, bin long, each long, at long")
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "start")
     ranked = rest.withColumn("n", F.row_number().over(own)).join(offsets, ["length", "salt"]).withColumn("rank", F.col("n") - 1 + F.col("before"))
-    # runs are bounded by the capacity, not by the corpus: a few for each length
+    # runs are a few for each length whatever the corpus, so they go out whole; should a large capacity make very many of
+    # them, they are joined as any table is, with the same result
     placed = ranked.join(F.broadcast(places) if len(runs) < 100_000 else places, "length").where("rank >= r0 and rank < r1")
     names = [*parts.columns, "sequence_id", "offset"]
     placed = placed.withColumn("sequence_id", F.expr("bin + (rank - r0) div each")).withColumn("offset", F.expr("at + (rank - r0) % each * length"))
