@@ -24,17 +24,20 @@ def tag_stream(log: DataFrame, forget_after_ms: int | None = FORGET_AFTER_MS) ->
         if state.hasTimedOut:
             state.remove()
             return
-        first = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(["accepted_at", "envelope_id"], kind="stable")
-        if first is None and len(rows):
-            first = rows["envelope_id"].iloc[0]
+        if state.exists:
+            (first,) = state.get
+            parts = batches  # every row repeats the first: batch by batch
+        else:
+            rows = pd.concat(list(batches), ignore_index=True).sort_values(["accepted_at", "envelope_id"], kind="stable")
+            first, parts = rows["envelope_id"].iloc[0], iter([rows])
             state.update((first,))
-        again = rows["envelope_id"] != first
-        rows["dedupe_of"] = pd.Series([first] * len(rows), index=rows.index, dtype=object).where(again, None)
-        rows["payload_ref"] = rows["payload_ref"].where(~again, None)
         if forget_after_ms:
             state.setTimeoutDuration(forget_after_ms)
-        yield rows[["envelope_id", "idempotency_key", "accepted_at", "payload_ref", "dedupe_of"]]
+        for rows in parts:
+            again = rows["envelope_id"] != first
+            rows["dedupe_of"] = pd.Series([first] * len(rows), index=rows.index, dtype=object).where(again, None)
+            rows["payload_ref"] = rows["payload_ref"].where(~again, None)
+            yield rows[["envelope_id", "idempotency_key", "accepted_at", "payload_ref", "dedupe_of"]]
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout
     rows = log.select("envelope_id", "idempotency_key", "accepted_at", "payload_ref")
