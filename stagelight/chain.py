@@ -35,15 +35,20 @@ def _cat(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-_K, _DAY = F.col("o_orderkey"), F.col("o_orderdate")
+def _key() -> Column:
+    return F.col("o_orderkey")
+
+
+def _date() -> Column:
+    return F.col("o_orderdate")
 
 
 # Page plans
 
 
 def _radio(spark, d) -> DataFrame:
-    title = F.when(_K % 7 == 0, "Unknown Event").when(_K % 7 == 1, "").otherwise(_cat("Show &amp; ", _K))
-    item = _cat("<h2>", F.date_format(_DAY, "MMMM d, yyyy"), '</h2><article class="EventItem x"><div class="EventItem-body"><h3><a> ', title, " </a></h3></div>", F.when(_K % 2 == 0, '<div class="EventItem-DateTime"><h5>1 p.m.</h5></div>').otherwise(""), "</article>")
+    title = F.when(_key() % 7 == 0, "Unknown Event").when(_key() % 7 == 1, "").otherwise(_cat("Show &amp; ", _key()))
+    item = _cat("<h2>", F.date_format(_date(), "MMMM d, yyyy"), '</h2><article class="EventItem x"><div class="EventItem-body"><h3><a> ', title, " </a></h3></div>", F.when(_key() % 2 == 0, '<div class="EventItem-DateTime"><h5>1 p.m.</h5></div>').otherwise(""), "</article>")
     return _documents(Tables(spark, d).orders, "kexp", item, "<html><body>", "</body></html>")
 
 
@@ -57,12 +62,12 @@ def radio_pages_parsed(spark, d):
 
 
 def _tickets(spark, d, source: str) -> DataFrame:
-    url = _cat("/events/detail/", _K)
-    some = lambda n, x: F.when(_K % n != 0, x).otherwise("")
+    url = _cat("/events/detail/", _key())
+    some = lambda n, x: F.when(_key() % n != 0, x).otherwise("")
     item = _cat(
-        '<div class="eventItem"><div class="thumb"><img src="i', _K, '.png"></div><h3 class="title"><a href="', url, '"> Main ', _K, "</a></h3>", some(2, _cat('<h4 class="tagline">Guest ', _K, " &amp; Other</h4>")),
-        some(3, '<div class="promotion-text tour">Tour</div>'), some(5, '<div class="promotion-text">House</div>'), '<span class="m-date__month">', F.date_format(_DAY, "MMM"), '</span> <span class="m-date__day">', F.date_format(_DAY, "d"), "</span>",
-        '<div class="meta"><span class="time">Doors: 7:30 PM</span>', some(4, '<span class="age">21+</span>'), some(6, '<span class="location">Hall</span>'), "</div>", some(7, _cat('<a class="tickets ', F.when(_K % 2 == 0, "onsalenow").otherwise("soldout"), '" href="https://t.example/', _K, '">x</a>')), "</div>",
+        '<div class="eventItem"><div class="thumb"><img src="i', _key(), '.png"></div><h3 class="title"><a href="', url, '"> Main ', _key(), "</a></h3>", some(2, _cat('<h4 class="tagline">Guest ', _key(), " &amp; Other</h4>")),
+        some(3, '<div class="promotion-text tour">Tour</div>'), some(5, '<div class="promotion-text">House</div>'), '<span class="m-date__month">', F.date_format(_date(), "MMM"), '</span> <span class="m-date__day">', F.date_format(_date(), "d"), "</span>",
+        '<div class="meta"><span class="time">Doors: 7:30 PM</span>', some(4, '<span class="age">21+</span>'), some(6, '<span class="location">Hall</span>'), "</div>", some(7, _cat('<a class="tickets ', F.when(_key() % 2 == 0, "onsalenow").otherwise("soldout"), '" href="https://t.example/', _key(), '">x</a>')), "</div>",
     )
     return _documents(Tables(spark, d).orders, source, item, "<main>", "</main>").withColumnRenamed("payload", "html")
 
@@ -86,7 +91,7 @@ def tour_pages_parsed(spark, d):
 
 
 def _headed(spark, d) -> DataFrame:
-    item = _cat("<h1>MUSIC ", F.date_format(_DAY, "M.d"), "</h1><p><a>Act ", _K, "</a>\nGuest ", _K, "\nwith Act ", _K, "\nDOORS 8\nSHOW 9\n$", _K, "</p>")
+    item = _cat("<h1>MUSIC ", F.date_format(_date(), "M.d"), "</h1><p><a>Act ", _key(), "</a>\nGuest ", _key(), "\nwith Act ", _key(), "\nDOORS 8\nSHOW 9\n$", _key(), "</p>")
     return _documents(Tables(spark, d).orders, "darrells_tavern", item, '<div class="entry-content">', "</div>")
 
 
@@ -102,7 +107,7 @@ def headed_pages_parsed(spark, d):
 
 
 def _warmup(spark, d) -> DataFrame:
-    return _documents(Tables(spark, d).orders, "sea_monster", F.to_json(F.struct(_cat("T", _K).alias("title"), _K.alias("k"))), '<p></p><script id="wix-warmup-data">{"appsWarmupData":{"app":{"other":{},"widget1":{"events":{"events":[', "]}}}}}</script>", ",")
+    return _documents(Tables(spark, d).orders, "sea_monster", F.to_json(F.struct(_cat("T", _key()).alias("title"), _key().alias("k"))), '<p></p><script id="wix-warmup-data">{"appsWarmupData":{"app":{"other":{},"widget1":{"events":{"events":[', "]}}}}}</script>", ",")
 
 
 @query("SELECT 'sea_monster' AS source_id, CAST(o_custkey AS VARCHAR) AS envelope_id, '$.widget1.events[' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) || ']' AS record_path, 'T' || o_orderkey AS title, CAST(o_orderkey AS VARCHAR) AS k FROM orders")
@@ -128,18 +133,18 @@ def exploded_events_by_dates(spark, d):
 @query("SELECT CAST(o_custkey AS VARCHAR) AS envelope_id, CASE WHEN o_custkey % 3 = 0 THEN '$' ELSE '$.events[' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) || ']' END AS record_path, CASE WHEN o_custkey % 3 > 0 THEN 'T' || o_orderkey END AS title FROM orders QUALIFY o_custkey % 3 > 0 OR row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1")
 def calendar_lists(spark, d):
     """Lists of events, and documents that are neither a list nor days."""
-    docs = _documents(Tables(spark, d).orders, "blue_moon", F.to_json(F.struct(_cat("T", _K).alias("title"))), '{"events":[', "]}", ",")
+    docs = _documents(Tables(spark, d).orders, "blue_moon", F.to_json(F.struct(_cat("T", _key()).alias("title"))), '{"events":[', "]}", ",")
     docs = docs.withColumn("payload", F.when(F.col("envelope_id").cast("int") % 3 == 0, '{"nothing":1}').otherwise(F.col("payload")))
     return _fields(payloads.calendar(docs), "title").drop("source_id")
 
 
 def _graph(spark, d) -> DataFrame:
     null = F.lit(None).cast("string")
-    artist = F.struct(_cat("A", _K).alias("name"), F.when(_K % 2 == 0, "bio").alias("bio"))
-    announced = F.struct(F.when(_K % 3 != 0, _cat("B", _K)).alias("name"), F.lit("https://w.example").alias("website"), F.when(_K % 2 == 0, "https://s.example").alias("spotify"))
+    artist = F.struct(_cat("A", _key()).alias("name"), F.when(_key() % 2 == 0, "bio").alias("bio"))
+    announced = F.struct(F.when(_key() % 3 != 0, _cat("B", _key())).alias("name"), F.lit("https://w.example").alias("website"), F.when(_key() % 2 == 0, "https://s.example").alias("spotify"))
     e = F.struct(
-        _cat("N", _K).alias("name"), F.date_format(_DAY, "yyyy-MM-dd").alias("date"), F.when(_K % 2 == 0, "20:00:00").otherwise(null).alias("startTime"), F.lit("19:00:00").alias("doorTime"), F.when(_K % 5 != 0, F.lit(21)).alias("minimumAge"),
-        F.when(_K % 4 == 0, "").otherwise("Guest & Other").alias("support"), F.array(artist).alias("artists"), F.array(announced).alias("announceArtists"), F.when(_K % 7 == 0, F.struct(F.lit("Hall").alias("name"))).alias("venue"),
+        _cat("N", _key()).alias("name"), F.date_format(_date(), "yyyy-MM-dd").alias("date"), F.when(_key() % 2 == 0, "20:00:00").otherwise(null).alias("startTime"), F.lit("19:00:00").alias("doorTime"), F.when(_key() % 5 != 0, F.lit(21)).alias("minimumAge"),
+        F.when(_key() % 4 == 0, "").otherwise("Guest & Other").alias("support"), F.array(artist).alias("artists"), F.array(announced).alias("announceArtists"), F.when(_key() % 7 == 0, F.struct(F.lit("Hall").alias("name"))).alias("venue"),
     )
     return _documents(Tables(spark, d).orders, "conor_byrne", F.to_json(e), '{"data":{"paginatedEvents":{"collection":[', "]}}}", ",")
 
@@ -193,13 +198,13 @@ def events_found_in_documents(spark, d):
 
 @query("""SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 4 THEN DATE '1999-06-01' ELSE CAST(o_orderdate AS DATE) END AS day FROM orders""")
 def inferred_days(spark, d):
-    k, iso = _K % 5, F.date_format(_DAY, "yyyy-MM-dd")
+    k, iso = _key() % 5, F.date_format(_date(), "yyyy-MM-dd")
     s = lambda name, v: F.to_json(F.struct(v.alias(name)))
     record = (
         F.when(k == 0, F.to_json(F.struct(F.struct(iso.alias("date")).alias("start"), F.lit("2001-01-01").alias("date")))).when(k == 1, F.to_json(F.struct(F.lit("soon").alias("startDate"), F.concat(iso, F.lit("T20:00:00Z")).alias("date"))))
-        .when(k == 2, F.to_json(F.struct(F.unix_timestamp(_DAY.cast("timestamp")).alias("date"), F.lit("2001-01-01").alias("event_day")))).when(k == 3, s("event_day", iso)).otherwise(s("other", iso))
+        .when(k == 2, F.to_json(F.struct(F.unix_timestamp(_date().cast("timestamp")).alias("date"), F.lit("2001-01-01").alias("event_day")))).when(k == 3, s("event_day", iso)).otherwise(s("other", iso))
     )
-    return Tables(spark, d).orders.select(_K.alias("id"), T.infer_day(record, today()).alias("day"))
+    return Tables(spark, d).orders.select(_key().alias("id"), T.infer_day(record, today()).alias("day"))
 
 
 @query("""WITH o AS (SELECT count(*) AS n, count(DISTINCT o_custkey) AS c FROM orders), radio AS (SELECT count(*) AS n FROM orders WHERE o_orderkey % 7 > 1), none AS (SELECT count(*) AS n FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING max(CAST(o_orderkey % 7 > 1 AS INT)) = 0))
@@ -207,7 +212,7 @@ SELECT 'kexp' AS source_id, radio.n + none.n AS n FROM radio, none UNION ALL SEL
 def parse_by_plan(spark, d):
     """Payloads of six sources by the plans of their sources: the default for one without, none for an unknown plan."""
     ship(spark)
-    plain = _documents(Tables(spark, d).orders, "blue_moon", F.to_json(F.struct(_cat("T", _K).alias("title"))), '{"events":[', "]}", ",")
+    plain = _documents(Tables(spark, d).orders, "blue_moon", F.to_json(F.struct(_cat("T", _key()).alias("title"))), '{"events":[', "]}", ",")
     raw = _radio(spark, d).unionByName(_warmup(spark, d)).unionByName(_graph(spark, d)).unionByName(plain).unionByName(plain.withColumn("source_id", F.lit("sunset_tavern")))
     plans = spark.createDataFrame([("kexp", "parse_plan:kexp_html_v1"), ("sea_monster", "wix_warmup_v1"), ("conor_byrne", "venuepilot_graphql_v1"), ("sunset_tavern", "parse_plan:dice_api_v1")], "source_id string, parse_plan_ref string")
     return payloads.parse(raw, plans, AS_OF).groupBy("source_id").agg(F.count("*").alias("n"))
@@ -219,14 +224,14 @@ _NAMES = [*normalize.SOURCES, "sunset_tavern"]
 
 
 def _records(spark, d) -> DataFrame:
-    k, c = _K, F.col("o_custkey")
+    k, c = _key(), F.col("o_custkey")
     source = F.get(F.array(*map(F.lit, _NAMES)), (k % 8).cast("int"))
     plain = _cat("Act ", c)
     title = (
         F.when(k % 11 == 0, " ").when(k % 13 == 0, "Open Mic").when((source == "sea_monster") & (k % 5 == 1), _cat("La Luz ", c)).when(source == "barboza", _cat("Main ", c, "! feat. Guest ", c, " & Friend"))
         .when(source == "neumos", _cat("Main ", c, " with Guest ", c, ", Pal + Chum")).otherwise(plain)
     )
-    dated = lambda form: F.when(k % 17 != 0, F.date_format(_DAY, form))
+    dated = lambda form: F.when(k % 17 != 0, F.date_format(_date(), form))
     time = _cat((k % 12 + 1).cast("string"), ":", F.lpad((k % 60).cast("string"), 2, "0"), " PM")
     wix = F.struct(F.when(source == "blue_moon", dated("yyyy-MM-dd'T'19:30:00'Z'")).alias("startDate"), F.when(source == "sea_monster", dated("MMMM dd, yyyy")).alias("startDateFormatted"), F.when(source == "sea_monster", time).alias("startTimeFormatted"))
     day = F.when(source == "kexp", dated("MMMM d, yyyy")).when(~source.isin("blue_moon", "sea_monster"), dated("yyyy-MM-dd"))
@@ -297,21 +302,21 @@ def unknown_sources(spark, d):
 
 @query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN '19:30:00' END AS start_time FROM orders")
 def calendar_start_times(spark, d):
-    start = F.when(_K % 4 == 0, F.to_json(F.struct(F.struct(F.date_format(_DAY, "yyyy-MM-dd'T'19:30:00-08:00").alias("startDate")).alias("scheduling")))).when(_K % 2 == 0, F.to_json(F.struct(F.date_format(_DAY, "yyyy-MM-dd'T'19:30:00-08:00").alias("startDate")))).otherwise("{}")
-    return payloads.blue_moon_times(Tables(spark, d).orders.select(_K.alias("id"), start.alias("record"))).select("id", "start_time")
+    start = F.when(_key() % 4 == 0, F.to_json(F.struct(F.struct(F.date_format(_date(), "yyyy-MM-dd'T'19:30:00-08:00").alias("startDate")).alias("scheduling")))).when(_key() % 2 == 0, F.to_json(F.struct(F.date_format(_date(), "yyyy-MM-dd'T'19:30:00-08:00").alias("startDate")))).otherwise("{}")
+    return payloads.blue_moon_times(Tables(spark, d).orders.select(_key().alias("id"), start.alias("record"))).select("id", "start_time")
 
 
 # What parsers say of raw records
 
 
 def _raw_records(spark, d) -> DataFrame:
-    k, c = _K, F.col("o_custkey")
+    k, c = _key(), F.col("o_custkey")
     source = F.get(F.array(*map(F.lit, _NAMES)), (k % 8).cast("int"))
     has = lambda n, x: F.when(k % n != 0, x)
-    iso, ticketed = F.date_format(_DAY, "yyyy-MM-dd"), source.isin("barboza", "neumos")
+    iso, ticketed = F.date_format(_date(), "yyyy-MM-dd"), source.isin("barboza", "neumos")
     record = F.to_json(F.struct(
-        has(11, _cat(" T", c)).alias("title"), has(13, _cat("id", k)).alias("id"), has(7, _cat("slug", k)).alias("slug"), has(17, F.when(k % 19 == 0, "soon").otherwise(iso)).alias("event_day"), F.when(ticketed, has(17, F.date_format(_DAY, "MMM d"))).alias("date_text"),
-        F.struct(has(17, F.date_format(_DAY, "MMMM d, yyyy")).alias("startDateFormatted"), has(23, F.lit("7:05 PM")).alias("startTimeFormatted")).alias("scheduling"), F.concat(iso, F.lit("T19:30:00-08:00")).alias("startDate"), F.lit("noon").alias("start_time"), F.lit("Doors: 8:15 PM").alias("time_text"),
+        has(11, _cat(" T", c)).alias("title"), has(13, _cat("id", k)).alias("id"), has(7, _cat("slug", k)).alias("slug"), has(17, F.when(k % 19 == 0, "soon").otherwise(iso)).alias("event_day"), F.when(ticketed, has(17, F.date_format(_date(), "MMM d"))).alias("date_text"),
+        F.struct(has(17, F.date_format(_date(), "MMMM d, yyyy")).alias("startDateFormatted"), has(23, F.lit("7:05 PM")).alias("startTimeFormatted")).alias("scheduling"), F.concat(iso, F.lit("T19:30:00-08:00")).alias("startDate"), F.lit("noon").alias("start_time"), F.lit("Doors: 8:15 PM").alias("time_text"),
         F.when(k % 3 == 0, "A & B").alias("supporting_acts"), F.when(k % 3 == 0, "/t").when(k % 3 == 1, "https://x.example").alias("ticket_url"), F.when(k % 4 == 0, "Big").alias("tour_name"), F.when(k % 5 == 0, "House").alias("promoter"), F.when(k % 2 == 0, "Hall").otherwise("The Barboza").alias("venue"), F.lit("words").alias("description"),
         F.lit("/e").alias("event_url"), F.struct(F.lit("m.png").alias("url")).alias("mainImage"), F.lit("i.png").alias("image_url"),
     ))

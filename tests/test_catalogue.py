@@ -50,3 +50,14 @@ def test_entry_runs(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).columns == ["id", "title", "event_day", "venue_id"]
+
+
+def test_entry_points_import_without_a_session():
+    """Queries and their SQL are listed before any session is there."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 100 and len(e.oracle_sql()) > 100"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
