@@ -26,8 +26,8 @@ from stagelight.llm.common import NULL_KEY, cut, key, only
 BITS = 128
 #: Radius of the block tables, blocks more than that in a key, and which documents are queries: every fiftieth id
 RADIUS, SPARE, EVERY = 3, 1, 50
-#: Tasks that the rows of one id are spread over at most
-SALTS = 256
+#: Tasks that the rows of one id are spread over at most: the bits of a positive long
+SALTS = 62
 #: Votes are counted two to a long; no text has 2^31 terms.
 _LANES = 0x0000000100000001
 
@@ -79,20 +79,27 @@ def following(ids: DataFrame) -> DataFrame:
     return led.join(edge, "p").select("k", "need", "salts", F.coalesce("n", "over").alias("next"))
 
 
+def places(bits: str) -> Column:
+    """Places of the bits that are set."""
+    b = F.col(bits)
+    every = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit(b, i) == 1)
+    return F.when(F.bit_count(b) == 1, F.array(F.bit_count(b - 1))).otherwise(every)
+
+
 def edited_fingerprints(documents: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last floor(n / 2) code points are replaced by the first
     as many (or all) of the next document's, and how alike they are."""
     # k stands for doc_id from here on: both uses of the shuffled texts below then have the same columns and share it
     docs = only(documents, "doc_id", "text").select(key(F.col("doc_id").cast("long")).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("s", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
-    # an id's salts are those of its rows: one for most ids, SALTS at most
-    ids = docs.groupBy("k").agg(F.max(F.floor(F.char_length("text") / 2)).alias("need"), F.collect_set("s").alias("salts"))
+    # an id's salts are those of its rows, as bits: one for most ids
+    ids = docs.groupBy("k").agg(F.max(F.floor(F.char_length("text") / 2)).alias("need"), F.bit_or(F.expr("shiftleft(1L, s)")).alias("salts"))
     links = cut(following(ids))
     back = links.groupBy(F.col("next").alias("k")).agg(F.max("need").alias("give"), F.first("k").alias("prev"), F.first("salts").alias("prev_salts"))
-    link = links.select("k", "next", "salts").join(back, "k").select("k", F.explode("salts").alias("s"), "next", "give", "prev", "prev_salts")
+    link = links.select("k", "next", "salts").join(back, "k").select("k", F.explode(places("salts")).alias("s"), "next", "give", "prev", "prev_salts")
     # one shuffle of the texts, by id and salt; the heads that go to the previous document are half as much
     whole = docs.repartition(F.col("k"), F.col("s")).join(link.hint("shuffle_merge"), ["k", "s"])
-    heads = whole.select(F.col("prev").alias("k"), F.explode("prev_salts").alias("s"), F.struct(F.xxhash64("text").alias("x"), F.substring("text", F.lit(1), F.col("give").cast("int")).alias("head")).alias("h"))
+    heads = whole.select(F.col("prev").alias("k"), F.explode(places("prev_salts")).alias("s"), F.struct(F.xxhash64("text").alias("x"), F.substring("text", F.lit(1), F.col("give").cast("int")).alias("head")).alias("h"))
     heads = heads.groupBy("k", "s").agg(F.min("h").alias("h")).select("k", "s", F.col("h.head").alias("head"))
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2).cast("int")
