@@ -42,9 +42,9 @@ def fingerprints(df: DataFrame, texts: dict[str, str], keys: list[str], extra: l
     # the word list is used twice here, so it stays a column of its own and is split once a text
     follower = F.slice("_w", F.lit(2), F.greatest(F.size("_w"), F.lit(1)))
     rows = rows.select(*keep, "_side", F.explode(F.zip_with("_w", follower, lambda w, x: F.when(w != "", F.xxhash64(w, x)))).alias("_h"))
-    rows = rows.withColumn("_g", F.xxhash64("_h"))
-    # SQL text, as hundreds of Column calls take seconds to build
-    lanes = [F.expr(f"sum(if(_h is null, null, shiftrightunsigned({h}, {i}) & {_LANES}L)) as {h}{i}") for h in ("_h", "_g") for i in range(32)]
+    rows = rows.withColumn("_g", F.when(F.col("_h").isNotNull(), F.xxhash64("_h")))
+    # SQL text, as hundreds of Column calls take seconds to build; what is null adds nothing
+    lanes = [F.expr(f"sum(shiftrightunsigned({h}, {i}) & {_LANES}L) as {h}{i}") for h in ("_h", "_g") for i in range(32)]
     votes = rows.groupBy(*keep, "_side").agg(F.count("_h").alias("_n"), *lanes)
 
     def word(h: str) -> Column:
