@@ -48,8 +48,17 @@ SOURCES = {
 ORIGIN = "https://listings.example"
 
 
+#: Fields that any of the sources has; a location that is plain text is read beside them
+_FIELDS = (
+    "title string, description string, supporting_acts string, tour_name string, promoter string, age_restriction string, ticket_url string, detail_url string, slug string, image_url string, mainImage struct<url:string>, "
+    "scheduling struct<startDate:string,startDateFormatted:string,startTimeFormatted:string>, startDate string, event_day string, date string, start_time string, event_time string, time string, "
+    "location struct<name:string,coordinates:struct<lat:string,lng:string>,fullAddress:struct<formattedAddress:string,postalCode:string,city:string,subdivisions:string>>"
+)
+
+
 def _get(path: str) -> Column:
-    return F.get_json_object("record", f"$.{path}")
+    """A field of the record, which is read once a row."""
+    return F.col(f"_r.{path}")
 
 
 def _first(*paths: str) -> Column:
@@ -82,7 +91,7 @@ def _known(parsed: DataFrame, as_of) -> DataFrame:
     """Rows of known sources with the fields that all entities need; without a date the day is as_of."""
     today = F.lit(as_of).cast("date")
     days = [T.parse_day(_get(p)) for p in ("scheduling.startDateFormatted", "scheduling.startDate", "startDate", "event_day", "date")]
-    rows = parsed.where(F.col("source_id").isin(*SOURCES)).withColumn("title", T.title_or_null(_get("title"))).where("title is not null")
+    rows = parsed.where(F.col("source_id").isin(*SOURCES)).withColumn("_r", F.from_json("record", _FIELDS)).withColumn("title", T.title_or_null(_get("title"))).where("title is not null")
     rows = rows.withColumn("event_day", F.coalesce(*days, today)).withColumn("dated", F.coalesce(*days).isNotNull())
     named = reduce(lambda c, kv: F.when((F.col("source_id") == kv[0]) & ~(F.lit(kv[0] == "sea_monster") & F.lower("title").contains("la luz")), _names(kv[1])).otherwise(c), SOURCES.items(), F.array().cast("array<struct<name:string,confidence:double>>"))
     return rows.withColumn("named", named)
@@ -101,7 +110,7 @@ def events(parsed: DataFrame, as_of) -> DataFrame:
     slug = _by_source(lambda s: F.lit(s.slug))
     ids = F.transform("named", lambda a: T.slug_keep_runs(a["name"]))
     text = F.coalesce(
-        _first("description"), F.nullif(F.concat_ws(" | ", F.concat(F.lit("With "), _first("supporting_acts")), F.concat(F.lit("Tour: "), _first("tour_name")), _first("promoter"), F.concat(F.lit("Age: "), _first("age_restriction"))), F.lit("")), _first("location"),
+        _first("description"), F.nullif(F.concat_ws(" | ", F.concat(F.lit("With "), _first("supporting_acts")), F.concat(F.lit("Tour: "), _first("tour_name")), _first("promoter"), F.concat(F.lit("Age: "), _first("age_restriction"))), F.lit("")), F.nullif(F.trim(F.get_json_object("record", "$.location")), F.lit("")),
     )
     url = T.absolute_url(F.coalesce(_first("ticket_url", "detail_url"), F.concat(F.lit("/event-details/"), _first("slug")), F.lit("/events")), ORIGIN)
     venue_id = T.uuid5(slug)
