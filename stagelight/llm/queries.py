@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagelight.llm import bpe, chat, langid, license, mih, ngram_join, packing, simhash, toxicity, url_filter
+from stagelight.llm import bpe, chat, delta_lloyd, divergence, langid, license, mih, ngram_join, packing, segment_dedup, simhash, toxicity, url_filter
 from stagelight.llm.common import table
 
 
@@ -59,6 +59,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.evaluate(url_filter.captures_of(pages), url_filter.changes_of(pages))
 
 
+def op11_segment_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_lloyd.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_license_scan": op2_license_scan,
@@ -70,10 +82,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
+    "op11_segment_dedup": op11_segment_dedup,
+    "op12_divergence": op12_divergence,
+    "op13_delta_lloyd": op13_delta_lloyd,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": license.ORACLE,
     "op3_chat_format": chat.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op12_divergence": divergence.ORACLE,
+    "op13_delta_lloyd": delta_lloyd.ORACLE,
 }
