@@ -151,10 +151,10 @@ def members(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return rows.select("cell", "home", "fp", F.explode(tiles).alias("tile"))
 
 
-def forest(points: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
-    """Links that connect what is connected within the radius, one less than the points of each component."""
-    u: list[int] = []
-    v: list[int] = []
+def forest(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of unsigned points that connect what is connected within the radius, one less than the points of each component."""
+    u: list[np.ndarray] = [points[:0]]
+    v: list[np.ndarray] = [points[:0]]
     left = points
     while len(left):
         front, left = [left[0]], left[1:]
@@ -165,9 +165,9 @@ def forest(points: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
                 found = left[near]
                 left = left[~near]
                 front.extend(found)
-                u += [int(x)] * len(found)
-                v += found.tolist()
-    return u, v
+                u.append(np.full(len(found), x))
+                v.append(found)
+    return np.concatenate(u), np.concatenate(v)
 
 
 def _links(radius: int):
@@ -177,14 +177,15 @@ def _links(radius: int):
         first = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]) | (tile[1:] != tile[:-1]), [True])))
         size = np.diff(first)
         run = np.repeat(np.arange(len(size)), size)
-        u: list[np.ndarray] = [np.zeros(0, np.int64)]
-        v: list[np.ndarray] = [np.zeros(0, np.int64)]
+        fp = fp.view(np.uint64)  # bits of signed numbers are counted without their sign
+        u: list[np.ndarray] = [fp[:0]]
+        v: list[np.ndarray] = [fp[:0]]
         for i in np.flatnonzero(size > SMALL):
             rows = slice(first[i], first[i + 1])
             if home[rows].any():
                 a, b = forest(fp[rows], radius)
-                u.append(np.array(a, np.int64))
-                v.append(np.array(b, np.int64))
+                u.append(a)
+                v.append(b)
         small = size[run] <= SMALL
         fp, home, run = fp[small], home[small], run[small]
         for s in range(1, SMALL):
@@ -194,7 +195,7 @@ def _links(radius: int):
             near = (np.bitwise_count(fp[at] ^ fp[at + s]) <= radius) & (home[at] | home[at + s])
             u.append(fp[at[near]])
             v.append(fp[at[near] + s])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (u, v)], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
