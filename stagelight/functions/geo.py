@@ -33,7 +33,9 @@ def spatial_bin(lat: Column, lng: Column) -> Column:
 
 
 def location_cell(lat: Column, lng: Column) -> Column:
-    return F.concat_ws("_", F.round(lat * 1000).cast("long").cast("string"), F.round(lng * 1000).cast("long").cast("string"))
+    """Null unless both numbers are there."""
+    place = lambda x: F.round(F.nanvl(x.cast("double"), F.lit(None)) * 1000).cast("long").cast("string")
+    return F.concat(place(lat), F.lit("_"), place(lng))
 
 
 def in_box(lat: Column, lng: Column) -> Column:

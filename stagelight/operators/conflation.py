@@ -62,44 +62,72 @@ def resolve(records: DataFrame, canonical: DataFrame) -> DataFrame:
 SEGMENTED = 0.6
 
 
-def fuzzy_match(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """names (id, name), known (id, name), both already in compared form -> matched id for each name: an equal name,
-    else the smallest id with a Levenshtein similarity of at least the threshold; null for a new one. Blocking without
-    loss: a known name of length m differs from a similar one in at most d = m * (1 - threshold) / threshold places, so
-    one of its d + 1 segments is in the other, at most d places away. Names meet on (length, segment, text); below SEGMENTED
-    there may be more segments than letters, and names meet on lengths that the threshold allows."""
+def similar_names(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """names (id, name), known (id, name), both already in compared form -> (id, name, known_id, known_name, s): every pair
+    with a Levenshtein similarity of at least the threshold, which is over 0. Blocking without loss: a known name of length
+    m differs from a similar one in at most d = m * (1 - threshold) / threshold places, so one of its d + 1 segments is in
+    the other, at most d places away. Names meet on (length, segment, text); below SEGMENTED there may be more segments than
+    letters, and names meet on lengths that the threshold allows."""
     k = known.select(F.col("id").alias("known_id"), F.col("name").alias("known_name"), F.char_length("name").alias("m"))
     n = F.char_length("name")
     tiny = 1e-9
+    least = F.ceil(n * threshold - tiny).cast("int")
+    lengths = F.sequence(least, F.greatest(F.floor(n / threshold + tiny).cast("int"), least))
     if threshold >= SEGMENTED:
         allowed = lambda m: F.floor(m * ((1 - threshold) / threshold) + tiny).cast("int")
         start = lambda m, i: F.floor(i * m / (allowed(m) + 1)).cast("int")
         segment = lambda name, m, i, at: F.struct(m.alias("m"), i.alias("i"), F.substr(name, at + 1, start(m, i + 1) - start(m, i)).alias("t"))
         count = lambda m: F.sequence(F.lit(0), allowed(m))
-        k = k.withColumn("key", F.explode(F.transform(count(F.col("m")), lambda i: segment(F.col("known_name"), F.col("m"), i, start(F.col("m"), i)))))
-        lengths = F.sequence(F.ceil(n * threshold - tiny).cast("int"), F.greatest(F.floor(n / threshold + tiny).cast("int"), F.ceil(n * threshold - tiny).cast("int")))
+        own = F.transform(count(F.col("m")), lambda i: segment(F.col("known_name"), F.col("m"), i, start(F.col("m"), i)))
         last = lambda m, i: n - (start(m, i + 1) - start(m, i))
-        spots = lambda m, i: F.filter(F.sequence(F.greatest(start(m, i) - allowed(m), F.lit(0)), F.greatest(start(m, i) + allowed(m), F.lit(0))), lambda at: at <= last(m, i))
+        near = lambda m, i: F.sequence(F.greatest(start(m, i) - allowed(m), F.lit(0)), F.greatest(start(m, i) + allowed(m), F.lit(0)))
+        spots = lambda m, i: F.filter(near(m, i), lambda at: at <= last(m, i))
         keys = F.transform(lengths, lambda m: F.flatten(F.transform(count(m), lambda i: F.transform(spots(m, i), lambda at: segment(F.col("name"), m, i, at)))))
-        met = names.select("id", "name", F.explode(F.array_distinct(F.flatten(keys))).alias("key")).join(k, "key")
+        met = names.select("id", "name", F.explode(F.array_distinct(F.flatten(keys))).alias("key")).join(k.withColumn("key", F.explode(own)), "key")
         met = met.select("id", "name", "known_id", "known_name").distinct()
     else:
-        # a threshold of 0 or less is met by every known name: the smallest id counts
-        if threshold <= 0:
-            least = known.groupBy().agg(F.min_by("name", "id").alias("known_name"), F.min("id").alias("known_id")).where("known_id is not null")
-            exact = names.join(k.select("known_id", "known_name"), F.col("name") == F.col("known_name")).select("id", "name", "known_id", "known_name")
-            met = names.join(F.broadcast(least), F.lit(True)).select("id", "name", "known_id", "known_name").unionByName(exact)  # one row
-        else:
-            reach = F.sequence(F.ceil(n * threshold - tiny).cast("int"), F.greatest(F.floor(n / threshold + tiny).cast("int"), F.ceil(n * threshold - tiny).cast("int")))
-            met = names.select("id", "name", F.explode(reach).alias("m")).join(k, "m")
-    near = T.levenshtein_similarity(F.col("name"), F.col("known_name"))
-    met = met.withColumn("s", near).where(F.col("s") >= threshold)
+        met = names.select("id", "name", F.explode(lengths).alias("m")).join(k, "m").select("id", "name", "known_id", "known_name")
+    return met.withColumn("s", T.levenshtein_similarity(F.col("name"), F.col("known_name"))).where(F.col("s") >= threshold)
+
+
+def fuzzy_match(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """names (id, name), known (id, name), both already in compared form -> matched id for each name: an equal name,
+    else the smallest id with a Levenshtein similarity of at least the threshold; null for a new one. A threshold of 0 or
+    less is met by every known name: the smallest id counts."""
+    if threshold > 0:
+        met = similar_names(names, known, threshold)
+    else:
+        k = known.select(F.col("id").alias("known_id"), F.col("name").alias("known_name"))
+        least = known.groupBy().agg(F.min_by("name", "id").alias("known_name"), F.min("id").alias("known_id")).where("known_id is not null")
+        exact = names.join(k, F.col("name") == F.col("known_name")).select("id", "name", "known_id", "known_name")
+        met = names.join(F.broadcast(least), F.lit(True)).select("id", "name", "known_id", "known_name").unionByName(exact)  # one row
+        met = met.withColumn("s", T.levenshtein_similarity(F.col("name"), F.col("known_name"))).where(F.col("s") >= threshold)
     best = met.groupBy("id").agg(F.min(F.struct((F.col("name") != F.col("known_name")).alias("fuzzy"), "known_id", "s")).alias("b"))
     return names.join(best, "id", "left").select("id", "name", F.col("b.known_id").alias("matched_id"), F.col("b.s").alias("similarity"))
 
 
 def find_or_create(wanted: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of wanted whose key does not exist yet, one for each key (the smallest id)."""
+    """Rows of wanted whose key does not exist yet, one for each key (the smallest id): what is to be created."""
     new = wanted.join(existing.select(key), key, "left_anti")
     order = Window.partitionBy(key).orderBy("id")
     return new.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+
+
+def found_or_created(wanted: DataFrame, existing: DataFrame) -> DataFrame:
+    """wanted and existing (id, name) -> each wanted row with entity_id and `how`: the entity of the same name without regard
+    to case, else the one with the same slug, else a new one, which stands for all wanted rows of its slug and has the
+    smallest id among them. Names of a slug without any character stand for themselves. Among several the smallest id counts;
+    null names find and create nothing. Keys are aggregated on both sides before they are joined, so that a name that very
+    many rows have is one row there."""
+    slugged = lambda: F.when(T.slug(F.col("name")) != "", T.slug(F.col("name"))).otherwise(F.concat(F.lit("="), F.lower("name")))
+    forms = lambda df: df.where("name is not null").select("id", F.lower("name").alias("lower"), slugged().alias("slug"))
+    known = forms(existing)
+    by_name, by_slug = (known.groupBy(k).agg(F.min("id").alias(f"{k}_id")) for k in ("lower", "slug"))
+    keys = forms(wanted).groupBy("lower", "slug").agg(F.min("id").alias("first"))
+    keys = keys.join(by_name, "lower", "left").join(by_slug, "slug", "left")
+    found = F.coalesce("lower_id", "slug_id")
+    new = keys.where(found.isNull()).groupBy("slug").agg(F.min("first").alias("new_id"))
+    how = F.when(F.col("lower_id").isNotNull(), "name").when(F.col("slug_id").isNotNull(), "slug").otherwise("created")
+    keys = keys.join(new, "slug", "left").select("lower", F.coalesce(found, "new_id").alias("entity_id"), how.alias("how"))
+    rows = wanted.withColumn("_lower", F.lower("name"))
+    return rows.join(keys, F.col("_lower") == F.col("lower"), "left").drop("_lower", "lower")
