@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagelight.lineage import exists
+from stagelight.sources import content
+
 SPEC = (
     "source_id string, enabled boolean, parse_plan_ref string, endpoints array<struct<url:string,method:string>>, rate_limits struct<requests_per_min:bigint,bytes_per_min:bigint,concurrency:bigint>,"
     "content struct<allowed_mime_types:array<string>,max_payload_size_bytes:bigint>, pipeline struct<parser_id:string,normalizer_id:string>"
@@ -38,9 +41,12 @@ def find_envelope(log: DataFrame, envelope_id: str) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored payloads by their digest."""
+    """(payload_ref, content) of a folder: of a content store as its packs have it, of files that are a payload each by the
+    digest of their content, for which each is read and hashed. By reference a store is read with `content.resolved`."""
+    if exists(spark, f"{folder}/_manifests"):
+        return content.read(spark, folder).select(F.concat(F.lit(content.REFERENCE), "sha256").alias("payload_ref"), "content")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return files.select(F.concat(F.lit("cas:sha256:"), F.sha2("content", 256)).alias("payload_ref"), "content")
+    return files.select(F.concat(F.lit(content.REFERENCE), F.sha2("content", 256)).alias("payload_ref"), "content")
 
 
 def with_payload(log: DataFrame, payloads: DataFrame) -> DataFrame:
@@ -61,18 +67,8 @@ def status_views(nodes: DataFrame) -> None:
 
 
 def write_content(contents: DataFrame, folder: str) -> None:
-    """Adds contents (sha256, prefix, content) whose digest is not stored yet, each once; a second run adds nothing. The
-    folder may be on any file system that Spark writes."""
-    once = contents.dropDuplicates(["sha256"])
-    if stored := _stored(contents.sparkSession, folder):
-        once = once.join(stored.select("sha256"), "sha256", "left_anti")
-    once.write.mode("append").partitionBy("prefix").parquet(folder)
-
-
-def _stored(spark: SparkSession, folder: str) -> DataFrame | None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "prefix=*"))
-    return spark.read.parquet(folder) if there else None
+    """Adds contents (content) whose digest is not stored yet, each once; a second run adds nothing."""
+    content.add(contents, folder)
 
 
 def write_log(log: DataFrame, folder: str) -> None:
