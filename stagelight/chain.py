@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stagelight.catalogue import DAY, Tables, query, today
 from stagelight.functions import text as T
 from stagelight.operators import normalize, pages, payloads, venue_parsers
+from stagelight.plans import full
 from stagelight.shipping import ship
 
 AS_OF = date(1999, 6, 1)
@@ -228,7 +229,7 @@ def _records(spark, d) -> DataFrame:
     source = F.get(F.array(*map(F.lit, _NAMES)), (k % 8).cast("int"))
     plain = _cat("Act ", c)
     title = (
-        F.when(k % 11 == 0, " ").when(k % 13 == 0, "Open Mic").when((source == "sea_monster") & (k % 5 == 1), _cat("La Luz ", c)).when(source == "barboza", _cat("Main ", c, "! feat. Guest ", c, " & Friend"))
+        F.when(k % 11 == 0, " ").when(k % 13 == 0, "Open Mic").when((source == "sea_monster") & (k % 5 == 1), _cat("La Luz ", c)).when(source == "barboza", _cat("Main ", c, "! feat. Guest ", c, " & Friend + Fellow"))
         .when(source == "neumos", _cat("Main ", c, " with Guest ", c, ", Pal + Chum")).otherwise(plain)
     )
     dated = lambda form: F.when(k % 17 != 0, F.date_format(_date(), form))
@@ -237,7 +238,7 @@ def _records(spark, d) -> DataFrame:
     day = F.when(source == "kexp", dated("MMMM d, yyyy")).when(~source.isin("blue_moon", "sea_monster"), dated("yyyy-MM-dd"))
     place = F.struct(F.lit("Lounge").alias("name"), F.struct(F.lit("1 Road").alias("formattedAddress"), F.lit("98000").alias("postalCode"), F.array(F.struct(F.lit(1).alias("type"), F.lit("no").alias("name")), F.struct(F.lit(4).alias("type"), F.lit("Quarter").alias("name"))).alias("subdivisions")).alias("fullAddress"), F.struct(F.lit(47.5).alias("lat"), F.lit(-122.25).alias("lng")).alias("coordinates"))
     record = F.to_json(F.struct(
-        title.alias("title"), F.when(source.isin("blue_moon", "sea_monster"), wix).alias("scheduling"), day.alias("event_day"), F.when(source != "sea_monster", time).alias("event_time"), F.when(source == "sea_monster", place).alias("location"), F.when(k % 3 == 0, "/t/1").alias("ticket_url"),
+        title.alias("title"), F.when(source.isin("blue_moon", "sea_monster"), wix).alias("scheduling"), day.alias("event_day"), F.when(~source.isin("sea_monster", "kexp"), time).alias("event_time"), F.when(source == "kexp", time).alias("time"), F.when(k % 5 == 0, "21+").alias("age_restriction"), F.when(k % 7 == 0, "Tour").alias("tour_name"), F.when(k % 10 < 2, "/own").alias("event_url"), F.when(source == "sea_monster", place).alias("location"), F.when(k % 3 == 0, "/t/1").alias("ticket_url"),
         F.when(k % 3 == 1, _cat("https://x.example/", k)).alias("detail_url"), F.when(k % 2 == 0, _cat("slug", k)).alias("slug"), F.when(k % 4 == 0, "words").alias("description"), F.when(k % 4 == 1, "Sup & Other").alias("supporting_acts"), F.when(k % 6 == 1, "House").alias("promoter"),
     ))
     return Tables(spark, d).orders.select(source.alias("source_id"), F.lpad(k.cast("string"), 9, "0").alias("envelope_id"), F.lit("r").alias("payload_ref"), F.lit("p").alias("record_path"), record.alias("record"))
@@ -256,23 +257,24 @@ _S = normalize.SOURCES
 _SOURCE_ROWS = ", ".join(f"({i}, '{n}', '{s.venue.replace(chr(39), chr(39) * 2)}', '{s.slug}', {s.event_confidence!r}e0, {s.artist_confidence!r}e0, {s.support_confidence!r}e0, {s.venue_confidence!r}e0, {s.latitude!r}e0, '{s.address}', '{s.neighborhood}')" for i, (n, s) in enumerate(_S.items()))
 RECORDS = f"""WITH src(i, source_id, venue, slug, ec, ac, sc, vc, lat, address, quarter) AS (VALUES {_SOURCE_ROWS}),
 r AS (SELECT o_orderkey AS k, o_custkey AS c, src.*, lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS envelope_id, CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderdate AS DATE) END AS day,
-  CASE WHEN o_orderkey % 13 = 0 THEN 'Open Mic' WHEN source_id = 'sea_monster' AND o_orderkey % 5 = 1 THEN 'La Luz ' || o_custkey WHEN source_id = 'barboza' THEN 'Main ' || o_custkey || '! feat. Guest ' || o_custkey || ' & Friend'
+  CASE WHEN o_orderkey % 13 = 0 THEN 'Open Mic' WHEN source_id = 'sea_monster' AND o_orderkey % 5 = 1 THEN 'La Luz ' || o_custkey WHEN source_id = 'barboza' THEN 'Main ' || o_custkey || '! feat. Guest ' || o_custkey || ' & Friend + Fellow'
   WHEN source_id = 'neumos' THEN 'Main ' || o_custkey || ' with Guest ' || o_custkey || ', Pal + Chum' ELSE 'Act ' || o_custkey END AS title FROM orders JOIN src ON o_orderkey % 8 = i WHERE o_orderkey % 11 <> 0),
 own AS (SELECT k, source_id, envelope_id, title, c, ac, sc, CASE WHEN title = 'Open Mic' OR title LIKE 'La Luz%' THEN [] WHEN source_id IN ('barboza', 'neumos') THEN ['Main ' || c] ELSE [title] END AS mains,
-  CASE WHEN title = 'Open Mic' THEN [] WHEN source_id = 'barboza' THEN ['Guest ' || c, 'Friend'] WHEN source_id = 'neumos' THEN ['Guest ' || c, 'Pal', 'Chum'] ELSE [] END AS guests,
+  CASE WHEN title = 'Open Mic' THEN [] WHEN source_id = 'barboza' THEN ['Guest ' || c, 'Friend', 'Fellow'] WHEN source_id = 'neumos' THEN ['Guest ' || c, 'Pal', 'Chum'] ELSE [] END AS guests,
   CASE WHEN source_id IN ('barboza', 'neumos', 'conor_byrne') AND k % 4 = 1 THEN ['Sup', 'Other'] ELSE [] END AS more FROM r),
 named AS (SELECT k, source_id, envelope_id, unnest(list_concat(mains, guests, more)) AS name, generate_subscripts(list_concat(mains, guests, more), 1) AS pos, CASE WHEN generate_subscripts(list_concat(mains, guests, more), 1) <= len(mains) THEN ac ELSE sc END AS confidence FROM own)"""
 
 
 @query(RECORDS + f""", ids AS (SELECT k, string_agg({_u5(_slug("name"))}, ',' ORDER BY pos) AS artist_ids FROM named GROUP BY 1),
-e AS (SELECT r.*, {_u5("slug")} AS venue_id, coalesce(day, {DAY}) AS event_day FROM r)
-SELECT source_id, envelope_id, title, event_day, CASE WHEN source_id = 'blue_moon' AND false THEN NULL ELSE printf('%02d:%02d:00', CAST((k % 12 + 1) % 12 + 12 AS INT), CAST(k % 60 AS INT)) END AS start_time,
-CASE k % 3 WHEN 0 THEN '{normalize.ORIGIN}/t/1' WHEN 1 THEN 'https://x.example/' || k ELSE CASE WHEN k % 2 = 0 THEN '{normalize.ORIGIN}/event-details/slug' || k ELSE '{normalize.ORIGIN}/events' END END AS event_url,
-CASE WHEN k % 4 = 0 THEN 'words' ELSE nullif(concat_ws(' | ', CASE WHEN k % 4 = 1 THEN 'With Sup & Other' END, CASE WHEN k % 6 = 1 THEN 'House' END), '') END AS description, venue_id, coalesce(artist_ids, '') AS artist_ids, round(ec, 6) AS confidence, CAST(day IS NULL AS INT) AS n_warnings,
-{_u5("lower(title) || '|' || venue_id || '|' || CAST(event_day AS VARCHAR)")} AS id FROM e LEFT JOIN ids USING (k)""")
+e AS (SELECT r.*, {_u5("slug")} AS own_id, coalesce(day, {DAY}) AS event_day, CASE WHEN k % 4 = 1 THEN 'With Sup & Other' END AS sup, CASE WHEN k % 6 = 1 THEN 'House' END AS house, CASE WHEN k % 5 = 0 THEN 'Age: 21+' END AS age, CASE WHEN k % 7 = 0 THEN 'Tour: Tour' END AS tour FROM r)
+SELECT source_id, envelope_id, title, event_day, CASE WHEN source_id NOT IN ('blue_moon', 'darrells_tavern') THEN printf('%02d:%02d:00', CAST((k % 12 + 1) % 12 + 12 AS INT), CAST(k % 60 AS INT)) END AS start_time,
+CASE WHEN source_id IN ('blue_moon', 'darrells_tavern', 'kexp') THEN '{normalize.ORIGIN}/events' WHEN source_id = 'sea_monster' THEN CASE WHEN k % 2 = 0 THEN '{normalize.ORIGIN}/event-details/slug' || k END
+  WHEN source_id = 'conor_byrne' THEN CASE WHEN k % 10 < 2 THEN '{normalize.ORIGIN}/own' ELSE '{normalize.ORIGIN}/events' END ELSE CASE k % 3 WHEN 0 THEN '{normalize.ORIGIN}/t/1' WHEN 1 THEN 'https://x.example/' || k ELSE '{normalize.ORIGIN}/events' END END AS event_url,
+CASE WHEN source_id IN ('blue_moon', 'sea_monster', 'kexp') THEN CASE WHEN k % 4 = 0 THEN 'words' END WHEN source_id = 'barboza' THEN nullif(concat_ws(' | ', sup, house, age), '') WHEN source_id = 'neumos' THEN nullif(concat_ws(' | ', tour, sup, house, age), '') WHEN source_id = 'conor_byrne' THEN nullif(concat_ws(' | ', sup, age), '') END AS description,
+CASE WHEN source_id IN ('neumos', 'conor_byrne') THEN own_id ELSE '{T.NIL_UUID}' END AS venue_id, coalesce(artist_ids, '') AS artist_ids, round(ec, 6) AS confidence, CAST(day IS NULL AS INT) AS n_warnings,
+{_u5("lower(title) || '|' || own_id || '|' || CAST(event_day AS VARCHAR)")} AS id FROM e LEFT JOIN ids USING (k)""")
 def normalized_events(spark, d):
     e = normalize.events(_records(spark, d), AS_OF)
-    e = e.withColumn("description", F.when(~F.col("description").startswith("{"), F.col("description")))  # a location given as an object is no description here
     return e.select("source_id", "envelope_id", "title", "event_day", "start_time", "event_url", "description", "venue_id", F.array_join("artist_ids", ",").alias("artist_ids"), F.round("confidence", 6).alias("confidence"), F.size("warnings").alias("n_warnings"), "id")
 
 
@@ -306,6 +308,30 @@ def calendar_start_times(spark, d):
     return payloads.blue_moon_times(Tables(spark, d).orders.select(_key().alias("id"), start.alias("record"))).select("id", "start_time")
 
 
+@query(RECORDS + f""" SELECT r.source_id, envelope_id, CASE WHEN source_id IN ('neumos', 'conor_byrne', 'blue_moon', 'darrells_tavern', 'kexp', 'barboza') THEN {_u5("slug")} ELSE '{T.NIL_UUID}' END AS venue_id, source_id NOT IN ('neumos', 'conor_byrne') AS was_open FROM r""")
+def chained_venues(spark, d):
+    """Events through assessment and enrichment: those whose source leaves the venue open are noted, and get the one venue of
+    their source; one source's venue goes by another name in its records, and stays open."""
+    out = full.assessed(normalize.tables(_records(spark, d), AS_OF), AS_OF)["event"]
+    return out.select("source_id", "envelope_id", "venue_id", F.exists("issues", lambda i: i["field"] == "venue_id").alias("was_open"))
+
+
+@query("""WITH p AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders)
+SELECT CAST(k AS VARCHAR) AS envelope_id, CASE WHEN k % 6 IN (0, 2) THEN '$[' || i || ']' WHEN k % 6 IN (1, 3) THEN '$' ELSE 'error' END AS record_path, CASE WHEN k % 6 < 4 THEN k * 10 + i END AS n, CASE WHEN k % 6 < 4 AND i % 2 = 0 THEN 'é "q" ' || c END AS t
+FROM p, generate_series(0, CASE WHEN k % 6 IN (0, 2) THEN 2 ELSE 0 END) s(i)""")
+def mixed_structured_payloads(spark, d):
+    """Arrays and objects, the same as JSON strings, broken text, and what is no record."""
+    k = _key()
+    one = lambda i: F.struct((k * 10 + i).alias("n"), F.when(F.lit(i % 2 == 0), _cat('é "q" ', F.col("o_custkey"))).alias("t"))
+    many, single = F.to_json(F.array(*[one(i) for i in range(3)])), F.to_json(one(0))
+    quoted = lambda x: F.substr(F.to_json(F.struct(x.alias("s"))), F.lit(6), F.length(F.to_json(F.struct(x.alias("s")))) - 6)
+    text = F.when(k % 6 == 0, many).when(k % 6 == 1, single).when(k % 6 == 2, quoted(many)).when(k % 6 == 3, quoted(single)).when(k % 6 == 4, F.lit('{"broken')).otherwise(F.lit("17"))
+    docs = Tables(spark, d).orders.select(F.lit("s").alias("source_id"), k.cast("string").alias("envelope_id"), F.lit("r").alias("payload_ref"), text.alias("payload"))
+    found = payloads.structured(docs)
+    field = lambda n, t: F.try_variant_get(F.parse_json("record"), f"$.{n}", t).alias(n)
+    return found.select("envelope_id", "record_path", field("n", "bigint"), field("t", "string"))
+
+
 # What parsers say of raw records
 
 

@@ -121,9 +121,9 @@ def headliner(title: Column) -> Column:
 
 
 def featured(title: Column) -> Column:
-    """What stands after "feat." or "featuring", split at , and &."""
-    rest = F.regexp_extract(title, r"(?i)feat(?:uring|\.)?\s*(.*)$", 1)
-    return F.filter(F.transform(F.split(rest, "[,&]"), lambda x: F.trim(x)), lambda t: t != "")
+    """What stands after the first word that goes on from "feat" in any case, from its first letter on, split at , & and +."""
+    rest = F.regexp_extract(title, r"(?is)feat\p{IsAlphabetic}*[^\p{IsAlphabetic}]*(.*)$", 1)
+    return F.filter(F.transform(F.split(rest, "[,&+]"), lambda x: F.trim(x)), lambda t: t != "")
 
 
 def with_acts(title: Column) -> Column:
@@ -183,7 +183,8 @@ def absolute_url(url: Column, origin: str) -> Column:
 
 
 def unescape_html(text: Column) -> Column:
-    pairs = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&#8217;", "’"), ("&#8211;", "–"))
+    """Named and numbered signs once: &amp; is read last, so that what it makes is not read again."""
+    pairs = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#039;", "'"), ("&nbsp;", " "), ("&#8217;", "’"), ("&#8211;", "–"), ("&amp;", "&"))
     return reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), pairs, text)
 
 

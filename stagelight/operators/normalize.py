@@ -33,24 +33,32 @@ class Source:
     #: how the title names artists: whole, feat or with
     split: str = "whole"
     support: str | None = None
+    #: fields that the start time, the image and the link come from; a link of "events" is the list of events
+    times: tuple[str, ...] = ("scheduling.startTimeFormatted", "start_time", "event_time", "time")
+    images: tuple[str, ...] = ("image_url", "mainImage.url")
+    link: str = "ticket"
+    #: what makes the description: one field, the first of several, or labelled parts joined together
+    described: str = "field"
+    #: whether events carry the venue's id; else the nil id, which `catalog.resolve_venues` replaces
+    own_venue: bool = True
 
 
-# Each source's venue and how sure its fields are.
+# Each source's venue, how sure its fields are, and which fields it has.
 SOURCES = {
-    "blue_moon": Source("Blue Moon Tavern", "blue-moon-tavern", 47.6608, -122.3126, "712 NE 45th St", "98105", "University District", event_confidence=0.9, artist_confidence=0.85),
-    "sea_monster": Source("Sea Monster Lounge", "sea-monster-lounge", 47.6615064, -122.3323427, "2202 N 45th St, Seattle, WA 98103", "98103", "Wallingford", event_confidence=0.95, artist_confidence=0.85, venue_confidence=0.95),
-    "darrells_tavern": Source("Darrell's Tavern", "darrells-tavern", 47.6780, -122.3460, "18041 Aurora Ave N", "98133", "Shoreline", city="Shoreline", event_confidence=0.9, artist_confidence=0.85),
-    "kexp": Source("KEXP Events", "kexp-events", 47.6205, -122.3493, "472 1st Ave N", "98109", "Lower Queen Anne", event_confidence=0.9, artist_confidence=0.85),
-    "barboza": Source("The Barboza", "the-barboza", 47.6133, -122.3185, "925 E Pike St", "98122", "Capitol Hill", event_confidence=0.95, split="feat", support="[,&]"),
-    "neumos": Source("Neumos", "neumos", 47.614746, -122.319532, "925 E Pike St", "98122", "Capitol Hill", event_confidence=0.9, venue_confidence=0.95, split="with", support="[,&+]"),
-    "conor_byrne": Source("Conor Byrne Pub", "conor-byrne-pub", 47.6686, -122.3842, "5140 Ballard Ave NW", "98107", "Ballard", event_confidence=0.95, support="[,&]"),
+    "blue_moon": Source("Blue Moon Tavern", "blue-moon-tavern", 47.6608, -122.3126, "712 NE 45th St", "98105", "University District", event_confidence=0.9, artist_confidence=0.85, times=(), images=(), link="events", own_venue=False),
+    "sea_monster": Source("Sea Monster Lounge", "sea-monster-lounge", 47.6615064, -122.3323427, "2202 N 45th St, Seattle, WA 98103", "98103", "Wallingford", event_confidence=0.95, artist_confidence=0.85, venue_confidence=0.95, times=("scheduling.startTimeFormatted",), images=("mainImage.url",), link="slug", own_venue=False),
+    "darrells_tavern": Source("Darrell's Tavern", "darrells-tavern", 47.6780, -122.3460, "18041 Aurora Ave N", "98133", "Shoreline", city="Shoreline", event_confidence=0.9, artist_confidence=0.85, times=(), images=(), link="events", described="none", own_venue=False),
+    "kexp": Source("KEXP Events", "kexp-events", 47.6205, -122.3493, "472 1st Ave N", "98109", "Lower Queen Anne", event_confidence=0.9, artist_confidence=0.85, times=("time",), images=(), link="events", described="field or place", own_venue=False),
+    "barboza": Source("The Barboza", "the-barboza", 47.6133, -122.3185, "925 E Pike St", "98122", "Capitol Hill", event_confidence=0.95, split="feat", support="[,&]", times=("event_time",), images=("image_url",), described="with promoter age", own_venue=False),
+    "neumos": Source("Neumos", "neumos", 47.614746, -122.319532, "925 E Pike St", "98122", "Capitol Hill", event_confidence=0.9, venue_confidence=0.95, split="with", support="[,&+]", times=("event_time",), images=("image_url",), described="tour with promoter age"),
+    "conor_byrne": Source("Conor Byrne Pub", "conor-byrne-pub", 47.6686, -122.3842, "5140 Ballard Ave NW", "98107", "Ballard", event_confidence=0.95, support="[,&]", times=("event_time", "start_time"), images=("image_url",), link="event_url", described="with age"),
 }
 ORIGIN = "https://listings.example"
 
 
 #: Fields that any of the sources has; a location that is plain text is read beside them
 _FIELDS = (
-    "title string, description string, supporting_acts string, tour_name string, promoter string, age_restriction string, ticket_url string, detail_url string, slug string, image_url string, mainImage struct<url:string>, "
+    "title string, description string, supporting_acts string, tour_name string, promoter string, age_restriction string, event_url string, ticket_url string, detail_url string, slug string, image_url string, mainImage struct<url:string>, "
     "scheduling struct<startDate:string,startDateFormatted:string,startTimeFormatted:string>, startDate string, event_day string, date string, start_time string, event_time string, time string, "
     "location struct<name:string,coordinates:struct<lat:string,lng:string>,fullAddress:struct<formattedAddress:string,postalCode:string,city:string,subdivisions:string>>"
 )
@@ -105,23 +113,44 @@ def unknown(parsed: DataFrame) -> DataFrame:
 _PROVENANCE = ("source_id", "envelope_id", "payload_ref", "record_path")
 
 
+def _described(s: Source) -> Column:
+    """The description of a source's event: a field, or labelled parts in the order that the source gives them."""
+    if s.described == "none":
+        return F.lit(None).cast("string")
+    if s.described == "field":
+        return _first("description")
+    if s.described == "field or place":  # a place that is an object is no description
+        place = F.nullif(F.trim(F.get_json_object("record", "$.location")), F.lit(""))
+        return F.coalesce(_first("description"), F.when(~place.startswith("{") & ~place.startswith("["), place))
+    parts = {"tour": F.concat(F.lit("Tour: "), _first("tour_name")), "with": F.concat(F.lit("With "), _first("supporting_acts")), "promoter": _first("promoter"), "age": F.concat(F.lit("Age: "), _first("age_restriction"))}
+    return F.nullif(F.concat_ws(" | ", *[parts[p] for p in s.described.split()]), F.lit(""))
+
+
+def _link(s: Source) -> Column:
+    """Where an event is shown: links without a site go to ORIGIN."""
+    listed = F.lit(f"{ORIGIN}/events")
+    if s.link == "events":
+        return listed
+    if s.link == "slug":
+        return F.concat(F.lit(f"{ORIGIN}/event-details/"), _first("slug"))
+    return F.coalesce(T.absolute_url(_first("event_url") if s.link == "event_url" else _first("ticket_url", "detail_url"), ORIGIN), listed)
+
+
 def events(parsed: DataFrame, as_of) -> DataFrame:
+    """Events of all sources, each field as its source has it. Sources with a single venue give the nil id, which
+    `catalog.resolve_venues` replaces; an event's own id is made of its title, its source's venue and its day."""
     rows = _known(parsed, as_of)
-    slug = _by_source(lambda s: F.lit(s.slug))
     ids = F.transform("named", lambda a: T.slug_keep_runs(a["name"]))
-    text = F.coalesce(
-        _first("description"), F.nullif(F.concat_ws(" | ", F.concat(F.lit("With "), _first("supporting_acts")), F.concat(F.lit("Tour: "), _first("tour_name")), _first("promoter"), F.concat(F.lit("Age: "), _first("age_restriction"))), F.lit("")), F.nullif(F.trim(F.get_json_object("record", "$.location")), F.lit("")),
-    )
-    url = T.absolute_url(F.coalesce(_first("ticket_url", "detail_url"), F.concat(F.lit("/event-details/"), _first("slug")), F.lit("/events")), ORIGIN)
-    venue_id = T.uuid5(slug)
+    nothing = F.lit(None).cast("string")
+    one = lambda paths: _first(*paths) if paths else nothing
     out = rows.select(
-        "title", "event_day", T.parse_time(_first("scheduling.startTimeFormatted", "start_time", "event_time", "time")).alias("start_time"), url.alias("event_url"), text.alias("description"),
-        F.coalesce(_first("image_url"), _first("mainImage.url")).alias("event_image_url"), venue_id.alias("venue_id"), ids.alias("_slugs"),
+        "title", "event_day", T.parse_time(_by_source(lambda s: one(s.times))).alias("start_time"), _by_source(_link).alias("event_url"), _by_source(_described).alias("description"),
+        _by_source(lambda s: one(s.images)).alias("event_image_url"), T.uuid5(_by_source(lambda s: F.lit(s.slug))).alias("_venue"), _by_source(lambda s: F.lit(s.own_venue)).alias("_own"), ids.alias("_slugs"),
         _by_source(lambda s: F.lit(s.event_confidence)).alias("confidence"), F.array_compact(F.array(F.when(~F.col("dated"), "No usable date"))).alias("warnings"), *_PROVENANCE,
     )
-    out = out.withColumn("artist_ids", F.transform("_slugs", lambda s: T.uuid5(s))).drop("_slugs")
-    natural = F.concat_ws("|", F.lower("title"), "venue_id", F.col("event_day").cast("string"))
-    return out.withColumn("id", T.uuid5(natural)).withColumn("show_event", F.lit(True)).withColumn("finalized", F.lit(False))
+    out = out.withColumn("venue_id", F.when(F.col("_own"), F.col("_venue")).otherwise(T.NIL_UUID)).withColumn("artist_ids", F.transform("_slugs", lambda s: T.uuid5(s)))
+    natural = F.concat_ws("|", F.lower("title"), "_venue", F.col("event_day").cast("string"))
+    return out.withColumn("id", T.uuid5(natural)).withColumn("show_event", F.lit(True)).withColumn("finalized", F.lit(False)).drop("_slugs", "_venue", "_own")
 
 
 def artists(parsed: DataFrame, as_of) -> DataFrame:

@@ -85,11 +85,19 @@ def paginated(payloads: DataFrame) -> DataFrame:
 
 
 def structured(payloads: DataFrame) -> DataFrame:
-    """Records that need no parser: each element of an array, or the object itself."""
-    parsed = payloads.withColumn("_a", F.from_json("payload", "array<string>"))
-    is_array = F.trim("payload").startswith("[")
-    many = _rows(parsed.where(is_array), F.posexplode("_a").alias("i", "record")).select(*_CARRIED, F.concat(F.lit("$["), F.col("i"), F.lit("]")).alias("record_path"), "record")
-    return many.unionByName(_rows(parsed.where(~is_array), F.lit("$").alias("record_path"), F.col("payload").alias("record")))
+    """Records that need no parser, by VARIANT: each element of an array, or the object itself. A JSON string is what a source
+    sent as text and is parsed once more. Text that is no JSON, and what is neither array nor object, is one row of an error;
+    so is a missing payload. Each payload is parsed once and gives an array that is exploded once."""
+    v = F.try_parse_json(F.col("payload").cast("string"))
+    again = F.when(F.schema_of_variant("_v") == "STRING", F.try_parse_json(F.try_variant_get("_v", "$", "string"))).otherwise(F.col("_v"))
+    kind = F.schema_of_variant("_v")
+    row = lambda path, record: F.struct(path.alias("record_path"), record.alias("record"))
+    many = F.transform(F.try_variant_get("_v", "$", "array<variant>"), lambda r, i: row(F.concat(F.lit("$["), i.cast("string"), F.lit("]")), F.to_json(r)))
+    one = F.array(row(F.lit("$"), F.to_json("_v")))
+    broken = F.array(row(F.lit("error"), F.lit('{"error":"neither records nor a record"}')))
+    found = F.when(kind.startswith("ARRAY"), many).when(kind.startswith("OBJECT"), one).otherwise(broken)
+    parsed = payloads.withColumn("_v", v).withColumn("_v", again)
+    return parsed.select(*_CARRIED, F.explode(found).alias("_r")).select(*_CARRIED, "_r.record_path", "_r.record")
 
 
 def data_array(payloads: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.operators import conflation, enrichment, normalize, payloads, quality
+from stagelight.operators import catalog, conflation, enrichment, normalize, payloads, quality
 
 
 def entities(raw: DataFrame, plans: DataFrame, as_of: date) -> dict[str, DataFrame]:
@@ -22,13 +22,13 @@ def entities(raw: DataFrame, plans: DataFrame, as_of: date) -> dict[str, DataFra
 
 
 def assessed(tables: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:
+    """Events whose source leaves the venue open are assessed as they are, and get the one venue of their source after that."""
     today = F.lit(as_of).cast("date")
     v = quality.assess(tables["venue"], quality.venue_issues(F.col("name"), F.col("latitude"), F.col("longitude"), F.col("address")))
     a = quality.assess(tables["artist"], quality.artist_issues(F.col("name")))
     e = quality.assess(tables["event"], quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), today), warnings="warnings")
-    return {
-        "venue": enrichment.enrich(quality.route(v), "venue", "latitude", "longitude"), "artist": enrichment.enrich(quality.route(a), "artist"), "event": enrichment.enrich(quality.route(e), "event"),
-    }
+    placed = catalog.resolve_venues(enrichment.enrich(quality.route(e), "event"), tables["venue"].select("id", "name"))
+    return {"venue": enrichment.enrich(quality.route(v), "venue", "latitude", "longitude"), "artist": enrichment.enrich(quality.route(a), "artist"), "event": placed}
 
 
 def resolved(table: DataFrame, kind: str, canonical: DataFrame) -> DataFrame:
