@@ -90,6 +90,27 @@ def exclusive_artists(hosts: DataFrame, acts: DataFrame, venues: DataFrame) -> D
     return at_here.join(elsewhere, "artist_id", "left_anti")
 
 
+def venues_by_slug(nodes: DataFrame, slugs: list[str]) -> DataFrame:
+    """(id) of venue nodes (id, label, data) whose data name one of the slugs."""
+    return nodes.where((F.col("label") == "venue") & F.get_json_object("data", "$.slug").isin(slugs)).select("id")
+
+
+def cascade(nodes: DataFrame, edges: DataFrame, venues: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """nodes (id, ...) and edges (source_id, target_id, relation, ...) without the venues (id), the events that they host, and
+    the artists of these events whom no other venue holds: who performs at an event that stays and that a venue hosts which
+    stays is kept. All that is incident to what goes goes with it. Venues may be given in bulk: an artist goes with the last
+    one. Null ids among them delete nothing. One plan of semi and anti joins, no step for each venue."""
+    gone = venues.select(F.col("id").alias("venue_id")).where("venue_id is not null").distinct()
+    hosts = edges.where("relation = 'hosts'").select(F.col("source_id").alias("venue_id"), F.col("target_id").alias("event_id"))
+    acts = edges.where("relation = 'performs_at'").select(F.col("source_id").alias("artist_id"), F.col("target_id").alias("event_id"))
+    events = hosts.join(gone, "venue_id", "left_semi").select("event_id").distinct()
+    held = hosts.join(gone, "venue_id", "left_anti").select("event_id").join(events, "event_id", "left_anti")
+    theirs = acts.join(events, "event_id", "left_semi").select("artist_id").distinct()
+    artists = theirs.join(acts.join(held, "event_id", "left_semi").select("artist_id"), "artist_id", "left_anti")
+    all_gone = gone.select(F.col("venue_id").alias("id")).unionByName(events.select(F.col("event_id").alias("id"))).unionByName(artists.select(F.col("artist_id").alias("id")))
+    return drop_nodes(nodes, edges, all_gone)
+
+
 def shared_artists(hosts: DataFrame, acts: DataFrame, venue) -> DataFrame:
     """Artists of a venue who also play at another one: only acts of the venue's artists are looked up."""
     here = acts.join(hosts.where(F.col("venue_id") == venue).select("event_id"), "event_id", "left_semi").select("artist_id").distinct()
@@ -133,6 +154,12 @@ def validation(events: DataFrame, as_of: Column) -> DataFrame:
     return base.crossJoin(pairs).crossJoin(artists)  # one row each
 
 
+def repeated_signatures(events: DataFrame) -> DataFrame:
+    """(signature, n): venue and day that more than one event has. Without a day or a venue there is no signature."""
+    signature = F.concat(F.col("venue_id").cast("string"), F.lit("_"), F.col("event_day").cast("string"))
+    return events.select(signature.alias("signature")).where("signature is not null").groupBy("signature").agg(F.count("*").alias("n")).where("n > 1")
+
+
 def label_counts(table: DataFrame, label: str) -> DataFrame:
     return table.groupBy(label).agg(F.count("*").alias("n"))
 

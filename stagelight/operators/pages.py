@@ -13,9 +13,11 @@ from datetime import date
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagelight.shipping import ship
+
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -246,32 +248,53 @@ def parse_by_plan(pages: DataFrame, as_of: date) -> DataFrame:
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             for source, envelope, ref, plan, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                found = list(plans[plan](tree(html or ""), as_of)) or [("html", {"html_len": len((html or "").encode())})]
-                for path, record in found:
-                    for column, value in zip(rows, (source, envelope, ref, path, json.dumps(record, ensure_ascii=False)), strict=True):
+                for path, record in _records_of(html, plans[plan], as_of):
+                    for column, value in zip(rows, (source, envelope, ref, path, record), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in rows], names=["source_id", "envelope_id", "payload_ref", "record_path", "record"])
 
     return pages.select("source_id", "envelope_id", "payload_ref", "plan", "html").mapInArrow(run, PARSED)
 
 
+@F.udtf(returnType="record_path string, record string", useArrow=True)
+class PageRecords:
+    """Records of one page by a plan, as parse_by_plan has them, for SQL: LATERAL parse_page(html, plan, as_of). An unknown or
+    missing plan gives nothing; a page without records gives its length."""
+
+    def eval(self, html: str, plan: str, as_of: date) -> Iterator[tuple[str, str]]:
+        if plan in PLANS:
+            yield from _records_of(html, PLANS[plan], as_of)
+
+
+def register_sql(spark: SparkSession) -> None:
+    """parse_page(html, plan, as_of) in SQL."""
+    ship(spark)
+    spark.udtf.register("parse_page", PageRecords)
+
+
+def _records_of(html: str | None, plan: Callable[[Element, date], Iterator[Record]], as_of: date) -> list[tuple[str, str]]:
+    found = list(plan(tree(html or ""), as_of)) or [("html", {"html_len": len((html or "").encode())})]
+    return [(path, json.dumps(record, ensure_ascii=False)) for path, record in found]
+
+
 def parse_pages(pages: DataFrame, plan: str, as_of: date) -> DataFrame:
     """pages (source_id, envelope_id, payload_ref, html) -> PARSED rows by one plan."""
     return parse_by_plan(pages.withColumn("plan", F.lit(plan)), as_of)
 
 
-def find_events(value: object, depth: int = 12) -> list[dict]:
-    """Objects in arrays under keys that speak of events or items, which have a title, name, scheduling or startDate."""
+def find_events(value: object) -> list[dict]:
+    """Objects in arrays under keys that speak of events or items, which have a title, name, scheduling or startDate: at any
+    depth, in the order of the document."""
     out: list[dict] = []
-    if depth and isinstance(value, dict):
-        for k, v in value.items():
-            if isinstance(v, list) and ("event" in k.lower() or "item" in k.lower()):
-                out += [x for x in v if isinstance(x, dict) and x.keys() & {"title", "name", "scheduling", "startDate"}]
-            else:
-                out += find_events(v, depth - 1)
-    elif depth and isinstance(value, list):
-        for v in value:
-            out += find_events(v, depth - 1)
+    left: list[tuple[str | None, object]] = [(None, value)]
+    while left:
+        key, v = left.pop()
+        if isinstance(v, list) and key is not None and ("event" in key.lower() or "item" in key.lower()):
+            out += [x for x in v if isinstance(x, dict) and x.keys() & {"title", "name", "scheduling", "startDate"}]
+        elif isinstance(v, dict):
+            left += reversed(list(v.items()))
+        elif isinstance(v, list):
+            left += [(None, x) for x in reversed(v)]
     return out
 
 
@@ -284,7 +307,7 @@ def events_in(records: DataFrame) -> DataFrame:
             for source, envelope, ref, payload in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 try:
                     found = find_events(json.loads(payload or "null"))
-                except ValueError:
+                except (ValueError, RecursionError):  # no JSON, or nested deeper than the parser goes
                     found = []
                 for i, e in enumerate(found):
                     for column, value in zip(rows, (source, envelope, ref, f"$..[{i}]", json.dumps(e, ensure_ascii=False)), strict=True):

@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from stagelight import catalogue, chain, growing, stored, upkeep  # noqa: F401 (these add their queries)
+from stagelight import catalogue, chain, growing, kept, stored, upkeep  # noqa: F401 (these add their queries)
 
 FOLDER = "/root/testdata/sf0.001"
 
