@@ -172,10 +172,12 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """parts as from pieces(); adds sequence_id and offset. Pieces of full capacity get sequences of their own with
     negative numbers. Ranks are within (length, salt), so that no length goes to one task."""
     spark = parts.sparkSession
-    parts = cut(parts)
+    names = [*parts.columns, "sequence_id", "offset"]
     salts = max(16, min(512, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # the salt is of the row's place, not of what it holds: any number of equal pieces is dealt evenly
+    parts = cut(parts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")))
     full = parts.where(F.col("length") == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
-    rest = parts.where(F.col("length") < capacity).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    rest = parts.where(F.col("length") < capacity)
     counted = rest.groupBy("length", "salt").count().collect()  # at most capacity * salts rows
     counts: dict[int, int] = {}
     before = []
@@ -190,7 +192,6 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # runs are a few for each length whatever the corpus, so they go out whole; should a large capacity make very many of
     # them, they are joined as any table is, with the same result
     placed = ranked.join(F.broadcast(places) if len(runs) < 100_000 else places, "length").where("rank >= r0 and rank < r1")
-    names = [*parts.columns, "sequence_id", "offset"]
     placed = placed.withColumn("sequence_id", F.expr("bin + (rank - r0) div each")).withColumn("offset", F.expr("at + (rank - r0) % each * length"))
     return placed.select(*names).unionByName(full.select(*names))
 

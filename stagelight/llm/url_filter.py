@@ -7,7 +7,8 @@ or a host with a directory, which covers what lies below it.
 The as-of join is a union of captures and of the starts and ends of intervals, in which each capture takes the last state
 of its pattern up to its time. Rows are dealt by (pattern, hour), and every hour that has captures begins with the state
 that the pattern had by then, found the same way by (pattern, month), so a host that holds a third of all captures is spread
-over its hours, and no row is listed more often than a url has patterns, however far apart dates are. Of several active patterns the one with most characters
+over its hours; captures of one pattern at one time are one row there, however many they are. No row is listed more often
+than a url has patterns, however far apart dates are. Of several active patterns the one with most characters
 decides; among equally long ones, the one that sorts last.
 
 Defined cases: a null or unparsable url and a null fetch time match nothing and are kept (not blocked). Changes with a
@@ -78,7 +79,9 @@ def evaluate(captures: DataFrame, changes: DataFrame) -> DataFrame:
     ended = active.where("until is not null").select("pattern", F.col("until").alias("at"), state(F.lit(None).cast("timestamp")).alias("state"))
     turns = begun.unionByName(ended).groupBy("pattern", "at").agg(F.max("state").alias("state"))  # the beginning counts where another ends
     keyed = rows.where("fetched_at is not null").select("rid", F.col("fetched_at").alias("at"), F.explode(patterns(F.col("url"))).alias("pattern"))
-    met = states(keyed, turns, BUCKETS).select("rid", "pattern", "state.since").where("since is not null")
+    # a state is that of a pattern at a time, whatever number of captures there is: each is found once and joined to them
+    found = states(keyed.select("pattern", "at").distinct(), turns, BUCKETS).select("pattern", "at", "state.since").where("since is not null")
+    met = keyed.join(found, ["pattern", "at"]).select("rid", "pattern", "since")
     best = met.groupBy("rid").agg(F.max(F.struct(F.length("pattern").alias("n"), "pattern", "since")).alias("b"))
     out = rows.join(best, "rid", "left")
     return out.select("page_id", "fetched_at", host(F.col("url")).alias("host"), F.when(F.col("b").isNotNull(), 1).otherwise(0).alias("blocked"), F.col("b.pattern").alias("pattern"), F.col("b.since").alias("since"))
