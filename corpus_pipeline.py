@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagelight.llm import langid, ngram_join, packing, toxicity
@@ -44,12 +44,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keeps of each group of rows connected by five-word shingle sets of a Jaccard similarity of 0.8 or more the one
     with the smallest id, null last; of rows that share this id, the one with the smallest text hash. Groups are of rows:
     different texts under one id, or without an id, are judged each on its own. Rows without words all stay: they are
-    linked with nothing."""
-    k, x, empty, n = (fresh(docs.columns, c) for c in ("row_key", "row_text", "row_empty", "row_number"))
+    linked with nothing. docs is a stored table, whose rows keep their places: of equal rows the first by place stays, found
+    by an aggregate, so that any number of rows without an id and with one text is no single task."""
+    k, x, empty, n, first = (fresh(docs.columns, c) for c in ("row_key", "row_text", "row_empty", "row_number", "row_first"))
     kept = cut(ngram_join.one_of_each(docs, width=5, threshold="0.8").select(F.col("k").alias(k), F.col("x").alias(x), F.col("empty").alias(empty)))
-    rows = docs.withColumns({k: key("doc_id"), x: F.xxhash64("text")}).join(kept, [k, x])
-    same = Window.partitionBy(k, x).orderBy("text")  # one of the rows with this id and text
-    return rows.withColumn(n, F.row_number().over(same)).where((F.col(n) == 1) | F.col(empty)).select(*docs.columns)
+    rows = docs.withColumns({k: key("doc_id"), x: F.xxhash64("text"), n: F.monotonically_increasing_id()})
+    firsts = rows.groupBy(k, x).agg(F.min(n).alias(first)).join(kept, [k, x])
+    return rows.join(firsts, [k, x]).where((F.col(n) == F.col(first)) | F.col(empty)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
