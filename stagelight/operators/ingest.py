@@ -62,11 +62,10 @@ def payload_refs(log: DataFrame) -> DataFrame:
 
 
 def read_next(log: DataFrame, offset: int, n: int = BATCH) -> DataFrame:
-    """Rows of a log (pos, line) from a position on; a position beyond the end starts over. Blank lines are skipped."""
-    end = log.agg(F.coalesce(F.max("pos") + 1, F.lit(0)).alias("end"))
-    start = F.when(F.lit(offset) > F.col("end"), 0).otherwise(F.lit(offset))
-    rows = log.crossJoin(F.broadcast(end)).where((F.col("pos") >= start) & (F.trim("line") != ""))  # end is one row
-    return rows.drop("end").orderBy("pos").limit(n)
+    """Rows of a log (pos, line) from a position on; a position beyond the end starts over. Blank lines are skipped. Bounds
+    on pos go down to the scan: whether anything is at the position or just before it tells whether it is beyond the end."""
+    beyond = offset > 0 and log.where(F.col("pos") >= offset - 1).select("pos").isEmpty()
+    return log.where((F.col("pos") >= (0 if beyond else offset)) & (F.trim("line") != "")).orderBy("pos").limit(n)
 
 
 def acknowledge(log: DataFrame, offsets: DataFrame, consumer: str, envelope_id: str) -> DataFrame:

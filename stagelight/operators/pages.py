@@ -7,9 +7,11 @@ gives one row with its length, so that nothing is lost without a trace.
 from __future__ import annotations
 
 import json
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import date
+from functools import cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -21,15 +23,40 @@ from stagelight.shipping import ship
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
-@dataclass
+class Index:
+    """Elements of a page in document order, by tag and by class."""
+
+    def __init__(self) -> None:
+        self.count = 0
+        self.by: dict[str, tuple[list[int], list[Element]]] = {}
+
+    def add(self, x: Element) -> None:
+        x.index, x.place = self, self.count
+        self.count += 1
+        for k in (x.tag, "", *{f".{c}" for c in x.classes}):
+            places, elements = self.by.setdefault(k, ([], []))
+            places.append(x.place)
+            elements.append(x)
+
+    def below(self, x: Element, key: str) -> list[Element]:
+        """Those under a key that lie below an element, in document order."""
+        places, elements = self.by.get(key, ([], []))
+        return elements[bisect_right(places, x.place) : bisect_left(places, x.end)]
+
+
+@dataclass(eq=False)
 class Element:
     tag: str
     attrs: dict[str, str] = field(default_factory=dict)
     children: list[Element | str] = field(default_factory=list)
+    parent: Element | None = None
+    #: place in document order, and that after the last element below
+    place: int = 0
+    end: int = 0
+    index: Index | None = None
 
-    @property
-    def classes(self) -> list[str]:
-        return self.attrs.get("class", "").split()
+    def __post_init__(self) -> None:
+        self.classes = self.attrs.get("class", "").split()
 
     def text(self) -> str:
         out, todo = [], [self]
@@ -41,23 +68,22 @@ class Element:
                 todo.extend(reversed(x.children))
         return "".join(out)
 
-    def walk(self) -> Iterator[tuple[Element, list[Element]]]:
-        """Elements below, in document order, each with its ancestors."""
-        todo: list[tuple[Element, list[Element]]] = [(c, [self]) for c in reversed(self.children) if isinstance(c, Element)]
-        while todo:
-            x, above = todo.pop()
-            yield x, above
-            todo.extend((c, [*above, x]) for c in reversed(x.children) if isinstance(c, Element))
+    def walk(self) -> Iterator[Element]:
+        """Elements below, in document order."""
+        yield from self.index.below(self, "")
 
     def select(self, selector: str) -> Iterator[Element]:
         """Elements that match "tag.class:not(.class)" parts, each below the one before."""
-        *outer, last = [Simple.of(s) for s in selector.split()]
-        for x, above in self.walk():
+        *outer, last = parts_of(selector)
+        for x in self.index.below(self, f".{last.has[0]}" if last.has else last.tag):
             if last.fits(x):
-                rest = list(outer)
-                for a in reversed(above):
-                    if rest and rest[-1].fits(a):
+                rest, a = list(outer), x.parent
+                while rest:
+                    if rest[-1].fits(a):
                         rest.pop()
+                    if a is self:
+                        break
+                    a = a.parent
                 if not rest:
                     yield x
 
@@ -81,16 +107,25 @@ class Simple:
         return (not self.tag or x.tag == self.tag) and all(c in x.classes for c in self.has) and not any(c in x.classes for c in self.lacks)
 
 
+@cache
+def parts_of(selector: str) -> tuple[Simple, ...]:
+    return tuple(Simple.of(s) for s in selector.split())
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
+        self.index = Index()
         self.root = Element("")
+        self.index.add(self.root)
         self.open = [self.root]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "p" and any(x.tag == "p" for x in self.open[-2:]):
             self.handle_endtag("p")
-        x = Element(tag, {k: v or "" for k, v in attrs})
+        x = Element(tag, {k: v or "" for k, v in attrs}, parent=self.open[-1])
+        self.index.add(x)
+        x.end = x.place + 1
         self.open[-1].children.append(x)
         if tag not in _VOID:
             self.open.append(x)
@@ -98,9 +133,14 @@ class _Builder(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self.closed(i)
                 return
 
+    def closed(self, i: int) -> None:
+        for x in self.open[i:]:
+            x.end = self.index.count
+        del self.open[i:]
+
     def handle_data(self, data: str) -> None:
         self.open[-1].children.append(data)
 
@@ -109,6 +149,7 @@ def tree(html: str) -> Element:
     builder = _Builder()
     builder.feed(html)
     builder.close()
+    builder.closed(0)
     return builder.root
 
 
@@ -163,7 +204,7 @@ def headed_paragraphs(page: Element, as_of: date) -> Iterator[Record]:
 def dated_articles(page: Element, as_of: date) -> Iterator[Record]:
     """Items under the last h2, whose text is their day."""
     day = ""
-    for x, _ in page.walk():
+    for x in page.walk():
         if x.tag == "h2":
             day = x.text()
         elif x.tag == "article" and "EventItem" in x.classes:
