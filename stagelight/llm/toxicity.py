@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from stagelight.llm.common import Words, cut, fold, only, steps, with_fields
 
 SAMPLE = 20_000
-FEATURES = 4_096
-#: Terms whose pairs are looked at, and pairs that are chosen at most
-FREQUENT, PAIRS = 2_048, 512
+#: Features that there is room for; more telling ones get more
+FEATURES = 5_120
+#: Terms whose pairs are looked at: their table of pairs is counted in 16 MB
+FREQUENT = 2_048
 #: Least difference, in standard errors, of a term's and of a pair's share; a pair must exceed its terms' by the last
 TELLS, PAIR_TELLS, BEYOND = 3.5, 6.0, 2.0
 SLOTS = 1 << 20
@@ -132,9 +133,7 @@ def telling_pairs(rows: list[np.ndarray], toxic: np.ndarray, features: int) -> n
     z = np.abs(differences(both[0].astype(float), both[1].astype(float), int((toxic == 0).sum()), int((toxic == 1).sum())))
     alone = np.diag(z)
     z[(z < PAIR_TELLS) | (z < np.maximum(alone[:, None], alone) + BEYOND)] = 0
-    a, b = np.nonzero(np.triu(z, 1))
-    best = np.lexsort((b, a, -z[a, b]))[:PAIRS]
-    return np.unique(np.concatenate((a[best], b[best])))
+    return np.unique(np.concatenate(np.nonzero(np.triu(z, 1))))
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
@@ -155,7 +154,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machin
         counts = cut(rows.mapInArrow(_count, "slot long, clean long, toxic long").groupBy("slot").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).where("c + t >= 4"))
         p = (F.col("c") + F.col("t")) / F.lit(n0 + n1)
         z = (F.col("t") / n1 - F.col("c") / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n0 + 1 / n1))
-        telling = [r["slot"] for r in counts.withColumn("z", z).where(F.abs("z") >= TELLS).orderBy(F.abs("z").desc(), "slot").limit(FEATURES).collect()]
+        telling = [r["slot"] for r in counts.withColumn("z", z).where(F.abs("z") >= TELLS).select("slot").collect()]  # no more than SLOTS
         frequent = [r["slot"] for r in counts.orderBy((F.col("c") + F.col("t")).desc(), "slot").limit(FREQUENT).collect()]
     # first the frequent slots, then the other telling ones
     slots = frequent + sorted(set(telling) - set(frequent))
@@ -184,7 +183,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machin
     table[slots] = place[: len(slots)]
     xs = [y[y >= 0] for x in xs for y in [place[x].astype(np.int64)]]
     order = sorted(range(len(xs)), key=lambda i: (ys[i], len(xs[i]), xs[i].tolist()))  # whatever order tasks end in
-    return Machine(table, *train([xs[i] for i in order], ys[order], FEATURES + 2 * PAIRS))
+    return Machine(table, *train([xs[i] for i in order], ys[order], max(FEATURES, len(keep))))
 
 
 def score(documents: DataFrame, machine: Machine, columns: list[str], name: str = "_score") -> DataFrame:

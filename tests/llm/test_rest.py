@@ -6,6 +6,7 @@ from datetime import datetime
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stagelight.llm import chat, langid, license, queries, toxicity, url_filter
 from stagelight.llm.common import fold
@@ -268,11 +269,24 @@ def test_mixture_is_brute_force():
         assert lang == langs[active[pi.index(max(pi))]] and abs(share - max(pi) / sum(pi)) < 1e-6
 
 
-def test_languages_learned_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(langid, "LANGUAGES", 2)
-    rows = [(i, "some words", "common" if i % 3 else f"free text {i}") for i in range(30)]
-    langs, table = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert len(langs) == 2 and "common" in langs and table.shape == (2, langid.SLOTS)
+def test_many_languages(spark, odd_documents, monkeypatch):
+    """Forty languages in blocks are learned and told as in one table, and as by the mixture of each text."""
+    rng = random.Random(12)
+    words = {f"l{i:02d}": [prose(rng, 1) + chr(97 + i % 26) * 2 for _ in range(12)] for i in range(40)}
+    text = lambda lang: " ".join(rng.choices(words[lang], k=rng.randint(5, 40)))
+    rows = [(i, text(lang), lang) for i in range(400) for lang in [f"l{i % 40:02d}"]] + [(500, text("l03") + " " + text("l20") * 2, None), (501, None, "l01"), (502, "12", "only digits"), (None, text("l05"), "l05")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("_rid", F.lit(1)).repartition(5)
+    got = lambda: sorted((repr(r["doc_id"]), r["held_out"], r["lang_pred"], round(r["score"], 9)) for r in langid.languages(df).collect())
+    whole = got()
+    model = langid.learn(df)
+    assert model.languages == 40  # a text without letters teaches nothing
+    langs, table = model.table()
+    mixture = langid.Mixture(langs, table)
+    assert [(p, round(s, 9)) for p, s in (mixture.predict(t) for _, t, _ in rows[:20])] == [(p, s) for i in range(20) for d, _, p, s in whole if d == repr(i)]
+    assert sum(p == f"l{int(d) % 40:02d}" for d, h, p, _ in whole if h and d != "None" and int(d) < 400) > 80
+    monkeypatch.setattr(langid, "LANGUAGES", 10)
+    assert got() == whole
+    assert len(langid.languages(odd_documents).collect()) == odd_documents.count()
 
 
 def test_url_filter_of_distant_dates_and_hot_hosts(spark):
