@@ -268,7 +268,7 @@ named AS (SELECT k, source_id, envelope_id, unnest(list_concat(mains, guests, mo
 @query(RECORDS + f""", ids AS (SELECT k, string_agg({_u5(_slug("name"))}, ',' ORDER BY pos) AS artist_ids FROM named GROUP BY 1),
 e AS (SELECT r.*, {_u5("slug")} AS own_id, coalesce(day, {DAY}) AS event_day, CASE WHEN k % 4 = 1 THEN 'With Sup & Other' END AS sup, CASE WHEN k % 6 = 1 THEN 'House' END AS house, CASE WHEN k % 5 = 0 THEN 'Age: 21+' END AS age, CASE WHEN k % 7 = 0 THEN 'Tour: Tour' END AS tour FROM r)
 SELECT source_id, envelope_id, title, event_day, CASE WHEN source_id NOT IN ('blue_moon', 'darrells_tavern') THEN printf('%02d:%02d:00', CAST((k % 12 + 1) % 12 + 12 AS INT), CAST(k % 60 AS INT)) END AS start_time,
-CASE WHEN source_id IN ('blue_moon', 'darrells_tavern', 'kexp') THEN '{normalize.ORIGIN}/events' WHEN source_id = 'sea_monster' THEN CASE WHEN k % 2 = 0 THEN '{normalize.ORIGIN}/event-details/slug' || k END
+CASE WHEN source_id IN ('blue_moon', 'darrells_tavern', 'kexp') THEN '{normalize.ORIGIN}/events' WHEN source_id = 'sea_monster' THEN CASE WHEN k % 2 = 0 THEN '{normalize.ORIGIN}/event-info/slug' || k END
   WHEN source_id = 'conor_byrne' THEN CASE WHEN k % 10 < 2 THEN '{normalize.ORIGIN}/own' ELSE '{normalize.ORIGIN}/events' END ELSE CASE k % 3 WHEN 0 THEN '{normalize.ORIGIN}/t/1' WHEN 1 THEN 'https://x.example/' || k ELSE '{normalize.ORIGIN}/events' END END AS event_url,
 CASE WHEN source_id IN ('blue_moon', 'sea_monster', 'kexp') THEN CASE WHEN k % 4 = 0 THEN 'words' END WHEN source_id = 'barboza' THEN nullif(concat_ws(' | ', sup, house, age), '') WHEN source_id = 'neumos' THEN nullif(concat_ws(' | ', tour, sup, house, age), '') WHEN source_id = 'conor_byrne' THEN nullif(concat_ws(' | ', sup, age), '') END AS description,
 CASE WHEN source_id IN ('neumos', 'conor_byrne') THEN own_id ELSE '{T.NIL_UUID}' END AS venue_id, coalesce(artist_ids, '') AS artist_ids, round(ec, 6) AS confidence, CAST(day IS NULL AS INT) AS n_warnings,

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from stagelight import chain
 from stagelight.catalogue import AS_OF, BASE, LOG, Tables, _log, _samples, query
 from stagelight.lineage import cut
-from stagelight.operators import catalog, metrics, normalize, pages, payloads, phases
+from stagelight.operators import catalog, metrics, normalize, pages, payloads, phases, quality, venue_parsers
 from stagelight.plans import full
+from stagelight.shipping import ship
 from stagelight.sources.merged import MergedTable
 from stagelight.stored import kept
 from stagelight.streaming import state
@@ -178,3 +179,45 @@ def api_names(spark, d):
 def repeated_signatures(spark, d):
     """Which (venue, day) pairs more than one event has."""
     return catalog.repeated_signatures(Tables(spark, d).shows)
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS envelope_id, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN 'show-' || o_orderkey END AS event_api_id, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN 'KEXP' END AS venue_name,
+CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS event_day, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN '13:00:00' END AS start_time, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN 'https://x.example/' || o_custkey END AS event_url,
+CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 3 = 0 THEN 'broadcast only' END AS skipped, CASE WHEN o_orderkey % 7 = 0 THEN 'date not found' WHEN o_orderkey % 11 = 0 THEN 'day not understood' END AS error FROM orders""")
+def crawled_listings(spark, d):
+    """Records of the archived crawler, with its own fields, some of them without a day or with one that is none."""
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    title = F.concat(F.lit("Act LIVE on KEXP"), F.when(k % 3 == 0, "").otherwise(" (OPEN TO THE PUBLIC)"))
+    record = F.to_json(F.struct(F.concat(F.lit("show-"), k).alias("id"), title.alias("title"), F.when(k % 7 == 0, None).when(k % 11 == 0, "soon").otherwise(day).alias("date"), F.lit("13:00:00").alias("start_time"), F.concat(F.lit("https://x.example/"), F.col("o_custkey")).alias("url")))
+    rows = Tables(spark, d).orders.select(F.lit("kexp").alias("source_id"), k.cast("string").alias("envelope_id"), record.alias("record"))
+    return venue_parsers.crawled_listings(rows).drop("source_id", "title", "description")
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS envelope_id, count(*) FILTER (o_orderkey % 3 <> 0) AS n, count(*) FILTER (o_orderkey % 3 = 1) AS titled FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderkey % 3 <> 0) > 0
+UNION ALL SELECT CAST(o_custkey AS VARCHAR), 1, 0 FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderkey % 3 <> 0) = 0""")
+def ticket_items_with_title_or_day(spark, d):
+    """Items are kept if they have a title or a day; pages without any such item give one row."""
+    k = F.col("o_orderkey")
+    inside = F.when(k % 3 == 1, F.concat(F.lit('<h3 class="title"><a>Act '), k, F.lit("</a></h3>"))).when(k % 3 == 2, F.lit('<span class="m-date__month">May</span><span class="m-date__day">5</span>')).otherwise('<div class="meta"><span class="age">21+</span></div>')
+    item = F.concat(F.lit('<div class="eventItem">'), inside, F.lit("</div>"))
+    html = chain._documents(Tables(spark, d).orders, "barboza", item, "<main>", "</main>").withColumnRenamed("payload", "html")
+    ship(spark)
+    found = pages.parse_pages(html, "barboza_html_v1", AS_OF)
+    return found.groupBy("envelope_id").agg(F.count("*").alias("n"), F.count_if(F.get_json_object("record", "$.title").isNotNull()).alias("titled"))
+
+
+@query(chain.RECORDS + """ SELECT source_id, count(*) AS n, count_if(day IS NULL) AS noted, round(sum(ec - CASE WHEN day IS NULL THEN 1e-2 ELSE 0 END - CASE WHEN source_id NOT IN ('neumos', 'conor_byrne') THEN 1e-2 ELSE 0 END
+  - CASE WHEN coalesce(day, DATE '1999-06-01') - DATE '1999-06-01' > 365 OR coalesce(day, DATE '1999-06-01') - DATE '1999-06-01' < -30 THEN 5e-2 ELSE 0 END), 4) AS total FROM r GROUP BY 1""")
+def quality_with_warnings(spark, d):
+    """Warnings of normalization lower the score of events as information does."""
+    e = normalize.events(chain._records(spark, d), AS_OF)
+    issues = quality.event_issues(F.col("title"), F.col("event_day"), F.col("venue_id"), F.lit(AS_OF).cast("date"))
+    rows = quality.assess(e, issues, warnings="warnings")
+    noted = F.exists("issues", lambda i: i["issue_type"] == "Normalization")
+    return rows.groupBy("source_id").agg(F.count("*").alias("n"), F.count_if(noted).alias("noted"), F.round(F.sum("quality_score"), 4).alias("total"))
+
+
+@query(BASE + "SELECT * FROM shows ORDER BY event_day, id OFFSET 1000")
+def events_after_an_offset(spark, d):
+    """All events but the first thousand, without a limit."""
+    return Tables(spark, d).listings().all_events(offset=1000)

@@ -8,14 +8,29 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagelight.lineage import cut
+
 PAGE = 20
 
 
-def page(df: DataFrame, limit: int | None = None, offset: int | None = None) -> DataFrame:
+def page(df: DataFrame, limit: int | None = None, offset: int | None = None, order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of an ordered table from an offset on, no more than the limit. With a limit no more than offset + limit rows leave
+    a task; an offset alone is found by ranks within ranges of the order's columns."""
+    if offset and limit is None and order:
+        return skipped(df, order, offset)
     df = df.offset(offset) if offset else df
     return df if limit is None else df.limit(limit)
 
 
+def skipped(df: DataFrame, order: tuple[str, ...], offset: int) -> DataFrame:
+    """All but the first `offset` rows in an order. Ranges are ranked by themselves; one number for each goes to the others."""
+    dealt = cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    begins = dealt.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy(*order))).join(begins, "_range")
+    return ranked.where(F.col("_before") + F.col("_rank") > offset).select(*df.columns).orderBy(*order)
+
+
 def web_page(df: DataFrame, number: int = 0, size: int = PAGE) -> DataFrame:
     """A numbered page, from 0, of the size that web pages have."""
     return page(df, size, number * size)
@@ -62,7 +77,7 @@ class Listings:
         return self.venues_table.where(F.col("id") == id_)
 
     def venues(self, limit: int | None = None, offset: int | None = None) -> DataFrame:
-        return page(self.venues_table.orderBy("name", "id"), limit, offset)
+        return page(self.venues_table.orderBy("name", "id"), limit, offset, ("name", "id"))
 
     def venues_by_city(self, city: str) -> DataFrame:
         return self.venues_table.where(same("city", city)).orderBy("name", "id")
@@ -82,7 +97,7 @@ class Listings:
         return self.artists_table.where(F.col("id") == id_)
 
     def artists(self, limit: int | None = None, offset: int | None = None) -> DataFrame:
-        return page(self.artists_table.orderBy("name", "id"), limit, offset)
+        return page(self.artists_table.orderBy("name", "id"), limit, offset, ("name", "id"))
 
     def artist_by_name(self, name: str) -> DataFrame:
         return self.artists_table.where(same("name", name)).orderBy("id").limit(1)
@@ -100,7 +115,7 @@ class Listings:
         return self.events_table.where(F.col("id") == id_)
 
     def events(self, limit: int | None = None, offset: int | None = None, include_past: bool = False) -> DataFrame:
-        return page(self._future(self.events_table, include_past).orderBy("event_day", "id"), limit, offset)
+        return page(self._future(self.events_table, include_past).orderBy("event_day", "id"), limit, offset, ("event_day", "id"))
 
     def all_events(self, limit: int | None = None, offset: int | None = None) -> DataFrame:
         return self.events(limit, offset, True)
@@ -120,7 +135,7 @@ class Listings:
             found = found.where(holds("title", search))
         if venue:
             found = found.join(self.venues_table.where(holds("name", venue)).select(F.col("id").alias("venue_id")), "venue_id", "left_semi")
-        return page(found.orderBy("event_day", "id"), limit, offset)
+        return page(found.orderBy("event_day", "id"), limit, offset, ("event_day", "id"))
 
     def event_by_venue_day_title(self, venue_id, day: date, title: str) -> DataFrame:
         return self.events_table.where((F.col("venue_id") == venue_id) & (F.col("event_day") == F.lit(day)) & same("title", title)).orderBy("id").limit(1)

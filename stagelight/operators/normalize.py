@@ -132,7 +132,7 @@ def _link(s: Source) -> Column:
     if s.link == "events":
         return listed
     if s.link == "slug":
-        return F.concat(F.lit(f"{ORIGIN}/event-details/"), _first("slug"))
+        return F.concat(F.lit(f"{ORIGIN}/event-info/"), _first("slug"))
     return F.coalesce(T.absolute_url(_first("event_url") if s.link == "event_url" else _first("ticket_url", "detail_url"), ORIGIN), listed)
 
 

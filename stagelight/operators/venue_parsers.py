@@ -83,3 +83,20 @@ def event_args(records: DataFrame, as_of) -> DataFrame:
     fine = lambda c: F.when(F.col("error").isNull(), c)
     each = {"title": title, "event_day": F.col("event_day"), "start_time": time, "event_url": url, "description": description, "event_image_url": image}
     return rows.select("source_id", "envelope_id", *[fine(c).alias(n) for n, c in each.items()], "error")
+
+
+# Fixed value: the venue of the archived crawler's listings.
+CRAWLED_VENUE = "KEXP"
+
+
+def crawled_listings(records: DataFrame) -> DataFrame:
+    """What the archived crawler of radio listings reads of its own records (source_id, envelope_id, record), which have date
+    and url: the row for raw storage and the event's arguments, why a listing is passed over, and what is missing."""
+    day = F.try_to_date(_get("date"), "yyyy-MM-dd")
+    faults = [F.when(_get(n).isNull(), F.lit(f"{n} not found")) for n in ("id", "title", "date")]
+    error = F.coalesce(*faults, F.when(day.isNull(), F.lit("day not understood")))
+    fine = lambda c: F.when(error.isNull(), c)
+    return records.select(
+        "source_id", "envelope_id", fine(_get("id")).alias("event_api_id"), fine(_get("title")).alias("title"), fine(F.lit(CRAWLED_VENUE)).alias("venue_name"), fine(day).alias("event_day"), fine(T.parse_time(_get("start_time"))).alias("start_time"),
+        fine(_get("url")).alias("event_url"), fine(_get("description")).alias("description"), fine(T.skip_reason(_get("title"))).alias("skipped"), error.alias("error"),
+    )

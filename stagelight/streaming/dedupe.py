@@ -11,13 +11,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 OUT = "envelope_id string, idempotency_key string, accepted_at timestamp, payload_ref string, dedupe_of string"
 
 
-#: Thirty days: a key that has not been seen for so long counts as new
-FORGET_AFTER_MS = 30 * 86_400_000
-
-
-def tag_stream(log: DataFrame, forget_after_ms: int | None = FORGET_AFTER_MS) -> DataFrame:
-    """log (envelope_id, idempotency_key, accepted_at, payload_ref). The state of a key is its first envelope's id; it is
-    dropped when the key has not been seen for forget_after_ms, so that it stays bounded; None keeps it for ever. Within a
+def tag_stream(log: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
+    """log (envelope_id, idempotency_key, accepted_at, payload_ref). The state of a key is its first envelope's id. It is
+    kept for ever, or dropped when the key has not been seen for forget_after_ms, so that it stays bounded. Within a
     micro-batch the earliest accepted is first; limit the files of a trigger to bound what a key brings at once."""
 
     def tag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

@@ -21,7 +21,7 @@ def test_each_source_has_its_fields(spark):
     parsed = spark.createDataFrame(rows, "source_id string, envelope_id string, payload_ref string, record_path string, record string")
     got = {r["envelope_id"]: (r["start_time"], r["description"], r["event_url"].removeprefix(normalize.ORIGIN), r["event_image_url"], r["venue_id"] != T.NIL_UUID) for r in normalize.events(parsed, AS_OF).where("event_url is not null").collect()}
     assert got == {
-        "blue_moon": (None, "words", "/events", None, False), "sea_monster": ("18:00:00", "words", "/event-details/s", "m", False), "darrells_tavern": (None, None, "/events", None, False), "kexp": ("21:00:00", "words", "/events", None, False),
+        "blue_moon": (None, "words", "/events", None, False), "sea_monster": ("18:00:00", "words", "/event-info/s", "m", False), "darrells_tavern": (None, None, "/events", None, False), "kexp": ("21:00:00", "words", "/events", None, False),
         "barboza": ("20:00:00", "With S | P | Age: 21+", "/t", "i", False), "neumos": ("20:00:00", "Tour: T | With S | P | Age: 21+", "/t", "i", True), "conor_byrne": ("20:00:00", "With S | Age: 21+", "/e", "i", True),
         "place": (None, "Room", "/events", None, False), "object": (None, None, "/events", None, False),
     }
