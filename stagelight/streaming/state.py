@@ -1,7 +1,7 @@
 """Streams with keyed state that give what the batch operators give, also when rows come out of order.
 
-Rows of a key are held in its state until the watermark has passed them, and then go out in order of time: a timer of the
-key fires for them. So within `late` of the newest row, arrival does not matter. What is later than that is left out by the
+Rows of a key are held in its state until the watermark has passed them, and then go out in order of time: a timer for the
+key's earliest row fires, gives all rows that are due, and is set for the next. So within `late` of the newest row, arrival does not matter. What is later than that is left out by the
 watermark, as in every stream; so is what bears a time of 1970 or before, where watermarks begin. The state of a key is its last word: the first envelope of an idempotency key, the last value
 of a counter. It is kept for ever unless `forget_ms` is given; then a key that has not been written for so long is new again.
 
@@ -38,26 +38,31 @@ class InOrder(StatefulProcessor):
         self.last = handle.getValueState("last", self.state_schema, self.forget_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        times: set[int] = set()
+        least: list[int] = []
         for part in rows:
             part = part[self.held_columns].astype(object).where(part[self.held_columns].notna(), None)
             self.held.appendList(list(part.itertuples(index=False, name=None)))
-            times |= {int(at) // 1_000_000 for at in part["at"]}
-        for second in times:  # one timer for all rows of a second
-            self.handle.registerTimer((second + 1) * 1000)
+            least.append(int(part["at"].min()))
+        self._wake(min(least))
         return iter(())
 
+    def _wake(self, at: int) -> None:
+        """A timer for the earliest row: one a batch, however many rows a key has."""
+        self.handle.registerTimer((at // 1_000_000 + 1) * 1000)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        until = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        rows = [tuple(r) for r in self.held.get()]
-        due = sorted((r for r in rows if r[0] < until), key=lambda r: (r[0], str(r[1])))
-        rest = [r for r in rows if r[0] >= until]
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        due, rest = [], []
+        for r in self.held.get():
+            (due if r[0] < until else rest).append(tuple(r))
+        if not due:  # another timer has given them
+            return
         if rest:
             self.held.put(rest)
+            self._wake(min(r[0] for r in rest))
         else:
             self.held.clear()
-        if due:
-            yield self.ready(key, due)
+        yield self.ready(key, sorted(due, key=lambda r: (r[0], str(r[1]))))
 
     def ready(self, key, due: list[tuple]) -> pd.DataFrame:
         raise NotImplementedError
