@@ -14,14 +14,15 @@ PROBED queries, searched by brute force over all rows, LEAST_RECALL of the true
 last step is the whole code length, which leaves nothing out. A radius depends neither on shards nor on partitions.
 Codes within it are ranked by exact inner products of the original vectors, k a shard go on, and these are merged.
 
-Work. Vectors are neither shuffled nor copied for the search: blocks of queries of bounded size go out by broadcast, one
-pass over the vectors each. Of equal vectors only the k + 1 smallest ids are kept, as no others can be returned, so a vector
+Work. Codes and radii of queries are made in tasks and written to the shared folder. A task encodes and indexes each of its
+shards once, and reads the queries for it from there, batch by batch, by Arrow's file systems; what it holds is bounded by a
+shard and a batch. No query goes through the driver but the PROBED ones. Of equal vectors only the k + 1 smallest ids are kept, as no others can be returned, so a vector
 that many rows share is one of few rows.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id or with
 another number of components than most (the smaller number in a tie). Of rows with one id, the smallest vector counts.
 With fewer candidates than k all are returned; ties go to the smaller id, repeated vectors at the last place too. Very long
-vectors are defined likewise: sample, shards and blocks are bounded by numbers held, not by rows. Extra columns are
+vectors are defined likewise: sample, shards and batches are bounded by numbers held, not by rows. Extra columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -32,15 +33,17 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagelight.llm.common import Stored, cut, only
+from stagelight.sources.files import listed, opened
 
 #: Vectors that rotations are learned on and radii told from
 SAMPLE = 20_000
-#: Numbers that the sample, a shard of vectors or a block of queries holds at most
-SAMPLE_NUMBERS, SHARD_NUMBERS, BLOCK_NUMBERS = 1 << 24, 1 << 24, 1 << 22
+#: Numbers that the sample, a shard of vectors, a batch of queries or vectors that are encoded at a time hold at most
+SAMPLE_NUMBERS, SHARD_NUMBERS, BLOCK_NUMBERS, CODED_NUMBERS = 1 << 24, 1 << 24, 1 << 22, 1 << 20
 #: Code bits for each component, and in all
 BITS_EACH, BITS = 4, 512
 WIDTH = 16
@@ -86,7 +89,9 @@ class Codes:
         return np.ascontiguousarray(packed.view("<u2").T)
 
     def of(self, x: np.ndarray) -> np.ndarray:
-        return self.words(self.lift(x))
+        """Words of any number of vectors, a few at a time."""
+        rows = max(1, CODED_NUMBERS // self.bits)
+        return np.concatenate([self.words(self.lift(x[a : a + rows].astype(float))) for a in range(0, max(1, len(x)), rows)], 1)
 
     def of_queries(self, x: np.ndarray) -> np.ndarray:
         return self.words(np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))], 1))
@@ -202,20 +207,50 @@ def _exact(shared, d: int, k: int):
     return run
 
 
-def _near(model, shared, d: int, k: int, step: int):
-    """The k nearest of each shard for a block of queries, among the codes within their radii."""
+CODED = "id long, v array<double>, code binary, radius int"
+
+
+def _coded(model, d: int, step: int):
+    """Queries (id, v) with their codes and their radii at a step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = model.value
+        for batch in batches:
+            x = _matrix(batch.column(1), d).astype(float)
+            if not len(x):
+                continue
+            words = codes.of_queries(x)
+            radii = [int(codes.radii(words[:, i])[step]) for i in range(len(x))]
+            v = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, d), pa.int32()), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), v, pa.array([words[:, i].tobytes() for i in range(len(x))], pa.binary()), pa.array(radii, pa.int32())], names=["id", "v", "code", "radius"])
+
+    return run
+
+
+def _asked(path: str, d: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, vectors, codes and radii of the stored queries, a batch at a time."""
+    files, folder = opened(path)
+    for f in listed(files, folder):
+        with pq.ParquetFile(f.path, filesystem=files) as queries:
+            for batch in queries.iter_batches(max(1, BLOCK_NUMBERS // d)):
+                code = np.stack([np.frombuffer(c, np.uint16) for c in batch.column(2).to_pylist()], 1)
+                yield batch.column(0).to_numpy(), _matrix(batch.column(1), d), np.ascontiguousarray(code), batch.column(3).to_numpy()
+
+
+def _near(model, path: str, d: int, k: int):
+    """The k nearest of each shard for every stored query, among the codes within its radius."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, queries, codes, radii = shared.value
         for ids, base in _shards(batches, d):
-            index = Index(model.value.of(base.astype(float)))
-            found = []
-            for i, own in enumerate(asked.tolist()):
-                found.append((own, *best(base, ids, index.within(codes[:, i], radii[i, step]), queries[i], own, k)))
-                if len(found) == 4096:
-                    yield _rows(found)
-                    found = []
-            yield _rows(found)
+            index = Index(model.value.of(base))
+            for asked, queries, codes, radii in _asked(path, d):
+                found = []
+                for i, own in enumerate(asked.tolist()):
+                    found.append((own, *best(base, ids, index.within(codes[:, i], radii[i]), queries[i], own, k)))
+                    if len(found) == 4096:
+                        yield _rows(found)
+                        found = []
+                yield _rows(found)
 
     return run
 
@@ -230,13 +265,13 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = SAMPL
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size("v") > 0)).where(sound & F.exists("v", lambda x: x != 0))
     store = Stored(rows.groupBy("id").agg(F.min("v").alias("v")))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    sizes = store.df.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(square).alias("m"), F.count_if(F.col("id") % every == 0).alias("asked"))
+    sizes = store.df.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(square).alias("m"))
     most = sizes.orderBy(F.desc("n"), "d").head(1)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not most:
         store.drop()
         return empty
-    d, n, asked = most[0]["d"], most[0]["n"], most[0]["asked"]
+    d, n = most[0]["d"], most[0]["n"]
     rows = store.df.where(F.size("v") == d)
     copies = Window.partitionBy("v").orderBy("id")  # the group limit keeps k + 1 a task before the shuffle
     tasks = max(spark.sparkContext.defaultParallelism, -(-n * d // SHARD_NUMBERS))
@@ -247,17 +282,14 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = SAMPL
     model = spark.sparkContext.broadcast(codes)  # bounded by the sample
     queries = rows.where(F.col("id") % every == 0)
 
-    def taken(df: DataFrame) -> tuple[np.ndarray, ...]:
-        """Ids, vectors and codes of a bounded number of queries, and their radii."""
-        table = df.select("id", "v").orderBy("id").toArrow()
-        ids, x = table.column("id").to_numpy(), _matrix(table.column("v"), d).astype(float)
-        words = codes.of_queries(x) if len(x) else np.zeros((len(codes.known), 0), np.uint16)
-        return ids, x, words, np.array([codes.radii(words[:, i]) for i in range(len(ids))], np.int32).reshape(len(ids), STEPS + 1)
-
-    ids, x, words, radii = taken(queries.orderBy(F.xxhash64("id"), "id").limit(PROBED))
+    probed = queries.orderBy(F.xxhash64("id"), "id").limit(PROBED).select("id", "v").orderBy("id").toArrow()
+    ids = probed.column("id").to_numpy()
     if not len(ids):
         store.drop(), base.drop()
         return empty
+    x = _matrix(probed.column("v"), d).astype(float)
+    words = codes.of_queries(x)
+    radii = np.array([codes.radii(words[:, i]) for i in range(len(ids))], np.int32)
     shared = spark.sparkContext.broadcast((ids, x))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     merged = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -269,12 +301,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = SAMPL
         apart = np.bitwise_count(wide(words)[:, place] ^ other).sum(0)
         step = next(i for i in range(STEPS + 1) if (apart <= radii[place, i]).mean() >= LEAST_RECALL)
 
-    blocks = -(-asked * d // BLOCK_NUMBERS)
-    found: DataFrame | None = None
-    for b in range(blocks):  # queries of one block are on the driver at a time
-        block = spark.sparkContext.broadcast(taken(queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)))
-        part = cut(merged(base.df.mapInArrow(_near(model, block, d, k, step), RESULT)).select("query_id", "rank", "vec_id", "score"))
-        block.destroy()
-        found = part if found is None else found.unionByName(part)
-    store.drop(), base.drop()
-    return found
+    asked = Stored(queries.select("id", "v").mapInArrow(_coded(model, d, step), CODED))
+    try:
+        return cut(merged(base.df.mapInArrow(_near(model, asked.path, d, k), RESULT)).select("query_id", "rank", "vec_id", "score"))
+    finally:
+        store.drop(), base.drop(), asked.drop()
