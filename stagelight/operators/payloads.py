@@ -37,22 +37,29 @@ def _rows(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select(*_CARRIED, *columns)
 
 
+def _text(record: Column) -> Column:
+    """A VARIANT as text: a string as it is, all else as JSON."""
+    return F.try_variant_get(record, "$", "string")
+
+
 def _with_day(record: Column, day: Column) -> Column:
-    """A JSON object with event_day set to the day; what is no object stays as it is."""
-    others = F.map_filter(F.from_json(record, "map<string,variant>"), lambda k, v: k != "event_day")
+    """A VARIANT as text: an object with event_day set to the day; what is no object stays as it is."""
+    fields = F.try_variant_get(record, "$", "map<string,variant>")
+    others = F.map_filter(fields, lambda k, v: k != "event_day")
     whole = F.to_json(F.map_concat(F.create_map(F.lit("event_day"), day.cast("variant")), others))
-    return F.when(F.trim(record).startswith("{"), F.coalesce(whole, record)).otherwise(record)
+    return F.when(fields.isNotNull(), whole).otherwise(_text(record))
 
 
 def calendar(payloads: DataFrame) -> DataFrame:
-    """`events` array, else days of `eventsByDates` with the day added to each record, else the document itself. One pass:
-    each payload gives an array of (path, record), and that is exploded once."""
+    """`events` array, else days of `eventsByDates` with the day added to each record, else the document itself, text that is
+    no JSON included. Each payload is parsed once, to a VARIANT, and gives an array of (path, record) that is exploded once."""
     row = lambda path, record: F.struct(path.alias("record_path"), record.alias("record"))
-    listed = F.transform("_e", lambda r, i: row(F.concat(F.lit("$.events["), i.cast("string"), F.lit("]")), r))
+    parsed = payloads.withColumn("_v", F.try_parse_json(F.col("payload").cast("string")))
+    parsed = parsed.withColumn("_e", F.try_variant_get("_v", "$.events", "array<variant>")).withColumn("_d", F.try_variant_get("_v", "$.eventsByDates", "map<string,array<variant>>"))
+    listed = F.transform("_e", lambda r, i: row(F.concat(F.lit("$.events["), i.cast("string"), F.lit("]")), _text(r)))
     of_day = lambda e: F.transform(e["value"], lambda r, i: row(F.concat(F.lit("$.eventsByDates."), e["key"], F.lit("["), i.cast("string"), F.lit("]")), _with_day(r, e["key"])))
     days = F.flatten(F.transform(F.filter(F.map_entries("_d"), lambda e: e["value"].isNotNull()), of_day))
-    parsed = payloads.withColumn("_e", F.from_json(F.get_json_object("payload", "$.events"), "array<string>")).withColumn("_d", F.from_json(F.get_json_object("payload", "$.eventsByDates"), "map<string,array<string>>"))
-    found = F.when(F.col("_e").isNotNull(), listed).when(F.col("_d").isNotNull(), days).otherwise(F.array(row(F.lit("$"), F.col("payload"))))
+    found = F.when(F.col("_e").isNotNull(), listed).when(F.col("_d").isNotNull(), days).otherwise(F.array(row(F.lit("$"), F.col("payload").cast("string"))))
     return parsed.select(*_CARRIED, F.explode(found).alias("_r")).select(*_CARRIED, "_r.record_path", "_r.record")
 
 
