@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,6 +199,33 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     return out
 
 
+def text_steps(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Runs of a column of texts with about `most` bytes each, as lists; a longer text is a run of its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(texts):
+        before = int(size[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + most, "right")))
+        yield at, end, texts.slice(at, end - at).to_pylist()
+        at = end
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which a task's worker gives what it no longer holds back to the system: workers live on for other tasks,
+    and an executor's memory is that of all of them."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every system's library has it
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def steps(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts with about `most` characters each; a longer text is a run of its own."""
     at = size = 0

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import NULL_KEY, Stored, cut, key, mix, only, shingle_sets, steps
+from stagelight.llm.common import NULL_KEY, Stored, cut, key, mix, only, shingle_sets, steps, text_steps, tidy
 from stagelight.llm.components import components
 
 #: Shingles that a block may hold: about 80 MB of hashes and lists
@@ -94,11 +94,11 @@ def sketches(documents: DataFrame, width: int, bands: Bands) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, marks, texts = [c.to_pylist() for c in batch.columns]
-            for a, b in steps(texts):
+            keys, marks = [batch.column(i).to_pylist() for i in (0, 1)]
+            for a, b, texts in text_steps(batch.column(2)):
                 rows: list[tuple] = []
                 sigs = []
-                for k, x, s in zip(keys[a:b], marks[a:b], shingle_sets(texts[a:b], width), strict=True):
+                for k, x, s in zip(keys[a:b], marks[a:b], shingle_sets(texts, width), strict=True):
                     h = set_hash(s) if len(s) else None
                     for i, (d, sig) in enumerate(list(bands.signatures(s)) or [(0, np.zeros(0, np.uint64))]):
                         rows.append((k, x, len(s), h, d, i > 0))
@@ -108,7 +108,7 @@ def sketches(documents: DataFrame, width: int, bands: Bands) -> DataFrame:
                 flat = np.concatenate(sigs).view(np.int64)
                 yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "x", "n", "h", "d", "more", "sigs"])
 
-    return documents.select("k", "x", "text").mapInArrow(run, "k long, x long, n long, h long, d long, more boolean, sigs array<long>")
+    return documents.select("k", "x", "text").mapInArrow(tidy(run), "k long, x long, n long, h long, d long, more boolean, sigs array<long>")
 
 
 #: Signatures of more classes than this count as equally frequent
@@ -210,7 +210,7 @@ def rarest(classes: DataFrame, done: Callable[[], None] = lambda: None) -> DataF
     called when the classes are no longer read."""
     signed = classes.select(F.explode("sigs").alias("sig"), "h", "d")
     sorted_ = signed.repartitionByRange(F.col("sig"), F.col("h")).sortWithinPartitions("sig", "h")
-    stored = Stored(sorted_.mapInArrow(_shared, "sig long, h long, d long, n long"))
+    stored = Stored(sorted_.mapInArrow(tidy(_shared), "sig long, h long, d long, n long"))
     done()
     found = stored.df
     # signatures at the edges of tasks: two a task, so few that they go to every task, and a frequent one is not dealt out
@@ -509,13 +509,13 @@ def linked_classes(docs: DataFrame, width: int, threshold: str) -> tuple[DataFra
     middle = cut(candidates.groupBy("root").agg(F.sum("n").alias("total"), F.percentile_approx("n", 0.5).alias("mid")))
     sized = cut(candidates.join(middle, "root"))
     texts = docs.join(sized.select("k", "x", "root", "total", "h"), ["k", "x"]).select("root", "total", "h", "text")
-    sets = Stored(texts.mapInArrow(_hashed(width), "root long, total long, h long, hashes array<long>"))
+    sets = Stored(texts.mapInArrow(tidy(_hashed(width)), "root long, total long, h long, hashes array<long>"))
     try:
         small = sets.df.where(F.col("total") <= BLOCK).select(F.col("root").alias("block"), "h", F.col("h").alias("g"), "hashes")
         pivots = sized.where(F.col("total") > BLOCK).groupBy("root").agg(F.min_by("h", F.struct(F.abs(F.col("n") - F.col("mid")), "h")).alias("pivot"))
         with_pivot, blocks = large_blocks(sets.df.where(F.col("total") > BLOCK), pivots, t)
         searched = small.unionByName(blocks).repartition(F.col("block")).sortWithinPartitions("block")
-        links = cut(searched.mapInArrow(_solve(t), LINKS).unionByName(with_pivot))
+        links = cut(searched.mapInArrow(tidy(_solve(t)), LINKS).unionByName(with_pivot))
     finally:
         sets.drop()
     return found, classes, components(links)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import Words, cut, fold, only, steps, with_fields
+from stagelight.llm.common import Words, cut, fold, only, steps, text_steps, tidy, with_fields
 
 SAMPLE = 20_000
 #: Features that there is room for; more telling ones get more
@@ -194,12 +194,11 @@ def score(documents: DataFrame, machine: Machine, columns: list[str], name: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            scores = [shared.value.scores(texts[a:b]) for a, b in steps(texts)]
+            scores = [shared.value.scores(texts) for _, _, texts in text_steps(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*scores, np.zeros(0)]))], names=[*columns, name])
 
     docs = only(documents, *columns)
-    return docs.mapInArrow(run, with_fields(docs, **{name: "double"}))
+    return docs.mapInArrow(tidy(run), with_fields(docs, **{name: "double"}))
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:

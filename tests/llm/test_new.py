@@ -207,3 +207,17 @@ def test_later_rounds_look_at_what_moved(monkeypatch):
     assert (again[0] == all_.argmin(1)).all() and (again[1] == all_.min(1)).all()
     held = int(np.isin(owner, moved).sum())
     assert sum(asked) == held * 9 + (400 - held) * 2
+
+
+def test_steps_of_texts():
+    import pyarrow as pa
+
+    from stagelight.llm.common import text_steps, tidy
+
+    texts = ["a" * 5, None, "", "é" * 4, "b" * 50, "c", "d" * 9]
+    for most in (1, 7, 12, 1000):
+        parts = list(text_steps(pa.array(texts), most))
+        assert [x for _, _, p in parts for x in p] == texts and [a for a, _, _ in parts] == [0, *[b for _, b, _ in parts]][:-1]
+        assert all(len(p) == 1 or sum(len((x or "").encode()) + 1 for x in p) <= most for _, _, p in parts)
+    assert list(text_steps(pa.array([], pa.string()))) == []
+    assert list(tidy(lambda batches: (x * 2 for x in batches))(iter([1, 2]))) == [2, 4]
