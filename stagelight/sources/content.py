@@ -219,7 +219,8 @@ def add(contents: DataFrame, folder: str, **options: str | int) -> None:
     spark = contents.sparkSession
     rows = contents.where("content is not null").select(F.sha2(F.col("content").cast("binary"), 256).alias("sha256"), F.col("content").cast("binary").alias("content"))
     stored = read(spark, folder).select(F.col("sha256").alias("stored"))
-    fresh = rows.join(stored, F.col("sha256") == F.col("stored"), "left_anti").dropDuplicates(["sha256"])
+    # each task's copies become one before they are dealt by digest, which the join then goes by too
+    fresh = rows.dropDuplicates(["sha256"]).join(stored, F.col("sha256") == F.col("stored"), "left_anti")
     dealt = fresh.repartitionByRange("sha256").sortWithinPartitions("sha256")
     dealt.write.format("content_store").option("path", folder).options(**options).mode("append").save()
 
