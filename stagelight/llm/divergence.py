@@ -81,6 +81,13 @@ def kept(documents: DataFrame, least: int) -> DataFrame:
     return every.where(F.col("in_lang") >= least).select("lang", "source", F.col("term").cast("string").alias("term"), "count", "total", (F.col("source") == F.col("first")).alias("one"))
 
 
+def valued(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Postings with p and q. Groups go out, not postings: stored postings take two bytes each, which Spark would take for their
+    size in memory. Groups that matter are fewer than the result's pairs and the languages with `least` documents together."""
+    postings = counts.join(F.broadcast(sizes.where("v > 0")), ["lang", "source"])
+    return postings.select("lang", "source", "term", "p0", _p(F.col("count"), F.col("n"), F.col("v")).alias("p"), _p(F.col("total"), F.col("n_lang"), F.col("v")).alias("q"))
+
+
 def audit(documents: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """(lang, source, part, item, value, rank): part `pair` compares a group with the language's other sources, part `term`
     has the terms that it uses more than its language does."""
@@ -92,10 +99,9 @@ def audit(documents: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame
         counts = stored.df
         of_group = counts.groupBy("lang", "source").agg(F.sum("count").alias("n"))
         of_lang = counts.groupBy("lang").agg(F.count_if("one").alias("v"), F.sum("count").alias("n_lang"))
-        sizes = groups.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").fillna(0, ["n", "v", "n_lang"])
+        sizes = groups.join(of_group.hint("merge"), ["lang", "source"], "left").join(of_lang, "lang", "left").fillna(0, ["n", "v", "n_lang"])
         sizes = cut(sizes.withColumn("p0", F.when(F.col("v") > 0, _p(F.lit(0).cast("long"), F.col("n"), F.col("v")))))
-        postings = counts.join(sizes, ["lang", "source"])
-        postings = postings.select("lang", "source", "term", "p0", _p(F.col("count"), F.col("n"), F.col("v")).alias("p"), _p(F.col("total"), F.col("n_lang"), F.col("v")).alias("q"))
+        postings = valued(counts, sizes)
 
         above = postings.where(F.col("p") > F.col("q")).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
         ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")  # the group limit keeps `top` a task before the shuffle

@@ -221,3 +221,14 @@ def test_steps_of_texts():
         assert all(len(p) == 1 or sum(len((x or "").encode()) + 1 for x in p) <= most for _, _, p in parts)
     assert list(text_steps(pa.array([], pa.string()))) == []
     assert list(tidy(lambda batches: (x * 2 for x in batches))(iter([1, 2]))) == [2, 4]
+
+
+def test_postings_are_not_broadcast(spark, tmp_path):
+    """Files of many postings are small, and the size of sizes unknown: still postings are not sent to all tasks."""
+    spark.range(20_000).selectExpr("'en' lang", "'s' source", "concat('t', id) term", "5L count", "9L total").write.parquet(str(tmp_path / "counts"))
+    groups = spark.range(100_000_000).selectExpr("'en' lang", "'s' source", "id").where("id = 0")
+    sizes = divergence.cut(groups.selectExpr("lang", "source", "9L n", "2L v", "18L n_lang", "7L p0"))
+    found = divergence.valued(spark.read.parquet(str(tmp_path / "counts")), sizes)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert found.count() == 20_000
