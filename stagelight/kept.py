@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stagelight import chain
 from stagelight.catalogue import AS_OF, BASE, LOG, Tables, _log, _samples, query
-from stagelight.lineage import cut
+from stagelight.lineage import written
 from stagelight.operators import catalog, metrics, normalize, pages, payloads, phases, quality, venue_parsers
 from stagelight.plans import full
 from stagelight.shipping import ship
@@ -152,13 +152,17 @@ UNION ALL SELECT 'normalize', 'artists', n FROM a UNION ALL SELECT 'enrich', 'ro
 def phases_observed(spark, d):
     """Counters of a run's phases, observed while its tables were made."""
     run = phases.Phases("run")
-    parsed = cut(run.watch(chain._records(spark, d), "parser"))
-    tables = normalize.tables(parsed, AS_OF)
-    events = cut(run.watch(tables["event"], "normalize", {"undated": F.size("warnings") > 0, "open_mics": F.col("title") == "Open Mic"}))
-    artists = cut(run.watch(tables["artist"], "normalize", {"artists": F.lit(True)}))
-    out = full.assessed(tables | {"event": events, "artist": artists}, AS_OF)["event"]
-    cut(run.watch(out, "enrich", {"to_place": F.exists("issues", lambda i: i["field"] == "venue_id")}))
-    seen = run.collected(spark).where("kind = 'counter'")
+
+    def work(folder: str) -> DataFrame:
+        parsed = written(run.watch(chain._records(spark, d), "parser"), f"{folder}/parsed")
+        tables = normalize.tables(parsed, AS_OF)
+        events = written(run.watch(tables["event"], "normalize", {"undated": F.size("warnings") > 0, "open_mics": F.col("title") == "Open Mic"}), f"{folder}/events")
+        artists = written(run.watch(tables["artist"], "normalize", {"artists": F.lit(True)}), f"{folder}/artists")
+        out = full.assessed(tables | {"event": events, "artist": artists}, AS_OF)["event"]
+        written(run.watch(out, "enrich", {"to_place": F.exists("issues", lambda i: i["field"] == "venue_id")}), f"{folder}/assessed")
+        return run.collected(spark)
+
+    seen = kept(spark, "phases", work).where("kind = 'counter'")
     rows = seen.where("name <> 'rows'").unionByName(seen.where("name = 'rows'").groupBy("run", "phase", "name", "kind", "le", "at").agg(F.max("value").alias("value")).select(*seen.columns))
     return rows.select("phase", "name", F.col("value").cast("long").alias("value"))
 

@@ -25,6 +25,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df as compressed Parquet at a path in the shared folder, which whoever reads it reads in splits of their own, and by the
+    columns that they need: a cut is read in the tasks that made it, however much wider its rows are than what they read."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; nothing is made there yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

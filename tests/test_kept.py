@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from stagelight import kept
 from stagelight.operators import catalog, metrics, pages, phases
 from stagelight.sources.merged import MergedTable, upsert_graph
 
@@ -142,3 +143,11 @@ def test_events_at_any_depth():
     for _ in range(200):
         deep = {"x": [deep]}
     assert pages.find_events({"a": deep, "items": [{"name": "n"}, 1], "b": [{"event_list": [{"startDate": 1}, {"other": 2}]}]}) == [{"title": "t"}, {"name": "n"}, {"startDate": 1}]
+
+
+def test_phases_keep_no_wide_rows_in_the_tasks_that_made_them(spark, monkeypatch):
+    """What a phase leaves is read in splits of its own: rows of records are never checkpointed."""
+    cut, seen = type(spark.range(1)).checkpoint, []
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda df, *a, **k: (seen.append(df.columns), cut(df, *a, **k))[1])
+    assert kept.phases_observed(spark, "/root/testdata/sf0.001").count() == 7
+    assert not [c for c in seen if "record" in c or "artist_ids" in c]
