@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 
 from stagelight import chain
 from stagelight.catalogue import AS_OF, BASE, LOG, Tables, _log, _samples, query
-from stagelight.lineage import written
+from stagelight.lineage import kept, written
 from stagelight.operators import catalog, metrics, normalize, pages, payloads, phases, quality, venue_parsers
 from stagelight.plans import full
 from stagelight.shipping import ship
 from stagelight.sources.merged import MergedTable
-from stagelight.stored import kept
 from stagelight.streaming import state
 
 # The graph: customers are venues, orders their events, parts artists

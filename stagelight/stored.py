@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagelight.catalogue import Tables, query
-from stagelight.lineage import cut, remove, scratch
+from stagelight.lineage import kept
 from stagelight.sources import byte_log, content
 
 
-def kept(spark: SparkSession, name: str, work: Callable[[str], DataFrame]) -> DataFrame:
-    """What work(folder) gives, after which the folder goes."""
-    folder = scratch(spark, name)
-    try:
-        return cut(work(folder))
-    finally:
-        remove(spark, folder)
-
-
 @query("SELECT doc_id, 'cas:sha256:' || sha256(text) AS payload_ref, strlen(text) AS n_bytes, md5(text) AS digest FROM documents")
 def content_by_reference(spark, d):
     """Every text goes into a content store and is read back by its reference."""
