@@ -280,3 +280,48 @@ def test_registered_plans_sources_and_handlers(spark):
         assert [r["change_type"] for r in catalog.HANDLERS["kiosk"].candidates(now, now.withColumn("name", F.lit("B"))).collect()] == ["UPDATE"]
     finally:
         del pages.PLANS["plain_v1"], normalize.SOURCES["kiosk"], catalog.HANDLERS["kiosk"]
+
+
+def test_plain_pages_have_the_same_tree(monkeypatch):
+    """Pages of plain tags are read without the parser, any other page by it, and the tree is the same."""
+
+    def form(x):
+        kids: list = []
+        for c in x.children:
+            if isinstance(c, str) and kids and isinstance(kids[-1], str):
+                kids[-1] += c
+            else:
+                kids.append(c if isinstance(c, str) else form(c))
+        return x.tag, x.attrs, x.classes, x.place, x.end, kids
+
+    def parsed(html):
+        with monkeypatch.context() as m:
+            m.setattr(pages, "_plain", lambda html: None)
+            return form(pages.tree(html))
+
+    bits = ["<p>", "</p>", '<div class="a b">', "</div>", '<a href="x?y">', "</a>", '<img src="i">', "<br>", "<br/>", "t &amp; u", "&lt", "& ", "<script>", "</script>", '{"a":1}', "<!-- c -->", "<", '<h3 CLASS="x">', "<span data-x>", "</ div>", " ", "é", '<p id="1" id="2">', "<title>", "</title>", '<a b="&amp;">', "<textarea>", '<a\x0bb="c">', "</script >"]
+    rng, plain = random.Random(5), 0
+    for _ in range(20_000):
+        html = "".join(rng.choices(bits, k=rng.randint(0, 6)))
+        assert form(pages.tree(html)) == parsed(html), html
+        plain += pages._plain(html) is not None
+    assert plain > 1000
+
+
+def test_payloads_are_made_once(spark):
+    """Plans read what was stored of the payloads; none aggregates orders anew."""
+    from stagelight import chain
+
+    got = []
+    parse = payloads.parse
+
+    def seen(raw, *rest):
+        got.append(raw._jdf.queryExecution().optimizedPlan().toString())
+        return parse(raw, *rest)
+
+    payloads.parse = seen
+    try:
+        chain.parse_by_plan(spark, "/root/testdata/sf0.001")
+    finally:
+        payloads.parse = parse
+    assert got and "Aggregate" not in got[0]
