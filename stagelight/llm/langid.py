@@ -4,11 +4,13 @@ Learning counts hashed byte trigrams of the letters of all labelled training tex
 expectation-maximisation finds the proportions of languages that make its trigrams likeliest; then languages are taken
 out, weakest first, as long as the likelihood falls by less than the penalty for keeping one. The prediction is the
 language with the largest proportion in the set that remains, the score that proportion. Where there are more languages,
-a document's set is sought among the CANDIDATES that are likeliest by themselves.
+a document's set is sought among the CANDIDATES that are likeliest by themselves first. Then every other language is looked at: those
+that may raise the likelihood by the penalty go in, and the set is sought again, until a bound shows that no other can.
 
 Any number of languages is learned. Up to LANGUAGES of them go out to executors as one table; more are dealt to blocks, each
 of which goes out by itself: a pass for each block finds each document's likeliest languages of the block, a second one
-brings the likelihoods of those that are likeliest of all, and the sets are found from these. The result is the same.
+brings the likelihoods of those that are likeliest of all, and the sets are found from these. Further passes bring those that
+may still go in, for the documents that have any. The result is the same.
 
 Nulls: `und` with score 0 for a null text or one without letters. Rows with null lang are not learned from but get a
 prediction. Rows with a null doc_id count as the id "". If nothing can be learned, every prediction is `und`. Repeated rows each
@@ -34,7 +36,7 @@ SLOTS = 1 << 14
 FOLDS, HELD_OUT = 4, 2
 #: Languages that go out to executors together: 67 MB
 LANGUAGES = 512
-#: Languages that a document's set is sought among
+#: Languages that a document's set is sought among first
 CANDIDATES = 16
 #: Log-likelihood that a language must add for each log(trigrams); neighbouring trigrams share letters, so more than 1/2
 PENALTY = 3.0
@@ -118,9 +120,11 @@ def proportions(n: np.ndarray, p: np.ndarray, start: np.ndarray, rounds: int) ->
     return pi, float(n @ np.log(p @ pi))
 
 
-def mixed(n: np.ndarray, p: np.ndarray) -> tuple[int, float]:
-    """Counts n and likelihoods p (trigrams x languages) -> the place of the prediction, and its share."""
-    p = p / p.max(1, keepdims=True)  # the same factor for all languages
+def mixed(n: np.ndarray, p: np.ndarray) -> tuple[int, float, np.ndarray]:
+    """Counts n and likelihoods p (trigrams x languages) -> the place of the prediction, its share, and the trigrams' likelihoods
+    under the set that remains."""
+    most = p.max(1, keepdims=True)
+    p = p / most  # the same factor for all languages
     active = np.arange(p.shape[1])
     pi, likelihood = proportions(n, p, np.full(len(active), 1 / len(active)), 12)
     penalty = PENALTY * np.log(n.sum() + 1)
@@ -132,7 +136,14 @@ def mixed(n: np.ndarray, p: np.ndarray) -> tuple[int, float]:
             break
         active, pi, likelihood = active[keep], fewer, less
     best = int(np.argmax(pi))
-    return int(active[best]), float(min(1.0, pi[best] / pi.sum()))
+    return int(active[best]), float(min(1.0, pi[best] / pi.sum())), most[:, 0] * (p[:, active] @ (pi / pi.sum()))
+
+
+def beyond(n: np.ndarray, fit: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Whether a language of p may add the penalty to a set under which trigrams have the likelihoods fit: by Jensen's
+    inequality, what any shares of some languages can add is at most total * log(the largest mean of p / fit among them)."""
+    total = n.sum()
+    return total * np.log((n / fit) @ p / total) >= PENALTY * np.log(total + 1)
 
 
 def _counted(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -159,9 +170,14 @@ class Mixture:
         if found is None:
             return UNKNOWN, 0.0
         at, n = found
+        every = self.table[at]
         some = np.arange(len(self.langs)) if len(self.langs) <= CANDIDATES else self.likeliest(at, n)[0]
-        best, share = mixed(n, self.table[at][:, some])
-        return self.langs[some[best]], share
+        while True:
+            best, share, fit = mixed(n, every[:, some])
+            more = np.setdiff1d(np.flatnonzero(beyond(n, fit, every)), some) if len(some) < len(self.langs) else some[:0]
+            if not len(more):
+                return self.langs[some[best]], share
+            some = np.union1d(some, more)
 
 
 def identified(documents: DataFrame, model: Learned, columns: list[str], names: tuple[str, str] = ("_lang", "_score")) -> DataFrame:
@@ -212,6 +228,37 @@ def _likelihoods(shared):
     return run
 
 
+def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, text, likely) -> (rid, text, lang, score, fit, langs): the set among the languages whose likelihoods are there."""
+    for batch in batches:
+        out: list[tuple] = []
+        for text, likely in zip(batch.column(1), batch.column(2), strict=True):
+            _, n = _counted(text.as_py())
+            rows = likely.as_py()
+            i, share, fit = mixed(n, np.array([r["p"] for r in rows]).T)
+            out.append((rows[i]["lang"], share, fit, [r["lang"] for r in rows]))
+        lang, score, fits, langs = zip(*out, strict=True) if out else ((), (), (), ())
+        columns = [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.list_(pa.float64())), pa.array(langs, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["rid", "text", "lang", "score", "fit", "langs"])
+
+
+def _beyond(shared):
+    """(rid, text, fit, langs) -> (rid, lang, p): languages of a block that may still go into a text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixture = shared.value
+        for batch in batches:
+            for rid, text, fit, langs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
+                at, n = _counted(text.as_py())
+                every = mixture.table[at]
+                known = set(langs)
+                more = [i for i in np.flatnonzero(beyond(n, np.array(fit.as_py()), every)) if mixture.langs[i] not in known]
+                p = [pa.array(every[:, i]) for i in more]
+                yield pa.RecordBatch.from_arrays([pa.array([rid] * len(more), pa.int64()), pa.array([mixture.langs[i] for i in more], pa.string()), pa.array(p, pa.list_(pa.float64()))], names=["rid", "lang", "p"])
+
+    return run
+
+
 def _by_blocks(docs: DataFrame, model: Learned, columns: list[str], names: tuple[str, str]) -> DataFrame:
     rid = fresh([*columns, *names], "_rid")
     blocks = -(-2 * model.languages // LANGUAGES)  # about half of LANGUAGES in each
@@ -234,24 +281,22 @@ def _by_blocks(docs: DataFrame, model: Learned, columns: list[str], names: tuple
         best = cut(found.withColumn("i", F.row_number().over(order)).where(F.col("i") <= CANDIDATES).select("rid", "lang"))
         of_block = lambda b: texts.join(best.where(block_of("lang", blocks) == b).groupBy("rid").agg(F.collect_list("lang").alias("langs")), "rid").select("rid", "text", "langs")
         likely = each(lambda x: (_likelihoods(x), "rid long, lang string, p array<double>"), of_block)
-        lists = likely.groupBy(F.col("rid").alias("_r")).agg(F.sort_array(F.collect_list(F.struct("lang", "p"))).alias("_l"))  # CANDIDATES at most
-        whole = stored.df.join(lists, F.col(rid) == F.col("_r"), "left").select(*columns, "_l")
-        at = columns.index("text")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out: list[tuple[str, float]] = []
-                for text, likely in zip(batch.column(at), batch.column(len(columns)), strict=True):
-                    if not likely.is_valid:
-                        out.append((UNKNOWN, 0.0))
-                        continue
-                    _, n = _counted(text.as_py())
-                    rows = likely.as_py()
-                    i, share = mixed(n, np.array([r["p"] for r in rows]).T)
-                    out.append((rows[i]["lang"], share))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())], names=[*columns, *names])
-
-        return cut(whole.mapInArrow(run, with_fields(docs, **dict(zip(names, ("string", "double"), strict=True)))))
+        done: list[DataFrame] = []
+        open_ = texts
+        while True:
+            lists = likely.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("lang", "p"))).alias("likely"))
+            solved = cut(open_.join(lists, "rid").select("rid", "text", "likely").mapInArrow(_solved, "rid long, text string, lang string, score double, fit array<double>, langs array<string>"))
+            asked = solved.select("rid", "text", "fit", "langs")
+            more = each(lambda x: (_beyond(x), "rid long, lang string, p array<double>"), lambda b: asked)  # noqa: B023
+            again = cut(more.select("rid").distinct())
+            done.append(solved.join(again, "rid", "left_anti").select("rid", "lang", "score"))
+            if again.isEmpty():
+                break
+            open_ = cut(texts.join(again, "rid", "left_semi"))
+            likely = cut(likely.join(again, "rid", "left_semi").unionByName(more))
+        found = reduce(DataFrame.unionByName, done).select(F.col("rid").alias("_r"), F.col("lang").alias("_l"), F.col("score").alias("_s"))
+        whole = stored.df.join(found, F.col(rid) == F.col("_r"), "left")
+        return cut(whole.select(*columns, F.coalesce("_l", F.lit(UNKNOWN)).alias(names[0]), F.coalesce("_s", F.lit(0.0)).alias(names[1])))
     finally:
         stored.drop()
 

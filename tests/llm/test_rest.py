@@ -427,3 +427,17 @@ def test_folds(spark):
 
     df = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
     assert [r[0] for r in df.select(fold("doc_id", 4)).collect()] == [zlib.crc32(str(i).encode()) % 4 for i in range(50)] + [0]
+
+
+def test_no_language_is_left_out_of_sets(monkeypatch):
+    """A language that is the worst of 41 by itself, but holds most of a text that it shares with another, is found."""
+    n = np.ones(100)
+    monkeypatch.setattr(langid, "_counted", lambda text: (np.arange(100), n))
+    table = np.full((41, langid.SLOTS), 1e-5)
+    table[:40, :40] = 1 / 40 + np.arange(40)[:, None] * 1e-5
+    table[40, :] = 1e-12
+    table[40, 40:100] = 1 / 60
+    mixture = langid.Mixture([f"a{i:02}" for i in range(40)] + ["z"], np.log(table))
+    assert 40 not in mixture.likeliest(np.arange(100), n)[0]
+    lang, share = mixture.predict("x")
+    assert lang == "z" and 0.5 < share < 0.7
