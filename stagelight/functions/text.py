@@ -214,7 +214,7 @@ def try_date(year: Column, month: Column, day: Column) -> Column:
 def parse_day(text: Column) -> Column:
     """RFC 3339, ISO, "January 15, 2025" and "1/15/2025", with or without a weekday before it."""
     x = F.regexp_replace(F.trim(text), r"(?i)^(mon|tues|wednes|thurs|fri|satur|sun)day,?\s+", "")
-    iso = F.try_to_date(F.regexp_extract(x, r"^(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
+    iso = F.try_to_date(F.nullif(F.regexp_extract(x, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("")), "yyyy-MM-dd")  # a failure is an exception for each row
     return F.coalesce(iso, F.try_to_date(x, "MMMM d, yyyy"), F.try_to_date(x, "M/d/yyyy"))
 
 

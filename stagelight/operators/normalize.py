@@ -99,8 +99,8 @@ def _known(parsed: DataFrame, as_of) -> DataFrame:
     """Rows of known sources with the fields that all entities need; without a date the day is as_of."""
     today = F.lit(as_of).cast("date")
     days = [T.parse_day(_get(p)) for p in ("scheduling.startDateFormatted", "scheduling.startDate", "startDate", "event_day", "date")]
-    rows = parsed.where(F.col("source_id").isin(*SOURCES)).withColumn("_r", F.from_json("record", _FIELDS)).withColumn("title", T.title_or_null(_get("title"))).where("title is not null")
-    rows = rows.withColumn("event_day", F.coalesce(*days, today)).withColumn("dated", F.coalesce(*days).isNotNull())
+    rows = parsed.where(F.col("source_id").isin(*SOURCES)).select("*", F.explode(F.array(F.from_json("record", _FIELDS))).alias("_r")).withColumn("title", T.title_or_null(_get("title"))).where("title is not null")
+    rows = rows.withColumn("_day", F.coalesce(*days)).withColumn("event_day", F.coalesce("_day", today)).withColumn("dated", F.col("_day").isNotNull()).drop("_day")
     named = reduce(lambda c, kv: F.when((F.col("source_id") == kv[0]) & ~(F.lit(kv[0] == "sea_monster") & F.lower("title").contains("la luz")), _names(kv[1])).otherwise(c), SOURCES.items(), F.array().cast("array<struct<name:string,confidence:double>>"))
     return rows.withColumn("named", named)
 

@@ -325,3 +325,11 @@ def test_payloads_are_made_once(spark):
     finally:
         payloads.parse = parse
     assert got and "Aggregate" not in got[0]
+
+
+def test_records_are_read_once(spark):
+    """Neither the condition on titles nor any field reads a record's JSON anew."""
+    from stagelight import chain
+
+    found = normalize.events(chain._records(spark, "/root/testdata/sf0.001"), AS_OF).select("title", "event_day", "venue_id", "warnings")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
