@@ -21,21 +21,22 @@ from stagelight.streaming import state
 
 
 def _graph(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges. Who performs twice at an event has two edges."""
     t = Tables(spark, d)
     name = lambda p, c: F.concat(F.lit(p), F.col(c))
     venues = t.customer.select(name("v", "c_custkey").alias("id"), F.lit("venue").alias("label"), F.to_json(F.struct(F.concat(F.lit("hall-"), F.col("c_custkey")).alias("slug"))).alias("data"))
     shows = t.orders.select(name("e", "o_orderkey").alias("id"), F.lit("event").alias("label"), F.lit("{}").alias("data"))
     artists = t.part.select(name("a", "p_partkey").alias("id"), F.lit("artist").alias("label"), F.lit("{}").alias("data"))
     hosts = t.orders.select(name("v", "o_custkey").alias("source_id"), name("e", "o_orderkey").alias("target_id"), F.lit("hosts").alias("relation"))
-    acts = t.lineitem.select(name("a", "l_partkey").alias("source_id"), name("e", "l_orderkey").alias("target_id"), F.lit("performs_at").alias("relation")).distinct()
+    acts = t.lineitem.select(name("a", "l_partkey").alias("source_id"), name("e", "l_orderkey").alias("target_id"), F.lit("performs_at").alias("relation"))
     return venues.unionByName(shows).unionByName(artists), hosts.unionByName(acts)
 
 
-def _without(spark, d) -> tuple[DataFrame, DataFrame]:
+def _without(spark, d, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """All but every tenth venue go."""
     nodes, edges = _graph(spark, d)
     gone = Tables(spark, d).customer.where("c_custkey % 10 <> 3").select(F.concat(F.lit("v"), "c_custkey").alias("id"))
-    return catalog.cascade(nodes, edges, gone)
+    return catalog.cascade(nodes, edges, gone, folder)
 
 
 _CASCADE = """WITH hosts AS (SELECT o_custkey AS v, o_orderkey AS e FROM orders), acts AS (SELECT DISTINCT l_partkey AS a, l_orderkey AS e FROM lineitem),
@@ -52,7 +53,12 @@ def cascade_nodes(spark, d):
 @query(_CASCADE + """ SELECT 'v' || v AS source_id, 'e' || e AS target_id, 'hosts' AS relation FROM hosts WHERE v NOT IN (SELECT v FROM gv) AND e NOT IN (SELECT e FROM ge)
 UNION ALL SELECT 'a' || a, 'e' || e, 'performs_at' FROM acts WHERE e NOT IN (SELECT e FROM ge) AND a NOT IN (SELECT a FROM ga)""")
 def cascade_edges(spark, d):
-    return _without(spark, d)[1]
+    def work(folder: str) -> DataFrame:
+        left = _without(spark, d, folder)[1]
+        rows = left.groupBy(*left.columns).agg(F.count("*").alias("n"))  # only acts are made one
+        return rows.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.when(F.col("relation") == "hosts", F.col("n").cast("int")).otherwise(1)))).drop("n")
+
+    return kept(spark, "cascade", work)
 
 
 # Stored tables

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagelight.functions.text import NIL_UUID
+from stagelight.lineage import written
 
 VENUE_FIELDS = ("name", "address", "city", "latitude", "longitude")
 ARTIST_FIELDS = ("name", "name_slug", "bio", "artist_image_url")
@@ -95,20 +96,27 @@ def venues_by_slug(nodes: DataFrame, slugs: list[str]) -> DataFrame:
     return nodes.where((F.col("label") == "venue") & F.get_json_object("data", "$.slug").isin(slugs)).select("id")
 
 
-def cascade(nodes: DataFrame, edges: DataFrame, venues: DataFrame) -> tuple[DataFrame, DataFrame]:
+def cascade(nodes: DataFrame, edges: DataFrame, venues: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """nodes (id, ...) and edges (source_id, target_id, relation, ...) without the venues (id), the events that they host, and
     the artists of these events whom no other venue holds: who performs at an event that stays and that a venue hosts which
     stays is kept. All that is incident to what goes goes with it. Venues may be given in bulk: an artist goes with the last
-    one. Null ids among them delete nothing. One plan of semi and anti joins, no step for each venue."""
+    one. Null ids among them delete nothing. One plan of joins, no step for each venue.
+
+    Edges meet the events at their ends once, for the artists and for what stays. With a folder in the shared storage they are
+    kept there until the results are made; without one, they meet anew for whatever asks."""
     gone = venues.select(F.col("id").alias("venue_id")).where("venue_id is not null").distinct()
     hosts = edges.where("relation = 'hosts'").select(F.col("source_id").alias("venue_id"), F.col("target_id").alias("event_id"))
-    acts = edges.where("relation = 'performs_at'").select(F.col("source_id").alias("artist_id"), F.col("target_id").alias("event_id"))
-    events = hosts.join(gone, "venue_id", "left_semi").select("event_id").distinct()
-    held = hosts.join(gone, "venue_id", "left_anti").select("event_id").join(events, "event_id", "left_anti")
-    theirs = acts.join(events, "event_id", "left_semi").select("artist_id").distinct()
-    artists = theirs.join(acts.join(held, "event_id", "left_semi").select("artist_id"), "artist_id", "left_anti")
-    all_gone = gone.select(F.col("venue_id").alias("id")).unionByName(events.select(F.col("event_id").alias("id"))).unionByName(artists.select(F.col("artist_id").alias("id")))
-    return drop_nodes(nodes, edges, all_gone)
+    # ids that occur once are dealt evenly and looked up by hashing; they are not broadcast, since files of many look small to the planner
+    hosted = hosts.join(gone.withColumn("_gone", F.lit(True)).hint("shuffle_hash"), "venue_id", "left").groupBy("event_id").agg(F.max(F.coalesce("_gone", F.lit(False))).alias("_gone"))
+    met = edges.join(hosted.withColumnRenamed("event_id", "target_id").hint("shuffle_hash"), "target_id", "left")
+    events = hosted.where("_gone").select(F.col("event_id").alias("id"))
+    if folder:
+        met = written(met, folder)
+        events = met.where("relation = 'hosts' and _gone").select(F.col("target_id").alias("id"))
+    acts = met.where("relation = 'performs_at' and _gone is not null")  # at events that a venue hosts
+    artists = acts.groupBy("source_id").agg(F.every("_gone").alias("_gone")).where("_gone").select(F.col("source_id").alias("id"))
+    all_gone = gone.select(F.col("venue_id").alias("id")).unionByName(events).unionByName(artists)
+    return drop_nodes(nodes, met.where("_gone is null or not _gone").select(*edges.columns), all_gone)
 
 
 def shared_artists(hosts: DataFrame, acts: DataFrame, venue) -> DataFrame:

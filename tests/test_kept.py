@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagelight import kept
+from stagelight.catalogue import ORACLE_SQL, QUERIES
 from stagelight.operators import catalog, metrics, pages, phases
 from stagelight.sources.merged import MergedTable, upsert_graph
+from tests.conftest import DATA
 
 NODES, EDGES = "id string, label string, data string", "source_id string, target_id string, relation string"
 
@@ -32,6 +34,45 @@ def test_cascade(spark):
     assert left("none") == (every, {x[:2] for x in edges})
 
 
+def test_cascade_meets_edges_once(spark, tmp_path):
+    """Random graphs with repeated edges, null ends and events without a venue, against plain loops. What stays is read from the
+    kept edges, not from the given ones anew, and no ids are broadcast."""
+    rng = random.Random(5)
+    pick = lambda kind, n: rng.choice([None, *[f"{kind}{i}" for i in range(n)]])
+    edges = [(pick("v", 9), pick("e", 40), "hosts") for _ in range(30)] + [(pick("a", 40), pick("e", 40), "performs_at") for _ in range(90)]
+    edges += rng.choices(edges, k=20) + [("a1", "a2", "knows"), ("e3", "a4", "knows"), ("a5", "v0", "likes"), (None, None, "knows")]
+    nodes = [(f"{k}{i}", k, "{}") for k, n in (("v", 9), ("e", 40), ("a", 40)) for i in range(n)]
+    gone = {"v0", "v1", "v2", "v3", "v4", "v5"}
+    events = {e for v, e, r in edges if r == "hosts" and v in gone and e is not None}
+    held = {e for _, e, r in edges if r == "hosts" and e is not None} - events
+    plays = lambda at: {a for a, e, r in edges if r == "performs_at" and e in at and a is not None}
+    every = gone | events | plays(events) - plays(held)
+    want = sorted((x for x in edges if not {x[0], x[1]} & every), key=str)
+    spark.createDataFrame(edges, EDGES).write.parquet(str(tmp_path / "edges"))
+    n, e, v = spark.createDataFrame(nodes, NODES), spark.read.parquet(str(tmp_path / "edges")), spark.createDataFrame([(x,) for x in [*sorted(gone), "v0", None]], "id string")
+    for folder in (None, str(tmp_path / "kept")):
+        stay, left = catalog.cascade(n, e, v, folder)
+        assert sorted((tuple(r) for r in left.select(*e.columns).collect()), key=str) == want and plays(events) & plays(held) and plays(events) - plays(held)
+        assert {r["id"] for r in stay.collect()} == {x[0] for x in nodes} - every
+    assert not set(left.inputFiles()) & set(e.inputFiles())
+
+
+def test_cascade_of_repeated_rows(spark, duck, tmp_path):
+    """Orders that are there twice host twice; who has two lines in an order performs once."""
+    for t in ("customer", "part", "orders", "lineitem"):
+        rows = spark.read.parquet(f"{DATA}/{t}.parquet")
+        (rows.unionByName(rows.limit(50)) if t == "orders" else rows.unionByName(rows) if t == "lineitem" else rows).write.parquet(str(tmp_path / f"{t}.parquet"))
+        duck.execute(f"CREATE OR REPLACE TEMP VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    try:
+        for q in ("cascade_edges", "cascade_nodes"):
+            want = duck.sql(ORACLE_SQL[q])
+            got = QUERIES[q](spark, str(tmp_path)).select(*want.columns).collect()
+            assert sorted(tuple(r) for r in got) == sorted(want.fetchall())
+    finally:
+        for t in ("customer", "part", "orders", "lineitem"):
+            duck.execute(f"DROP VIEW temp.{t}")
+
+
 def files(folder):
     return {str(p.relative_to(folder)) for p in folder.glob("bucket=*/*.parquet")}
 
