@@ -33,6 +33,17 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a task, of a few columns
+ROWS = 1_000_000
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys to as many tasks as its rows need, where the session's number of them is smaller: what a task holds to
+    group or join by these keys does not grow with the table."""
+    n = -(-df.count() // ROWS)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; nothing is made there yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -217,7 +217,7 @@ def create_raw_data(raw: DataFrame, new: DataFrame, now) -> DataFrame:
 def update_events(events: DataFrame, edges: DataFrame, proposed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events with proposed ones written over them, and the edges that follow: those of a proposed event are made anew, so
     what it no longer names goes."""
-    others = edges.join(proposed.select(F.col("id").alias("target_id")), "target_id", "left_anti").select(*edges.columns)
+    others = edges.join(proposed.select(F.col("id").alias("target_id")).hint("shuffle_hash"), "target_id", "left_anti").select(*edges.columns)
     return upsert(events, proposed, ["id"]), others.unionByName(event_edges(proposed))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stagelight.catalogue import ARTISTS, BASE, DISTRICT, INSIDE, SHOWS, VENUES, Tables, query, today
 from stagelight.functions import text as T
+from stagelight.lineage import dealt
 from stagelight.operators import catalog, conflation, enrichment, ingest, listings, metrics, quality
 from stagelight.sources import registry
 from stagelight.streaming.dedupe import windowed_rate
@@ -19,14 +20,18 @@ _AT = f"TIMESTAMP '{NOW}'"
 
 
 def _stored_events(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stored events with their lists of artists, the edges they imply, and what is proposed: every third event moves to
-    another venue and keeps only its first artist."""
+    """Stored events, their edges, and what is proposed: every third event moves to another venue and keeps only its first
+    artist. Acts are dealt by event in tasks of a bounded number of rows; no event's list of artists is put together only to be
+    taken apart."""
     t = Tables(spark, d)
-    lists = t.acts.groupBy(F.col("event_id").alias("id")).agg(F.sort_array(F.collect_list("artist_id")).alias("artist_ids"))
-    none = F.array().cast("array<bigint>")
-    events = t.shows.join(lists, "id", "left").withColumn("artist_ids", F.coalesce("artist_ids", none))
-    proposed = events.where("id % 3 = 0").withColumn("venue_id", F.col("venue_id") + 1000000).withColumn("artist_ids", F.slice("artist_ids", 1, 1))
-    return events, catalog.event_edges(events), proposed
+    events = t.shows.select("id", "title", "event_day", "venue_id")
+    acts = dealt(t.lineitem.select(F.col("l_orderkey").alias("target_id"), F.col("l_partkey").alias("source_id")), "target_id").where("source_id is not null")
+    plays = acts.distinct().join(events.select(F.col("id").alias("target_id")).hint("shuffle_hash"), "target_id", "left_semi")
+    hosts = events.where("venue_id is not null").select(F.col("venue_id").alias("source_id"), F.col("id").alias("target_id"), F.lit("hosts").alias("relation"))
+    firsts = acts.groupBy(F.col("target_id").alias("id")).agg(F.min("source_id").alias("first"))
+    ids = F.when(F.col("first").isNotNull(), F.array("first")).otherwise(F.array().cast("array<bigint>"))
+    proposed = events.where("id % 3 = 0").join(firsts, "id", "left").select("id", "title", "event_day", (F.col("venue_id") + 1000000).alias("venue_id"), ids.alias("artist_ids"))
+    return events, hosts.unionByName(plays.select("source_id", "target_id", F.lit("performs_at").alias("relation"))), proposed
 
 
 @query(BASE + """SELECT CASE WHEN event_id % 3 = 0 THEN venue_id + 1000000 ELSE venue_id END AS source_id, event_id AS target_id, 'hosts' AS relation FROM hosts

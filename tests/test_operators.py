@@ -5,10 +5,12 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from stagelight import catalogue, lineage, upkeep
 from stagelight.functions import text as T
 from stagelight.operators import catalog, conflation, enrichment, ingest, listings, metrics, normalize, pages, payloads, quality
 from stagelight.plans.full import entities, resolved
 from stagelight.plans.steps import Plan, Step, parse_only
+from tests.conftest import DATA
 
 AS_OF = date(2025, 8, 1)
 NIL = "00000000-0000-0000-0000-000000000000"
@@ -204,6 +206,29 @@ def test_update_and_delete_remove_edges(spark):
     assert listings.Listings(events, events, events, None, AS_OF).delete_event(2)[1] is None
 
 
+def test_update_of_edges_is_dealt_by_rows(spark, duck, tmp_path, monkeypatch):
+    """Tasks are as many as rows need, whatever the session's number; no lists are put together for edges. Lines that repeat,
+    lines of no order and orders without lines."""
+    monkeypatch.setattr(lineage, "ROWS", 500)
+    assert [lineage.dealt(spark.range(n), "id").rdd.getNumPartitions() for n in (5001, 5000)] == [11, 10]
+    few = spark.range(100).repartition(3)
+    assert lineage.dealt(few, "id") is few
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").where("l_orderkey % 7 <> 0")
+    lines.unionByName(lines.limit(99)).unionByName(lines.limit(9).withColumn("l_orderkey", F.lit(-3).cast("long"))).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.read.parquet(f"{DATA}/orders.parquet").write.parquet(str(tmp_path / "orders.parquet"))
+    for t in ("customer", "part"):
+        spark.read.parquet(f"{DATA}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    duck.execute(f"CREATE TEMP VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    try:
+        want = duck.sql(catalogue.ORACLE_SQL["update_events_edges"])
+        got = upkeep.update_events_edges(spark, str(tmp_path))
+        assert sorted(tuple(r) for r in got.select(*want.columns).collect()) == sorted(want.fetchall())
+    finally:
+        duck.execute("DROP VIEW temp.lineitem")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_" not in plan and "REPARTITION_BY_NUM" in plan
+
+
 @pytest.mark.parametrize("threshold", [0.0, 0.4, 0.6, 0.75, 0.8, 0.95, 1.0])
 def test_fuzzy_match_is_brute_force(spark, threshold):
     rng = random.Random(3)
