@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith, WriterCommitMessage
 
 from stagelight.shipping import ship
-from stagelight.sources.files import listed, opened, replaced
+from stagelight.sources.files import given_back, listed, opened, replaced
 
 REFERENCE = "cas:sha256:"
 SCHEMA = "sha256 string, content binary"
@@ -83,15 +83,19 @@ class ContentWriter(DataSourceArrowWriter):
             per_row = batch.nbytes // max(1, batch.num_rows) + 1
             step = max(1, self.group // per_row)
             for at in range(0, batch.num_rows, step):
-                held.append(batch.slice(at, step))
+                some = batch.slice(at, step)
+                held.append(pa.concat_batches([some, some.slice(0, 0)]))  # a copy: a slice would hold its whole batch
                 size += held[-1].nbytes
                 if size >= self.group:
                     group()
                     size = 0
+            batch = some = None  # the next one comes when this one has gone, but for what is held
         if held and sum(map(len, held)):
             group()
         if pack is not None:
             close()
+        held = []
+        given_back()
         return Packs(done)
 
     def commit(self, messages: list[Packs | None]) -> None:
@@ -184,6 +188,8 @@ class ContentReader(DataSourceReader):
                 if self.exact is not None:
                     rows = rows.filter(pa.compute.is_in(rows["sha256"], pa.array(sorted(self.exact), pa.string())))
                 yield from rows.to_batches()
+                rows = None  # before the next is read
+        given_back()
 
 
 class ContentStore(DataSource):

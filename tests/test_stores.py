@@ -83,6 +83,27 @@ def test_a_repeated_attempt_counts_once(tmp_path):
     assert [len(b) for p in reader.partitions() for b in reader.read(p)] == [2]
 
 
+def test_a_writer_holds_a_group_between_batches(tmp_path, monkeypatch):
+    """When the next batch comes, no more than a row group is left of those before; at the end memory goes back."""
+    import pyarrow as pa
+
+    left, backs = [], []
+    monkeypatch.setattr(content, "given_back", lambda: backs.append(1))
+
+    def batches():
+        before = pa.total_allocated_bytes()
+        for i in range(6):
+            yield pa.RecordBatch.from_pydict({"sha256": [f"{i}{j:063d}" for j in range(1000)], "content": [bytes(4000)] * 1000})
+            left.append(pa.total_allocated_bytes() - before)
+
+    writer = content.ContentWriter({"path": str(tmp_path), "pack": 100_000_000, "group": 1_500_000})
+    done = writer.write(batches())
+    assert max(left) < 2_500_000 and len(left) == 6 and backs
+    writer.commit([done])
+    reader = content.ContentReader({"path": str(tmp_path)})
+    assert sum(len(b) for p in reader.partitions() for b in reader.read(p)) == 6000 and len(backs) > 1
+
+
 def lines_of(df):
     return [(r["file"], r["pos"], r["next"], r["line"]) for r in df.orderBy("file", "pos").collect()]
 
