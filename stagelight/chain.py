@@ -6,7 +6,9 @@ Roles as in the catalogue: orders are events, customers venues, parts artists.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +28,23 @@ def _fields(parsed: DataFrame, *names: str) -> DataFrame:
     return parsed.select("source_id", "envelope_id", "record_path", F.json_tuple("record", *names).alias(*names))  # a record is read once
 
 
-def _documents(rows: DataFrame, source: str, item: Column, before: str, after: str, between: str = "") -> DataFrame:
-    """One document a customer: its items in the order of their keys."""
-    items = F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", item.alias("x")))), lambda s: s["x"])
-    text = F.concat(F.lit(before), F.array_join(items, between), F.lit(after))
-    return rows.groupBy("o_custkey").agg(text.alias("payload")).select(F.lit(source).alias("source_id"), F.col("o_custkey").cast("string").alias("envelope_id"), F.lit("r").alias("payload_ref"), "payload")
+class Kind(NamedTuple):
+    """Documents of a source: items by key and day, what is before and after them, and between."""
+
+    source: str
+    item: Callable[[Column, Column], Column]
+    before: str
+    after: str
+    between: str = ""
+
+
+def _documents(rows: DataFrame, *kinds: Kind) -> DataFrame:
+    """One document of each kind a customer: its items in the order of their keys. Keys and days are brought together, once for all
+    kinds, and a customer's texts are made where they are."""
+    listed = rows.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderdate"))).alias("s"))
+    text = lambda k: F.concat(F.lit(k.before), F.array_join(F.transform("s", lambda x: k.item(x["o_orderkey"], x["o_orderdate"])), k.between), F.lit(k.after))
+    each = listed.select("o_custkey", F.explode(F.array(*[F.struct(F.lit(k.source).alias("source_id"), text(k).alias("payload")) for k in kinds])).alias("d"))
+    return each.select("d.source_id", F.col("o_custkey").cast("string").alias("envelope_id"), F.lit("r").alias("payload_ref"), "d.payload")
 
 
 def _cat(*parts: Column | str) -> Column:
@@ -48,10 +62,12 @@ def _date() -> Column:
 # Page plans
 
 
-def _radio(spark, d) -> DataFrame:
-    title = F.when(_key() % 7 == 0, "Unknown Event").when(_key() % 7 == 1, "").otherwise(_cat("Show &amp; ", _key()))
-    item = _cat("<h2>", F.date_format(_date(), "MMMM d, yyyy"), '</h2><article class="EventItem x"><div class="EventItem-body"><h3><a> ', title, " </a></h3></div>", F.when(_key() % 2 == 0, '<div class="EventItem-DateTime"><h5>1 p.m.</h5></div>').otherwise(""), "</article>")
-    return _documents(Tables(spark, d).orders, "kexp", item, "<html><body>", "</body></html>")
+def _radio_item(key: Column, day: Column) -> Column:
+    title = F.when(key % 7 == 0, "Unknown Event").when(key % 7 == 1, "").otherwise(_cat("Show &amp; ", key))
+    return _cat("<h2>", F.date_format(day, "MMMM d, yyyy"), '</h2><article class="EventItem x"><div class="EventItem-body"><h3><a> ', title, " </a></h3></div>", F.when(key % 2 == 0, '<div class="EventItem-DateTime"><h5>1 p.m.</h5></div>').otherwise(""), "</article>")
+
+
+RADIO = Kind("kexp", _radio_item, "<html><body>", "</body></html>")
 
 
 @query("""WITH kept AS (SELECT o_custkey, strftime(o_orderdate, '%B %-d, %Y') AS event_day, CASE WHEN o_orderkey % 2 = 0 THEN '1 p.m.' ELSE '' END AS event_time, 'Show & ' || o_orderkey AS title FROM orders WHERE o_orderkey % 7 > 1)
@@ -59,19 +75,25 @@ SELECT 'kexp' AS source_id, CAST(o_custkey AS VARCHAR) AS envelope_id, 'article.
 UNION ALL SELECT DISTINCT 'kexp', CAST(o_custkey AS VARCHAR), 'html', NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM kept)""")
 def radio_pages_parsed(spark, d):
     ship(spark)
-    raw = _radio(spark, d).withColumnRenamed("payload", "html")
+    raw = _documents(Tables(spark, d).orders, RADIO).withColumnRenamed("payload", "html")
     return _fields(pages.parse_pages(raw, "kexp_html_v1", AS_OF), "title", "event_day", "event_time", "location", "public")
 
 
-def _tickets(spark, d, source: str) -> DataFrame:
-    url = _cat("/events/detail/", _key())
-    some = lambda n, x: F.when(_key() % n != 0, x).otherwise("")
-    item = _cat(
-        '<div class="eventItem"><div class="thumb"><img src="i', _key(), '.png"></div><h3 class="title"><a href="', url, '"> Main ', _key(), "</a></h3>", some(2, _cat('<h4 class="tagline">Guest ', _key(), " &amp; Other</h4>")),
-        some(3, '<div class="promotion-text tour">Tour</div>'), some(5, '<div class="promotion-text">House</div>'), '<span class="m-date__month">', F.date_format(_date(), "MMM"), '</span> <span class="m-date__day">', F.date_format(_date(), "d"), "</span>",
-        '<div class="meta"><span class="time">Doors: 7:30 PM</span>', some(4, '<span class="age">21+</span>'), some(6, '<span class="location">Hall</span>'), "</div>", some(7, _cat('<a class="tickets ', F.when(_key() % 2 == 0, "onsalenow").otherwise("soldout"), '" href="https://t.example/', _key(), '">x</a>')), "</div>",
+def _ticket_item(key: Column, day: Column) -> Column:
+    url = _cat("/events/detail/", key)
+    some = lambda n, x: F.when(key % n != 0, x).otherwise("")
+    return _cat(
+        '<div class="eventItem"><div class="thumb"><img src="i', key, '.png"></div><h3 class="title"><a href="', url, '"> Main ', key, "</a></h3>", some(2, _cat('<h4 class="tagline">Guest ', key, " &amp; Other</h4>")),
+        some(3, '<div class="promotion-text tour">Tour</div>'), some(5, '<div class="promotion-text">House</div>'), '<span class="m-date__month">', F.date_format(day, "MMM"), '</span> <span class="m-date__day">', F.date_format(day, "d"), "</span>",
+        '<div class="meta"><span class="time">Doors: 7:30 PM</span>', some(4, '<span class="age">21+</span>'), some(6, '<span class="location">Hall</span>'), "</div>", some(7, _cat('<a class="tickets ', F.when(key % 2 == 0, "onsalenow").otherwise("soldout"), '" href="https://t.example/', key, '">x</a>')), "</div>",
     )
-    return _documents(Tables(spark, d).orders, source, item, "<main>", "</main>").withColumnRenamed("payload", "html")
+
+
+BARBOZA, NEUMOS = (Kind(source, _ticket_item, "<main>", "</main>") for source in ("barboza", "neumos"))
+
+
+def _tickets(spark, d, kind: Kind) -> DataFrame:
+    return _documents(Tables(spark, d).orders, kind).withColumnRenamed("payload", "html")
 
 
 _TICKETED = """SELECT '{source}' AS source_id, CAST(o_custkey AS VARCHAR) AS envelope_id, 'div.eventItem' AS record_path, 'Main ' || o_orderkey AS title, CAST(o_orderkey AS VARCHAR) AS id, '/events/detail/' || o_orderkey AS detail_url,
@@ -83,18 +105,20 @@ _TICKET_FIELDS = ("title", "id", "detail_url", "supporting_acts", "promoter", "t
 @query(_TICKETED.format(source="barboza", promoter="CASE WHEN o_orderkey % 3 <> 0 THEN 'Tour' WHEN o_orderkey % 5 <> 0 THEN 'House' END", tour="NULL::VARCHAR", year="'1999'", venue="CASE WHEN o_orderkey % 6 <> 0 THEN 'Hall' ELSE 'The Barboza' END"))
 def ticket_pages_parsed(spark, d):
     ship(spark)
-    return _fields(pages.parse_pages(_tickets(spark, d, "barboza"), "barboza_html_v1", LATE), *_TICKET_FIELDS)
+    return _fields(pages.parse_pages(_tickets(spark, d, BARBOZA), "barboza_html_v1", LATE), *_TICKET_FIELDS)
 
 
 @query(_TICKETED.format(source="neumos", promoter="CASE WHEN o_orderkey % 5 <> 0 THEN 'House' END", tour="CASE WHEN o_orderkey % 3 <> 0 THEN 'Tour' END", year="CASE WHEN month(o_orderdate) < 11 THEN '2000' ELSE '1999' END", venue="'Neumos'"))
 def tour_pages_parsed(spark, d):
     ship(spark)
-    return _fields(pages.parse_pages(_tickets(spark, d, "neumos"), "neumos_html_v1", LATE), *_TICKET_FIELDS)
+    return _fields(pages.parse_pages(_tickets(spark, d, NEUMOS), "neumos_html_v1", LATE), *_TICKET_FIELDS)
 
 
-def _headed(spark, d) -> DataFrame:
-    item = _cat("<h1>MUSIC ", F.date_format(_date(), "M.d"), "</h1><p><a>Act ", _key(), "</a>\nGuest ", _key(), "\nwith Act ", _key(), "\nDOORS 8\nSHOW 9\n$", _key(), "</p>")
-    return _documents(Tables(spark, d).orders, "darrells_tavern", item, '<div class="entry-content">', "</div>")
+def _headed_item(key: Column, day: Column) -> Column:
+    return _cat("<h1>MUSIC ", F.date_format(day, "M.d"), "</h1><p><a>Act ", key, "</a>\nGuest ", key, "\nwith Act ", key, "\nDOORS 8\nSHOW 9\n$", key, "</p>")
+
+
+HEADED = Kind("darrells_tavern", _headed_item, '<div class="entry-content">', "</div>")
 
 
 _HEADED_DAY = "CAST(try_strptime('1999' || strftime(o_orderdate, '-%m-%d'), '%Y-%m-%d') AS DATE)"
@@ -105,17 +129,21 @@ SELECT 'darrells_tavern' AS source_id, CAST(o_custkey AS VARCHAR) AS envelope_id
 UNION ALL SELECT DISTINCT 'darrells_tavern', CAST(o_custkey AS VARCHAR), 'html', NULL, NULL FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM kept)""")
 def headed_pages_parsed(spark, d):
     ship(spark)
-    return _fields(pages.parse_pages(_headed(spark, d).withColumnRenamed("payload", "html"), "darrells_html_v1", AS_OF), "title", "event_day")
+    return _fields(pages.parse_pages(_documents(Tables(spark, d).orders, HEADED).withColumnRenamed("payload", "html"), "darrells_html_v1", AS_OF), "title", "event_day")
+
+
+def _titled_item(key: Column, day: Column) -> Column:
+    return F.to_json(F.struct(_cat("T", key).alias("title")))
 
 
-def _warmup(spark, d) -> DataFrame:
-    return _documents(Tables(spark, d).orders, "sea_monster", F.to_json(F.struct(_cat("T", _key()).alias("title"), _key().alias("k"))), '<p></p><script id="wix-warmup-data">{"appsWarmupData":{"app":{"other":{},"widget1":{"events":{"events":[', "]}}}}}</script>", ",")
+WARMUP = Kind("sea_monster", lambda key, day: F.to_json(F.struct(_cat("T", key).alias("title"), key.alias("k"))), '<p></p><script id="wix-warmup-data">{"appsWarmupData":{"app":{"other":{},"widget1":{"events":{"events":[', "]}}}}}</script>", ",")
+CALENDAR = Kind("blue_moon", _titled_item, '{"events":[', "]}", ",")
 
 
 @query("SELECT 'sea_monster' AS source_id, CAST(o_custkey AS VARCHAR) AS envelope_id, '$.widget1.events[' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) || ']' AS record_path, 'T' || o_orderkey AS title, CAST(o_orderkey AS VARCHAR) AS k FROM orders")
 def warmup_pages_parsed(spark, d):
     ship(spark)
-    return _fields(pages.parse_pages(_warmup(spark, d).withColumnRenamed("payload", "html"), "wix_warmup_v1", AS_OF), "title", "k")
+    return _fields(pages.parse_pages(_documents(Tables(spark, d).orders, WARMUP).withColumnRenamed("payload", "html"), "wix_warmup_v1", AS_OF), "title", "k")
 
 
 # JSON plans
@@ -135,20 +163,22 @@ def exploded_events_by_dates(spark, d):
 @query("SELECT CAST(o_custkey AS VARCHAR) AS envelope_id, CASE WHEN o_custkey % 3 = 0 THEN '$' ELSE '$.events[' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) || ']' END AS record_path, CASE WHEN o_custkey % 3 > 0 THEN 'T' || o_orderkey END AS title FROM orders QUALIFY o_custkey % 3 > 0 OR row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1")
 def calendar_lists(spark, d):
     """Lists of events, and documents that are neither a list nor days."""
-    docs = _documents(Tables(spark, d).orders, "blue_moon", F.to_json(F.struct(_cat("T", _key()).alias("title"))), '{"events":[', "]}", ",")
+    docs = _documents(Tables(spark, d).orders, CALENDAR)
     docs = docs.withColumn("payload", F.when(F.col("envelope_id").cast("int") % 3 == 0, '{"nothing":1}').otherwise(F.col("payload")))
     return _fields(payloads.calendar(docs), "title").drop("source_id")
 
 
-def _graph(spark, d) -> DataFrame:
+def _graph_item(key: Column, day: Column) -> Column:
     null = F.lit(None).cast("string")
-    artist = F.struct(_cat("A", _key()).alias("name"), F.when(_key() % 2 == 0, "bio").alias("bio"))
-    announced = F.struct(F.when(_key() % 3 != 0, _cat("B", _key())).alias("name"), F.lit("https://w.example").alias("website"), F.when(_key() % 2 == 0, "https://s.example").alias("spotify"))
-    e = F.struct(
-        _cat("N", _key()).alias("name"), F.date_format(_date(), "yyyy-MM-dd").alias("date"), F.when(_key() % 2 == 0, "20:00:00").otherwise(null).alias("startTime"), F.lit("19:00:00").alias("doorTime"), F.when(_key() % 5 != 0, F.lit(21)).alias("minimumAge"),
-        F.when(_key() % 4 == 0, "").otherwise("Guest & Other").alias("support"), F.array(artist).alias("artists"), F.array(announced).alias("announceArtists"), F.when(_key() % 7 == 0, F.struct(F.lit("Hall").alias("name"))).alias("venue"),
-    )
-    return _documents(Tables(spark, d).orders, "conor_byrne", F.to_json(e), '{"data":{"paginatedEvents":{"collection":[', "]}}}", ",")
+    artist = F.struct(_cat("A", key).alias("name"), F.when(key % 2 == 0, "bio").alias("bio"))
+    announced = F.struct(F.when(key % 3 != 0, _cat("B", key)).alias("name"), F.lit("https://w.example").alias("website"), F.when(key % 2 == 0, "https://s.example").alias("spotify"))
+    return F.to_json(F.struct(
+        _cat("N", key).alias("name"), F.date_format(day, "yyyy-MM-dd").alias("date"), F.when(key % 2 == 0, "20:00:00").otherwise(null).alias("startTime"), F.lit("19:00:00").alias("doorTime"), F.when(key % 5 != 0, F.lit(21)).alias("minimumAge"),
+        F.when(key % 4 == 0, "").otherwise("Guest & Other").alias("support"), F.array(artist).alias("artists"), F.array(announced).alias("announceArtists"), F.when(key % 7 == 0, F.struct(F.lit("Hall").alias("name"))).alias("venue"),
+    ))
+
+
+GRAPH = Kind("conor_byrne", _graph_item, '{"data":{"paginatedEvents":{"collection":[', "]}}}", ",")
 
 
 @query("""SELECT CAST(o_custkey AS VARCHAR) AS envelope_id, '$.data.paginatedEvents.collection[' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) || ']' AS record_path, 'N' || o_orderkey AS title, strftime(o_orderdate, '%Y-%m-%d') AS event_day,
@@ -157,7 +187,7 @@ concat_ws('|', 'A' || o_orderkey || CASE WHEN o_orderkey % 2 = 0 THEN ':bio' ELS
 UNION ALL SELECT '-1', 'error', NULL, NULL, NULL, NULL, NULL, NULL, NULL""")
 def paginated_answers(spark, d):
     broken = spark.createDataFrame([("conor_byrne", "-1", "r", '{"data":{}}')], "source_id string, envelope_id string, payload_ref string, payload string")
-    rows = payloads.paginated(_graph(spark, d).unionByName(broken))
+    rows = payloads.paginated(_documents(Tables(spark, d).orders, GRAPH).unionByName(broken))
     artists = F.from_json(F.get_json_object("record", "$.artists"), "array<struct<name:string,bio:string,social_links:map<string,string>>>")
     named = F.array_join(F.transform(artists, lambda a: F.concat(a["name"], F.lit(":"), F.when(a["social_links"].isNotNull(), F.size(a["social_links"]).cast("string")).otherwise(F.coalesce(a["bio"], F.lit(""))))), "|")
     out = rows.select("envelope_id", "record_path", *[F.get_json_object("record", f"$.{n}").alias(n) for n in ("title", "event_day", "start_time", "age_restriction", "supporting_acts")], F.get_json_object("record", "$.venue.name").alias("venue"), named.alias("artists"))
@@ -214,8 +244,7 @@ SELECT 'kexp' AS source_id, radio.n + none.n AS n FROM radio, none UNION ALL SEL
 def parse_by_plan(spark, d):
     """Payloads of six sources by the plans of their sources: the default for one without, none for an unknown plan."""
     ship(spark)
-    plain = _documents(Tables(spark, d).orders, "blue_moon", F.to_json(F.struct(_cat("T", _key()).alias("title"))), '{"events":[', "]}", ",")
-    raw = _radio(spark, d).unionByName(_warmup(spark, d)).unionByName(_graph(spark, d)).unionByName(plain).unionByName(plain.withColumn("source_id", F.lit("sunset_tavern")))
+    raw = _documents(Tables(spark, d).orders, RADIO, WARMUP, GRAPH, CALENDAR, CALENDAR._replace(source="sunset_tavern"))
     plans = spark.createDataFrame([("kexp", "parse_plan:kexp_html_v1"), ("sea_monster", "wix_warmup_v1"), ("conor_byrne", "venuepilot_graphql_v1"), ("sunset_tavern", "parse_plan:dice_api_v1")], "source_id string, parse_plan_ref string")
 
     def work(folder: str) -> DataFrame:

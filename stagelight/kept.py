@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagelight import chain
@@ -141,9 +141,9 @@ UNION ALL SELECT 'barboza', 'Main ' || o_orderkey FROM orders UNION ALL SELECT '
 def page_plans_in_sql(spark, d):
     """All five page plans by LATERAL parse_page."""
     pages.register_sql(spark)
-    rows = lambda df, plan: df.select("source_id", F.lit(plan).alias("plan"), F.col("payload" if "payload" in df.columns else "html").alias("html"))
-    given = rows(chain._radio(spark, d), "kexp_html_v1").unionByName(rows(chain._warmup(spark, d), "wix_warmup_v1")).unionByName(rows(chain._headed(spark, d), "darrells_html_v1"))
-    given = given.unionByName(rows(chain._tickets(spark, d, "barboza"), "barboza_html_v1")).unionByName(rows(chain._tickets(spark, d, "neumos"), "neumos_html_v1"))
+    plans = {chain.RADIO: "kexp_html_v1", chain.WARMUP: "wix_warmup_v1", chain.HEADED: "darrells_html_v1", chain.BARBOZA: "barboza_html_v1", chain.NEUMOS: "neumos_html_v1"}
+    named = F.create_map(*[F.lit(x) for kind, plan in plans.items() for x in (kind.source, plan)])
+    given = chain._documents(Tables(spark, d).orders, *plans).select("source_id", named[F.col("source_id")].alias("plan"), F.col("payload").alias("html"))
     found = spark.sql("SELECT p.source_id, get_json_object(t.record, '$.title') AS title FROM {given} p, LATERAL parse_page(p.html, p.plan, to_date(:day)) t", {"day": AS_OF.isoformat()}, given=given)
     return found.where("title is not null").groupBy("source_id", "title").agg(F.count("*").alias("n"))
 
@@ -206,10 +206,12 @@ def crawled_listings(spark, d):
 UNION ALL SELECT CAST(o_custkey AS VARCHAR), 1, 0 FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderkey % 3 <> 0) = 0""")
 def ticket_items_with_title_or_day(spark, d):
     """Items are kept if they have a title or a day; pages without any such item give one row."""
-    k = F.col("o_orderkey")
-    inside = F.when(k % 3 == 1, F.concat(F.lit('<h3 class="title"><a>Act '), k, F.lit("</a></h3>"))).when(k % 3 == 2, F.lit('<span class="m-date__month">May</span><span class="m-date__day">5</span>')).otherwise('<div class="meta"><span class="age">21+</span></div>')
-    item = F.concat(F.lit('<div class="eventItem">'), inside, F.lit("</div>"))
-    html = chain._documents(Tables(spark, d).orders, "barboza", item, "<main>", "</main>").withColumnRenamed("payload", "html")
+
+    def item(k: Column, day: Column) -> Column:
+        inside = F.when(k % 3 == 1, F.concat(F.lit('<h3 class="title"><a>Act '), k, F.lit("</a></h3>"))).when(k % 3 == 2, F.lit('<span class="m-date__month">May</span><span class="m-date__day">5</span>')).otherwise('<div class="meta"><span class="age">21+</span></div>')
+        return F.concat(F.lit('<div class="eventItem">'), inside, F.lit("</div>"))
+
+    html = chain._documents(Tables(spark, d).orders, chain.BARBOZA._replace(item=item)).withColumnRenamed("payload", "html")
     ship(spark)
     found = pages.parse_pages(html, "barboza_html_v1", AS_OF)
     return found.groupBy("envelope_id").agg(F.count("*").alias("n"), F.count_if(F.get_json_object("record", "$.title").isNotNull()).alias("titled"))

@@ -125,8 +125,9 @@ DEFAULT_PLAN = "wix_calendar_v1"
 def parse(payloads: DataFrame, plans: DataFrame, as_of: date) -> DataFrame:
     """payloads (source_id, envelope_id, payload_ref, payload) by the plan of their source in plans (source_id,
     parse_plan_ref); sources without one take the default, unknown plans give no rows. JSON plans are a pass each, all page
-    plans are one."""
-    named = payloads.join(plans.select("source_id", F.regexp_replace("parse_plan_ref", "^parse_plan:", "").alias("plan")), "source_id", "left").withColumn("plan", F.coalesce("plan", F.lit(DEFAULT_PLAN)))
+    plans are one. Plans go to the payloads: dealt by source, all of one source would be one task's."""
+    listed = plans.select("source_id", F.regexp_replace("parse_plan_ref", "^parse_plan:", "").alias("plan"))
+    named = payloads.join(F.broadcast(listed), "source_id", "left").withColumn("plan", F.coalesce("plan", F.lit(DEFAULT_PLAN)))
     parts = [read(named.where(F.col("plan") == plan)) for plan, read in JSON_PLANS.items()]
     parts.append(pages.parse_by_plan(named.where(F.col("plan").isin(*pages.PLANS)).withColumn("html", F.col("payload").cast("string")), as_of))
     return reduce(DataFrame.unionByName, parts)

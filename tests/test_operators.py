@@ -352,6 +352,67 @@ def test_payloads_are_made_once(spark):
     assert got and "Aggregate" not in got[0]
 
 
+def test_payloads_stay_where_they_are(spark):
+    """Plans go to the payloads, however large Spark takes them for: by source, a task would get all payloads of one."""
+    raw = spark.createDataFrame([("kexp", "1", "r", "<p>none</p>"), ("blue_moon", "2", "r", '{"events":[{"a":1}]}')], "source_id string, envelope_id string, payload_ref string, payload string")
+    plans = spark.createDataFrame([("kexp", "parse_plan:kexp_html_v1")], "source_id string, parse_plan_ref string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = payloads.parse(raw, plans, AS_OF)
+        assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["source_id"], r["record"]) for r in found.collect()) == [("blue_moon", '{"a":1}'), ("kexp", '{"html_len": 11}')]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_documents_of_all_kinds_are_grouped_once(spark):
+    """Orders are brought together by customer once, as keys and days, not as texts for each kind."""
+    from stagelight import chain
+    from stagelight.catalogue import Tables
+
+    found = chain._documents(Tables(spark, "/root/testdata/sf0.001").orders, chain.RADIO, chain.WARMUP, chain.BARBOZA)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "partial_collect_list(struct(o_orderkey, o_orderkey" in plan
+    assert {r["source_id"]: r["n"] for r in found.groupBy("source_id").agg(F.countDistinct("envelope_id").alias("n")).collect()} == dict.fromkeys(("kexp", "sea_monster", "barboza"), Tables(spark, "/root/testdata/sf0.001").orders.select("o_custkey").distinct().count())
+
+
+_SNIPPETS = {
+    "barboza_html_v1": ["<main>", "<div class='eventItem'>", '<div class="eventItem"><h3 class="title"><a href="/e/7"> M </a></h3></div>', '<div class="eventItem"><h3 class="title"><a href="/e/8"><b>Two</b> parts</a></h3><div class="promotion-text tour">To</div><div class="promotion-text">By</div></div>', '<div id="a" class="x eventItem"><span class="m-date__month">Feb</span><span class="m-date__day">3</span><div class="meta"><span class="time">8:00</span><span class="location">H &amp; L</span></div></div>', "</main>", "</div>", '<div class="eventItem">', "<p>", "</p>", "<br>", "<!-- c -->", "a > b", '="', "\0", "<script>", "</script>"],
+    "kexp_html_v1": ["<body>", "<h2>Day 1</h2>", '<h2 id="x">Day <b>2</b></h2>', '<article class="EventItem"><div class="EventItem-body"><h3><a>One &amp; a</a></h3><div class="u-h3"><a> Hall </a></div></div></article>', '<article class="EventItem x"><div class="EventItem-body"><h3><a>Two</a></h3></div><div class="EventItem-DateTime"><h5>1 p.m.</h5></div></article>', "</body>", "<p>", "</article>", "<h2>", "</h2>", "<", "&lt"],
+    "darrells_html_v1": ['<div class="entry-content">', "<h1>MUSIC 3.5</h1>", "<h1>MUSIC 2.30</h1>", "<h1>MUSIC 99999999999.1</h1>", "<p><a>Act 5</a>\nGuest 5\nwith Act 5\nDOORS 8\n$5</p>", "<p>x &amp; y</p>", "</div>", "<p>", "<section>", "</section>", "<b>z</b>"],
+}
+
+
+@pytest.mark.parametrize("name", ["barboza_html_v1", "neumos_html_v1", "kexp_html_v1", "darrells_html_v1"])
+def test_pages_are_the_same_by_layout(name):
+    """Items put into what was found in another of their layout are those found in the whole tree, in regular and broken pages."""
+    plan, bits, rng, by_layout = pages.PLANS[name], _SNIPPETS[name.replace("neumos", "barboza")], random.Random(7), 0
+    for _ in range(8000):
+        html = (bits[0] if rng.random() < 0.7 else "") + "".join(rng.choices(bits[1:], k=rng.randint(0, 5)))
+        finds = plan.finds(html)
+        want = list(plan(pages.tree(html), AS_OF))
+        assert finds is None or list(plan.say(finds, AS_OF)) == want, html
+        by_layout += finds is not None and len(want) > 0
+    assert by_layout > 50
+
+
+def test_items_of_one_layout_are_looked_at_once(monkeypatch):
+    """What a page's items cost does not grow by the elements in them, but for the first of each layout."""
+    looks, fed = [], []
+    plan = pages.PLANS["barboza_html_v1"]
+
+    def look(page):
+        looks.append(page)
+        return pages._look_ticketed(page)
+
+    monkeypatch.setattr(pages, "tree", fed.append)
+    items = "".join(f'<div class="eventItem"><h3 class="title"><a href="/e/{k}"> Main {k} &amp; all</a></h3>{"<p>x</p>" * (k % 3)}</div>' for k in range(300))
+    found = pages._records_of(f"<main>{items}</main>", pages.Listed(plan.mark, look, plan.say), AS_OF)
+    assert [r for _, r in found][7].startswith('{"title": "Main 7 & all", "detail_url": "/e/7"') and len(found) == 300
+    assert len(looks) <= 5 and not fed  # the page's opening, three layouts, and the one that closes it
+
+
 def test_records_are_read_once(spark):
     """Neither the condition on titles nor any field reads a record's JSON anew."""
     from stagelight import chain
