@@ -144,7 +144,7 @@ def page_plans_in_sql(spark, d):
     plans = {chain.RADIO: "kexp_html_v1", chain.WARMUP: "wix_warmup_v1", chain.HEADED: "darrells_html_v1", chain.BARBOZA: "barboza_html_v1", chain.NEUMOS: "neumos_html_v1"}
     named = F.create_map(*[F.lit(x) for kind, plan in plans.items() for x in (kind.source, plan)])
     given = chain._documents(Tables(spark, d).orders, *plans).select("source_id", named[F.col("source_id")].alias("plan"), F.col("payload").alias("html"))
-    found = spark.sql("SELECT p.source_id, get_json_object(t.record, '$.title') AS title FROM {given} p, LATERAL parse_page(p.html, p.plan, to_date(:day)) t", {"day": AS_OF.isoformat()}, given=given)
+    found = spark.sql("SELECT p.source_id, j.title FROM {given} p, LATERAL parse_page(p.html, p.plan, to_date(:day)) t, LATERAL json_tuple(t.record, 'title') AS j(title)", {"day": AS_OF.isoformat()}, given=given)
     return found.where("title is not null").groupBy("source_id", "title").agg(F.count("*").alias("n"))
 
 

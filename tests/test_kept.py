@@ -179,6 +179,16 @@ def test_page_plans_in_sql_are_those_of_the_operator(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want) == 4
 
 
+def test_pages_go_to_sql_functions_in_batches(spark):
+    """A page is no batch of its own, nothing is shuffled for parse_page, and rows that are the same stay apart."""
+    pages.register_sql(spark)
+    spark.createDataFrame([("a", "<p>x</p>"), ("a", "<p>x</p>"), ("b", None)], "id string, html string").createOrReplaceTempView("same_pages")
+    found = spark.sql("SELECT p.id, t.* FROM same_pages p, LATERAL parse_page(html, 'kexp_html_v1', date'2025-01-01') t")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "UDTF" not in plan and "Exchange" not in plan and "Join" not in plan
+    assert sorted(map(tuple, found.collect())) == [("a", "html", '{"html_len": 8}')] * 2 + [("b", "html", '{"html_len": 0}')]
+
+
 def test_events_at_any_depth():
     deep: object = {"events": [{"title": "t"}]}
     for _ in range(200):
