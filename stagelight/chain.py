@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stagelight.catalogue import DAY, Tables, query, today
 from stagelight.functions import text as T
 from stagelight.operators import normalize, pages, payloads, venue_parsers
-from stagelight.lineage import kept, written
+from stagelight.lineage import ROWS, kept, written
 from stagelight.plans import full
 from stagelight.shipping import ship
 
@@ -40,8 +40,11 @@ class Kind(NamedTuple):
 
 def _documents(rows: DataFrame, *kinds: Kind) -> DataFrame:
     """One document of each kind a customer: its items in the order of their keys. Keys and days are brought together, once for all
-    kinds, and a customer's texts are made where they are."""
-    listed = rows.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderdate"))).alias("s"))
+    kinds, and a customer's texts are made where they are: in two tasks a core, or as many as the rows need, since what is
+    brought together is small next to what is made of it."""
+    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS))
+    brought = rows.select("o_custkey", "o_orderkey", "o_orderdate").repartition(tasks, "o_custkey")
+    listed = brought.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderdate"))).alias("s"))
     text = lambda k: F.concat(F.lit(k.before), F.array_join(F.transform("s", lambda x: k.item(x["o_orderkey"], x["o_orderdate"])), k.between), F.lit(k.after))
     each = listed.select("o_custkey", F.explode(F.array(*[F.struct(F.lit(k.source).alias("source_id"), text(k).alias("payload")) for k in kinds])).alias("d"))
     return each.select("d.source_id", F.col("o_custkey").cast("string").alias("envelope_id"), F.lit("r").alias("payload_ref"), "d.payload")

@@ -374,6 +374,7 @@ def test_documents_of_all_kinds_are_grouped_once(spark):
     found = chain._documents(Tables(spark, "/root/testdata/sf0.001").orders, chain.RADIO, chain.WARMUP, chain.BARBOZA)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning") == 1 and "partial_collect_list(struct(o_orderkey, o_orderkey" in plan
+    assert found.select("payload").rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism  # however small keys and days are
     assert {r["source_id"]: r["n"] for r in found.groupBy("source_id").agg(F.countDistinct("envelope_id").alias("n")).collect()} == dict.fromkeys(("kexp", "sea_monster", "barboza"), Tables(spark, "/root/testdata/sf0.001").orders.select("o_custkey").distinct().count())
 
 
